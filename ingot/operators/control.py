@@ -150,7 +150,7 @@ def daily_observability(control: DataFrame) -> DataFrame:
                  F.count_if(F.col("status") == "FAILED").cast("long").alias("failures"),
                  F.count_if(F.col("status") == "PARTIAL").cast("long").alias("partials"),
                  F.round(F.count_if(F.col("status") == "FAILED") / F.count(F.lit(1)), 4).alias("failure_rate"),
-                 F.round(F.avg("duracao_seg"), 4).alias("avg_duration_sec"),
+                 F.avg("duracao_seg").alias("avg_duration_sec"),
                  F.sum("qtd_lida_origem").cast("long").alias("rows_read"),
                  F.sum("qtd_gravada_destino").cast("long").alias("rows_written")))
 

@@ -102,7 +102,7 @@ def reconcile_status(extracted: int, landed: int, threshold: float, null_keys: i
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def column_profile(df: DataFrame, cols: list[str] | None = None, digits: int = 4) -> DataFrame:
+def column_profile(df: DataFrame, cols: list[str] | None = None, digits: int | None = None) -> DataFrame:
     """Describe-style profile in long form, one row per column (A7): type,
     count of non-null values, null share, mean, sample stddev, min, max.
     One aggregate pass over the data; the per-column rows are produced
@@ -121,8 +121,8 @@ def column_profile(df: DataFrame, cols: list[str] | None = None, digits: int = 4
             F.lit(c).alias("column_name"), F.lit(dt.simpleString()).alias("data_type"),
             F.col(f"c{i}").cast("long").alias("count"),
             pct(F.col(f"n{i}") - F.col(f"c{i}"), F.col(f"n{i}")).alias("pct_null"),
-            F.round(F.col(f"a{i}"), digits).alias("mean"),
-            F.round(F.col(f"s{i}"), digits).alias("stddev"),
+            (F.round(F.col(f"a{i}"), digits) if digits is not None else F.col(f"a{i}")).alias("mean"),
+            (F.round(F.col(f"s{i}"), digits) if digits is not None else F.col(f"s{i}")).alias("stddev"),
             F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max")))
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 

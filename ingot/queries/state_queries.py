@@ -169,7 +169,7 @@ SELECT CAST(CAST(start_time AS DATE) AS VARCHAR) AS day, collection, count(*) AS
        count(*) FILTER (WHERE status = 'FAILED') AS failures,
        count(*) FILTER (WHERE status = 'PARTIAL') AS partials,
        round(count(*) FILTER (WHERE status = 'FAILED') / count(*), 4) AS failure_rate,
-       round(avg(duracao_seg), 4) AS avg_duration_sec,
+       avg(duracao_seg) AS avg_duration_sec,
        CAST(sum(qtd_lida_origem) AS BIGINT) AS rows_read, CAST(sum(qtd_gravada_destino) AS BIGINT) AS rows_written
 FROM control GROUP BY ALL""")
 def observability_daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -410,8 +410,8 @@ def replay_from_watermark_q(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------ C8
 @register("exploration_path", """
 SELECT 'k' AS column_name, 'bigint' AS data_type, count(k) AS count,
-       round(100.0 * (count(*) - count(k)) / count(*), 4) AS pct_null, round(avg(k), 4) AS mean,
-       round(stddev_samp(k), 4) AS stddev, CAST(min(k) AS VARCHAR) AS min, CAST(max(k) AS VARCHAR) AS max
+       round(100.0 * (count(*) - count(k)) / count(*), 4) AS pct_null, avg(k) AS mean,
+       stddev_samp(k) AS stddev, CAST(min(k) AS VARCHAR) AS min, CAST(max(k) AS VARCHAR) AS max
 FROM (SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""")
 def exploration_path(spark: SparkSession, sf: str) -> DataFrame:
     """Raw JSON bodies: inferred schema, expansion, selection, profile."""

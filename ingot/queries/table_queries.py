@@ -294,8 +294,8 @@ def _profile_sql(cols: list[str], tbl: str) -> str:
     parts = []
     for c in cols:
         parts.append(f"""SELECT '{c}' AS column_name, 'double' AS data_type, count({c}) AS count,
-  round(100.0 * (count(*) - count({c})) / count(*), 4) AS pct_null, round(avg({c}), 4) AS mean,
-  round(stddev_samp({c}), 4) AS stddev, CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max
+  round(100.0 * (count(*) - count({c})) / count(*), 4) AS pct_null, avg({c}) AS mean,
+  stddev_samp({c}) AS stddev, CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max
 FROM {tbl}""")
     return "\nUNION ALL\n".join(parts)
 
