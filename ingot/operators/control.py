@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ingot.operators.merge import table_exists
 from ingot.operators.ordering import top_n
 
 # Column names and types of the control table.
@@ -47,8 +46,19 @@ SUMMARY_SCHEMA = ("table_name string, status string, arquivos int, linhas_lidas
 CONTROL_COLUMNS = [c.split()[0] for c in CONTROL_SCHEMA.strip().split(",\n")]
 
 
+def _escape_partition_value(v: str) -> str:
+    """Folder-safe partition value (``%XX`` for anything unusual), the
+    escaping Spark's partition discovery reverses on read."""
+    return "".join(ch if ch.isalnum() or ch in "_.-" else "".join(f"%{b:02X}" for b in ch.encode()) for ch in v)
+
+
 class ControlLog:
-    """Append-only run log with the persisted high-water mark."""
+    """Append-only run log with the persisted high-water mark.
+
+    Layout: one Hive partition folder per collection. Each append writes
+    into its collection's folder only, so collections running at the same
+    time never share a commit folder, and a watermark lookup reads one
+    collection's files (partition pruning)."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -56,19 +66,23 @@ class ControlLog:
         self.ensure()
 
     def ensure(self) -> None:
-        """Create the table if absent (K9): one schema-only file."""
-        if not table_exists(self.spark, self.path):
-            self.spark.createDataFrame([], CONTROL_SCHEMA).coalesce(1) \
-                .write.mode("append").parquet(self.path)
+        """Create the table folder if absent (K9)."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(CONTROL_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(CONTROL_SCHEMA).parquet(self.path).select(*CONTROL_COLUMNS)
 
     def log(self, records: list[dict]) -> None:
         """Append typed rows (K7); the explicit schema types all-null columns."""
-        rows = [tuple(r.get(c) for c in CONTROL_COLUMNS) for r in records]
-        self.spark.createDataFrame(rows, CONTROL_SCHEMA).coalesce(1) \
-            .write.mode("append").parquet(self.path)
+        by_coll: dict[str, list] = {}
+        for r in records:
+            by_coll.setdefault(r.get("collection"), []).append(tuple(r.get(c) for c in CONTROL_COLUMNS))
+        for coll, rows in by_coll.items():
+            folder = f"{self.path}/collection={_escape_partition_value(coll or '__HIVE_DEFAULT_PARTITION__')}"
+            self.spark.createDataFrame(rows, CONTROL_SCHEMA).drop("collection").coalesce(1) \
+                .write.mode("append").parquet(folder)
 
     def insert(self, _ingestion_id: str, collection: str, load_type: str, watermark_inicial: str | None,
                watermark_final: str | None, status: str = "SUCCESS", message: str | None = None,
@@ -85,14 +99,12 @@ class ControlLog:
         r = last_success_watermarks(self.read().where(F.col("collection") == collection)).first()
         return r.watermark_final if r else None
 
-    def compact(self) -> None:
-        """Rewrite the log into few files (it gains one small file per run)."""
-        snap = self.read().cache()
-        snap.count()
-        tmp = f"{self.path}_compact"
-        snap.coalesce(1).write.mode("overwrite").parquet(tmp)
-        snap.unpersist()
-        self.spark.read.schema(CONTROL_SCHEMA).parquet(tmp).write.mode("overwrite").parquet(self.path)
+    def compact(self, target: str) -> None:
+        """Copy the log into ``target`` with one file per collection (the
+        live log gains one small file per run). Switching the log to the
+        compacted folder is the caller's step; a folder being read is
+        never overwritten."""
+        self.read().repartition("collection").write.mode("overwrite").partitionBy("collection").parquet(target)
 
 
 def last_success_watermarks(control: DataFrame) -> DataFrame:

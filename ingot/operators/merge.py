@@ -62,7 +62,8 @@ def align_to_target(batch: DataFrame, target_schema: T.StructType) -> DataFrame:
 
 def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, key: str = "_source_id",
                       partition_by: tuple[str, ...] = (PARTITION_COLUMN,),
-                      key_range: tuple | None = None, sort_within: bool = True) -> int:
+                      key_range: tuple | None = None, sort_within: bool = True,
+                      target: DataFrame | None = None) -> int:
     """Insert batch rows whose key is absent from the target; matched rows
     stay untouched (J1). Equality is not null-safe: a NULL key never
     matches and is inserted on every run; duplicates inside the batch are
@@ -72,10 +73,11 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
     Only the target's key column is read. When the batch key range is
     known it is pushed into the target scan as a range predicate, so
     Parquet min/max statistics skip files of older key ranges (the target
-    is written sorted by key within each file)."""
+    is written sorted by key within each file). ``target`` may pass an
+    already resolved read of the table (saves a schema-merge pass)."""
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
-    if table_exists(spark, target_path):
-        target = read_table(spark, target_path)
+    if target is not None or table_exists(spark, target_path):
+        target = target if target is not None else read_table(spark, target_path)
         batch = align_to_target(batch, target.schema)
         existing = target.select(F.col(f"`{key}`").alias("__k")).where(F.col("__k").isNotNull())
         if key_range is not None and key_range[0] is not None:

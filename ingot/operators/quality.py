@@ -17,24 +17,26 @@ from pyspark.sql import types as T
 from ingot.functions.scalars import divergence_pct, pct
 
 
-def key_metrics(df: DataFrame, key: str | Column, by: list[str] | None = None) -> DataFrame:
+def key_metrics(df: DataFrame, key: str | Column, by: list[str] | None = None,
+                with_range: bool = False) -> DataFrame:
     """Per group (or overall): total rows, null-key rows and their share
-    (4 places), keys occurring more than once (all nulls are one group),
-    distinct non-null keys and the non-null key range."""
+    (4 places), keys occurring more than once (all nulls are one group) and
+    distinct non-null keys; ``with_range`` adds the key range. Both levels
+    are hash aggregates on numbers; only the optional text min/max needs
+    a sort-based aggregate."""
     by = by or []
     k = F.col(key) if isinstance(key, str) else key
     per_key = df.groupBy(*by, k.alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
     total = F.sum("__n")
     nulls = F.coalesce(F.sum(F.when(F.col("__k").isNull(), F.col("__n"))), F.lit(0))
-    return per_key.groupBy(*by).agg(
-        total.cast("long").alias("total_rows"),
-        nulls.cast("long").alias("null_keys"),
-        pct(nulls, total).alias("pct_null_keys"),
-        F.count_if(F.col("__n") > 1).cast("long").alias("duplicate_key_groups"),
-        F.count("__k").cast("long").alias("distinct_keys"),
-        F.min("__k").alias("min_key"),
-        F.max("__k").alias("max_key"),
-    )
+    aggs = [total.cast("long").alias("total_rows"),
+            nulls.cast("long").alias("null_keys"),
+            pct(nulls, total).alias("pct_null_keys"),
+            F.count_if(F.col("__n") > 1).cast("long").alias("duplicate_key_groups"),
+            F.count("__k").cast("long").alias("distinct_keys")]
+    if with_range:
+        aggs += [F.min("__k").alias("min_key"), F.max("__k").alias("max_key")]
+    return per_key.groupBy(*by).agg(*aggs)
 
 
 @dataclass(frozen=True)
@@ -49,7 +51,7 @@ class BatchMetrics:
 
 def batch_metrics(df: DataFrame, key: str) -> BatchMetrics:
     """Driver-side scalars of :func:`key_metrics` for one batch."""
-    r = key_metrics(df, key).first()
+    r = key_metrics(df, key, with_range=True).first()
     if r is None:
         return BatchMetrics(0, 0, 0.0, 0, None, None)
     return BatchMetrics(r.total_rows or 0, r.null_keys or 0, float(r.pct_null_keys or 0.0),

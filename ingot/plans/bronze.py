@@ -48,12 +48,12 @@ class LoadResult:
     max_watermark_written: str | None = None
 
 
-def target_business_schema(spark: SparkSession, target_path: str) -> StructType | None:
+def target_business_schema(target: DataFrame | None) -> StructType | None:
     """The bronze table's document columns (lineage and rescue removed)."""
-    if not table_exists(spark, target_path):
+    if target is None:
         return None
     skip = set(LINEAGE_COLUMNS) | {RESCUE_COLUMN}
-    return StructType([f for f in read_table(spark, target_path).schema.fields if f.name not in skip])
+    return StructType([f for f in target.schema.fields if f.name not in skip])
 
 
 def evolve_schema(pinned: StructType | None, incoming: StructType | None) -> StructType | None:
@@ -79,7 +79,8 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     if not landing_paths:
         return LoadResult(0, 0, 0, 0.0)
     now = now or utc_now()
-    pinned = evolve_schema(target_business_schema(spark, target_path), schema)
+    target = read_table(spark, target_path) if table_exists(spark, target_path) else None
+    pinned = evolve_schema(target_business_schema(target), schema)
     raw = read_landing(spark, landing_paths, pinned)
     kwargs = {"source_path": source_label} if source_label else {}
     enriched = add_lineage(raw, id_field, run_id, load_type, now, **kwargs)
@@ -105,7 +106,7 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
     to_write = to_write.observe(obs, F.max(wm).alias("wm_written"))
     written = insert_only_merge(spark, to_write, target_path, "_source_id", (PARTITION_COLUMN,),
-                                key_range=(s.lo, s.hi))
+                                key_range=(s.lo, s.hi), target=target)
     wm_written = obs.get.get("wm_written") if written else None
     return LoadResult(total, written, int(s.dups), pct_null, nulls, quarantined, s.wm, wm_written)
 
@@ -179,25 +180,35 @@ Sources = Mapping[str, DataFrame | Callable[[], DataFrame]]
 
 
 def run_all(spark: SparkSession, cfg: RunConfig, sources: Sources, clock: Clock = utc_now,
-            run_ids: Mapping[str, str] | None = None) -> DataFrame:
-    """All configured collections in order (C4); one failure does not stop
-    the others. Returns this run's control rows."""
+            run_ids: Mapping[str, str] | None = None, parallelism: int = 1) -> DataFrame:
+    """All configured collections (C4); one failure does not stop the
+    others. Returns this run's control rows in configuration order.
+
+    ``parallelism`` > 1 submits that many collections at once from driver
+    threads; their Spark jobs then share the cluster (collections write
+    disjoint tables and separate control-log files, so they do not
+    interfere). 1 keeps the original one-after-another order."""
     cfg.validate()
     control = ControlLog(spark, cfg.control_path)
-    records = []
-    for coll in cfg.collections:
+
+    def one(coll: CollectionConfig) -> dict:
         try:
             src = sources[coll.name]
             src = src() if callable(src) else src
         except Exception as exc:
             now = clock()
-            records.append(dict(_ingestion_id=str(uuid.uuid4()), collection=coll.name, load_type=coll.mode,
-                                watermark_inicial=None, watermark_final=None, qtd_lida_origem=0,
-                                qtd_gravada_destino=0, start_time=now, end_time=now, duracao_seg=0.0,
-                                status="FAILED", mensagem_erro=str(exc)[:ERROR_MESSAGE_LIMIT]))
-            continue
-        rid = (run_ids or {}).get(coll.name)
-        records.append(process_collection(spark, cfg, coll, src, control, rid, clock))
+            return dict(_ingestion_id=str(uuid.uuid4()), collection=coll.name, load_type=coll.mode,
+                        watermark_inicial=None, watermark_final=None, qtd_lida_origem=0,
+                        qtd_gravada_destino=0, start_time=now, end_time=now, duracao_seg=0.0,
+                        status="FAILED", mensagem_erro=str(exc)[:ERROR_MESSAGE_LIMIT])
+        return process_collection(spark, cfg, coll, src, control, (run_ids or {}).get(coll.name), clock)
+
+    if parallelism > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            records = list(pool.map(one, cfg.collections))
+    else:
+        records = [one(c) for c in cfg.collections]
     from ingot.operators.control import CONTROL_COLUMNS, CONTROL_SCHEMA
     return spark.createDataFrame([tuple(r[c] for c in CONTROL_COLUMNS) for r in records], CONTROL_SCHEMA)
 

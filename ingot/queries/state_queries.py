@@ -228,6 +228,22 @@ def payload_rows(spark: SparkSession, sf: str) -> DataFrame:
     return read_payloads(spark, ws, "region_key int, name string").select("region_key", "name")
 
 
+# ------------------------------------------------------------ K2, S3, T4
+SAMPLE_SIZE = 100
+
+
+@register("sample_export", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT {SAMPLE_SIZE}""")
+def sample_export(spark: SparkSession, sf: str) -> DataFrame:
+    """First documents in key order exported one JSON file each, then read
+    back (K2); the limit is the feature (a sample)."""
+    from ingot.operators.landing import export_sample
+    ws = new_workspace(spark, "sample")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus").orderBy("o_orderkey")
+    export_sample(o, ws, SAMPLE_SIZE, one_file_per_doc=True)
+    return spark.read.schema("o_orderkey long, o_custkey long, o_orderstatus string").json(ws)
+
+
 # ------------------------------------------------------------ S9, K4, T3
 INVENTORY = ("region", "nation", "supplier", "customer", "part")
 
@@ -351,8 +367,8 @@ def control_run_rows(spark: SparkSession, sf: str) -> DataFrame:
     cfg = run_config(spark, "runs", colls)
     ev = table(spark, sf, "events")
     clock = ticking_clock()
-    r1 = run_all(spark, cfg, _type_sources(ev), clock).withColumn("run", F.lit(1))
-    r2 = run_all(spark, cfg, _type_sources(ev), clock).withColumn("run", F.lit(2))
+    r1 = run_all(spark, cfg, _type_sources(ev), clock, parallelism=len(EVENT_TYPES)).withColumn("run", F.lit(1))
+    r2 = run_all(spark, cfg, _type_sources(ev), clock, parallelism=len(EVENT_TYPES)).withColumn("run", F.lit(2))
     both = r1.unionByName(r2)
     return both.select("run", "collection", "load_type", "status", "qtd_lida_origem", "qtd_gravada_destino",
                        "watermark_inicial", "watermark_final")

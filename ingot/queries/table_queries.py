@@ -132,8 +132,7 @@ WITH k AS (SELECT l_returnflag, {_LINE_KEY_SQL} AS k FROM lineitem),
 SELECT l_returnflag, CAST(sum(n) AS BIGINT) AS total_rows,
        CAST(coalesce(sum(n) FILTER (WHERE k IS NULL), 0) AS BIGINT) AS null_keys,
        round(100.0 * coalesce(sum(n) FILTER (WHERE k IS NULL), 0) / sum(n), 4) AS pct_null_keys,
-       count(*) FILTER (WHERE n > 1) AS duplicate_key_groups, count(k) AS distinct_keys,
-       min(k) AS min_key, max(k) AS max_key
+       count(*) FILTER (WHERE n > 1) AS duplicate_key_groups, count(k) AS distinct_keys
 FROM g GROUP BY l_returnflag""")
 def key_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Null and duplicate keys on the composite line key; line 7 is given

@@ -117,3 +117,13 @@ def test_unknown_mode_rejected():
 def test_no_landing_paths_is_zero_and_table_untouched(spark, ws):
     res = landing_to_bronze(spark, [], "c", "_id", "r", "full", f"{ws}/bronze/c")
     assert (res.rows_read, res.rows_written) == (0, 0)
+
+
+def test_parallel_run_all_matches_sequential(spark, ws):
+    colls = tuple(CollectionConfig(n, "full", "_id") for n in ("a", "b", "c"))
+    src = _src(spark, _rows(12))
+    seq = run_all(spark, RunConfig(base_dir=f"{ws}/s", collections=colls), {n: src for n in "abc"}, clock())
+    par = run_all(spark, RunConfig(base_dir=f"{ws}/p", collections=colls), {n: src for n in "abc"}, clock(),
+                  parallelism=3)
+    pick = lambda df: [(r.collection, r.status, r.qtd_gravada_destino) for r in df.collect()]
+    assert pick(seq) == pick(par) == [(n, "SUCCESS", 12) for n in "abc"]

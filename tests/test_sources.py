@@ -45,3 +45,19 @@ def test_raw_documents_and_expand_drop_duplicate_id(spark):
     assert exp.columns.count("_id") == 1 and exp.first()["name"] == "a"
     missing = raw_documents(spark.createDataFrame([("x",)], "name string"), "_id").first()
     assert missing["_id"] == ""
+
+
+def test_catalog_listing_sorted(spark):
+    from ingot.sources.tables import list_catalog_tables
+    spark.range(1).createOrReplaceTempView("zz_inv")
+    spark.range(1).createOrReplaceTempView("aa_inv")
+    names = [r[0] for r in list_catalog_tables(spark).collect() if r[0].endswith("_inv")]
+    assert names == ["aa_inv", "zz_inv"]
+
+
+def test_sample_export_one_file_per_document(spark, ws):
+    from ingot.operators.landing import export_sample, landed_file_facts
+    export_sample(spark.range(0, 50).orderBy("id"), ws, 5, one_file_per_doc=True)
+    facts = landed_file_facts(spark, ws, "*.json")
+    assert facts.count() == 5
+    assert sorted(r[0] for r in spark.read.json(ws).collect()) == [0, 1, 2, 3, 4]
