@@ -36,7 +36,13 @@ def write_landing_pages(df: DataFrame, path: str, key: str | None, batch_size: i
     keep the scan's order and no shuffle happens."""
     norm = normalise_types(df)
     if ordered and key:
-        norm = norm.repartitionByRange(F.col(f"`{key}`")).sortWithinPartitions(key)
+        # the row hash breaks ties inside one key, so a key holding a large
+        # share of the rows is split over several ranges (and writer tasks)
+        # while files stay in key order; it is deterministic, so a re-run
+        # task lands the same rows
+        tie = F.xxhash64(*[F.col(f"`{c}`") for c in norm.columns])
+        norm = norm.withColumn("__tie", tie).repartitionByRange(F.col(f"`{key}`"), F.col("__tie")) \
+            .sortWithinPartitions(key, "__tie").drop("__tie")
     obs = Observation(f"landed_{collection or 'docs'}")
     norm = norm.observe(obs, F.count(F.lit(1)).alias("docs"))
     (norm.write.mode("overwrite").option("maxRecordsPerFile", batch_size)

@@ -82,7 +82,13 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
         existing = target.select(F.col(f"`{key}`").alias("__k")).where(F.col("__k").isNotNull())
         if key_range is not None and key_range[0] is not None:
             existing = existing.where(F.col("__k").between(F.lit(key_range[0]), F.lit(key_range[1])))
-        new_rows = batch.join(existing, batch[key] == existing["__k"], "left_anti")
+        # a key repeated in the target is reduced map-side before the shuffle
+        existing = existing.distinct()
+        keyed = batch.where(F.col(f"`{key}`").isNotNull())
+        # NULL keys never match: they skip the join instead of all hashing
+        # into one shuffle partition
+        new_rows = keyed.join(existing, keyed[key] == existing["__k"], "left_anti") \
+            .unionByName(batch.where(F.col(f"`{key}`").isNull()))
     else:
         new_rows = batch
     if sort_within:
