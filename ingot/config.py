@@ -51,6 +51,10 @@ class RunConfig:
     # PARTIAL on null/duplicate keys blocks the watermark); "default"
     # takes the watermark over rows read and quarantines bad keys.
     watermark_rule: str = "default"
+    # landing pages in key order (one range shuffle) as the original paging
+    # did; False lands in scan order without a shuffle
+    ordered_pages: bool = True
+    landing_compression: str = "none"
     extra: dict = field(default_factory=dict)
 
     @property

@@ -9,6 +9,7 @@ writes its own files, so landing is as parallel as the cluster.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,12 +29,14 @@ class ExtractResult:
 
 
 def write_landing_pages(df: DataFrame, path: str, key: str | None, batch_size: int = DEFAULT_BATCH_SIZE,
-                        ordered: bool = True, collection: str = "") -> ExtractResult:
+                        ordered: bool = True, collection: str = "", compression: str = "none") -> ExtractResult:
     """Land documents as JSON lines (K1): values normalised to text as the
     source encoder does (X9), nulls kept, non-ASCII kept, at most
     ``batch_size`` documents per file. ``ordered`` range-partitions on the
     key and sorts inside each range (T2) — one shuffle; without it files
-    keep the scan's order and no shuffle happens."""
+    keep the scan's order and no shuffle happens. ``compression`` (e.g.
+    ``gzip``) shrinks the landing; pages are small, so files need not be
+    splittable."""
     norm = normalise_types(df)
     if ordered and key:
         # the row hash breaks ties inside one key, so a key holding a large
@@ -43,12 +46,12 @@ def write_landing_pages(df: DataFrame, path: str, key: str | None, batch_size: i
         tie = F.xxhash64(*[F.col(f"`{c}`") for c in norm.columns])
         norm = norm.withColumn("__tie", tie).repartitionByRange(F.col(f"`{key}`"), F.col("__tie")) \
             .sortWithinPartitions(key, "__tie").drop("__tie")
-    obs = Observation(f"landed_{collection or 'docs'}")
+    obs = Observation(f"landed_{collection or 'docs'}_{uuid.uuid4().hex[:8]}")
     norm = norm.observe(obs, F.count(F.lit(1)).alias("docs"))
     (norm.write.mode("overwrite").option("maxRecordsPerFile", batch_size)
-     .option("ignoreNullFields", "false").json(path))
+     .option("ignoreNullFields", "false").option("compression", compression).json(path))
     docs = int(obs.get.get("docs", 0) or 0)
-    pages = sum(1 for n, _, d, _ in list_dir(norm.sparkSession, path) if not d and n.endswith(".json"))
+    pages = sum(1 for n, _, d, _ in list_dir(norm.sparkSession, path) if not d and ".json" in n)
     return ExtractResult(collection, path, docs, pages)
 
 

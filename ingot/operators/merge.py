@@ -33,6 +33,27 @@ def table_exists(spark: SparkSession, path: str) -> bool:
                for n, _, _, _ in list_dir(spark, path))
 
 
+def ensure_table(spark: SparkSession, name: str, path: str, schema: T.StructType,
+                 partition_by: tuple[str, ...] = (PARTITION_COLUMN,), fmt: str = "parquet") -> bool:
+    """Bootstrap an empty catalogue table over ``path`` with the batch's
+    schema, partitioned, only if absent (K5); partitions appended to the
+    path later are picked up by :func:`refresh_table`. Returns True when
+    created."""
+    if spark.catalog.tableExists(name):
+        return False
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{part} LOCATION '{path}'")
+    return True
+
+
+def refresh_table(spark: SparkSession, name: str) -> None:
+    """Register partition folders written through the path and drop cached
+    file listings, so the catalogue table sees every append."""
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def align_to_target(batch: DataFrame, target_schema: T.StructType) -> DataFrame:
     """Cast batch columns whose type differs from the target's (``try_cast``),
     so appends stay readable; a value that does not convert is written to

@@ -134,7 +134,8 @@ def process_collection(spark: SparkSession, cfg: RunConfig, coll: CollectionConf
         wm_final = wm_start
         scan = scan_collection(source, cond, coll.exclude)
         landing = f"{cfg.landing_dir}/{coll.name}/{run_id}"
-        ext = write_landing_pages(scan, landing, coll.id_field, cfg.batch_size, ordered=True, collection=coll.name)
+        ext = write_landing_pages(scan, landing, coll.id_field, cfg.batch_size, ordered=cfg.ordered_pages,
+                                  collection=coll.name, compression=cfg.landing_compression)
         read_n = ext.docs
         reference = cfg.watermark_rule == "reference"
         load = landing_to_bronze(

@@ -84,6 +84,12 @@ def deduplicate(df: DataFrame, keys: list[str] | None, order_column: str = AUDIT
     return latest_per_key(df, keys, [])
 
 
+def summary_report(summary: DataFrame) -> DataFrame:
+    """Summary / manifest rows for display: by status, then table."""
+    table_col = "table_name" if "table_name" in summary.columns else "source_table"
+    return summary.orderBy("status", table_col)
+
+
 def consolidate(spark: SparkSession, base: str, tables: list[str], start: _dt.date, end: _dt.date,
                 bronze_base: str, primary_keys: Mapping[str, list[str]] | None = None) -> DataFrame:
     """Landing → bronze consolidation over a date range (C7): statuses OK,

@@ -74,3 +74,15 @@ def test_row_hash_distinguishes_null_positions(spark):
     df = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
     h = [r[0] for r in df.select(row_hash(["x", "y"])).collect()]
     assert h[0] != h[1]
+
+
+def test_ensure_table_bootstraps_once(spark, ws):
+    from pyspark.sql.types import StructType
+    from ingot.operators.merge import ensure_table, refresh_table
+    schema = StructType.fromDDL("_source_id string, v int, _ingestion_date date")
+    assert ensure_table(spark, "bronze_boot", f"{ws}/boot", schema) is True
+    assert ensure_table(spark, "bronze_boot", f"{ws}/boot", schema) is False
+    assert spark.table("bronze_boot").count() == 0
+    insert_only_merge(spark, _batch(spark, [("1", 1)]), f"{ws}/boot")
+    refresh_table(spark, "bronze_boot")
+    assert spark.table("bronze_boot").count() == 1

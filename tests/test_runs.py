@@ -127,3 +127,20 @@ def test_parallel_run_all_matches_sequential(spark, ws):
                   parallelism=3)
     pick = lambda df: [(r.collection, r.status, r.qtd_gravada_destino) for r in df.collect()]
     assert pick(seq) == pick(par) == [(n, "SUCCESS", 12) for n in "abc"]
+
+
+def test_compressed_unordered_landing_loads_the_same(spark, ws):
+    c = CollectionConfig("movies", "full", "_id")
+    cfg = RunConfig(base_dir=ws, collections=(c,), batch_size=5, ordered_pages=False, landing_compression="gzip")
+    rec = process_collection(spark, cfg, c, _src(spark, _rows(17)), ControlLog(spark, cfg.control_path),
+                             run_id="gz", clock=clock())
+    assert (rec["qtd_lida_origem"], rec["qtd_gravada_destino"]) == (17, 17)
+    import os
+    names = os.listdir(f"{cfg.landing_dir}/movies/gz".replace("file:", ""))
+    assert any(n.endswith(".json.gz") for n in names)
+
+
+def test_summary_report_sorted(spark):
+    from ingot.plans.relational import summary_report
+    df = spark.createDataFrame([("b", "OK"), ("a", "SKIP"), ("a", "OK")], "table_name string, status string")
+    assert [tuple(r) for r in summary_report(df).collect()] == [("a", "OK"), ("b", "OK"), ("a", "SKIP")]
