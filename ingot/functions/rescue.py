@@ -4,65 +4,85 @@ For each JSON line the rescue column is a JSON object holding
   * keys that the schema does not know (at any struct level), and
   * keys whose typed value came out NULL although the raw value was not
     JSON null (type mismatch), addressed by their dotted path;
-a line that is not JSON at all is kept whole under ``_corrupt_record``.
-A line that parses fully gets NULL. Everything is a JVM expression: the
-line is parsed once to VARIANT and once to the typed struct.
+a line that is not a JSON object at all is kept whole under
+``_corrupt_record``. A line that parses fully gets NULL.
+
+Each line is parsed once to the typed struct and once to a
+``map<string,string>`` of raw values; nested structs re-parse only their
+own sub-object text. The two parses sit behind a generator (``inline``)
+so the optimizer cannot split the typed parse into one pruned parse per
+column, which would parse every line once per field.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ingot.functions.json import json_path
-
 RESCUE_COLUMN = "_rescued_data"
 CORRUPT_KEY = "_corrupt_record"
-_EMPTY = "map<string,string>"
+_MAP = "map<string,string>"
 
 
 def _empty_map() -> Column:
-    return F.create_map().cast(_EMPTY)
-
-
-def _unknown_keys(raw_obj_text: Column, known: list[str], prefix: str) -> Column:
-    m = F.from_json(raw_obj_text, _EMPTY)
-    known_arr = F.array(*[F.lit(k) for k in known]) if known else F.array().cast("array<string>")
-    filtered = F.map_filter(m, lambda k, v: ~F.array_contains(known_arr, k))
-    if prefix:
-        filtered = F.transform_keys(filtered, lambda k, v: F.concat(F.lit(prefix), k))
-    return F.coalesce(filtered, _empty_map())
+    return F.create_map().cast(_MAP)
 
 
-def _collect(schema: StructType, typed: Column, v: Column, path: list[str], parts: list[Column]) -> None:
-    raw_here = F.try_variant_get(v, json_path(path), "string") if path else None
-    obj_text = raw_here if path else F.try_variant_get(v, "$", "string")
-    prefix = ".".join(path) + "." if path else ""
-    parts.append(_unknown_keys(obj_text, [f.name for f in schema.fields], prefix))
+def _collect(schema: StructType, typed: Column, raw_map: Column, path: list[str],
+             parts: list[Column], checks: list[Column]) -> None:
+    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    checks.append(F.coalesce(F.exists(F.map_keys(raw_map), lambda k: ~F.array_contains(known, k)), F.lit(False)))
+    unknown = F.map_filter(raw_map, lambda k, v: ~F.array_contains(known, k))
+    if path:
+        prefix = ".".join(path) + "."
+        unknown = F.transform_keys(unknown, lambda k, v: F.concat(F.lit(prefix), k))
+    parts.append(F.coalesce(unknown, _empty_map()))
     for f in schema.fields:
         p = path + [f.name]
         t = typed.getField(f.name)
-        raw = F.try_variant_get(v, json_path(p), "string")
-        parts.append(F.when(t.isNull() & raw.isNotNull(),
-                            F.create_map(F.lit(".".join(p)), raw)).otherwise(_empty_map()))
+        raw = F.try_element_at(raw_map, F.lit(f.name))
+        lost = t.isNull() & raw.isNotNull()
+        checks.append(lost)
+        parts.append(F.when(lost, F.create_map(F.lit(".".join(p)), raw)).otherwise(_empty_map()))
         if isinstance(f.dataType, StructType):
-            _collect(f.dataType, t, v, p, parts)
+            _collect(f.dataType, t, F.from_json(raw, _MAP), p, parts, checks)
 
 
-def rescue_column(value: Column, schema: StructType) -> Column:
-    """The ``_rescued_data`` expression for a JSON text column."""
-    v = F.try_parse_json(value)
-    typed = F.from_json(value, schema)
+def rescue_expression(typed: Column, raw_map: Column, text: Column, schema: StructType) -> Column:
+    """``_rescued_data`` from an already parsed typed struct, raw-value map
+    and the original text. A cheap per-field test runs first; the map of
+    rescued values is only built for rows that fail it."""
     parts: list[Column] = []
-    _collect(schema, typed, v, [], parts)
+    checks: list[Column] = []
+    _collect(schema, typed, raw_map, [], parts, checks)
     merged = parts[0] if len(parts) == 1 else F.map_concat(*parts)
-    rescued = F.when(F.size(merged) > 0, F.to_json(merged))
-    return (F.when(value.isNull(), F.lit(None).cast("string"))
-            .when(v.isNull(), F.to_json(F.create_map(F.lit(CORRUPT_KEY), value)))
-            .otherwise(rescued))
+    any_issue = checks[0]
+    for c in checks[1:]:
+        any_issue = any_issue | c
+    return (F.when(text.isNull(), F.lit(None).cast("string"))
+            .when(raw_map.isNull(), F.to_json(F.create_map(F.lit(CORRUPT_KEY), text)))
+            .when(any_issue, F.to_json(merged)))
+
 
+def parse_json_lines(text: DataFrame, schema: StructType, column: str = "value", rescue: bool = True,
+                     keep: list[str] | None = None) -> DataFrame:
+    """Typed columns of a JSON-text column (plus ``_rescued_data``), each
+    line parsed once per parse kind. ``keep`` carries other columns of
+    ``text`` through."""
+    keep = keep or []
+    items = [F.from_json(F.col(column), schema).alias("__t")]
+    if rescue:
+        items += [F.from_json(F.col(column), _MAP).alias("__m"), F.col(column).alias("__v")]
+    items += [F.col(f"`{c}`").alias(c) for c in keep]
+    parsed = text.select(F.inline(F.array(F.struct(*items))))
+    cols = [F.col(f"`{c}`") for c in keep] + [F.col("__t").getField(f.name).alias(f.name) for f in schema.fields]
+    if rescue:
+        cols.append(rescue_expression(F.col("__t"), F.col("__m"), F.col("__v"), schema).alias(RESCUE_COLUMN))
+    return parsed.select(*cols)
 
-def typed_with_rescue(value: Column, schema: StructType) -> tuple[Column, Column]:
-    """(typed struct, rescue text) for one JSON text column."""
-    return F.from_json(value, schema), rescue_column(value, schema)
+
+def rescue_column(value: Column, schema: StructType) -> Column:
+    """Single-expression form (parses in place; prefer
+    :func:`parse_json_lines` for whole frames)."""
+    return rescue_expression(F.from_json(value, schema), F.from_json(value, _MAP), value, schema)

@@ -33,7 +33,8 @@ from ingot.operators.lineage import LINEAGE_COLUMNS, add_lineage, utc_now
 from ingot.operators.merge import PARTITION_COLUMN, insert_only_merge, read_table, table_exists
 from ingot.operators.quality import reconcile_status
 from ingot.sources.documents import scan_collection
-from ingot.sources.landing import read_landing
+from ingot.functions.json import infer_json_schema
+from ingot.sources.landing import read_landing, read_landing_fields, read_landing_text
 
 
 @dataclass(frozen=True)
@@ -81,13 +82,21 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     now = now or utc_now()
     target = read_table(spark, target_path) if table_exists(spark, target_path) else None
     pinned = evolve_schema(target_business_schema(target), schema)
+    if pinned is None:
+        pinned = infer_json_schema(spark, read_landing_text(spark, landing_paths))
     raw = read_landing(spark, landing_paths, pinned)
     kwargs = {"source_path": source_label} if source_label else {}
     enriched = add_lineage(raw, id_field, run_id, load_type, now, **kwargs)
 
     wm = (F.col(f"`{watermark_field}`").cast("string") if watermark_field and watermark_field in raw.columns
           else F.lit(None).cast("string"))
-    per_key = enriched.groupBy("_source_id").agg(F.count(F.lit(1)).alias("__n"), F.max(wm).alias("__wm"))
+    # metrics pass: the key and watermark fields only, no rescue
+    light = read_landing_fields(spark, landing_paths, pinned, [id_field] + ([watermark_field] if watermark_field else []))
+    light_key = (F.col(f"`{id_field}`").cast("string") if id_field in light.columns
+                 else F.lit(None).cast("string"))
+    per_key = light.groupBy(light_key.alias("_source_id")).agg(F.count(F.lit(1)).alias("__n"),
+                                                              F.max(wm if watermark_field in light.columns
+                                                                    else F.lit(None).cast("string")).alias("__wm"))
     s = per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total"),
         F.coalesce(F.sum(F.when(F.col("_source_id").isNull(), F.col("__n"))), F.lit(0)).cast("long").alias("nulls"),

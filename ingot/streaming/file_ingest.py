@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ingot.functions.rescue import RESCUE_COLUMN, rescue_column
+from ingot.functions.rescue import parse_json_lines
 from ingot.operators.lineage import add_lineage, utc_now
 from ingot.operators.merge import PARTITION_COLUMN, insert_only_merge
 
@@ -28,9 +28,7 @@ def parsed_stream(spark: SparkSession, landing_dir: str, schema: StructType,
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     text = r.load(landing_dir).where(F.length(F.trim("value")) > 0)
-    typed = F.from_json(F.col("value"), schema)
-    return text.select(*[typed.getField(f.name).alias(f.name) for f in schema.fields],
-                       rescue_column(F.col("value"), schema).alias(RESCUE_COLUMN))
+    return parse_json_lines(text, schema, "value", rescue=True)
 
 
 def ingest_available(spark: SparkSession, landing_dir: str, schema: StructType, target_path: str,
