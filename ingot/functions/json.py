@@ -58,9 +58,12 @@ def expand_json(df: DataFrame, column: str, schema: StructType | str, id_col: st
     """Typed struct from a JSON text column, then its fields as columns
     (P5). The document's own id field is dropped when it repeats the
     outer id column, so the result has one id column."""
-    parsed = df.withColumn("__doc", F.from_json(F.col(column), schema))
-    st = parsed.schema["__doc"].dataType
     keep = [c for c in df.columns if c != column]
+    # parsed once per row behind a generator: selecting doc fields straight
+    # off from_json would be rewritten into one pruned parse per field
+    parsed = df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in keep],
+                                                 F.from_json(F.col(column), schema).alias("__doc")))))
+    st = parsed.schema["__doc"].dataType
     inner = []
     for f in st.fields:
         if drop_duplicate_id and id_col and f.name == id_col and id_col in keep:

@@ -75,7 +75,9 @@ def watermark_next(spark: SparkSession, sf: str) -> DataFrame:
     return ev.groupBy("event_type").agg(
         F.lit(WM_BOUND).alias("watermark_inicial"),
         F.count_if(after).cast("long").alias("rows_read"),
-        F.coalesce(F.max(F.when(after, iso_text(F.col("ts")))), F.lit(WM_BOUND)).alias("watermark_final"))
+        F.max(F.when(after, F.col("ts"))).alias("__max_ts")) \
+        .select("event_type", "watermark_inicial", "rows_read",
+                F.coalesce(iso_text(F.col("__max_ts")), F.lit(WM_BOUND)).alias("watermark_final"))
 
 
 # ---------------------------------------------------------------- A11, S5
