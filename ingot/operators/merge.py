@@ -147,14 +147,22 @@ def delete_keys(spark: SparkSession, table_path: str, keys: DataFrame, key: str
     kept.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
     for p in parts:
         name = f"{partition_col}={p}"
-        dst = jvm.org.apache.hadoop.fs.Path(f"{table_path}/{name}")
-        src = jvm.org.apache.hadoop.fs.Path(f"{staging}/{name}")
+        dst = Path(f"{table_path}/{name}")
+        src = Path(f"{staging}/{name}")
+        backup = Path(f"{table_path}/_replaced_{uuid.uuid4().hex[:8]}_{name}")
         fs = dst.getFileSystem(conf)
-        fs.delete(dst, True)
+        # old folder moved aside (hidden from readers) before the new one is
+        # moved in, and removed only after: a crash in between leaves the
+        # old rows recoverable instead of lost
+        fs.rename(dst, backup)
         if fs.exists(src):
             fs.rename(src, dst)
+        fs.delete(backup, True)
+    fs = Path(staging).getFileSystem(conf)
+    fs.delete(Path(staging), True)
     return len(parts)
 
 

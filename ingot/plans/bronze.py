@@ -15,6 +15,7 @@ the driver; nothing row-sized does.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
@@ -37,6 +38,9 @@ from ingot.functions.json import infer_json_schema
 from ingot.sources.landing import read_landing, read_landing_fields, read_landing_text
 
 
+logger = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class LoadResult:
     rows_read: int
@@ -173,6 +177,7 @@ def process_collection(spark: SparkSession, cfg: RunConfig, coll: CollectionConf
             wm_final = new_wm if new_wm is not None else wm_start
     except Exception as exc:  # isolation boundary of one collection
         status, message = "FAILED", str(exc)[:ERROR_MESSAGE_LIMIT]
+        logger.error("collection %s failed: %s", coll.name, message)
     end = clock()
     record = dict(_ingestion_id=run_id, collection=coll.name, load_type=coll.mode,
                   watermark_inicial=wm_start, watermark_final=wm_final,
@@ -181,8 +186,8 @@ def process_collection(spark: SparkSession, cfg: RunConfig, coll: CollectionConf
                   status=status, mensagem_erro=message)
     try:
         control.log([record])
-    except Exception:
-        pass
+    except Exception as exc:  # a log failure must not stop the next collections
+        logger.error("control log write failed for %s: %s", coll.name, exc)
     return record
 
 

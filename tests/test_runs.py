@@ -5,6 +5,7 @@ import datetime as dt
 import itertools
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ingot.config import CollectionConfig, RunConfig
 from ingot.operators.control import ControlLog
@@ -144,3 +145,29 @@ def test_summary_report_sorted(spark):
     from ingot.plans.relational import summary_report
     df = spark.createDataFrame([("b", "OK"), ("a", "SKIP"), ("a", "OK")], "table_name string, status string")
     assert [tuple(r) for r in summary_report(df).collect()] == [("a", "OK"), ("b", "OK"), ("a", "SKIP")]
+
+
+def test_load_config_projection_becomes_exclusion():
+    from ingot.config import load_config
+    cfg = load_config('''{"batch_size": 500, "reconciliation_threshold_pct_default": 1.0,
+      "collections": [{"name": "users", "mode": "full", "projection": {"password": 0},
+                       "reconciliation_threshold_pct": 0.0},
+                      {"name": "movies", "mode": "incremental", "watermark_field": "lastupdated",
+                       "watermark_type": "string"}]}''', base_dir="/x")
+    users, movies = cfg.collections
+    assert users.exclude == ("password",) and cfg.threshold_for(users) == 0.0
+    assert cfg.threshold_for(movies) == 1.0 and cfg.batch_size == 500
+
+
+def test_stream_second_run_sees_only_new_files_third_sees_none(spark, ws):
+    from ingot.streaming.file_ingest import ingest_available
+    from conftest import write_lines
+    schema = StructType.fromDDL("_id string, v int")
+    write_lines(f"{ws}/landing", ['{"_id":"1","v":1}', '{"_id":"2","v":2}'], "a.jsonl")
+    args = (spark, f"{ws}/landing", schema, f"{ws}/bronze", f"{ws}/ckpt", "_id")
+    assert ingest_available(*args) == 2
+    write_lines(f"{ws}/landing", ['{"_id":"2","v":20}', '{"_id":"3","v":"bad"}'], "b.jsonl")
+    assert ingest_available(*args) == 1
+    assert ingest_available(*args) == 0
+    rows = {r._id: r for r in read_table(spark, f"{ws}/bronze").collect()}
+    assert rows["2"].v == 2 and rows["3"].v is None and '"v":"bad"' in rows["3"]._rescued_data
