@@ -13,11 +13,13 @@ from dataclasses import dataclass, field
 DEFAULT_WATERMARK_START = "1970-01-01T00:00:00"
 DEFAULT_BATCH_SIZE = 2000
 DEFAULT_THRESHOLD_PCT = 1.0
-SOURCE_PATH_LABEL = "mongodb_professor"
 ERROR_MESSAGE_LIMIT = 1000
 MODES = ("full", "incremental")
 WATERMARK_TYPES = (None, "string", "date")
 
+# Default ``_source_path`` lineage label (configurable per run).
+SOURCE_PATH_LABEL = "document_source"
+
 
 @dataclass(frozen=True)
 class CollectionConfig:

@@ -45,7 +45,7 @@ def bronze_insert_only_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bronze_events_sql() -> str:
     cols = f"event_id, {iso_sql('ts')} AS ts, user_id, event_type"
     tail = ("props, CAST(event_id AS VARCHAR) AS _source_id, 'full' AS _load_type, "
-            "'mongodb_professor' AS _source_path, '2024-02-01' AS _ingestion_date")
+            "'document_source' AS _source_path, '2024-02-01' AS _ingestion_date")
     return f"""
 SELECT {cols}, value, {tail} FROM events WHERE ts < TIMESTAMP '{OVERLAP_END}'
 UNION ALL
