@@ -158,7 +158,7 @@ WITH f AS (
          count(*) FILTER (WHERE o_totalprice >= {LANDED_MIN_PRICE}) AS landed,
          count(*) FILTER (WHERE o_totalprice > {NULL_KEY_PRICE}) AS null_keys,
          CAST(0 AS BIGINT) AS duplicate_key_groups,
-         CASE o_orderpriority WHEN '1-URGENT' THEN 0.0 WHEN '2-HIGH' THEN 0.5 ELSE 1.0 END AS threshold_pct
+         CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 0.0 WHEN '2-HIGH' THEN 0.5 ELSE 1.0 END AS DOUBLE) AS threshold_pct
   FROM orders GROUP BY o_orderpriority),
 d AS (SELECT *, round(100.0 * null_keys / extracted, 4) AS pct_null_keys,
              CASE WHEN extracted = 0 THEN 0.0 ELSE abs(extracted - landed) / extracted * 100.0 END AS div
@@ -260,7 +260,7 @@ QUARANTINE_AT = "2024-02-01T00:00:00.000000"
 WITH t AS (SELECT p_partkey, CASE WHEN p_size <= 5 THEN NULL
                                   WHEN p_size <= 10 THEN []::VARCHAR[]
                                   ELSE string_split(p_name, ' ') END AS tokens FROM part)
-SELECT p_partkey, len(tokens) AS n_tokens, 'source://part' AS origem,
+SELECT p_partkey, CAST(len(tokens) AS INTEGER) AS n_tokens, 'source://part' AS origem,
        CASE WHEN tokens IS NULL OR len(tokens) = 0 THEN '{QUARANTINE_AT}' END AS quarentena_em,
        CASE WHEN tokens IS NULL OR len(tokens) = 0 THEN 'tokens not informed' END AS motivo
 FROM t""")
