@@ -379,8 +379,8 @@ DELIVERY_BOUNDS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 
 
 @register("accumulated_reconcile", """
-SELECT 'events' AS collection, 3 AS runs, count(*) AS total_read, count(*) AS total_written,
-       count(*) AS bronze_rows, 0 AS difference FROM events""")
+SELECT 'events' AS collection, CAST(3 AS BIGINT) AS runs, count(*) AS total_read, count(*) AS total_written,
+       count(*) AS bronze_rows, CAST(0 AS BIGINT) AS difference FROM events""")
 def accumulated_reconcile_q(spark: SparkSession, sf: str) -> DataFrame:
     """Three deliveries of events; the accumulated control figures are
     checked against the bronze table (M6)."""
@@ -400,7 +400,7 @@ def accumulated_reconcile_q(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------ C9, K10, K11
 @register("replay_from_watermark", f"""
-SELECT event_id, {iso_sql('ts')} AS ts, 1 AS copies FROM events""")
+SELECT event_id, {iso_sql('ts')} AS ts, CAST(1 AS BIGINT) AS copies FROM events""")
 def replay_from_watermark_q(spark: SparkSession, sf: str) -> DataFrame:
     """Incremental load, then the newest row is deleted from bronze and the
     watermark moved back before it; the re-run brings exactly that row

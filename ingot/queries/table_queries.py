@@ -117,7 +117,7 @@ def landing_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P1, X6
 @register("exclude_projection", """
-SELECT vec_id, label, len(embedding) AS embedding_len FROM embeddings""")
+SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS embedding_len FROM embeddings""")
 def exclude_projection(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings")
     return exclude_fields(e.withColumn("embedding_len", F.size("embedding")), ["embedding"])
