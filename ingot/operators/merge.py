@@ -9,6 +9,7 @@ Single writer per table is assumed (documented limit).
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -20,8 +21,57 @@ from ingot.session import list_dir, path_exists
 PARTITION_COLUMN = "_ingestion_date"
 
 
+SCHEMA_FILE = "_schema.json"
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The table schema kept beside the data (``_schema.json``), if any."""
+    p, fs = _fs_path(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        text = "".join(iter(reader.readLine, None))
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Write the table schema beside the data. Written before the data it
+    describes, so it is always a superset of the columns on disk; the
+    leading underscore keeps it out of Spark's file listing."""
+    p, fs = _fs_path(spark, f"{path}/{SCHEMA_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(schema.json().encode("utf-8")))
+    finally:
+        out.close()
+
+
+def union_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Old columns keep their place and type; new columns are appended."""
+    if old is None:
+        return new
+    names = {f.name for f in old.fields}
+    return T.StructType(list(old.fields) + [f for f in new.fields if f.name not in names])
+
+
 def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    """A path table; schema evolution across appends is resolved at read."""
+    """A path table. With a stored schema no footer is read to plan the
+    scan; otherwise schema evolution across appends is resolved by
+    Parquet schema merging (one job over all footers)."""
+    schema = stored_schema(spark, path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
@@ -114,6 +164,10 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
         new_rows = batch
     if sort_within:
         new_rows = new_rows.sortWithinPartitions(*partition_by, key)
+    data_cols = [f for f in new_rows.schema.fields if f.name not in partition_by]
+    part_cols = [new_rows.schema[c] for c in partition_by]
+    store_schema(spark, target_path, union_schema(target.schema if target is not None else None,
+                                                  T.StructType(data_cols + part_cols)))
     new_rows = new_rows.observe(obs, F.count(F.lit(1)).alias("rows"))
     (new_rows.write.mode("append").option("mergeSchema", "true")
      .partitionBy(*partition_by).parquet(target_path))

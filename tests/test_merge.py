@@ -86,3 +86,14 @@ def test_ensure_table_bootstraps_once(spark, ws):
     insert_only_merge(spark, _batch(spark, [("1", 1)]), f"{ws}/boot")
     refresh_table(spark, "bronze_boot")
     assert spark.table("bronze_boot").count() == 1
+
+
+def test_stored_schema_tracks_evolution(spark, ws):
+    from ingot.operators.merge import stored_schema
+    t = f"{ws}/t"
+    insert_only_merge(spark, _batch(spark, [("1", 1)]), t)
+    assert "extra" not in stored_schema(spark, t).fieldNames()
+    insert_only_merge(spark, _batch(spark, [("2", 2, "e")], "r2", "_id string, v int, extra string"), t)
+    schema = stored_schema(spark, t)
+    assert schema.fieldNames()[:2] == ["_id", "v"] and "extra" in schema.fieldNames()
+    assert read_table(spark, t).where(F.col("extra") == "e").count() == 1
