@@ -131,10 +131,44 @@ def align_to_target(batch: DataFrame, target_schema: T.StructType) -> DataFrame:
     return out.withColumns(casts)
 
 
+MAX_PRUNE_BUCKETS = 1 << 21        # bound of the broadcast bucket set (≤ 2M ints)
+PRUNE_MIN_TARGET_BYTES = 256 << 20  # below this the target key column is simply shuffled
+
+
+def key_bucket(c: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(buckets))
+
+
+def prune_by_batch_buckets(existing: DataFrame, batch_keys: DataFrame, expected_keys: int,
+                           key_col: str = "__k") -> DataFrame | None:
+    """Keep only target keys whose hash bucket occurs among the batch keys
+    (a one-hash Bloom filter). The bucket set has at most
+    ``MAX_PRUNE_BUCKETS`` rows, so its broadcast is bounded whatever the
+    data size; with 8 buckets per batch key about 1 - e^(-1/8) ≈ 12 % of
+    unrelated target keys survive, so the shuffle of the anti join scales
+    with the batch, not with the table. None when the batch is too large
+    for that ratio (the full key shuffle is then proportionate anyway)."""
+    if expected_keys <= 0 or expected_keys * 8 > MAX_PRUNE_BUCKETS:
+        return None
+    buckets = max(1024, 1 << (expected_keys * 8 - 1).bit_length())
+    hit = batch_keys.select(key_bucket(F.col(batch_keys.columns[0]), buckets).alias("__b")).distinct()
+    return existing.join(F.broadcast(hit), key_bucket(F.col(key_col), buckets) == F.col("__b"), "left_semi")
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (from file sizes; no job)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return 0
+
+
 def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, key: str = "_source_id",
                       partition_by: tuple[str, ...] = (PARTITION_COLUMN,),
                       key_range: tuple | None = None, sort_within: bool = True,
-                      target: DataFrame | None = None) -> int:
+                      target: DataFrame | None = None, batch_keys: DataFrame | None = None,
+                      expected_keys: int | None = None,
+                      prune_min_target_bytes: int = PRUNE_MIN_TARGET_BYTES) -> int:
     """Insert batch rows whose key is absent from the target; matched rows
     stay untouched (J1). Equality is not null-safe: a NULL key never
     matches and is inserted on every run; duplicates inside the batch are
@@ -145,7 +179,12 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
     known it is pushed into the target scan as a range predicate, so
     Parquet min/max statistics skip files of older key ranges (the target
     is written sorted by key within each file). ``target`` may pass an
-    already resolved read of the table (saves a schema-merge pass)."""
+    already resolved read of the table (saves a schema-merge pass).
+
+    With ``expected_keys`` (the batch's distinct-key bound) and a target
+    key column larger than ``prune_min_target_bytes``, the target keys are
+    first cut to the hash buckets of ``batch_keys`` (default: the batch's
+    key column), see :func:`prune_by_batch_buckets`."""
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
     if target is not None or table_exists(spark, target_path):
         target = target if target is not None else read_table(spark, target_path)
@@ -153,6 +192,11 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
         existing = target.select(F.col(f"`{key}`").alias("__k")).where(F.col("__k").isNotNull())
         if key_range is not None and key_range[0] is not None:
             existing = existing.where(F.col("__k").between(F.lit(key_range[0]), F.lit(key_range[1])))
+        if expected_keys is not None and _estimated_bytes(existing) >= prune_min_target_bytes:
+            keys_src = batch_keys if batch_keys is not None else batch.select(F.col(f"`{key}`"))
+            pruned = prune_by_batch_buckets(existing, keys_src.where(F.col(keys_src.columns[0]).isNotNull()),
+                                            expected_keys)
+            existing = pruned if pruned is not None else existing
         # a key repeated in the target is reduced map-side before the shuffle
         existing = existing.distinct()
         keyed = batch.where(F.col(f"`{key}`").isNotNull())

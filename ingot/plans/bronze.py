@@ -76,13 +76,14 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
                       id_field: str, run_id: str, load_type: str, target_path: str,
                       now: _dt.datetime | None = None, schema: StructType | None = None,
                       watermark_field: str | None = None, quarantine_path: str | None = None,
-                      source_label: str | None = None) -> LoadResult:
+                      source_label: str | None = None, merge_options: dict | None = None) -> LoadResult:
     """Load one run's landing files into the bronze table (C1). No paths →
     zero result and the table is untouched. With ``quarantine_path`` rows
     whose key is NULL go there instead of bronze (they could never match
     and would be re-inserted on every run)."""
     if not landing_paths:
         return LoadResult(0, 0, 0, 0.0)
+    merge_options = merge_options or {}
     now = now or utc_now()
     target = read_table(spark, target_path) if table_exists(spark, target_path) else None
     pinned = evolve_schema(target_business_schema(target), schema)
@@ -118,8 +119,10 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
 
     obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
     to_write = to_write.observe(obs, F.max(wm).alias("wm_written"))
+    batch_keys = light.select(light_key.alias("_source_id"))
     written = insert_only_merge(spark, to_write, target_path, "_source_id", (PARTITION_COLUMN,),
-                                key_range=(s.lo, s.hi), target=target)
+                                key_range=(s.lo, s.hi), target=target, batch_keys=batch_keys,
+                                expected_keys=total - nulls, **merge_options)
     wm_written = obs.get.get("wm_written") if written else None
     return LoadResult(total, written, int(s.dups), pct_null, nulls, quarantined, s.wm, wm_written)
 
