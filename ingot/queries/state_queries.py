@@ -268,6 +268,27 @@ def table_inventory(spark: SparkSession, sf: str) -> DataFrame:
         .select("table_name", "row_count", "has_files")
 
 
+# ------------------------------------------------------------ S4, S10, S11, S14
+CATALOG_TABLES = ("region", "nation", "supplier", "customer")
+
+
+@register("catalog_tables", "\nUNION ALL\n".join(
+    f"SELECT 'ingot_{t}' AS table_name, count(*) AS row_count FROM {t}" for t in CATALOG_TABLES))
+def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables registered in the session catalogue, listed sorted by name
+    (S4, S10) and read by name (S11, S14) for their row counts."""
+    from ingot.sources.tables import list_catalog_tables, read_catalog_table
+    for t in CATALOG_TABLES:
+        table(spark, sf, t).createOrReplaceTempView(f"ingot_{t}")
+    names = [r.table_name for r in list_catalog_tables(spark).collect() if r.table_name.startswith("ingot_")]
+    counts = None
+    for n in names:
+        c = read_catalog_table(spark, n).agg(F.count(F.lit(1)).cast("long").alias("row_count")) \
+            .select(F.lit(n).alias("table_name"), "row_count")
+        counts = c if counts is None else counts.unionByName(c)
+    return counts
+
+
 # ------------------------------------------------------------ C6, K3, K8, P7
 RELATIONAL = ("region", "nation", "customer", "supplier", "part", "orders")
 LANDED_AT = _dt.datetime(2026, 8, 1, 10, 0, 0, tzinfo=_dt.timezone(_dt.timedelta(hours=-3)))
