@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql.types import StructType
+
 from pyspark.sql import functions as F
 
 from ingot.sources.landing import read_landing
@@ -49,3 +51,34 @@ def test_inferred_schema_when_none_given(spark, ws):
     df = read_landing(spark, ws)
     assert dict(df.dtypes)["n"] == "string"
     assert df.where(F.col("_rescued_data").isNotNull()).count() == 0
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_scalars = st.one_of(st.none(), st.integers(-2 ** 40, 2 ** 40), st.floats(allow_nan=False, allow_infinity=False,
+                                                                           width=32),
+                     st.text(alphabet="abc12é", max_size=4), st.booleans())
+_values = st.recursive(_scalars, lambda inner: st.one_of(st.lists(inner, max_size=3),
+                                                         st.dictionaries(st.sampled_from("xyz"), inner, max_size=3)),
+                       max_leaves=6)
+_docs = st.dictionaries(st.sampled_from(["a", "b", "c", "d", "extra"]), _values, max_size=5)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(_docs, min_size=1, max_size=6))
+def test_no_value_is_lost(spark, docs):
+    """Every non-null top-level value lands in its typed column or in the
+    rescue column (by its own name or a dotted sub-path)."""
+    schema = StructType.fromDDL("a int, b string, c struct<x:double>, d array<int>")
+    from ingot.functions.rescue import parse_json_lines
+    text = spark.createDataFrame([(json.dumps(d),) for d in docs], "value string")
+    rows = parse_json_lines(text, schema).collect()
+    assert len(rows) == len(docs)
+    for doc, row in zip(docs, rows):
+        rescued = json.loads(row["_rescued_data"]) if row["_rescued_data"] else {}
+        for k, v in doc.items():
+            if v is None:
+                continue
+            typed = row[k] if k in schema.fieldNames() else None
+            in_rescue = any(r == k or r.startswith(k + ".") for r in rescued)
+            assert typed is not None or in_rescue, (k, v, row)
