@@ -57,6 +57,9 @@ class RunConfig:
     # did; False lands in scan order without a shuffle
     ordered_pages: bool = True
     landing_compression: str = "none"
+    # keep only the latest row per key inside one batch before the merge
+    # (the original inserts every in-batch duplicate of a new key)
+    dedup_batch: bool = False
     extra: dict = field(default_factory=dict)
 
     @property

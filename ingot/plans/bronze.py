@@ -31,7 +31,7 @@ from ingot.operators.control import ControlLog
 from ingot.operators.filters import incremental_filter
 from ingot.operators.landing import write_landing_pages
 from ingot.operators.lineage import LINEAGE_COLUMNS, add_lineage, utc_now
-from ingot.operators.merge import PARTITION_COLUMN, insert_only_merge, read_table, table_exists
+from ingot.operators.merge import PARTITION_COLUMN, insert_only_merge, latest_per_key, read_table, table_exists
 from ingot.operators.quality import reconcile_status
 from ingot.sources.documents import scan_collection
 from ingot.functions.json import infer_json_schema
@@ -76,7 +76,8 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
                       id_field: str, run_id: str, load_type: str, target_path: str,
                       now: _dt.datetime | None = None, schema: StructType | None = None,
                       watermark_field: str | None = None, quarantine_path: str | None = None,
-                      source_label: str | None = None, merge_options: dict | None = None) -> LoadResult:
+                      source_label: str | None = None, merge_options: dict | None = None,
+                      dedup_batch: bool = False) -> LoadResult:
     """Load one run's landing files into the bronze table (C1). No paths →
     zero result and the table is untouched. With ``quarantine_path`` rows
     whose key is NULL go there instead of bronze (they could never match
@@ -117,6 +118,12 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
             .partitionBy(PARTITION_COLUMN).parquet(quarantine_path)
         to_write, quarantined = enriched.where(F.col("_source_id").isNotNull()), nulls
 
+    if dedup_batch and int(s.dups):
+        order = [watermark_field] if watermark_field and watermark_field in to_write.columns else []
+        keyed = to_write.where(F.col("_source_id").isNotNull())
+        to_write = latest_per_key(keyed, ["_source_id"], order) \
+            .unionByName(to_write.where(F.col("_source_id").isNull()))
+
     obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
     to_write = to_write.observe(obs, F.max(wm).alias("wm_written"))
     batch_keys = light.select(light_key.alias("_source_id"))
@@ -159,7 +166,7 @@ def process_collection(spark: SparkSession, cfg: RunConfig, coll: CollectionConf
             f"{cfg.bronze_dir}/{coll.name}", now=clock(), schema=normalise_types(scan).schema,
             watermark_field=coll.watermark_field,
             quarantine_path=None if reference else f"{cfg.quarantine_dir}/{coll.name}",
-            source_label=cfg.source_path_label)
+            source_label=cfg.source_path_label, dedup_batch=cfg.dedup_batch)
         written_n = load.rows_written
         threshold = cfg.threshold_for(coll)
         if reference:

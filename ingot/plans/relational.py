@@ -29,16 +29,27 @@ from ingot.sources.files import dated_paths
 AUDIT_ORDER_COLUMN = "_ingested_at"
 
 
+def _parallel_map(fn, items, parallelism: int) -> list:
+    """``map`` over driver threads when ``parallelism`` > 1; each item's
+    Spark jobs then run side by side on the cluster."""
+    if parallelism > 1 and len(items) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            return list(pool.map(fn, items))
+    return [fn(i) for i in items]
+
+
 def land_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str, run_id: str,
                 ingested_at: _dt.datetime, source: dict | None = None, add_audit_cols: bool = True,
-                single_file_max_rows: int | None = None) -> DataFrame:
+                single_file_max_rows: int | None = None, parallelism: int = 1) -> DataFrame:
     """Land each table as Parquet in its day folder and return the manifest
     rows (C6). ``ingested_at`` is an aware time; its date picks the folder.
-    One table failing gives an ERRO row and the others go on."""
+    One table failing gives an ERRO row and the others go on. Tables write
+    disjoint folders, so ``parallelism`` > 1 lands several at once."""
     source = source or {}
     day = ingested_at.date()
-    rows = []
-    for name in sorted(tables):
+
+    def one(name: str) -> tuple:
         t0 = time.time()
         path = dated_dir(base, name, day)
         before = {n for n, _, _, _ in list_dir(spark, path)}
@@ -55,14 +66,15 @@ def land_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str,
                    if not d and fn not in before and fn.endswith(".parquet")]
             size = sum(s for _, _, s in new)
             file_name = ",".join(fn for fn, _, _ in new)[:1000]
-            rows.append((run_id, ingested_at.isoformat(), source.get("catalog"), source.get("schema"),
-                         source.get("database"), name, "OK", n, file_name, path, size,
-                         round(time.time() - t0, 2), ""))
+            return (run_id, ingested_at.isoformat(), source.get("catalog"), source.get("schema"),
+                    source.get("database"), name, "OK", n, file_name, path, size,
+                    round(time.time() - t0, 2), "")
         except Exception as exc:
-            rows.append((run_id, ingested_at.isoformat(), source.get("catalog"), source.get("schema"),
-                         source.get("database"), name, "ERRO", None, None, path, None,
-                         round(time.time() - t0, 2), str(exc)[:500]))
-    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+            return (run_id, ingested_at.isoformat(), source.get("catalog"), source.get("schema"),
+                    source.get("database"), name, "ERRO", None, None, path, None,
+                    round(time.time() - t0, 2), str(exc)[:500])
+
+    return spark.createDataFrame(_parallel_map(one, sorted(tables), parallelism), MANIFEST_SCHEMA)
 
 
 def append_manifest(manifest: DataFrame, path: str) -> None:
@@ -91,18 +103,18 @@ def summary_report(summary: DataFrame) -> DataFrame:
 
 
 def consolidate(spark: SparkSession, base: str, tables: list[str], start: _dt.date, end: _dt.date,
-                bronze_base: str, primary_keys: Mapping[str, list[str]] | None = None) -> DataFrame:
+                bronze_base: str, primary_keys: Mapping[str, list[str]] | None = None,
+                parallelism: int = 1) -> DataFrame:
     """Landing → bronze consolidation over a date range (C7): statuses OK,
     SKIP (no files in range) or ERRO per table; returns the summary."""
     primary_keys = primary_keys or {}
-    out = []
-    for name in sorted(tables):
+
+    def one(name: str) -> tuple:
         target = f"{bronze_base.rstrip('/')}/{name}"
         try:
             paths = dated_paths(spark, base, name, start, end)
             if not paths:
-                out.append((name, "SKIP", 0, 0, 0, target, ""))
-                continue
+                return (name, "SKIP", 0, 0, 0, target, "")
             raw = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet").parquet(*paths)
             n_files = len(raw.inputFiles())
             raw = sanitize_columns(raw)
@@ -111,7 +123,8 @@ def consolidate(spark: SparkSession, base: str, tables: list[str], start: _dt.da
             raw = raw.observe(o_in, F.count(F.lit(1)).alias("n"))
             dedup = deduplicate(raw, primary_keys.get(name)).observe(o_out, F.count(F.lit(1)).alias("n"))
             overwrite_snapshot(dedup, target)
-            out.append((name, "OK", n_files, int(o_in.get["n"]), int(o_out.get["n"]), target, ""))
+            return (name, "OK", n_files, int(o_in.get["n"]), int(o_out.get["n"]), target, "")
         except Exception as exc:
-            out.append((name, "ERRO", 0, 0, 0, target, str(exc)[:500]))
-    return spark.createDataFrame(out, SUMMARY_SCHEMA)
+            return (name, "ERRO", 0, 0, 0, target, str(exc)[:500])
+
+    return spark.createDataFrame(_parallel_map(one, sorted(tables), parallelism), SUMMARY_SCHEMA)

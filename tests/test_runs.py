@@ -171,3 +171,25 @@ def test_stream_second_run_sees_only_new_files_third_sees_none(spark, ws):
     assert ingest_available(*args) == 0
     rows = {r._id: r for r in read_table(spark, f"{ws}/bronze").collect()}
     assert rows["2"].v == 2 and rows["3"].v is None and '"v":"bad"' in rows["3"]._rescued_data
+
+
+def test_dedup_batch_keeps_latest_duplicate(spark, ws):
+    c = CollectionConfig("movies", "full", "_id", "lastupdated", "date")
+    cfg = RunConfig(base_dir=ws, collections=(c,), dedup_batch=True)
+    rows = _rows(3) + [("k0001", T0 + dt.timedelta(days=5), 77)]
+    rec = process_collection(spark, cfg, c, _src(spark, rows), ControlLog(spark, cfg.control_path), clock=clock())
+    assert rec["qtd_gravada_destino"] == 3 and "duplicates_in_batch=1" in rec["mensagem_erro"]
+    got = {r._id: r.v for r in read_table(spark, f"{cfg.bronze_dir}/movies").collect()}
+    assert got == {"k0000": 0, "k0001": 77, "k0002": 2}
+
+
+def test_parallel_relational_landing_and_consolidation(spark, ws):
+    from ingot.plans.relational import consolidate, land_tables
+    at = dt.datetime(2026, 8, 1, 9, 0, tzinfo=dt.timezone.utc)
+    tables = {f"t{i}": spark.createDataFrame([(j, f"v{j}") for j in range(i + 1)], "id int, v string")
+              for i in range(4)}
+    m = land_tables(spark, tables, f"{ws}/landing", "r", at, parallelism=4).collect()
+    assert sorted((r.source_table, r.status, r.row_count) for r in m) == [(f"t{i}", "OK", i + 1) for i in range(4)]
+    s = consolidate(spark, f"{ws}/landing", list(tables), at.date(), at.date(), f"{ws}/bronze",
+                    {t: ["id"] for t in tables}, parallelism=4).collect()
+    assert sorted((r.table_name, r.status, r.linhas_bronze) for r in s) == [(f"t{i}", "OK", i + 1) for i in range(4)]
