@@ -154,14 +154,15 @@ def daily_manifest(manifest: DataFrame) -> DataFrame:
 
 
 def daily_observability(control: DataFrame) -> DataFrame:
-    """Per day and collection: runs, failures, failure rate, mean duration,
-    rows read and written (M3)."""
+    """Per day and collection: runs, failures, failure rate, mean and total
+    duration, rows read and written (M3)."""
     return (control.groupBy(F.to_date("start_time").alias("day"), "collection")
             .agg(F.count(F.lit(1)).cast("long").alias("runs"),
                  F.count_if(F.col("status") == "FAILED").cast("long").alias("failures"),
                  F.count_if(F.col("status") == "PARTIAL").cast("long").alias("partials"),
                  F.round(F.count_if(F.col("status") == "FAILED") / F.count(F.lit(1)), 4).alias("failure_rate"),
                  F.avg("duracao_seg").alias("avg_duration_sec"),
+                 F.round(F.sum("duracao_seg"), 2).alias("total_duration_sec"),
                  F.sum("qtd_lida_origem").cast("long").alias("rows_read"),
                  F.sum("qtd_gravada_destino").cast("long").alias("rows_written")))
 
