@@ -168,7 +168,8 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
                       key_range: tuple | None = None, sort_within: bool = True,
                       target: DataFrame | None = None, batch_keys: DataFrame | None = None,
                       expected_keys: int | None = None,
-                      prune_min_target_bytes: int = PRUNE_MIN_TARGET_BYTES) -> int:
+                      prune_min_target_bytes: int = PRUNE_MIN_TARGET_BYTES,
+                      observe: dict[str, Column] | None = None, observed: dict | None = None) -> int:
     """Insert batch rows whose key is absent from the target; matched rows
     stay untouched (J1). Equality is not null-safe: a NULL key never
     matches and is inserted on every run; duplicates inside the batch are
@@ -184,7 +185,12 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
     With ``expected_keys`` (the batch's distinct-key bound) and a target
     key column larger than ``prune_min_target_bytes``, the target keys are
     first cut to the hash buckets of ``batch_keys`` (default: the batch's
-    key column), see :func:`prune_by_batch_buckets`."""
+    key column), see :func:`prune_by_batch_buckets`.
+
+    ``observe`` adds aggregate expressions over the rows actually written;
+    their values land in ``observed``. All observations sit in the write
+    stage itself, so a re-run map stage (lost executor) cannot count a row
+    twice."""
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
     if target is not None or table_exists(spark, target_path):
         target = target if target is not None else read_table(spark, target_path)
@@ -212,10 +218,14 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
     part_cols = [new_rows.schema[c] for c in partition_by]
     store_schema(spark, target_path, union_schema(target.schema if target is not None else None,
                                                   T.StructType(data_cols + part_cols)))
-    new_rows = new_rows.observe(obs, F.count(F.lit(1)).alias("rows"))
+    extra = [c.alias(n) for n, c in (observe or {}).items()]
+    new_rows = new_rows.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
     (new_rows.write.mode("append").option("mergeSchema", "true")
      .partitionBy(*partition_by).parquet(target_path))
-    return int(obs.get.get("rows", 0) or 0)
+    got = obs.get
+    if observed is not None:
+        observed.update({n: got.get(n) for n in (observe or {})})
+    return int(got.get("rows", 0) or 0)
 
 
 def overwrite_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -274,7 +284,8 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str], method: str = "auto") -> DataFrame:
+def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str], method: str = "auto",
+                   group_rows: str | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` values (all
     descending), remaining columns breaking ties, so the survivor is
     deterministic (W1). NULL keys form one group.
@@ -283,17 +294,25 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str], method:
     the aggregate is partial on the map side, so a key holding a third of
     all rows is reduced per map task before the shuffle (a window would
     sort that whole key in one task). Types that cannot be ordered fall
-    back to ``row_number`` over a window."""
+    back to ``row_number`` over a window. ``group_rows`` names an extra
+    output column holding how many input rows each key had."""
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     all_ordered = all(_orderable(df.schema[c].dataType) for c in order_by + rest)
     if method == "window" or (method == "auto" and not all_ordered):
-        return latest_per_key_window(df, keys, order_by)
+        src = df
+        if group_rows:
+            from pyspark.sql.window import Window
+            src = df.withColumn(group_rows, F.count(F.lit(1)).over(
+                Window.partitionBy(*[F.col(f"`{k}`") for k in keys])))
+        return latest_per_key_window(src, keys, order_by)
     packed = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order_by)],
                       *[F.col(f"`{c}`").alias(f"r{i}") for i, c in enumerate(rest)])
-    agg = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max(packed).alias("__best"))
+    aggs = [F.max(packed).alias("__best")] + ([F.count(F.lit(1)).alias(group_rows)] if group_rows else [])
+    agg = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*aggs)
     sel = {c: F.col(f"__best.o{i}") for i, c in enumerate(order_by)}
     sel.update({c: F.col(f"__best.r{i}") for i, c in enumerate(rest)})
-    return agg.select(*[F.col(f"`{c}`") if c in keys else sel[c].alias(c) for c in df.columns])
+    out_cols = [F.col(f"`{c}`") if c in keys else sel[c].alias(c) for c in df.columns]
+    return agg.select(*out_cols, *([F.col(group_rows)] if group_rows else []))
 
 
 def latest_per_key_window(df: DataFrame, keys: list[str], order_by: list[str],

@@ -20,7 +20,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -124,13 +124,13 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
         to_write = latest_per_key(keyed, ["_source_id"], order) \
             .unionByName(to_write.where(F.col("_source_id").isNull()))
 
-    obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
-    to_write = to_write.observe(obs, F.max(wm).alias("wm_written"))
     batch_keys = light.select(light_key.alias("_source_id"))
+    observed: dict = {}
     written = insert_only_merge(spark, to_write, target_path, "_source_id", (PARTITION_COLUMN,),
                                 key_range=(s.lo, s.hi), target=target, batch_keys=batch_keys,
-                                expected_keys=total - nulls, **merge_options)
-    wm_written = obs.get.get("wm_written") if written else None
+                                expected_keys=total - nulls, observe={"wm_written": F.max(wm)},
+                                observed=observed, **merge_options)
+    wm_written = observed.get("wm_written") if written else None
     return LoadResult(total, written, int(s.dups), pct_null, nulls, quarantined, s.wm, wm_written)
 
 

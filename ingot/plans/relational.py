@@ -82,7 +82,8 @@ def append_manifest(manifest: DataFrame, path: str) -> None:
     manifest.coalesce(1).write.mode("append").option("mergeSchema", "true").parquet(path)
 
 
-def deduplicate(df: DataFrame, keys: list[str] | None, order_column: str = AUDIT_ORDER_COLUMN) -> DataFrame:
+def deduplicate(df: DataFrame, keys: list[str] | None, order_column: str = AUDIT_ORDER_COLUMN,
+                group_rows: str | None = None) -> DataFrame:
     """Latest row per key (W1 + U1). Key = declared key, else all business
     columns. The audit order column is ISO text with an offset, so it is
     read as an instant before ordering; the remaining columns break ties
@@ -91,9 +92,9 @@ def deduplicate(df: DataFrame, keys: list[str] | None, order_column: str = AUDIT
     keys = keys or business
     if order_column in df.columns:
         ordered = df.withColumn("__order_ts", F.to_timestamp(F.col(order_column)))
-        out = latest_per_key(ordered, keys, ["__order_ts"])
+        out = latest_per_key(ordered, keys, ["__order_ts"], group_rows=group_rows)
         return out.drop("__order_ts")
-    return latest_per_key(df, keys, [])
+    return latest_per_key(df, keys, [], group_rows=group_rows)
 
 
 def summary_report(summary: DataFrame) -> DataFrame:
@@ -118,12 +119,14 @@ def consolidate(spark: SparkSession, base: str, tables: list[str], start: _dt.da
             raw = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet").parquet(*paths)
             n_files = len(raw.inputFiles())
             raw = sanitize_columns(raw)
-            o_in = Observation(f"in_{name}_{uuid.uuid4().hex[:6]}")
-            o_out = Observation(f"out_{name}_{uuid.uuid4().hex[:6]}")
-            raw = raw.observe(o_in, F.count(F.lit(1)).alias("n"))
-            dedup = deduplicate(raw, primary_keys.get(name)).observe(o_out, F.count(F.lit(1)).alias("n"))
-            overwrite_snapshot(dedup, target)
-            return (name, "OK", n_files, int(o_in.get["n"]), int(o_out.get["n"]), target, "")
+            # rows read = sum of the per-key group sizes, observed with the
+            # rows kept in the write stage itself (exact under task re-runs)
+            obs = Observation(f"dedup_{name}_{uuid.uuid4().hex[:6]}")
+            dedup = deduplicate(raw, primary_keys.get(name), group_rows="__group_rows")
+            dedup = dedup.observe(obs, F.count(F.lit(1)).alias("kept"),
+                                  F.coalesce(F.sum("__group_rows"), F.lit(0)).alias("read"))
+            overwrite_snapshot(dedup.drop("__group_rows"), target)
+            return (name, "OK", n_files, int(obs.get["read"]), int(obs.get["kept"]), target, "")
         except Exception as exc:
             return (name, "ERRO", 0, 0, 0, target, str(exc)[:500])
 

@@ -111,3 +111,11 @@ def test_bucket_pruned_merge_gives_the_same_rows(spark, ws):
     kept = prune_by_batch_buckets(existing, spark.createDataFrame([("k3",)], "k string"), 1).count()
     assert 1 <= kept < 50       # the batch key survives, most others are cut before any shuffle
     assert prune_by_batch_buckets(existing, existing, 10 ** 7) is None
+
+
+def test_latest_per_key_group_rows_both_plans(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, {"y": 2}), ("b", 5, {"z": 0})],
+                               "k string, ts int, m map<string,int>")
+    win = {r.k: (r.ts, r.n) for r in latest_per_key(df, ["k"], ["ts"], group_rows="n").collect()}
+    agg = {r.k: (r.ts, r.n) for r in latest_per_key(df.drop("m"), ["k"], ["ts"], group_rows="n").collect()}
+    assert win == agg == {"a": (2, 2), "b": (5, 1)}

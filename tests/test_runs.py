@@ -193,3 +193,18 @@ def test_parallel_relational_landing_and_consolidation(spark, ws):
     s = consolidate(spark, f"{ws}/landing", list(tables), at.date(), at.date(), f"{ws}/bronze",
                     {t: ["id"] for t in tables}, parallelism=4).collect()
     assert sorted((r.table_name, r.status, r.linhas_bronze) for r in s) == [(f"t{i}", "OK", i + 1) for i in range(4)]
+
+
+def test_reference_watermark_comes_from_inserted_rows(spark, ws):
+    """Q3: rows read but already in bronze do not move the reference
+    watermark; the default rule takes the max over rows read."""
+    for rule, expected in (("reference", "2024-01-01T04:00:00.000000"), ("default", "2024-01-01T09:00:00.000000")):
+        cfg, coll = _cfg(f"{ws}/{rule}", rule=rule)
+        control = ControlLog(spark, cfg.control_path)
+        ck = clock()
+        process_collection(spark, cfg, coll, _src(spark, _rows(5)), control, clock=ck)
+        # same keys re-delivered with newer times: read, but not inserted
+        later = [(k, t + dt.timedelta(hours=5), v) for k, t, v in _rows(5)]
+        rec = process_collection(spark, cfg, coll, _src(spark, later), control, clock=ck)
+        assert rec["qtd_gravada_destino"] == 0
+        assert rec["watermark_final"] == expected, rule
