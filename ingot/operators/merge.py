@@ -284,6 +284,30 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
+def _json_packable(dt: T.DataType) -> bool:
+    """Types that survive a ``to_json`` → ``from_json``/``parse_json``
+    round trip exactly (maps need string keys)."""
+    if isinstance(dt, T.MapType):
+        return isinstance(dt.keyType, T.StringType) and _json_packable(dt.valueType)
+    if isinstance(dt, T.StructType):
+        return all(_json_packable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _json_packable(dt.elementType)
+    return not isinstance(dt, (T.BinaryType, T.CalendarIntervalType))
+
+
+def _pack(c: Column, dt: T.DataType) -> Column:
+    return F.to_json(c) if not _orderable(dt) else c
+
+
+def _unpack(c: Column, dt: T.DataType) -> Column:
+    if _orderable(dt):
+        return c
+    if isinstance(dt, T.VariantType):
+        return F.parse_json(c)
+    return F.from_json(c, dt)
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str], method: str = "auto",
                    group_rows: str | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` values (all
@@ -294,11 +318,16 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str], method:
     the aggregate is partial on the map side, so a key holding a third of
     all rows is reduced per map task before the shuffle (a window would
     sort that whole key in one task). Types that cannot be ordered fall
-    back to ``row_number`` over a window. ``group_rows`` names an extra
+    back to ``row_number`` over a window. Payload columns that cannot be
+    ordered (maps, variants) travel through the aggregate as JSON text and
+    are restored after it, so they keep the skew-safe plan too; only maps
+    with non-string keys need the window. ``group_rows`` names an extra
     output column holding how many input rows each key had."""
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    all_ordered = all(_orderable(df.schema[c].dataType) for c in order_by + rest)
-    if method == "window" or (method == "auto" and not all_ordered):
+    aggregatable = (all(_orderable(df.schema[c].dataType) for c in order_by)
+                    and all(_orderable(df.schema[c].dataType) or _json_packable(df.schema[c].dataType)
+                            for c in rest))
+    if method == "window" or (method == "auto" and not aggregatable):
         src = df
         if group_rows:
             from pyspark.sql.window import Window
@@ -306,11 +335,11 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str], method:
                 Window.partitionBy(*[F.col(f"`{k}`") for k in keys])))
         return latest_per_key_window(src, keys, order_by)
     packed = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order_by)],
-                      *[F.col(f"`{c}`").alias(f"r{i}") for i, c in enumerate(rest)])
+                      *[_pack(F.col(f"`{c}`"), df.schema[c].dataType).alias(f"r{i}") for i, c in enumerate(rest)])
     aggs = [F.max(packed).alias("__best")] + ([F.count(F.lit(1)).alias(group_rows)] if group_rows else [])
     agg = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*aggs)
     sel = {c: F.col(f"__best.o{i}") for i, c in enumerate(order_by)}
-    sel.update({c: F.col(f"__best.r{i}") for i, c in enumerate(rest)})
+    sel.update({c: _unpack(F.col(f"__best.r{i}"), df.schema[c].dataType) for i, c in enumerate(rest)})
     out_cols = [F.col(f"`{c}`") if c in keys else sel[c].alias(c) for c in df.columns]
     return agg.select(*out_cols, *([F.col(group_rows)] if group_rows else []))
 

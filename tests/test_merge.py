@@ -65,9 +65,16 @@ def test_latest_per_key_is_deterministic_under_ties_and_groups_nulls(spark):
     assert win == got
 
 
-def test_latest_per_key_with_map_payload_falls_back_to_window(spark):
-    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, {"y": 2})], "k string, ts int, m map<string,int>")
-    assert latest_per_key(df, ["k"], ["ts"]).first()["m"] == {"y": 2}
+def test_latest_per_key_with_map_and_variant_payload_keeps_aggregate_plan(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, {"y": 2})], "k string, ts int, m map<string,int>") \
+        .withColumn("v", F.parse_json(F.to_json(F.struct("ts"))))
+    out = latest_per_key(df, ["k"], ["ts"])
+    r = out.first()
+    assert r["m"] == {"y": 2} and F is not None and out.select(F.to_json("v")).first()[0] == '{"ts":2}'
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Aggregate" in plan
+    intkeys = spark.createDataFrame([("a", 1, {1: 1}), ("a", 2, {2: 2})], "k string, ts int, m map<int,int>")
+    assert latest_per_key(intkeys, ["k"], ["ts"]).first()["m"] == {2: 2}   # window fallback
 
 
 def test_row_hash_distinguishes_null_positions(spark):
