@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ingot.config import DEFAULT_BATCH_SIZE
 from ingot.functions.scalars import normalise_types
-from ingot.session import list_dir
+from ingot.session import list_dir, partitions_for
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,8 @@ def write_landing_pages(df: DataFrame, path: str, key: str | None, batch_size: i
         # while files stay in key order; it is deterministic, so a re-run
         # task lands the same rows
         tie = F.xxhash64(*[F.col(f"`{c}`") for c in norm.columns])
-        norm = norm.withColumn("__tie", tie).repartitionByRange(F.col(f"`{key}`"), F.col("__tie")) \
+        norm = norm.withColumn("__tie", tie) \
+            .repartitionByRange(partitions_for(df), F.col(f"`{key}`"), F.col("__tie")) \
             .sortWithinPartitions(key, "__tie").drop("__tie")
     obs = Observation(f"landed_{collection or 'docs'}_{uuid.uuid4().hex[:8]}")
     norm = norm.observe(obs, F.count(F.lit(1)).alias("docs"))
@@ -85,14 +86,19 @@ def write_dated_parquet(df: DataFrame, base: str, table: str, day: _dt.date,
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, salt_key: str | None = None,
-                      salt_buckets: int = 8, max_records: int | None = None, mode: str = "append") -> None:
+                      salt_buckets: int | None = None, max_records: int | None = None,
+                      mode: str = "append") -> None:
     """Destination file-count control (M7): rows are clustered by the
-    partition column so each task writes few files, with a hash salt on a
-    second key so one hot partition value is written by ``salt_buckets``
-    tasks instead of one."""
-    if salt_key:
+    partition column so each task writes few files. With ``salt_key`` the
+    rows are range-partitioned on (partition column, salt key) into a
+    count that grows with the input (or ``salt_buckets`` per value when
+    given): a partition value holding a third of the data is spread over
+    as many writer tasks as its size needs, a small one stays in one."""
+    if salt_key and salt_buckets:
         salt = F.pmod(F.xxhash64(F.col(f"`{salt_key}`")), F.lit(salt_buckets))
         out = df.repartition(F.col(f"`{partition_col}`"), salt)
+    elif salt_key:
+        out = df.repartitionByRange(partitions_for(df), F.col(f"`{partition_col}`"), F.col(f"`{salt_key}`"))
     else:
         out = df.repartition(F.col(f"`{partition_col}`"))
     w = out.write.mode(mode).partitionBy(partition_col)

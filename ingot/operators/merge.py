@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ingot.session import list_dir, path_exists
+from ingot.session import estimated_bytes, list_dir, path_exists
 
 PARTITION_COLUMN = "_ingestion_date"
 
@@ -156,11 +156,7 @@ def prune_by_batch_buckets(existing: DataFrame, batch_keys: DataFrame, expected_
 
 
 def _estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (from file sizes; no job)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
-        return 0
+    return estimated_bytes(df)
 
 
 def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, key: str = "_source_id",

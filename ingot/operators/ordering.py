@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ingot.session import shared_dir
+from ingot.session import partitions_for, shared_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
@@ -25,8 +25,7 @@ def with_global_row_number(df: DataFrame, key: str, name: str = "row_number",
     window. The ranged, numbered data is checkpointed to the shared
     checkpoint folder, so the ids cannot change if a task is re-run."""
     shared_dir(df.sparkSession)  # checkpoint folder: the cluster's, or a scratch one in tests
-    ranged = (df.repartitionByRange(num_partitions, F.col(key)) if num_partitions
-              else df.repartitionByRange(F.col(key)))
+    ranged = df.repartitionByRange(num_partitions or partitions_for(df), F.col(key))
     ranged = ranged.sortWithinPartitions(key).withColumn("__mid", F.monotonically_increasing_id())
     ranged = ranged.checkpoint(eager=True)
     ranged = ranged.withColumns({

@@ -101,3 +101,25 @@ def list_dir(spark: SparkSession, path: str) -> list[tuple[str, str, bool, int]]
     for st in fs.listStatus(p):
         out.append((st.getPath().getName(), st.getPath().toString(), st.isDirectory(), st.getLen()))
     return sorted(out)
+
+
+BYTES_PER_PARTITION = 128 << 20
+MAX_PARTITIONS = 200_000
+
+
+def estimated_bytes(df) -> int:
+    """Catalyst's size estimate of a plan, from file sizes (no job)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return 0
+
+
+def partitions_for(df, bytes_per_partition: int = BYTES_PER_PARTITION, cap: int = MAX_PARTITIONS) -> int:
+    """Partition count for an explicit (range) repartition that grows with
+    the input: about ``bytes_per_partition`` of input per task, never fewer
+    than the session's shuffle partitions. AQE does not resize an explicit
+    range partitioning, so the count has to be right up front."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    est = estimated_bytes(df)
+    return max(base, min(cap, -(-est // bytes_per_partition)))

@@ -92,3 +92,20 @@ def test_merge_twice_adds_only_null_keys(spark, rows):
     assert second == sum(1 for k, _ in rows if k is None)
     keys = read_table(spark, f"{ws}/t").where(F.col("_source_id").isNotNull())
     assert keys.count() == sum(1 for k, _ in rows if k is not None)
+
+
+def test_range_salted_write_spreads_hot_day_without_tuning(spark, ws):
+    df = spark.range(0, 4000).select(F.when(F.col("id") < 3000, "2024-01-01").otherwise("2024-01-02").alias("day"),
+                                     F.col("id"))
+    write_partitioned(df, ws, "day", salt_key="id")
+    hot = [f for f in os.listdir(f"{ws}/day=2024-01-01".replace("file:", "")) if f.endswith(".parquet")]
+    assert len(hot) >= 2
+    assert spark.read.parquet(ws).count() == 4000
+
+
+def test_partitions_for_grows_with_input(spark):
+    from ingot.session import partitions_for
+    small = spark.range(10)
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(small) == base
+    assert partitions_for(small, bytes_per_partition=1) >= base
