@@ -9,11 +9,13 @@ so they run the same on the real log or on any frame of the same shape.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingot.operators.ordering import top_n
+from ingot.session import list_dir
 
 # Column names and types of the control table.
 CONTROL_SCHEMA = """
@@ -59,9 +61,12 @@ class ControlLog:
     time never share a commit folder, and a watermark lookup reads one
     collection's files (partition pruning)."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    COMPACT_AFTER_FILES = 64
+
+    def __init__(self, spark: SparkSession, path: str, compact_after_files: int | None = None):
         self.spark = spark
         self.path = path
+        self.compact_after_files = compact_after_files or self.COMPACT_AFTER_FILES
         self.ensure()
 
     def ensure(self) -> None:
@@ -79,9 +84,37 @@ class ControlLog:
         for r in records:
             by_coll.setdefault(r.get("collection"), []).append(tuple(r.get(c) for c in CONTROL_COLUMNS))
         for coll, rows in by_coll.items():
-            folder = f"{self.path}/collection={_escape_partition_value(coll or '__HIVE_DEFAULT_PARTITION__')}"
+            folder = self._folder(coll)
             self.spark.createDataFrame(rows, CONTROL_SCHEMA).drop("collection").coalesce(1) \
                 .write.mode("append").parquet(folder)
+            if self._file_count(folder) > self.compact_after_files:
+                self.compact_collection(coll)
+
+    def _folder(self, collection: str | None) -> str:
+        return f"{self.path}/collection={_escape_partition_value(collection or '__HIVE_DEFAULT_PARTITION__')}"
+
+    def _file_count(self, folder: str) -> int:
+        return sum(1 for n, _, d, _ in list_dir(self.spark, folder) if not d and n.endswith(".parquet"))
+
+    def compact_collection(self, collection: str) -> None:
+        """Rewrite one collection's log folder as a single file. The new
+        file is written to a staging folder, the old folder is moved aside
+        (hidden from readers), the new one moved in, and only then the old
+        one removed, so a crash never loses log rows."""
+        folder = self._folder(collection)
+        rows = self.spark.read.schema(CONTROL_SCHEMA).parquet(self.path) \
+            .where(F.col("collection") == collection).drop("collection")
+        staging = f"{self.path}/_compact_{uuid.uuid4().hex[:12]}"
+        rows.coalesce(1).write.mode("overwrite").parquet(staging)
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        Path = jvm.org.apache.hadoop.fs.Path
+        dst, src = Path(folder), Path(staging)
+        backup = Path(f"{self.path}/_replaced_{uuid.uuid4().hex[:12]}")
+        fs = dst.getFileSystem(conf)
+        fs.rename(dst, backup)
+        fs.rename(src, dst)
+        fs.delete(backup, True)
 
     def insert(self, _ingestion_id: str, collection: str, load_type: str, watermark_inicial: str | None,
                watermark_final: str | None, status: str = "SUCCESS", message: str | None = None,

@@ -43,3 +43,19 @@ def test_last_watermark_ignores_partial_failed_and_full(spark, ws):
     assert log.last_watermark("c") == "w1"
     assert log.last_watermark("other") is None
     assert last_success_watermarks(log.read()).count() == 1
+
+
+def test_control_log_compacts_a_collection_folder(spark, ws):
+    import os
+    log = ControlLog(spark, f"{ws}/control", compact_after_files=3)
+    t = dt.datetime(2024, 1, 1)
+    for i in range(5):
+        log.log([dict(_ingestion_id=str(i), collection="c", load_type="incremental", watermark_inicial=None,
+                      watermark_final=f"w{i}", qtd_lida_origem=i, qtd_gravada_destino=i,
+                      start_time=t + dt.timedelta(minutes=i), end_time=t + dt.timedelta(minutes=i),
+                      duracao_seg=0.0, status="SUCCESS", mensagem_erro=None)])
+    folder = f"{ws}/control/collection=c".replace("file:", "")
+    files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    assert len(files) <= 3
+    assert log.read().count() == 5 and log.last_watermark("c") == "w4"
+    assert not [n for n in os.listdir(f"{ws}/control".replace("file:", "")) if n.startswith("_")]
