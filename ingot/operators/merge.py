@@ -233,12 +233,36 @@ def overwrite_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     w.parquet(path)
 
 
+def _replace_partitions(spark: SparkSession, table_path: str, partition_col: str, parts: list,
+                        new_rows: DataFrame, max_records: int | None = None) -> None:
+    """Rewrite the given partitions of a path table with ``new_rows``
+    (rows of those partitions only). The new files go to a staging folder
+    first; each old partition folder is moved aside (hidden from readers)
+    before the new one is moved in, and removed only after, so a crash
+    never loses rows."""
+    staging = f"{table_path}/_staging_{uuid.uuid4().hex[:12]}"
+    w = new_rows.write.mode("overwrite").partitionBy(partition_col)
+    if max_records:
+        w = w.option("maxRecordsPerFile", max_records)
+    w.parquet(staging)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in parts:
+        name = f"{partition_col}={p}"
+        dst, src = Path(f"{table_path}/{name}"), Path(f"{staging}/{name}")
+        backup = Path(f"{table_path}/_replaced_{uuid.uuid4().hex[:8]}_{name}")
+        fs = dst.getFileSystem(conf)
+        fs.rename(dst, backup)
+        if fs.exists(src):
+            fs.rename(src, dst)
+        fs.delete(backup, True)
+    Path(staging).getFileSystem(conf).delete(Path(staging), True)
+
+
 def delete_keys(spark: SparkSession, table_path: str, keys: DataFrame, key: str = "_source_id",
                 partition_col: str = PARTITION_COLUMN) -> int:
     """Delete rows whose key is in ``keys`` (K10) by rewriting only the
-    partitions that hold them: the kept rows of those partitions are
-    written to a staging folder, then each affected partition folder is
-    replaced. Returns the number of partitions rewritten."""
+    partitions that hold them. Returns the number of partitions rewritten."""
     target = read_table(spark, table_path)
     k = keys.select(F.col(key).alias("__k")).distinct()
     hit = target.join(k, target[key] == k["__k"], "left_semi")
@@ -246,30 +270,27 @@ def delete_keys(spark: SparkSession, table_path: str, keys: DataFrame, key: str
     parts = [r[0] for r in hit.select(partition_col).distinct().collect()]
     if not parts:
         return 0
-    staging = f"{table_path}/_staging_{uuid.uuid4().hex[:12]}"
     kept = target.where(F.col(partition_col).isin(parts)).join(k, target[key] == k["__k"], "left_anti")
-    kept.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    for p in parts:
-        name = f"{partition_col}={p}"
-        dst = Path(f"{table_path}/{name}")
-        src = Path(f"{staging}/{name}")
-        backup = Path(f"{table_path}/_replaced_{uuid.uuid4().hex[:8]}_{name}")
-        fs = dst.getFileSystem(conf)
-        # old folder moved aside (hidden from readers) before the new one is
-        # moved in, and removed only after: a crash in between leaves the
-        # old rows recoverable instead of lost
-        fs.rename(dst, backup)
-        if fs.exists(src):
-            fs.rename(src, dst)
-        fs.delete(backup, True)
-    fs = Path(staging).getFileSystem(conf)
-    fs.delete(Path(staging), True)
+    _replace_partitions(spark, table_path, partition_col, parts, kept)
     return len(parts)
 
 
+def compact_partitions(spark: SparkSession, table_path: str, parts: list, partition_col: str = PARTITION_COLUMN,
+                       key: str = "_source_id", target_file_bytes: int = 256 << 20) -> int:
+    """Small-file control for a bronze table (M7): rewrite the given
+    partitions into files of about ``target_file_bytes``, sorted by key
+    (which keeps the key-range pruning of the merge effective). Rows are
+    unchanged. Returns the number of files written."""
+    target = read_table(spark, table_path)
+    rows = target.where(F.col(partition_col).isin(parts))
+    n = max(1, -(-estimated_bytes(rows) // target_file_bytes))
+    out = rows.repartitionByRange(n, F.col(partition_col), F.col(f"`{key}`")) \
+        .sortWithinPartitions(partition_col, key)
+    _replace_partitions(spark, table_path, partition_col, parts, out)
+    return sum(1 for p in parts for name, _, d, _ in list_dir(spark, f"{table_path}/{partition_col}={p}")
+               if not d and name.endswith(".parquet"))
+
+
 def _orderable(dt: T.DataType) -> bool:
     if isinstance(dt, (T.MapType, T.VariantType)):
         return False

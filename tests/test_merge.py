@@ -126,3 +126,17 @@ def test_latest_per_key_group_rows_both_plans(spark):
     win = {r.k: (r.ts, r.n) for r in latest_per_key(df, ["k"], ["ts"], group_rows="n").collect()}
     agg = {r.k: (r.ts, r.n) for r in latest_per_key(df.drop("m"), ["k"], ["ts"], group_rows="n").collect()}
     assert win == agg == {"a": (2, 2), "b": (5, 1)}
+
+
+def test_compact_partitions_keeps_rows(spark, ws):
+    import os
+    from ingot.operators.merge import compact_partitions
+    t = f"{ws}/t"
+    for i in range(4):
+        insert_only_merge(spark, _batch(spark, [(f"k{i}-{j}", j) for j in range(5)], f"r{i}"), t)
+    part = f"{t}/_ingestion_date=2024-02-01".replace("file:", "")
+    before = [f for f in os.listdir(part) if f.endswith(".parquet")]
+    rows_before = sorted(tuple(r) for r in read_table(spark, t).select("_id", "v").collect())
+    assert compact_partitions(spark, t, ["2024-02-01"]) == 1 < len(before)
+    assert sorted(tuple(r) for r in read_table(spark, t).select("_id", "v").collect()) == rows_before
+    assert not [n for n in os.listdir(t.replace("file:", "")) if n.startswith(("_staging", "_replaced"))]
