@@ -53,6 +53,8 @@ def incremental_filter(df: DataFrame, field: str, start: str | None,
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c > F.lit(start.replace("T", " ")).cast(dt)
     if isinstance(dt, T.NumericType):
+        if start == DEFAULT_WATERMARK_START:
+            return c.isNotNull()  # no stored watermark yet: every row that has the field
         return c > F.lit(start).cast(dt)
     if watermark_type == "date" or _looks_like_time(start):
         tv, tb = F.try_to_timestamp(c), F.try_to_timestamp(F.lit(start))

@@ -94,21 +94,23 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     kwargs = {"source_path": source_label} if source_label else {}
     enriched = add_lineage(raw, id_field, run_id, load_type, now, **kwargs)
 
-    wm = (F.col(f"`{watermark_field}`").cast("string") if watermark_field and watermark_field in raw.columns
-          else F.lit(None).cast("string"))
+    # the watermark is the max of the typed value (numbers compare as
+    # numbers), turned into text only at the end
+    has_wm = bool(watermark_field) and watermark_field in raw.columns
+    wm = F.col(f"`{watermark_field}`") if has_wm else F.lit(None).cast("string")
     # metrics pass: the key and watermark fields only, no rescue
     light = read_landing_fields(spark, landing_paths, pinned, [id_field] + ([watermark_field] if watermark_field else []))
     light_key = (F.col(f"`{id_field}`").cast("string") if id_field in light.columns
                  else F.lit(None).cast("string"))
+    light_wm = F.col(f"`{watermark_field}`") if has_wm and watermark_field in light.columns else F.lit(None).cast("string")
     per_key = light.groupBy(light_key.alias("_source_id")).agg(F.count(F.lit(1)).alias("__n"),
-                                                              F.max(wm if watermark_field in light.columns
-                                                                    else F.lit(None).cast("string")).alias("__wm"))
+                                                              F.max(light_wm).alias("__wm"))
     s = per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total"),
         F.coalesce(F.sum(F.when(F.col("_source_id").isNull(), F.col("__n"))), F.lit(0)).cast("long").alias("nulls"),
         F.count_if(F.col("__n") > 1).cast("long").alias("dups"),
         F.min("_source_id").alias("lo"), F.max("_source_id").alias("hi"),
-        F.max("__wm").alias("wm")).first()
+        F.max("__wm").cast("string").alias("wm")).first()
     total, nulls = int(s.total), int(s.nulls)
     pct_null = round(nulls / total * 100, 4) if total else 0.0
 
@@ -128,7 +130,7 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     observed: dict = {}
     written = insert_only_merge(spark, to_write, target_path, "_source_id", (PARTITION_COLUMN,),
                                 key_range=(s.lo, s.hi), target=target, batch_keys=batch_keys,
-                                expected_keys=total - nulls, observe={"wm_written": F.max(wm)},
+                                expected_keys=total - nulls, observe={"wm_written": F.max(wm).cast("string")},
                                 observed=observed, **merge_options)
     wm_written = observed.get("wm_written") if written else None
     return LoadResult(total, written, int(s.dups), pct_null, nulls, quarantined, s.wm, wm_written)

@@ -208,3 +208,16 @@ def test_reference_watermark_comes_from_inserted_rows(spark, ws):
         rec = process_collection(spark, cfg, coll, _src(spark, later), control, clock=ck)
         assert rec["qtd_gravada_destino"] == 0
         assert rec["watermark_final"] == expected, rule
+
+
+def test_numeric_watermark_compares_as_numbers(spark, ws):
+    c = CollectionConfig("versions", "incremental", "_id", "ver", None)
+    cfg = RunConfig(base_dir=ws, collections=(c,))
+    control = ControlLog(spark, cfg.control_path)
+    ck = clock()
+    src = lambda n: spark.createDataFrame([(f"k{i}", i) for i in range(n)] + [("nover", None)],
+                                          "_id string, ver long")
+    r1 = process_collection(spark, cfg, c, src(11), control, clock=ck)
+    assert (r1["status"], r1["qtd_lida_origem"], r1["watermark_final"]) == ("SUCCESS", 11, "10")
+    r2 = process_collection(spark, cfg, c, src(13), control, clock=ck)
+    assert (r2["qtd_lida_origem"], r2["qtd_gravada_destino"], r2["watermark_final"]) == (2, 2, "12")
