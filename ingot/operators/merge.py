@@ -115,8 +115,9 @@ def align_to_target(batch: DataFrame, target_schema: T.StructType) -> DataFrame:
             src = F.col(f"`{f.name}`")
             cast = src.try_cast(tgt[f.name])
             casts[f.name] = cast
-            lost.append(F.when(cast.isNull() & src.isNotNull(),
-                               F.create_map(F.lit(f.name), src.cast("string")))
+            text = (F.to_json(src) if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))
+                    else src.cast("string"))
+            lost.append(F.when(cast.isNull() & src.isNotNull(), F.create_map(F.lit(f.name), text))
                         .otherwise(F.create_map().cast("map<string,string>")))
     if not casts:
         return batch
