@@ -59,3 +59,14 @@ def test_control_log_compacts_a_collection_folder(spark, ws):
     assert len(files) <= 3
     assert log.read().count() == 5 and log.last_watermark("c") == "w4"
     assert not [n for n in os.listdir(f"{ws}/control".replace("file:", "")) if n.startswith("_")]
+
+
+def test_control_log_collection_names_round_trip(spark, ws):
+    log = ControlLog(spark, f"{ws}/control")
+    t = dt.datetime(2024, 1, 1)
+    for name in ("a b/c", "x=y%z", "plain"):
+        log.log([dict(_ingestion_id=name, collection=name, load_type="incremental", watermark_inicial=None,
+                      watermark_final="w-" + name, qtd_lida_origem=1, qtd_gravada_destino=1, start_time=t,
+                      end_time=t, duracao_seg=0.0, status="SUCCESS", mensagem_erro=None)])
+    assert sorted(r.collection for r in log.read().collect()) == ["a b/c", "plain", "x=y%z"]
+    assert log.last_watermark("x=y%z") == "w-x=y%z"
