@@ -175,15 +175,19 @@ def status_counts(frame: DataFrame, status_col: str = "status", rows_col: str =
         .cast("long").alias("ok_rows"))
 
 
+# Column names of the daily manifest rollup.
+ROLLUP_DAY, ROLLUP_FILES, ROLLUP_ROWS, ROLLUP_MB = "dia", "arquivos", "linhas", "mb"
+
+
 def daily_manifest(manifest: DataFrame) -> DataFrame:
     """Daily rollup of OK manifest rows: files, rows, MB (2 places), newest
     day first (A10)."""
     return (manifest.where(F.col("status") == "OK")
-            .groupBy(F.to_date(F.col("ingested_at")).alias("dia"))
-            .agg(F.count(F.lit(1)).cast("long").alias("arquivos"),
-                 F.sum("row_count").cast("long").alias("linhas"),
-                 F.round(F.sum("file_size_bytes") / 1024 / 1024, 2).alias("mb"))
-            .orderBy(F.col("dia").desc()))
+            .groupBy(F.to_date(F.col("ingested_at")).alias(ROLLUP_DAY))
+            .agg(F.count(F.lit(1)).cast("long").alias(ROLLUP_FILES),
+                 F.sum("row_count").cast("long").alias(ROLLUP_ROWS),
+                 F.round(F.sum("file_size_bytes") / 1024 / 1024, 2).alias(ROLLUP_MB))
+            .orderBy(F.col(ROLLUP_DAY).desc()))
 
 
 def daily_observability(control: DataFrame) -> DataFrame:

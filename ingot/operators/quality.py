@@ -68,6 +68,15 @@ def removed_by_dedup(df: DataFrame, keys: list[str]) -> DataFrame:
         .withColumn("rows_removed", F.col("rows_read") - F.col("rows_kept"))
 
 
+# The control-log message of a PARTIAL run (three figures),
+# as a Python format and as a Spark format_string pattern.
+PARTIAL_MESSAGE = "divergencia={div:.2f}% (limiar={threshold}%) nulos_id={pct_null}% duplicados_no_lote={dups}"
+PARTIAL_MESSAGE_SQL = "divergencia=%.2f%% (limiar=%s%%) nulos_id=%s%% duplicados_no_lote=%s"
+
+# Quarantine tag columns.
+QUARANTINE_ORIGIN, QUARANTINE_AT, QUARANTINE_REASON = "origem", "quarentena_em", "motivo"
+
+
 def status_column(divergence: Column, threshold: Column, null_keys: Column, duplicate_groups: Column) -> Column:
     """PARTIAL when divergence exceeds the threshold, or any null key, or any
     duplicate key group; else SUCCESS (C2). Null keys are tested by count,
@@ -84,9 +93,8 @@ def reconcile(df: DataFrame, extracted: str = "extracted", landed: str = "landed
     div = divergence_pct(F.col(extracted).cast("double"), F.col(landed).cast("double"))
     out = df.withColumn("divergence_pct", F.round(div, 4))
     out = out.withColumn("status", status_column(div, F.col(threshold), F.col(null_keys), F.col(duplicate_groups)))
-    msg = F.format_string("divergence=%.2f%% (threshold=%s%%) null_ids=%s%% duplicates_in_batch=%s",
-                          div, F.col(threshold).cast("string"), F.col(null_pct).cast("string"),
-                          F.col(duplicate_groups).cast("string"))
+    msg = F.format_string(PARTIAL_MESSAGE_SQL, div, F.col(threshold).cast("string"),
+                          F.col(null_pct).cast("string"), F.col(duplicate_groups).cast("string"))
     return out.withColumn("message", F.when(F.col("status") == "PARTIAL", msg))
 
 
@@ -95,8 +103,7 @@ def reconcile_status(extracted: int, landed: int, threshold: float, null_keys: i
     """Scalar form used by the run driver for one collection."""
     div = abs(extracted - landed) / extracted * 100 if extracted else 0.0
     if div > threshold or null_keys > 0 or duplicate_groups > 0:
-        msg = (f"divergence={div:.2f}% (threshold={threshold}%) null_ids={pct_null}% "
-               f"duplicates_in_batch={duplicate_groups}")
+        msg = PARTIAL_MESSAGE.format(div=div, threshold=threshold, pct_null=pct_null, dups=duplicate_groups)
         return "PARTIAL", msg, div
     return "SUCCESS", None, div
 
@@ -149,9 +156,9 @@ def tag_quarantine(df: DataFrame, condition: Column, reason: str, origin: str, a
     """Keep every row; rows meeting ``condition`` get a quarantine time and
     reason, all rows the origin label (P14). Null columns are typed."""
     return df.withColumns({
-        "origem": F.lit(origin),
-        "quarentena_em": F.when(condition, at).otherwise(F.lit(None).cast("timestamp")),
-        "motivo": F.when(condition, F.lit(reason)).otherwise(F.lit(None).cast("string")),
+        QUARANTINE_ORIGIN: F.lit(origin),
+        QUARANTINE_AT: F.when(condition, at).otherwise(F.lit(None).cast("timestamp")),
+        QUARANTINE_REASON: F.when(condition, F.lit(reason)).otherwise(F.lit(None).cast("string")),
     })
 
 

@@ -35,5 +35,5 @@ def test_reconcile_status_scalar():
     assert reconcile_status(0, 0, 0.0, 0, 0.0, 0)[0] == "SUCCESS"
     assert reconcile_status(1000, 996, 0.5, 0, 0.0, 0)[0] == "SUCCESS"
     status, msg, div = reconcile_status(1000, 990, 0.5, 0, 0.0, 0)
-    assert status == "PARTIAL" and div == 1.0 and "divergence=1.00%" in msg
+    assert status == "PARTIAL" and div == 1.0 and "divergencia=1.00%" in msg
     assert reconcile_status(10, 10, 1.0, 1, 0.00001, 0)[0] == "PARTIAL"   # count, not the rounded share

@@ -95,7 +95,7 @@ def test_duplicates_in_batch_reported(spark, ws):
     cfg, coll = _cfg(ws, mode="full", rule="reference")
     rows = _rows(3) + [("k0001", T0, 5)]
     rec = process_collection(spark, cfg, coll, _src(spark, rows), ControlLog(spark, cfg.control_path), clock=clock())
-    assert rec["status"] == "PARTIAL" and "duplicates_in_batch=1" in rec["mensagem_erro"]
+    assert rec["status"] == "PARTIAL" and "duplicados_no_lote=1" in rec["mensagem_erro"]
     assert rec["qtd_gravada_destino"] == 4
 
 
