@@ -16,6 +16,12 @@ DEFAULT_THRESHOLD_PCT = 1.0
 ERROR_MESSAGE_LIMIT = 1000
 MODES = ("full", "incremental")
 WATERMARK_TYPES = (None, "string", "date")
+# run statuses of the control log
+SUCCESS, PARTIAL, FAILED = "SUCCESS", "PARTIAL", "FAILED"
+# table statuses of the manifest and the consolidation summary
+OK, ERRO, SKIP = "OK", "ERRO", "SKIP"
+# error text kept in manifest and summary rows
+MESSAGE_LIMIT_SUMMARY = 500
 
 # Default ``_source_path`` lineage label (configurable per run).
 SOURCE_PATH_LABEL = "document_source"

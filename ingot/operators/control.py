@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ingot.config import ERRO, FAILED, OK, PARTIAL, SUCCESS
 from ingot.operators.ordering import top_n
 from ingot.session import list_dir
 
@@ -117,7 +118,7 @@ class ControlLog:
         fs.delete(backup, True)
 
     def insert(self, _ingestion_id: str, collection: str, load_type: str, watermark_inicial: str | None,
-               watermark_final: str | None, status: str = "SUCCESS", message: str | None = None,
+               watermark_final: str | None, status: str = SUCCESS, message: str | None = None,
                when: _dt.datetime | None = None) -> None:
         """Literal control row (K11), e.g. to replay from an older watermark."""
         when = when or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -144,7 +145,7 @@ def last_success_watermarks(control: DataFrame) -> DataFrame:
     SUCCESS incremental row (T1 for all collections at once). The pick is
     a ``max`` over a struct, so ties on ``end_time`` resolve by start
     time, then watermark, then id — never arbitrarily."""
-    ok = control.where((F.col("status") == "SUCCESS") & (F.col("load_type") == "incremental"))
+    ok = control.where((F.col("status") == SUCCESS) & (F.col("load_type") == "incremental"))
     best = F.max(F.struct("end_time", "start_time", "watermark_final", "_ingestion_id"))
     return ok.groupBy("collection").agg(best.alias("b")) \
         .select("collection", F.col("b.watermark_final").alias("watermark_final"),
@@ -160,13 +161,13 @@ def last_runs(control: DataFrame, n: int = 7) -> DataFrame:
 
 def failed_runs(manifest: DataFrame, n: int | None = None) -> DataFrame:
     """Failed rows newest first."""
-    out = manifest.where(F.col("status") == "ERRO").select("ingested_at", "source_table", "error")
+    out = manifest.where(F.col("status") == ERRO).select("ingested_at", "source_table", "error")
     order = [F.col("ingested_at").desc(), F.col("source_table").asc()]
     return top_n(out, order, n) if n else out.orderBy(*order)
 
 
 def status_counts(frame: DataFrame, status_col: str = "status", rows_col: str = "row_count",
-                  ok_value: str = "OK") -> DataFrame:
+                  ok_value: str = OK) -> DataFrame:
     """Count per status plus the row total of OK entries, null → 0 (A5, A6),
     in one pass."""
     return frame.groupBy(status_col).agg(
@@ -182,7 +183,7 @@ ROLLUP_DAY, ROLLUP_FILES, ROLLUP_ROWS, ROLLUP_MB = "dia", "arquivos", "linhas",
 def daily_manifest(manifest: DataFrame) -> DataFrame:
     """Daily rollup of OK manifest rows: files, rows, MB (2 places), newest
     day first (A10)."""
-    return (manifest.where(F.col("status") == "OK")
+    return (manifest.where(F.col("status") == OK)
             .groupBy(F.to_date(F.col("ingested_at")).alias(ROLLUP_DAY))
             .agg(F.count(F.lit(1)).cast("long").alias(ROLLUP_FILES),
                  F.sum("row_count").cast("long").alias(ROLLUP_ROWS),
@@ -195,9 +196,9 @@ def daily_observability(control: DataFrame) -> DataFrame:
     duration, rows read and written (M3)."""
     return (control.groupBy(F.to_date("start_time").alias("day"), "collection")
             .agg(F.count(F.lit(1)).cast("long").alias("runs"),
-                 F.count_if(F.col("status") == "FAILED").cast("long").alias("failures"),
-                 F.count_if(F.col("status") == "PARTIAL").cast("long").alias("partials"),
-                 F.round(F.count_if(F.col("status") == "FAILED") / F.count(F.lit(1)), 4).alias("failure_rate"),
+                 F.count_if(F.col("status") == FAILED).cast("long").alias("failures"),
+                 F.count_if(F.col("status") == PARTIAL).cast("long").alias("partials"),
+                 F.round(F.count_if(F.col("status") == FAILED) / F.count(F.lit(1)), 4).alias("failure_rate"),
                  F.avg("duracao_seg").alias("avg_duration_sec"),
                  F.round(F.sum("duracao_seg"), 2).alias("total_duration_sec"),
                  F.sum("qtd_lida_origem").cast("long").alias("rows_read"),
@@ -208,7 +209,7 @@ def accumulated_reconcile(control: DataFrame, bronze_counts: DataFrame) -> DataF
     """Accumulated source × target check per collection (M6): all rows
     reported read and written by non-failed runs against the rows the
     bronze table holds now."""
-    runs = (control.where(F.col("status") != "FAILED").groupBy("collection")
+    runs = (control.where(F.col("status") != FAILED).groupBy("collection")
             .agg(F.count(F.lit(1)).cast("long").alias("runs"),
                  F.sum("qtd_lida_origem").cast("long").alias("total_read"),
                  F.sum("qtd_gravada_destino").cast("long").alias("total_written")))

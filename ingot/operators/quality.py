@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ingot.config import PARTIAL, SUCCESS
 from ingot.functions.scalars import divergence_pct, pct
 
 
@@ -82,7 +83,7 @@ def status_column(divergence: Column, threshold: Column, null_keys: Column, dupl
     duplicate key group; else SUCCESS (C2). Null keys are tested by count,
     not by the rounded share, so a tiny share cannot vanish."""
     bad = (divergence > threshold) | (null_keys > 0) | (duplicate_groups > 0)
-    return F.when(bad, F.lit("PARTIAL")).otherwise(F.lit("SUCCESS"))
+    return F.when(bad, F.lit(PARTIAL)).otherwise(F.lit(SUCCESS))
 
 
 def reconcile(df: DataFrame, extracted: str = "extracted", landed: str = "landed",
@@ -95,7 +96,7 @@ def reconcile(df: DataFrame, extracted: str = "extracted", landed: str = "landed
     out = out.withColumn("status", status_column(div, F.col(threshold), F.col(null_keys), F.col(duplicate_groups)))
     msg = F.format_string(PARTIAL_MESSAGE_SQL, div, F.col(threshold).cast("string"),
                           F.col(null_pct).cast("string"), F.col(duplicate_groups).cast("string"))
-    return out.withColumn("message", F.when(F.col("status") == "PARTIAL", msg))
+    return out.withColumn("message", F.when(F.col("status") == PARTIAL, msg))
 
 
 def reconcile_status(extracted: int, landed: int, threshold: float, null_keys: int,
@@ -104,8 +105,8 @@ def reconcile_status(extracted: int, landed: int, threshold: float, null_keys: i
     div = abs(extracted - landed) / extracted * 100 if extracted else 0.0
     if div > threshold or null_keys > 0 or duplicate_groups > 0:
         msg = PARTIAL_MESSAGE.format(div=div, threshold=threshold, pct_null=pct_null, dups=duplicate_groups)
-        return "PARTIAL", msg, div
-    return "SUCCESS", None, div
+        return PARTIAL, msg, div
+    return SUCCESS, None, div
 
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)

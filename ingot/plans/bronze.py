@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ingot.config import DEFAULT_WATERMARK_START, ERROR_MESSAGE_LIMIT, CollectionConfig, RunConfig
+from ingot.config import (DEFAULT_WATERMARK_START, ERROR_MESSAGE_LIMIT, FAILED, SUCCESS, CollectionConfig,
+                          RunConfig)
+from ingot.functions.json import infer_json_schema
 from ingot.functions.rescue import RESCUE_COLUMN
 from ingot.functions.scalars import normalise_types
 from ingot.operators.control import ControlLog
@@ -34,7 +36,6 @@ from ingot.operators.lineage import LINEAGE_COLUMNS, add_lineage, utc_now
 from ingot.operators.merge import PARTITION_COLUMN, insert_only_merge, latest_per_key, read_table, table_exists
 from ingot.operators.quality import reconcile_status
 from ingot.sources.documents import scan_collection
-from ingot.functions.json import infer_json_schema
 from ingot.sources.landing import read_landing, read_landing_fields, read_landing_text
 
 
@@ -146,7 +147,7 @@ def process_collection(spark: SparkSession, cfg: RunConfig, coll: CollectionConf
     cannot stop the caller."""
     run_id = run_id or str(uuid.uuid4())
     start = clock()
-    status, message = "SUCCESS", None
+    status, message = SUCCESS, None
     wm_start = None
     wm_final = None
     read_n = written_n = 0
@@ -188,7 +189,7 @@ def process_collection(spark: SparkSession, cfg: RunConfig, coll: CollectionConf
             new_wm = load.max_watermark_written if reference else load.max_watermark_read
             wm_final = new_wm if new_wm is not None else wm_start
     except Exception as exc:  # isolation boundary of one collection
-        status, message = "FAILED", str(exc)[:ERROR_MESSAGE_LIMIT]
+        status, message = FAILED, str(exc)[:ERROR_MESSAGE_LIMIT]
         logger.error("collection %s failed: %s", coll.name, message)
     end = clock()
     record = dict(_ingestion_id=run_id, collection=coll.name, load_type=coll.mode,
@@ -227,7 +228,7 @@ def run_all(spark: SparkSession, cfg: RunConfig, sources: Sources, clock: Clock
             return dict(_ingestion_id=str(uuid.uuid4()), collection=coll.name, load_type=coll.mode,
                         watermark_inicial=None, watermark_final=None, qtd_lida_origem=0,
                         qtd_gravada_destino=0, start_time=now, end_time=now, duracao_seg=0.0,
-                        status="FAILED", mensagem_erro=str(exc)[:ERROR_MESSAGE_LIMIT])
+                        status=FAILED, mensagem_erro=str(exc)[:ERROR_MESSAGE_LIMIT])
         return process_collection(spark, cfg, coll, src, control, (run_ids or {}).get(coll.name), clock)
 
     if parallelism > 1:
@@ -250,5 +251,5 @@ def replay_from_watermark(spark: SparkSession, cfg: RunConfig, coll: CollectionC
     control = ControlLog(spark, cfg.control_path)
     delete_keys(spark, f"{cfg.bronze_dir}/{coll.name}", keys, "_source_id")
     control.insert(f"replay-{uuid.uuid4().hex[:8]}", coll.name, "incremental", None, watermark,
-                   "SUCCESS", "manual watermark for replay", when=clock())
+                   SUCCESS, "manual watermark for replay", when=clock())
     return process_collection(spark, cfg, coll, source, control, clock=clock)

@@ -18,6 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ingot.config import ERRO, MESSAGE_LIMIT_SUMMARY, OK, SKIP
 from ingot.functions.names import sanitize_columns, split_columns
 from ingot.operators.control import MANIFEST_SCHEMA, SUMMARY_SCHEMA
 from ingot.operators.landing import dated_dir
@@ -67,12 +68,12 @@ def land_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str,
             size = sum(s for _, _, s in new)
             file_name = ",".join(fn for fn, _, _ in new)[:1000]
             return (run_id, ingested_at.isoformat(), source.get("catalog"), source.get("schema"),
-                    source.get("database"), name, "OK", n, file_name, path, size,
+                    source.get("database"), name, OK, n, file_name, path, size,
                     round(time.time() - t0, 2), "")
         except Exception as exc:
             return (run_id, ingested_at.isoformat(), source.get("catalog"), source.get("schema"),
-                    source.get("database"), name, "ERRO", None, None, path, None,
-                    round(time.time() - t0, 2), str(exc)[:500])
+                    source.get("database"), name, ERRO, None, None, path, None,
+                    round(time.time() - t0, 2), str(exc)[:MESSAGE_LIMIT_SUMMARY])
 
     return spark.createDataFrame(_parallel_map(one, sorted(tables), parallelism), MANIFEST_SCHEMA)
 
@@ -115,7 +116,7 @@ def consolidate(spark: SparkSession, base: str, tables: list[str], start: _dt.da
         try:
             paths = dated_paths(spark, base, name, start, end)
             if not paths:
-                return (name, "SKIP", 0, 0, 0, target, "")
+                return (name, SKIP, 0, 0, 0, target, "")
             raw = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet").parquet(*paths)
             n_files = len(raw.inputFiles())
             raw = sanitize_columns(raw)
@@ -126,8 +127,8 @@ def consolidate(spark: SparkSession, base: str, tables: list[str], start: _dt.da
             dedup = dedup.observe(obs, F.count(F.lit(1)).alias("kept"),
                                   F.coalesce(F.sum("__group_rows"), F.lit(0)).alias("read"))
             overwrite_snapshot(dedup.drop("__group_rows"), target)
-            return (name, "OK", n_files, int(obs.get["read"]), int(obs.get["kept"]), target, "")
+            return (name, OK, n_files, int(obs.get["read"]), int(obs.get["kept"]), target, "")
         except Exception as exc:
-            return (name, "ERRO", 0, 0, 0, target, str(exc)[:500])
+            return (name, ERRO, 0, 0, 0, target, str(exc)[:MESSAGE_LIMIT_SUMMARY])
 
     return spark.createDataFrame(_parallel_map(one, sorted(tables), parallelism), SUMMARY_SCHEMA)
