@@ -226,12 +226,28 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
 
 
 def overwrite_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Replace a table with a new snapshot, schema included (K6). The caller
-    must not be reading ``path`` in the same plan."""
+    """Replace a table with a new snapshot, schema included (K6). The new
+    snapshot is written completely to a sibling staging folder first; then
+    the old folder is moved aside, the new one moved in, and the old one
+    removed. Readers never see a half-written table, and ``df`` may read
+    ``path`` itself (a table rebuilt from its own rows)."""
+    spark = df.sparkSession
+    base = path.rstrip("/")
+    staging = f"{base}__staging_{uuid.uuid4().hex[:12]}"
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(staging)
+    src, fs = _fs_path(spark, staging)
+    dst, _ = _fs_path(spark, base)
+    if fs.exists(dst):
+        backup, _ = _fs_path(spark, f"{base}__replaced_{uuid.uuid4().hex[:12]}")
+        fs.rename(dst, backup)
+        fs.rename(src, dst)
+        fs.delete(backup, True)
+    else:
+        fs.mkdirs(dst.getParent())
+        fs.rename(src, dst)
 
 
 def _replace_partitions(spark: SparkSession, table_path: str, partition_col: str, parts: list,

@@ -140,3 +140,13 @@ def test_compact_partitions_keeps_rows(spark, ws):
     assert compact_partitions(spark, t, ["2024-02-01"]) == 1 < len(before)
     assert sorted(tuple(r) for r in read_table(spark, t).select("_id", "v").collect()) == rows_before
     assert not [n for n in os.listdir(t.replace("file:", "")) if n.startswith(("_staging", "_replaced"))]
+
+
+def test_overwrite_snapshot_can_rebuild_from_itself(spark, ws):
+    import os
+    from ingot.operators.merge import overwrite_snapshot
+    t = f"{ws}/snap"
+    overwrite_snapshot(spark.createDataFrame([(1,), (2,), (2,)], "x int"), t)
+    overwrite_snapshot(spark.read.parquet(t).distinct(), t)   # reads the path it replaces
+    assert sorted(r.x for r in spark.read.parquet(t).collect()) == [1, 2]
+    assert sorted(os.listdir(ws.replace("file:", ""))) == ["snap"]
