@@ -26,6 +26,13 @@ class ExtractResult:
     path: str
     docs: int
     pages: int
+    started_at: _dt.datetime | None = None
+    finished_at: _dt.datetime | None = None
+
+    def files(self, spark: SparkSession) -> DataFrame:
+        """The landed pages (path, name, size) as a DataFrame, listed by
+        Spark rather than collected into a driver list."""
+        return landed_file_facts(spark, self.path, "*.json*")
 
 
 def write_landing_pages(df: DataFrame, path: str, key: str | None, batch_size: int = DEFAULT_BATCH_SIZE,
@@ -37,6 +44,7 @@ def write_landing_pages(df: DataFrame, path: str, key: str | None, batch_size: i
     keep the scan's order and no shuffle happens. ``compression`` (e.g.
     ``gzip``) shrinks the landing; pages are small, so files need not be
     splittable."""
+    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     norm = normalise_types(df)
     if ordered and key:
         # the row hash breaks ties inside one key, so a key holding a large
@@ -53,7 +61,8 @@ def write_landing_pages(df: DataFrame, path: str, key: str | None, batch_size: i
      .option("ignoreNullFields", "false").option("compression", compression).json(path))
     docs = int(obs.get.get("docs", 0) or 0)
     pages = sum(1 for n, _, d, _ in list_dir(norm.sparkSession, path) if not d and ".json" in n)
-    return ExtractResult(collection, path, docs, pages)
+    return ExtractResult(collection, path, docs, pages, started,
+                         _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
 
 
 def landed_file_facts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -61,3 +61,12 @@ def test_sample_export_one_file_per_document(spark, ws):
     facts = landed_file_facts(spark, ws, "*.json")
     assert facts.count() == 5
     assert sorted(r[0] for r in spark.read.json(ws).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_extract_result_reports_pages_and_files(spark, ws):
+    from ingot.operators.landing import write_landing_pages
+    df = spark.range(0, 25).withColumnRenamed("id", "_id")
+    r = write_landing_pages(df, f"{ws}/land", "_id", batch_size=10)
+    facts = r.files(spark).collect()
+    assert r.docs == 25 and r.pages == len(facts) >= 3
+    assert all(f.file_size_bytes > 0 for f in facts) and r.started_at <= r.finished_at
