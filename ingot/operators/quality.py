@@ -59,13 +59,15 @@ def batch_metrics(df: DataFrame, key: str) -> BatchMetrics:
                         r.duplicate_key_groups or 0, r.min_key, r.max_key)
 
 
-def removed_by_dedup(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows read, rows kept after dedup on ``keys`` and rows removed.
-    Counted from one ``groupBy(keys)``; null keys form one group, as in
-    the dedup itself (``count(distinct)`` would skip them)."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return g.agg(F.sum("__n").cast("long").alias("rows_read"),
-                 F.count(F.lit(1)).cast("long").alias("rows_kept")) \
+def removed_by_dedup(df: DataFrame, keys: list[str], by: list[str] | None = None) -> DataFrame:
+    """Rows read, rows kept after dedup on ``keys`` and rows removed (A8),
+    overall or per ``by`` group. Counted from one ``groupBy(by + keys)``;
+    null keys form one group, as in the dedup itself (``count(distinct)``
+    would skip them)."""
+    by = by or []
+    g = df.groupBy(*by, *[k for k in keys if k not in by]).agg(F.count(F.lit(1)).alias("__n"))
+    return g.groupBy(*by).agg(F.sum("__n").cast("long").alias("rows_read"),
+                              F.count(F.lit(1)).cast("long").alias("rows_kept")) \
         .withColumn("rows_removed", F.col("rows_read") - F.col("rows_kept"))
 
 

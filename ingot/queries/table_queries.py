@@ -14,7 +14,7 @@ from ingot.operators.filters import (all_of, cast_columns, exclude_fields, incre
 from ingot.operators.merge import distinct_rows, latest_per_key, row_hash
 from ingot.operators.ordering import key_pages
 from ingot.operators.quality import (column_profile, contract_check, empty_or_null, key_metrics,
-                                     reconcile, source_profile, tag_quarantine)
+                                     reconcile, removed_by_dedup, source_profile, tag_quarantine)
 from ingot.plans.silver import enrich, explode_array, flatten
 from ingot.queries.common import iso_sql, table
 from ingot.sources.documents import raw_documents, scan_collection
@@ -223,11 +223,7 @@ SELECT lang, CAST(sum(n) AS BIGINT) AS rows_read, count(*) AS rows_kept,
 def dedup_removed(spark: SparkSession, sf: str) -> DataFrame:
     """Rows removed by the full-row dedup, per language, from one
     ``groupBy(lang, text)`` pass (A8)."""
-    d = table(spark, sf, "documents")
-    g = d.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("n"))
-    return g.groupBy("lang").agg(F.sum("n").cast("long").alias("rows_read"),
-                                 F.count(F.lit(1)).cast("long").alias("rows_kept")) \
-        .withColumn("rows_removed", F.col("rows_read") - F.col("rows_kept"))
+    return removed_by_dedup(table(spark, sf, "documents"), ["lang", "text"], by=["lang"])
 
 
 # ---------------------------------------------------------------- X7, P5, A9, X8
