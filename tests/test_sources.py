@@ -70,3 +70,24 @@ def test_extract_result_reports_pages_and_files(spark, ws):
     facts = r.files(spark).collect()
     assert r.docs == 25 and r.pages == len(facts) >= 3
     assert all(f.file_size_bytes > 0 for f in facts) and r.started_at <= r.finished_at
+
+
+def test_table_discovery_and_file_facts(spark, ws):
+    from ingot.sources.files import list_tables, table_files
+    for name, n in (("beta", 3), ("alpha", 2)):
+        spark.range(n).write.parquet(f"{ws}/inv/{name}")
+    assert list_tables(spark, f"{ws}/inv") == ["alpha", "beta"]
+    facts = {r.table_name for r in table_files(spark, f"{ws}/inv").collect()}
+    assert facts == {"alpha", "beta"}
+
+
+def test_payload_files_multiline_and_arrays(spark, ws):
+    import os
+    from ingot.sources.files import read_payloads
+    os.makedirs(f"{ws}/p".replace("file:", ""), exist_ok=True)
+    with open(f"{ws}/p/one.json".replace("file:", ""), "w") as fh:
+        fh.write('{\n  "cep": "0",\n  "uf": "AA"\n}')
+    with open(f"{ws}/p/many.json".replace("file:", ""), "w") as fh:
+        fh.write('[{"cep": "1", "uf": "SP"},\n {"cep": "2", "uf": "RJ"}]')
+    rows = sorted(tuple(r) for r in read_payloads(spark, f"{ws}/p", "cep string, uf string").collect())
+    assert rows == [("0", "AA"), ("1", "SP"), ("2", "RJ")]
