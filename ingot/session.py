@@ -22,8 +22,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.mergeSchema": "false",
 }
 
 
@@ -50,8 +48,6 @@ def build_session(master: str | None = None, app: str = "ingot",
 
 def apply_defaults(spark: SparkSession) -> None:
     for k, v in SESSION_DEFAULTS.items():
-        if k == "spark.sql.parquet.mergeSchema":
-            continue
         spark.conf.set(k, v)
 
 
