@@ -221,3 +221,19 @@ def test_numeric_watermark_compares_as_numbers(spark, ws):
     assert (r1["status"], r1["qtd_lida_origem"], r1["watermark_final"]) == ("SUCCESS", 11, "10")
     r2 = process_collection(spark, cfg, c, src(13), control, clock=ck)
     assert (r2["qtd_lida_origem"], r2["qtd_gravada_destino"], r2["watermark_final"]) == (2, 2, "12")
+
+
+def test_command_line_runs_configured_collections(spark, ws, capsys):
+    import json
+    from ingot.__main__ import main
+    _src(spark, _rows(4)).write.parquet(f"{ws}/src/movies")
+    cfg_path = f"{ws}/cfg.json".replace("file:", "")
+    with open(cfg_path, "w") as fh:
+        json.dump({"collections": [{"name": "movies", "mode": "incremental", "watermark_field": "lastupdated",
+                                    "watermark_type": "date"},
+                                   {"name": "missing", "mode": "full"}]}, fh)
+    code = main(["--config", cfg_path, "--base-dir", f"{ws}/run", "--source", f"movies={ws}/src/movies"], spark)
+    out = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert code == 1   # the collection without a source FAILED
+    got = {r["collection"]: (r["status"], r["qtd_gravada_destino"]) for r in out}
+    assert got == {"movies": ("SUCCESS", 4), "missing": ("FAILED", 0)}
