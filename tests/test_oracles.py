@@ -35,14 +35,22 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+# Spark type name → DuckDB type name, for the schema part of the check.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
-    cur = duck.execute(oracle_sql()[name])
-    want = _canon([d[0] for d in cur.description], cur.fetchall())
+    rel = duck.sql(oracle_sql()[name])
+    want = _canon(rel.columns, rel.fetchall())
     assert got[0] == want[0]
     assert got[1] == want[1]
+    spark_types = {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes}
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
 
 
 def test_every_query_has_an_oracle():
