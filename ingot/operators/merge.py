@@ -160,6 +160,33 @@ def _estimated_bytes(df: DataFrame) -> int:
     return estimated_bytes(df)
 
 
+def insert_only_rows(batch: DataFrame, target: DataFrame | None, key: str = "_source_id",
+                     key_range: tuple | None = None, batch_keys: DataFrame | None = None,
+                     expected_keys: int | None = None,
+                     prune_min_target_bytes: int = PRUNE_MIN_TARGET_BYTES) -> DataFrame:
+    """The rows an insert-only merge would append (the plan, no write):
+    batch rows whose key the target lacks, plus NULL-key rows. See
+    :func:`insert_only_merge` for the pruning steps."""
+    if target is None:
+        return batch
+    batch = align_to_target(batch, target.schema)
+    existing = target.select(F.col(f"`{key}`").alias("__k")).where(F.col("__k").isNotNull())
+    if key_range is not None and key_range[0] is not None:
+        existing = existing.where(F.col("__k").between(F.lit(key_range[0]), F.lit(key_range[1])))
+    if expected_keys is not None and _estimated_bytes(existing) >= prune_min_target_bytes:
+        keys_src = batch_keys if batch_keys is not None else batch.select(F.col(f"`{key}`"))
+        pruned = prune_by_batch_buckets(existing, keys_src.where(F.col(keys_src.columns[0]).isNotNull()),
+                                        expected_keys)
+        existing = pruned if pruned is not None else existing
+    # a key repeated in the target is reduced map-side before the shuffle
+    existing = existing.distinct()
+    keyed = batch.where(F.col(f"`{key}`").isNotNull())
+    # NULL keys never match: they skip the join instead of all hashing into
+    # one shuffle partition
+    return keyed.join(existing, keyed[key] == existing["__k"], "left_anti") \
+        .unionByName(batch.where(F.col(f"`{key}`").isNull()))
+
+
 def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, key: str = "_source_id",
                       partition_by: tuple[str, ...] = (PARTITION_COLUMN,),
                       key_range: tuple | None = None, sort_within: bool = True,
@@ -189,26 +216,9 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
     stage itself, so a re-run map stage (lost executor) cannot count a row
     twice."""
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
-    if target is not None or table_exists(spark, target_path):
-        target = target if target is not None else read_table(spark, target_path)
-        batch = align_to_target(batch, target.schema)
-        existing = target.select(F.col(f"`{key}`").alias("__k")).where(F.col("__k").isNotNull())
-        if key_range is not None and key_range[0] is not None:
-            existing = existing.where(F.col("__k").between(F.lit(key_range[0]), F.lit(key_range[1])))
-        if expected_keys is not None and _estimated_bytes(existing) >= prune_min_target_bytes:
-            keys_src = batch_keys if batch_keys is not None else batch.select(F.col(f"`{key}`"))
-            pruned = prune_by_batch_buckets(existing, keys_src.where(F.col(keys_src.columns[0]).isNotNull()),
-                                            expected_keys)
-            existing = pruned if pruned is not None else existing
-        # a key repeated in the target is reduced map-side before the shuffle
-        existing = existing.distinct()
-        keyed = batch.where(F.col(f"`{key}`").isNotNull())
-        # NULL keys never match: they skip the join instead of all hashing
-        # into one shuffle partition
-        new_rows = keyed.join(existing, keyed[key] == existing["__k"], "left_anti") \
-            .unionByName(batch.where(F.col(f"`{key}`").isNull()))
-    else:
-        new_rows = batch
+    if target is None and table_exists(spark, target_path):
+        target = read_table(spark, target_path)
+    new_rows = insert_only_rows(batch, target, key, key_range, batch_keys, expected_keys, prune_min_target_bytes)
     if sort_within:
         new_rows = new_rows.sortWithinPartitions(*partition_by, key)
     data_cols = [f for f in new_rows.schema.fields if f.name not in partition_by]

@@ -44,6 +44,32 @@ def facts(plan: str) -> list[str]:
     return out
 
 
+def merge_plan(spark, sf: str) -> str:
+    """Plan of the insert-only merge (J1) for a second delivery of events
+    into a bronze table holding the first, with the key range and the
+    bucket-set pruning switched on (as for a large target)."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from ingot.operators.lineage import add_lineage
+    from ingot.operators.merge import insert_only_merge, insert_only_rows, read_table
+    from ingot.session import new_workspace
+    ws = new_workspace(spark, "plan-merge")
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    now = dt.datetime(2024, 2, 1)
+    insert_only_merge(spark, add_lineage(ev.where("ts < '2024-01-20'"), "event_id", "r1", "full", now), f"{ws}/t")
+    second = add_lineage(ev.where("ts >= '2024-01-10'"), "event_id", "r2", "full", now)
+    rows = insert_only_rows(second, read_table(spark, f"{ws}/t"), key_range=("1000", "9999"),
+                            batch_keys=second.select("_source_id"), expected_keys=10_000,
+                            prune_min_target_bytes=0)
+    return df_facts(rows)
+
+
+def df_facts(df) -> str:
+    formatted = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    tree = formatted.split("\n\n")[0]
+    return "```\n" + tree.strip() + "\n```\n\n" + ("\n".join(facts(formatted)) or "- (local relation)")
+
+
 def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", shuffle_partitions=8)
@@ -57,6 +83,9 @@ def main(argv):
         print(f"## {name}\n")
         print("\n".join(facts(formatted)) or "- (local relation)")
         print()
+    print("## insert_only_merge (J1): second delivery, key-range and bucket-set pruning on\n")
+    print(merge_plan(spark, sf))
+    print()
     spark.stop()
 
 
