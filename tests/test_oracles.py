@@ -6,7 +6,8 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ingot.queries import all_oracles, all_queries
 from ingot.sources.tables import TEST_TABLES
 from conftest import SF_SMALL
 
@@ -40,11 +41,11 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
                  "boolean": "BOOLEAN", "date": "DATE", "float": "FLOAT", "smallint": "SMALLINT"}
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(all_oracles()))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = all_queries()[name](spark, SF_SMALL)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
-    rel = duck.sql(oracle_sql()[name])
+    rel = duck.sql(all_oracles()[name])
     want = _canon(rel.columns, rel.fetchall())
     assert got[0] == want[0]
     assert got[1] == want[1]
@@ -54,4 +55,4 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
