@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import packing, token_files, token_rollups
+from ingot.llm import minhash, packing, token_files, token_rollups
 from ingot.llm.common import corpus_table
 from ingot.llm.tokens import BYTE_LEVEL, WORD_LEVEL
 from ingot.session import new_workspace
@@ -23,6 +23,26 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op5_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(corpus_table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
+OP5_SQL = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^ \t\n\x0B\f\r]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) < 2 THEN ws
+        ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS sh FROM w),
+u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(id, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN (SELECT id, min(root) AS component_id FROM r GROUP BY id) c ON c.id = s.doc_id
+"""
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus_table(spark, sf_dir, "documents")
     return token_files.token_files(spark, docs, public_tokenizers.path(BYTE_BPE), BYTE_LEVEL)
@@ -65,10 +85,12 @@ FROM t GROUP BY ALL
 
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_bbit_minhash": op5_bbit_minhash,
     "op6_token_files": op6_token_files,
     "op7_token_rollups": op7_token_rollups,
 }
 
 ORACLES = {
+    "op5_bbit_minhash": OP5_SQL,
     "op7_token_rollups": OP7_SQL,
 }

@@ -172,12 +172,17 @@ class Shard:
         self.docs = np.frombuffer(raw, "<i8", nd, at + 8 * nb)
         self.starts = np.frombuffer(raw, "<u8", nd, at + 8 * nb + 8 * nd)
 
-    def ids(self, k: int) -> np.ndarray:
-        """Ids of the k-th document, decoding only the blocks it touches."""
-        lo = int(self.starts[k])
-        hi = int(self.starts[k + 1]) if k + 1 < len(self.starts) else self.n_ids
-        b0, b1 = lo // BLOCK, -(-hi // BLOCK)
-        return decode_blocks(self.raw, self.offsets[b0:b1])[lo - b0 * BLOCK:hi - b0 * BLOCK]
+    def ids(self, first: int, last: int | None = None) -> list[np.ndarray]:
+        """Ids of the documents ``first`` to before ``last`` (default: the one),
+        decoding only the blocks they touch."""
+        last = first + 1 if last is None else min(last, len(self.docs))
+        ends = np.append(self.starts[first:last], self.starts[last] if last < len(self.docs) else self.n_ids)
+        b0, b1 = int(ends[0]) // BLOCK, -(-int(ends[-1]) // BLOCK)
+        if b1 <= b0:
+            return [np.empty(0, np.uint32)] * (last - first)
+        flat = decode_blocks(self.raw, self.offsets[b0:b1])
+        cut = (ends - np.uint64(b0 * BLOCK)).astype(np.int64)
+        return [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
 # ---- Spark jobs ------------------------------------------------------------
@@ -228,15 +233,12 @@ def read_token_digests(manifest: DataFrame) -> DataFrame:
                 store, name = pafs.FileSystem.from_uri(path)
                 with store.open_input_file(name) as f:
                     sh = Shard(f.read())
-                for lo in range(0, len(sh.docs), 512):
-                    ks = range(lo, min(lo + 512, len(sh.docs)))
-                    ids = [sh.ids(k) for k in ks]
-                    doc = sh.docs[ks.start:ks.stop]
+                for lo in range(0, len(sh.docs), 256):
+                    ids = sh.ids(lo, lo + 256)
+                    doc = sh.docs[lo:lo + 256]
                     yield pd.DataFrame({
-                        "doc_id": pd.array(np.where(doc == NULL_ID, 0, doc), dtype="Int64")
-                        if not (doc == NULL_ID).any() else
-                        pd.array([None if d == NULL_ID else int(d) for d in doc], dtype="Int64"),
-                        "start": sh.starts[ks.start:ks.stop].astype(np.int64) + int(base),
+                        "doc_id": pd.arrays.IntegerArray(doc.astype(np.int64), doc == NULL_ID),
+                        "start": sh.starts[lo:lo + 256].astype(np.int64) + int(base),
                         "n_tokens": [len(x) for x in ids],
                         "ids_crc32": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]})
 

@@ -11,13 +11,29 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
-CACHE_PIECES = 1_200_000       # pieces remembered by a worker before it starts anew
+CACHE_PIECES = 600_000       # pieces remembered by a worker before it starts anew
 BYTE_LEVEL, WORD_LEVEL = "byte", "word"
 # a white-space run longer than one character beside a space: the run's cut depends on what follows
 _UNSAFE = re.compile("[ ]\\s|\\s[ ]|\u180e|<\\|")
 # Python splits at these, the tokenizers do not
 _NOT_SPACE = re.compile("[\x1c-\x1f\u180e]|<\\|")
+# A piece of these characters alone is cut here as the tokenizer files' own
+# patterns cut it (their letters and digits are Unicode's; these are the ones
+# below U+0100), and the library's model gets the words. All else takes the
+# library's whole way.
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", " \n\t\r"
+_PLAIN = re.compile(f"[{_S}!-~\xa1-\xac\xae-\xff]*")
+_CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+_WORDS = {
+    BYTE_LEVEL: re.compile(f"{_CONTRACTIONS}| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"),
+    WORD_LEVEL: re.compile(f"{_CONTRACTIONS}|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+"),
+}
+# byte-level alphabet: printable Latin-1 characters stand for themselves, the other bytes follow from U+0100 on
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: chr(b) for b in _SHOWN} | \
+    {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
 _PER_WORKER: dict = {}
 
 
@@ -32,17 +48,31 @@ class PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
         self.kind = kind
         self.cache: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, missing: list[str]) -> None:
-        for i in range(0, len(missing), 10_000):
-            part = missing[i:i + 10_000]
-            for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.cache[p] = array("I", e.ids).tobytes()
+    def _learn(self, missing: set[str]) -> None:
+        cache, lower = self.cache, self.kind == WORD_LEVEL
+        odd = []
+        for p in missing:
+            if not _PLAIN.fullmatch(p):
+                odd.append(p)
+                continue
+            words = _WORDS[self.kind].findall(p.lower() if lower else p)
+            out = []
+            for w in words:
+                ids = cache.get(w)
+                if ids is None:
+                    shown = w.encode().decode("latin-1").translate(_BYTE_CHARS)
+                    cache[w] = ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+                out.append(ids)
+            cache[p] = b"".join(out)
+        for p, e in zip(odd, self.tok.encode_batch_fast(odd, add_special_tokens=False), strict=True):
+            cache[p] = array("I", e.ids).tobytes()
 
     def _pieces(self, text: str) -> list[str] | None:
         if self.kind == WORD_LEVEL:
@@ -52,17 +82,23 @@ class PieceEncoder:
         parts = text.split(" ")
         return [parts[0], *[" " + p for p in parts[1:]]]
 
-    def encode_batch(self, texts) -> list[bytes]:
-        pieces = [self._pieces(t or "") for t in texts]
-        missing = [p for p in {p for ps in pieces if ps for p in ps} if p not in self.cache]
-        if missing:
-            if len(self.cache) + len(missing) > CACHE_PIECES:
-                self.cache.clear()
-                missing = list({p for ps in pieces if ps for p in ps})
-            self._learn(missing)
-        c = self.cache
-        return [self._whole(t) if ps is None else b"".join([c[p] for p in ps])
-                for t, ps in zip(texts, pieces, strict=True)]
+    def encode_batch(self, texts) -> Iterator[bytes]:
+        """Ids of each text; a null text has none."""
+        for t in texts:
+            t = "" if t is None else t
+            pieces = self._pieces(t)
+            if pieces is None:
+                yield self._whole(t)
+                continue
+            known = list(map(self.cache.get, pieces))
+            if None in known:
+                missing = {p for p, ids in zip(pieces, known, strict=True) if ids is None}
+                if len(self.cache) > CACHE_PIECES:
+                    self.cache.clear()
+                    missing = set(pieces)
+                self._learn(missing)
+                known = map(self.cache.__getitem__, pieces)
+            yield b"".join(known)
 
 
 def worker_encoder(path: str, kind: str) -> PieceEncoder:
