@@ -3,6 +3,7 @@ shared folder, and connected components on DataFrames."""
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -37,11 +38,24 @@ def corpus_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared directory and read it
-    back. It cuts lineage like ``checkpoint()`` does, in columnar form."""
+    back. It cuts lineage like ``checkpoint()`` does, in columnar form. Spark
+    drops the shuffle files of steps that are over when the driver collects
+    its garbage; asking for that here keeps them from piling up."""
     spark = df.sparkSession
     path = f"{new_workspace(spark, label)}/t"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table_path = path
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table made by ``written`` that nothing reads any more."""
+    spark = table.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._table_path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

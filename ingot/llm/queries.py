@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import minhash, packing, token_files, token_rollups
+from ingot.llm import minhash, packing, repeats, token_files, token_rollups
 from ingot.llm.common import corpus_table
 from ingot.llm.tokens import BYTE_LEVEL, WORD_LEVEL
 from ingot.session import new_workspace
@@ -83,14 +83,37 @@ SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_
 FROM t GROUP BY ALL
 """
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(corpus_table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS w FROM d, unnest(range(0, n - 99)) AS t(i)),
+again AS (SELECT doc_id, i FROM s QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1),
+heads AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS head
+          FROM again),
+runs AS (SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM
+           (SELECT doc_id, i, sum(head) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM heads) GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS prior FROM runs),
+kept AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS tail,
+                string_agg(substr(h, 2 * prior + 1, 2 * (lo - prior)), '' ORDER BY lo) AS k
+         FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN k IS NULL THEN h ELSE k || substr(h, 2 * tail + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_bbit_minhash": op5_bbit_minhash,
     "op6_token_files": op6_token_files,
     "op7_token_rollups": op7_token_rollups,
+    "op9_repeated_passages": op9_repeated_passages,
 }
 
 ORACLES = {
     "op5_bbit_minhash": OP5_SQL,
     "op7_token_rollups": OP7_SQL,
+    "op9_repeated_passages": OP9_SQL,
 }
