@@ -215,7 +215,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, kind: str, out_dir: str,
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     n = partitions_for(rows, TEXT_BYTES_PER_SHARD)
-    rows = rows.repartitionByRange(n, "doc_id", "text").sortWithinPartitions("doc_id", "text") \
+    rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text") \
         .withColumn("part", F.spark_partition_id())
     return written(rows.mapInPandas(encode, "part int, path string, n_docs long, n_ids long, n_bytes long"),
                    "token-manifest")
