@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import minhash, packing, repeats, token_files, token_rollups
+from ingot.llm import embeddings, minhash, packing, repeats, token_files, token_rollups
 from ingot.llm.common import corpus_table
 from ingot.llm.tokens import BYTE_LEVEL, WORD_LEVEL
 from ingot.session import new_workspace
@@ -23,6 +23,25 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op4_pstable_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(corpus_table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE
+u AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+      WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+r(id, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id),
+c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
 def op5_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(corpus_table(spark, sf_dir, "documents"), k=2, percent=80)
 
@@ -106,6 +125,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_pstable_embeddings": op4_pstable_embeddings,
     "op5_bbit_minhash": op5_bbit_minhash,
     "op6_token_files": op6_token_files,
     "op7_token_rollups": op7_token_rollups,
@@ -113,6 +133,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_pstable_embeddings": OP4_SQL,
     "op5_bbit_minhash": OP5_SQL,
     "op7_token_rollups": OP7_SQL,
     "op9_repeated_passages": OP9_SQL,
