@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import embeddings, minhash, packing, repeats, token_files, token_rollups
+from ingot.llm import embeddings, language, minhash, packing, repeats, token_files, token_rollups
 from ingot.llm.common import corpus_table
 from ingot.llm.tokens import BYTE_LEVEL, WORD_LEVEL
 from ingot.session import new_workspace
@@ -102,6 +102,12 @@ SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_
 FROM t GROUP BY ALL
 """
 
+def op8_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = corpus_table(spark, sf_dir, "documents")
+    model = language.train(docs.filter(~language.held_out()))
+    return language.predict(docs.select("doc_id", language.held_out().alias("held_out"), "text"), model).drop("text")
+
+
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(corpus_table(spark, sf_dir, "documents"))
 
@@ -129,6 +135,7 @@ QUERIES = {
     "op5_bbit_minhash": op5_bbit_minhash,
     "op6_token_files": op6_token_files,
     "op7_token_rollups": op7_token_rollups,
+    "op8_crf_language": op8_crf_language,
     "op9_repeated_passages": op9_repeated_passages,
 }
 
