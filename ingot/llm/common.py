@@ -42,12 +42,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     drops the shuffle files of steps that are over when the driver collects
     its garbage; asking for that here keeps them from piling up."""
     spark = df.sparkSession
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     path = f"{new_workspace(spark, label)}/t"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     return out
 
 

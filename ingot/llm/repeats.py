@@ -14,14 +14,15 @@ occurs once are done. Equal fragments of one hash collapse to the first one
 (partially aggregated), all others are repeated throughout. A hash left with
 one distinct fragment is done as well. The distinct fragments of the others
 are collections of short strings; they are grouped by hash and go through
-
-the column-wise construction (``collection_bwt``): in round j one symbol per
-string, the j-th from its end, is inserted into the transform of the
-collection; the symbol's rank gives the place of the new suffix, and the
-common prefix lengths of it and its successor follow from range minima over
-the earlier ones. The transform and the common prefixes live in files that
-each round reads and writes from start to end. Adjacent suffixes that share
-``length`` bytes are equal windows; all but the first occurrence are repeated.
+the column-wise construction (``repeated_windows``). Aligned at their anchors,
+the strings are taken column by column from the right: each round inserts one
+symbol per string, the stable order by symbol is the new suffix order, and the
+common prefixes follow from range minima over the earlier ones. Since equal
+windows start in equal columns, the transform is kept per column (a positional
+transform), and a round costs as much as there are strings, not suffixes.
+Order, common prefixes and transform live in files that a round reads and
+writes from start to end. Neighbours that share ``length`` bytes are equal
+windows; all but the first occurrence are repeated.
 
 A hash with more than ``LARGEST_GROUP`` distinct fragments (a passage whose
 surroundings all differ) would be one task's work. Its windows are instead
@@ -52,7 +53,7 @@ from ingot.llm.common import discard, written
 LENGTH = 100
 ANCHOR = 40
 LARGEST_GROUP = 1000
-BATCH = 3000                 # strings per collection; a group is never split
+BATCH = 20_000               # strings per collection; a group is never split
 _GRAM = np.random.default_rng(7).integers(0, 1 << 63, 256, np.uint64)
 
 
@@ -78,15 +79,16 @@ def _slide(x: np.ndarray, width: int, fold) -> np.ndarray:
     return x
 
 
-def anchors(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the anchors of a text, the first window each owns, and how
-    many it owns. Every window belongs to exactly one anchor."""
+def anchors(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the anchors of a text, the first window each owns, how many
+    it owns, and the anchor's place after that first start. Every window
+    belongs to exactly one anchor."""
     k = min(ANCHOR, length)
     width = length - k + 1
     b = np.frombuffer(text, np.uint8)
     n = len(b) - length + 1
     if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), *(np.empty(0, np.int64),) * 3
     h = _gram_hashes(b, k)
     low = _slide(h, width, np.minimum)                      # smallest hash of each window
     pad = np.zeros(width - 1, np.uint64)
@@ -103,146 +105,98 @@ def anchors(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     owner = places[np.searchsorted(keys, np.searchsorted(values, low[starts]) * span + starts)]
     first = np.concatenate(([True], owner[1:] != owner[:-1]))
     lo = starts[first]
-    return h[owner[first]], lo, np.diff(np.append(lo, n))
+    return h[owner[first]], lo, np.diff(np.append(lo, n)), owner[first] - lo
 
 
 # ---- column-wise construction ----------------------------------------------
 
-def _range_minima(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """min(values[lo:hi]) for each pair, lo < hi <= len(values) - 1."""
-    pairs = np.empty(2 * len(lo), np.int64)
-    pairs[::2], pairs[1::2] = lo, hi
-    return np.minimum.reduceat(values, pairs)[::2]
-
-
-class _Occurrences:
-    """Symbol counts of a transform by blocks of rows: how often a symbol
-    occurs before a row, and where it last and next does."""
-
-    BLOCK = 128
-
-    def __init__(self, bwt: np.ndarray, symbols: int):
-        n, w = len(bwt), self.BLOCK
-        blocks = -(-n // w)
-        self.rows = np.zeros(blocks * w, np.uint8)
-        self.rows[:n] = bwt
-        self.rows = self.rows.reshape(blocks, w)
-        per_block = np.bincount((np.arange(n, dtype=np.int64) // w) * symbols + bwt, minlength=blocks * symbols)
-        self.before = np.zeros((symbols, blocks + 1), np.int64)
-        np.cumsum(per_block.reshape(blocks, symbols).T, axis=1, out=self.before[:, 1:])
-        self.total = self.before[:, -1]
-        self.step = n + 2
-        # one ascending table for all symbols: finds the block of a symbol's r-th occurrence
-        self.keys = (self.before + np.arange(symbols)[:, None] * self.step).ravel()
-
-    def around(self, row: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For rows holding c: the count of c before, its last row before and
-        its next row behind; -1 where there is none."""
-        w = self.BLOCK
-        block, place = row // w, (row % w).astype(np.uint8)[:, None]
-        # 1 .. w at the columns that hold c, 0 elsewhere
-        cols = np.arange(1, w + 1, dtype=np.uint8)
-        held = (self.rows[block] == c.astype(np.uint8)[:, None]) * cols
-        left = held * (held <= place)
-        inside = np.add.reduce(left > 0, axis=1, dtype=np.uint8).astype(np.int64)
-        start = self.before[c, block]
-        last = np.where(inside > 0, block * w + left.max(axis=1) - 1, -1)
-        far = np.flatnonzero((inside == 0) & (start > 0))
-        if len(far):
-            b = np.searchsorted(self.keys, c[far] * self.step + start[far], "left") - 1 - c[far] * self.before.shape[1]
-            last[far] = b * w + ((self.rows[b] == c[far, None]) * cols).max(axis=1) - 1
-        np.putmask(held, held <= place + np.uint8(1), np.uint8(255))
-        right = held.min(axis=1)
-        nxt = np.where(right < 255, block * w + right - 1, -1)
-        upto = self.before[c, block + 1]
-        far = np.flatnonzero((right == 255) & (upto < self.total[c]))
-        if len(far):
-            b = np.searchsorted(self.keys, c[far] * self.step + upto[far], "right") - 1 - c[far] * self.before.shape[1]
-            nxt[far] = b * w + np.argmax(self.rows[b] == c[far, None], axis=1)
-        return start + inside, last, nxt
-
-
-def collection_bwt(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarray]:
-    """Transform and common-prefix lengths of all suffixes of the strings,
-    built column by column from their ends. Rows 0 to m-1 are the empty
-    suffixes; symbol 0 marks a whole string. Strings have at most 250 bytes.
-
-    The two arrays are kept in files of ``folder``: a round reads both in
-    order, merges the new rows in, and writes both anew."""
-    m = len(strings)
-    flat = np.frombuffer(b"".join(strings), np.uint8)
-    symbol = np.zeros(256, np.uint8)
-    used = np.unique(flat)
-    symbol[used] = np.arange(1, len(used) + 1)   # UTF-8 never uses all 256 values
-    flat = symbol[flat]
-    size = np.fromiter(map(len, strings), np.int64, m)
-    end = np.cumsum(size)
-    files = [[open(os.path.join(folder, f"{x}-{i}"), "w+b", buffering=0) for x in ("bwt", "lcp")] for i in (0, 1)]
-    kept = m
+class _Columns:
+    """The sorted order and the common prefixes of the current column, kept in
+    files that a round reads and rewrites from start to end. The symbols that
+    the rounds insert are appended to ``transform``, one column after another."""
+
+    def __init__(self, folder: str):
+        self.files = [open(os.path.join(folder, x), "w+b", buffering=0) for x in ("order", "common")]
+        self.transform = open(os.path.join(folder, "transform"), "wb")
+        self.rows = 0
 
-    def write(pair, *arrays):
-        for f, x in zip(pair, arrays, strict=True):
+    def read(self) -> tuple[np.ndarray, np.ndarray]:
+        out = []
+        for f, kind in zip(self.files, (np.int32, np.uint16), strict=True):
             f.seek(0)
-            f.write(x.data)
+            out.append(np.frombuffer(f.read(self.rows * np.dtype(kind).itemsize), kind))
+        return out[0], out[1]
 
-    def read(pair):
-        for f in pair:
+    def write(self, order: np.ndarray, common: np.ndarray, symbols: np.ndarray) -> None:
+        for f, x in zip(self.files, (order.astype(np.int32), common.astype(np.uint16)), strict=True):
             f.seek(0)
-            yield np.frombuffer(bytearray(f.read(kept)), np.uint8)
-
-    write(files[0], np.zeros(m, np.uint8), np.zeros(m, np.uint8))
-    row = np.arange(m)
-    symbols = len(used) + 1
-    for j in range(1, int(size.max(initial=0)) + 2):
-        bwt, lcp = read(files[(j - 1) % 2])
-        live = np.flatnonzero(size >= j)
-        if not len(live):
-            break
-        live = live[np.argsort(row[live])]
-        at, c = row[live], flat[end[live] - j].astype(np.int64)
-        bwt[at] = c
-        seen = _Occurrences(bwt, symbols)
-        rank, last, nxt = seen.around(at, c)
-        first = m + np.cumsum(seen.total[1:]) - seen.total[1:]       # row of the first suffix of each symbol
-        new = first[c - 1] + rank
-        bounded = np.append(lcp, np.uint8(255))
-        common = np.zeros(len(new), np.uint8)
-        has = last >= 0
-        if has.any():
-            common[has] = _range_minima(bounded, last[has] + 1, at[has] + 1) + 1
-        old = np.ones(len(bwt) + len(new), bool)
-        old[new] = False
-        bwt2, lcp2 = np.zeros(len(old), np.uint8), np.empty(len(old), np.uint8)
-        bwt2[old], lcp2[old] = bwt, lcp
-        lcp2[new] = common
-        has = nxt >= 0
-        if has.any():
-            lcp2[new[has] + 1] = _range_minima(bounded, at[has] + 1, nxt[has] + 1) + 1
-        write(files[j % 2], bwt2, lcp2)
-        kept = len(bwt2)
-        row[live] = new
-    for f in files[0] + files[1]:
-        f.close()
-    return bwt, lcp
-
-
-def window_classes(strings: list[bytes], length: int, folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(string, start, class) of every ``length``-byte window of the strings;
-    windows are equal if their classes are."""
-    bwt, lcp = collection_bwt(strings, folder)
+            f.write(x.data)
+        self.rows = len(order)
+        self.transform.write(symbols.data)
+
+    def close(self) -> None:
+        for f in (*self.files, self.transform):
+            f.close()
+
+
+def repeated_windows(strings: list[bytes], groups: np.ndarray, pivot: np.ndarray, rank: np.ndarray,
+                     length: int, folder: str) -> np.ndarray:
+    """For strings in ascending groups, each with the place of its anchor:
+    a matrix telling for every start whether the window there is equal to one
+    of lower ``rank`` in the group (equal windows have equal offsets from the
+    anchor).
+
+    The strings are aligned at their anchors and taken column by column from
+    the right. A round inserts one symbol per string: the order of the
+    suffixes that start in this column is the stable order by symbol of those
+    that start in the next, and the common prefix of two neighbours is one
+    longer than the smallest between their tails. Strings begin and end in
+    different columns; an empty suffix sorts first. Suffixes of other columns
+    cannot be equal windows and are not kept."""
     m = len(strings)
+    flat = np.frombuffer(b"".join(strings), np.uint8)
     size = np.fromiter(map(len, strings), np.int64, m)
-    # the row of a suffix, extended by the symbol before it
-    to = np.empty(len(bwt), np.int64)
-    to[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
-    group = np.cumsum(lcp < length)
-    row, out = np.arange(m), []
-    for j in range(1, int(size.max(initial=0)) + 1):
-        live = np.flatnonzero(size >= j)
-        row[live] = to[row[live]]            # m whole strings come first in the order, m empty suffixes in the rows
-        if j >= length:
-            out.append((live, size[live] - j, group[row[live]]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 3
+    begin = np.cumsum(size) - size
+    left, right = -pivot, size - pivot - 1           # first and last column of each string
+    again = np.zeros((m, max(1, int(size.max(initial=0)) - length + 1)), bool)
+    by_right = np.argsort(-right, kind="stable")
+    entering = 0
+    columns = _Columns(folder)
+    for x in range(int(right.max(initial=-1)), int(left.min(initial=0)) - 1, -1):
+        order, common = columns.read()
+        # strings that ended to the right of this column leave; prefixes shorten to the minimum over them
+        stay = np.flatnonzero(left[order] <= x)
+        if len(stay) < len(order):
+            begins = np.concatenate(([0], stay[:-1] + 1)) if len(stay) else stay
+            common = np.minimum.reduceat(common, begins) if len(stay) else common[:0]
+            order = order[stay]
+        upto = entering
+        while upto < m and right[by_right[upto]] == x:
+            upto += 1
+        order = np.concatenate((by_right[entering:upto], order))
+        common = np.concatenate((np.zeros(upto - entering, np.uint16), common))
+        entering = upto
+        if not len(order):
+            columns.write(order, common, flat[:0])
+            continue
+        symbol = flat[begin[order] + x + pivot[order]]
+        to = np.argsort(groups[order] * 256 + symbol, kind="stable")
+        new = order[to]
+        key = groups[new] * 256 + symbol[to]
+        same = np.flatnonzero(key[1:] == key[:-1]) + 1
+        grown = np.zeros(len(new), np.uint16)
+        if len(same):
+            pairs = np.empty(2 * len(same), np.int64)
+            pairs[::2], pairs[1::2] = to[same - 1] + 1, to[same] + 1
+            grown[same] = np.minimum.reduceat(np.append(common, np.uint16(0)), pairs)[::2] + 1
+        columns.write(new, grown, symbol[to])
+        if grown.max(initial=0) >= length:
+            heads = np.flatnonzero(grown < length)
+            lowest = np.repeat(np.minimum.reduceat(rank[new], heads), np.diff(np.append(heads, len(new))))
+            late = np.flatnonzero(rank[new] > lowest)
+            again[new[late], x + pivot[new[late]]] = True
+    columns.close()
+    return again
 
 
 def merge_spans(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pd.DataFrame:
@@ -266,19 +220,20 @@ SPANS = "doc_id long, lo long, hi long"
 
 
 def _first_occurrences(batches, length: int):
-    """Fragments (v, doc_id, lo, frag), all of one v together, to the repeated
-    spans among them."""
+    """Fragments (v, doc_id, lo, at, frag), all of one v together, to the
+    repeated spans among them."""
     def finish(part: pd.DataFrame) -> pd.DataFrame:
         doc, lo = part["doc_id"].to_numpy(np.int64), part["lo"].to_numpy(np.int64)
+        pivot, v = part["at"].to_numpy(np.int64), part["v"].to_numpy()
+        place = np.lexsort((lo + pivot, doc))
+        d, p = doc[place], (lo + pivot)[place]
+        rank = np.empty(len(part), np.int64)
+        # an equal (doc, place) is the same occurrence, not an earlier one
+        rank[place] = np.cumsum(np.concatenate(([0], (d[1:] != d[:-1]) | (p[1:] != p[:-1]))))
+        groups = np.cumsum(np.concatenate(([0], v[1:] != v[:-1])))
         with tempfile.TemporaryDirectory() as folder:
-            who, start, group = window_classes(part["frag"].tolist(), length, folder)
-        d, s = doc[who], lo[who] + start
-        o = np.lexsort((s, d, group))
-        again = np.concatenate(([False], group[o][1:] == group[o][:-1]))
-        # an equal (doc, start) is the same occurrence, not an earlier one
-        first = np.maximum.accumulate(np.where(again, 0, np.arange(len(o))))
-        again &= (d[o] != d[o][first]) | (s[o] != s[o][first])
-        return merge_spans(d[o][again], s[o][again], s[o][again] + length)
+            who, start = np.nonzero(repeated_windows(part["frag"].tolist(), groups, pivot, rank, length, folder))
+        return merge_spans(doc[who], lo[who] + start, lo[who] + start + length)
 
     held: list[pd.DataFrame] = []
     rows = 0
@@ -302,18 +257,19 @@ def _first_occurrences(batches, length: int):
 # ---- Spark jobs ------------------------------------------------------------
 
 def _cut(texts: DataFrame, wanted: DataFrame, emit, schema: str) -> DataFrame:
-    """``emit(doc_id, text bytes, [(v, lo, n)...])`` over the documents of
-    ``wanted(doc_id, v, lo, n)``; a document's list is bounded by its text."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("v", "lo", "n")).alias("owned"))
+    """``emit(doc_id, text bytes, v, lo, n, at)`` over the documents of
+    ``wanted(doc_id, v, lo, n, at)``; a document's arrays are bounded by its text."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("v", "lo", "n", "at")).alias("o")) \
+        .select("doc_id", *[F.col(f"o.{c}").alias(c) for c in ("v", "lo", "n", "at")])
 
     def run(batches):
         for pdf in batches:
-            for d, t, owned in zip(pdf["doc_id"], pdf["text"], pdf["owned"], strict=True):
-                out = emit(int(d), (t or "").encode("utf-8", "surrogatepass"), owned)
-                if len(out):
-                    yield out
+            out = [emit(int(d), (t or "").encode("utf-8", "surrogatepass"), *x)
+                   for d, t, *x in zip(pdf["doc_id"], pdf["text"], pdf["v"], pdf["lo"], pdf["n"], pdf["at"], strict=True)]
+            if out:
+                yield pd.concat(out, ignore_index=True)
 
-    return texts.join(lists, "doc_id").select("doc_id", "text", "owned").mapInPandas(run, schema)
+    return texts.join(lists, "doc_id").select("doc_id", "text", "v", "lo", "n", "at").mapInPandas(run, schema)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -322,55 +278,57 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def find(batches):
         for pdf in batches:
-            ids, v, lo, n = [], [], [], []
+            ids, v, lo, n, at = [], [], [], [], []
             for d, t in zip(pdf["doc_id"], pdf["text"], strict=True):
                 x = anchors((t or "").encode("utf-8", "surrogatepass"), length)
                 ids.append(np.full(len(x[0]), d))
                 v.append(x[0].view(np.int64))
                 lo.append(x[1])
                 n.append(x[2])
+                at.append(x[3])
             if ids:
                 yield pd.DataFrame({"v": np.concatenate(v), "doc_id": np.concatenate(ids),
                                     "lo": np.concatenate(lo).astype(np.int32),
-                                    "n": np.concatenate(n).astype(np.int32)})
+                                    "n": np.concatenate(n).astype(np.int32),
+                                    "at": np.concatenate(at).astype(np.int32)})
 
-    found = written(texts.mapInPandas(find, "v long, doc_id long, lo int, n int"), "anchors")
+    found = written(texts.mapInPandas(find, "v long, doc_id long, lo int, n int, at int"), "anchors")
     often = found.groupBy("v").agg(F.count("*").alias("c")).filter("c > 1").select("v")
     twice = written(found.join(often, "v"), "repeated-anchors")
     discard(found)
     involved = written(texts.join(twice.select("doc_id").distinct(), "doc_id", "left_semi"), "involved-texts")
 
-    def hashed(d, t, owned):
-        cuts = [t[o["lo"]:o["lo"] + o["n"] - 1 + length] for o in owned]
-        return pd.DataFrame({"v": [o["v"] for o in owned],
-                             "f": np.fromiter(map(xxhash.xxh3_64_intdigest, cuts), np.uint64, len(cuts)).view(np.int64),
-                             "doc_id": d, "lo": [o["lo"] for o in owned], "n": [o["n"] for o in owned]})
+    def cuts(t, lo, n):
+        return [t[a:b] for a, b in zip(lo.tolist(), (lo + n + (length - 1)).tolist(), strict=True)]
+
+    def hashed(d, t, v, lo, n, at):
+        f = np.fromiter(map(xxhash.xxh3_64_intdigest, cuts(t, lo, n)), np.uint64, len(v)).view(np.int64)
+        return pd.DataFrame({"v": v, "f": f, "doc_id": d, "lo": lo, "n": n, "at": at})
 
-    frags = written(_cut(involved, twice, hashed, "v long, f long, doc_id long, lo int, n int"), "fragments")
+    frags = written(_cut(involved, twice, hashed, "v long, f long, doc_id long, lo int, n int, at int"), "fragments")
     discard(twice)
-    firsts = written(frags.groupBy("v", "f").agg(F.min(F.struct("doc_id", "lo")).alias("o"), F.max("n").alias("n"))
-                     .select("v", "f", F.col("o.doc_id").alias("doc_id"), F.col("o.lo").alias("lo"), "n"), "first-fragments")
+    firsts = written(frags.groupBy("v", "f").agg(F.min(F.struct("doc_id", "lo")).alias("o"), F.max("n").alias("n"), F.max("at").alias("at"))
+                     .select("v", "f", F.col("o.doc_id").alias("doc_id"), F.col("o.lo").alias("lo"), "n", "at"), "first-fragments")
     whole = frags.join(firsts.select("v", "f", F.col("doc_id").alias("d0"), F.col("lo").alias("l0")), ["v", "f"]) \
         .filter("doc_id <> d0 or lo <> l0") \
         .select("doc_id", F.col("lo").cast("long"), (F.col("lo") + F.col("n") - 1 + length).cast("long").alias("hi"))
     whole = written(whole, "spans")
 
     several = firsts.groupBy("v").agg(F.count("*").alias("c")).filter("c > 1")
-    several = written(firsts.join(several, "v").select("v", "doc_id", "lo", "n", "c"), "distinct-fragments")
+    several = written(firsts.join(several, "v").select("v", "doc_id", "lo", "n", "at", "c"), "distinct-fragments")
     discard(frags)
 
-    def bytes_of(d, t, owned):
-        return pd.DataFrame({"v": [o["v"] for o in owned], "doc_id": d, "lo": [o["lo"] for o in owned],
-                             "frag": [t[o["lo"]:o["lo"] + o["n"] - 1 + length] for o in owned]})
+    def bytes_of(d, t, v, lo, n, at):
+        return pd.DataFrame({"v": v, "doc_id": d, "lo": lo, "at": at, "frag": cuts(t, lo, n)})
 
     groups = _cut(involved, several.filter(F.col("c") <= LARGEST_GROUP), bytes_of,
-                  "v long, doc_id long, lo int, frag binary") \
+                  "v long, doc_id long, lo int, at int, frag binary") \
         .repartition("v").sortWithinPartitions("v")
     built = written(groups.mapInPandas(lambda b: _first_occurrences(b, length), SPANS), "spans")
 
-    def windows_of(d, t, owned):
-        at = np.concatenate([np.arange(o["lo"], o["lo"] + o["n"]) for o in owned])
-        return pd.DataFrame({"w": [xxhash.xxh3_128_digest(t[a:a + length]) for a in at.tolist()], "doc_id": d, "at": at})
+    def windows_of(d, t, v, lo, n, at):
+        starts = np.concatenate([np.arange(a, a + k) for a, k in zip(lo, n, strict=True)])
+        return pd.DataFrame({"w": [xxhash.xxh3_128_digest(t[a:a + length]) for a in starts.tolist()], "doc_id": d, "at": starts})
 
     single = written(_cut(involved, several.filter(F.col("c") > LARGEST_GROUP), windows_of,
                           "w binary, doc_id long, at long"), "windows")
