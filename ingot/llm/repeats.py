@@ -168,7 +168,7 @@ def repeated_windows(strings: list[bytes], groups: np.ndarray, pivot: np.ndarray
         stay = np.flatnonzero(left[order] <= x)
         if len(stay) < len(order):
             begins = np.concatenate(([0], stay[:-1] + 1)) if len(stay) else stay
-            common = np.minimum.reduceat(common, begins) if len(stay) else common[:0]
+            common = np.minimum.reduceat(common[:stay[-1] + 1], begins) if len(stay) else common[:0]
             order = order[stay]
         upto = entering
         while upto < m and right[by_right[upto]] == x:
