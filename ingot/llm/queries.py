@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import embeddings, language, minhash, packing, repeats, token_files, token_rollups
+from ingot.llm import decontaminate, embeddings, html_extract, language, minhash, packing, repeats, token_files, token_rollups, toxicity
 from ingot.llm.common import corpus_table
 from ingot.llm.tokens import BYTE_LEVEL, WORD_LEVEL
 from ingot.session import new_workspace
@@ -17,6 +17,19 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = corpus_table(spark, sf_dir, "documents")
+    labels = corpus_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("grade"))
+    sample = toxicity.grade_by_marks(toxicity.labelled_sample(docs, labels))
+    model = toxicity.fit(*map(list, zip(*sample, strict=True))) if sample else None
+    return toxicity.severity(docs.select("doc_id", "text"), model).drop("text")
+
+
+def op2_mincut_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = corpus_table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus_table(spark, sf_dir, "documents")
     pieces = packing.token_pieces(docs, public_tokenizers.path(WORD_BPE), WORD_LEVEL)
@@ -129,7 +142,14 @@ SELECT d.doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_remov
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+def op10_lsa_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it."""
+    return decontaminate.find_leaks(corpus_table(spark, sf_dir, "documents"), corpus_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_ordinal_toxicity": op1_ordinal_toxicity,
+    "op2_mincut_html": op2_mincut_html,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_pstable_embeddings": op4_pstable_embeddings,
     "op5_bbit_minhash": op5_bbit_minhash,
@@ -137,6 +157,7 @@ QUERIES = {
     "op7_token_rollups": op7_token_rollups,
     "op8_crf_language": op8_crf_language,
     "op9_repeated_passages": op9_repeated_passages,
+    "op10_lsa_decontamination": op10_lsa_decontamination,
 }
 
 ORACLES = {
