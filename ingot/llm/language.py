@@ -26,6 +26,7 @@ are passed through or not read; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from functools import lru_cache
 from itertools import chain
@@ -271,7 +272,7 @@ def train(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> Model | None:
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """The documents with ``lang_pred`` and ``score`` added."""
     shared = docs.sparkSession.sparkContext.broadcast(model)   # bounded: FEATURES x languages
-    key = shared.id
+    key = uuid.uuid4().hex
 
     @F.pandas_udf("lang string, score double")
     def run(text: pd.Series) -> pd.DataFrame:

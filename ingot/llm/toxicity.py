@@ -21,6 +21,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -160,13 +161,14 @@ def severity(docs: DataFrame, model: Model | None, only: float = 0.0) -> DataFra
     ``grade`` (the most probable) and ``toxic`` (p_toxic >= 0.5) added.
     Without a model all are of severity ``only``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)     # bounded by MAX_FEATURES
+    key = uuid.uuid4().hex
 
     @F.pandas_udf("expected_severity double, p_toxic double, grade int")
     def run(text: pd.Series) -> pd.DataFrame:
         if shared.value is None:
             return pd.DataFrame({"expected_severity": [only] * len(text), "p_toxic": [float(only > 0)] * len(text),
                                  "grade": [int(only)] * len(text)})
-        p = score_texts(shared.value, text.tolist(), shared.id)
+        p = score_texts(shared.value, text.tolist(), key)
         edges = np.hstack((np.ones((len(p), 1)), p, np.zeros((len(p), 1))))
         return pd.DataFrame({"expected_severity": p.sum(axis=1), "p_toxic": p[:, 0] if len(p) else [],
                              "grade": (edges[:, :-1] - edges[:, 1:]).argmax(axis=1).astype(np.int32)})
