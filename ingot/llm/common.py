@@ -14,10 +14,16 @@ from pyspark.sql import functions as F
 from ingot.session import new_workspace
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package's code to the Python workers, once per application,
-    so that functions given to Spark import there whatever their path."""
+    so that functions given to Spark import there whatever their path; and
+    hand them texts in small batches, which bounds their memory."""
     sc = spark.sparkContext
+    if sc.getConf().get(ARROW_ROWS) is None:
+        spark.conf.set(ARROW_ROWS, "1000")
     if any(f.startswith("ingot-code") for f in sc._python_includes):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
