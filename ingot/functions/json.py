@@ -1,5 +1,5 @@
 """JSON / variant functions: document text, typed expansion, variant reads
-and schema inference from a bounded sample (X7, X8, X10, P5, A9)."""
+and schema inference (X7, X8, X10, P5, A9)."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-DEFAULT_SAMPLE_SIZE = 1000
-
 
 def to_json_text(df: DataFrame, cols: list[str] | None = None, keep_nulls: bool = True) -> Column:
     """Whole row (or chosen columns) as one JSON object text; nulls kept as
@@ -43,14 +41,16 @@ def variant_field(v: Column, path: list[str] | str, type_: str = "string") -> Co
 
 
 def infer_json_schema(spark: SparkSession, text_df: DataFrame, column: str = "value",
-                      sample_size: int = DEFAULT_SAMPLE_SIZE) -> StructType:
-    """Schema of the first ``sample_size`` JSON texts (A9). The sample is
-    bounded, so only that many strings are parsed for inference; the
-    schema is then pinned for the full read."""
-    sample = text_df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).limit(sample_size)
-    inferred = spark.read.json(sample.rdd.map(lambda r: r.value))
-    fields = [f for f in inferred.schema.fields if f.name != "_corrupt_record"]
-    return StructType(fields)
+                      sample_size: int | None = None) -> StructType:
+    """Schema of all JSON texts (A9), inferred by Spark's own JSON reader
+    over the column, so a key that only late rows have is not missed.
+    ``sample_size`` bounds the rows looked at, for exploration."""
+    texts = text_df.select(F.col(column).cast("string").alias("value")).where(F.col("value").isNotNull())
+    if sample_size is not None:
+        texts = texts.limit(sample_size)
+    strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    inferred = DataFrame(spark._jsparkSession.read().json(strings), spark).schema
+    return StructType([f for f in inferred.fields if f.name != "_corrupt_record"])
 
 
 def expand_json(df: DataFrame, column: str, schema: StructType | str, id_col: str | None = None,

@@ -8,6 +8,7 @@ collapse onto one name.
 from __future__ import annotations
 
 import re
+from itertools import chain, count
 
 from pyspark.sql import DataFrame
 
@@ -37,17 +38,12 @@ def clean_name(name: str, keep_leading_underscore: bool = True) -> str:
 def sanitized_names(names: list[str], keep_leading_underscore: bool = True) -> list[str]:
     """Clean every name, then make them unique case-insensitively by
     suffixing ``_2``, ``_3`` ... in column order."""
-    seen: set[str] = set()
-    out = []
-    for n in names:
-        base = clean_name(n, keep_leading_underscore)
-        cand, i = base, 1
-        while cand.lower() in seen:
-            i += 1
-            cand = f"{base}_{i}"
-        seen.add(cand.lower())
-        out.append(cand)
-    return out
+    taken: dict[str, str] = {}
+    for name in names:
+        base = clean_name(name, keep_leading_underscore)
+        free = next(c for c in chain([base], (f"{base}_{i}" for i in count(2))) if c.lower() not in taken)
+        taken[free.lower()] = free
+    return list(taken.values())
 
 
 def sanitize_columns(df: DataFrame, keep_leading_underscore: bool = True) -> DataFrame:

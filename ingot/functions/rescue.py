@@ -1,68 +1,120 @@
 """Rescue column (M8): keep every value that does not fit the pinned schema.
 
-For each JSON line the rescue column is a JSON object holding
-  * keys that the schema does not know (at any struct level), and
-  * keys whose typed value came out NULL although the raw value was not
-    JSON null (type mismatch), addressed by their dotted path;
-a line that is not a JSON object at all is kept whole under
-``_corrupt_record``. A line that parses fully gets NULL.
+For each JSON line the rescue column is a JSON object from paths to raw
+values. It holds
+  * keys that the schema does not know, at any depth: in structs, in
+    elements of arrays and in values of maps;
+  * values whose typed form came out NULL although the raw value was not
+    JSON null (type mismatch);
+  * all values of a key that occurs more than once in one object.
+A path joins keys by dots and shows array positions as ``[i]``; a dot or
+backslash inside a key is escaped by a backslash. Several raw values under
+one path become a JSON array of them. A line that is not a JSON object at
+all is kept whole under ``_corrupt_record``. A line that parses fully gets
+NULL.
 
 Each line is parsed once to the typed struct and once to a
-``map<string,string>`` of raw values; nested structs re-parse only their
-own sub-object text. The two parses sit behind a generator (``inline``)
-so the optimizer cannot split the typed parse into one pruned parse per
-column, which would parse every line once per field.
+``map<string,string>`` of raw values; nested values re-parse only their
+own text. The two parses sit behind a generator (``inline``) so the
+optimizer cannot split the typed parse into one pruned parse per column,
+which would parse every line once per field.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 RESCUE_COLUMN = "_rescued_data"
 CORRUPT_KEY = "_corrupt_record"
 _MAP = "map<string,string>"
+ENTRIES = "array<struct<path:string,value:string>>"
 
 
-def _empty_map() -> Column:
-    return F.create_map().cast(_MAP)
+def no_entries() -> Column:
+    return F.array().cast(ENTRIES)
 
 
-def _collect(schema: StructType, typed: Column, raw_map: Column, path: list[str],
-             parts: list[Column], checks: list[Column]) -> None:
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    checks.append(F.coalesce(F.exists(F.map_keys(raw_map), lambda k: ~F.array_contains(known, k)), F.lit(False)))
-    unknown = F.map_filter(raw_map, lambda k, v: ~F.array_contains(known, k))
-    if path:
-        prefix = ".".join(path) + "."
-        unknown = F.transform_keys(unknown, lambda k, v: F.concat(F.lit(prefix), k))
-    parts.append(F.coalesce(unknown, _empty_map()))
+def entry(path: Column, value: Column) -> Column:
+    """One (path, raw value) entry as an array."""
+    return F.array(F.struct(path.cast("string").alias("path"), value.cast("string").alias("value"))).cast(ENTRIES)
+
+
+def escaped(key: Column) -> Column:
+    return F.regexp_replace(key, r"([\\.])", r"\\$1")
+
+
+def entries_to_json(entries: Column) -> Column:
+    """JSON object of the entries; NULL without any."""
+    paths = F.array_distinct(F.transform(entries, lambda e: e["path"]))
+
+    def value_of(path: Column) -> Column:
+        values = F.transform(F.filter(entries, lambda e: e["path"] == path), lambda e: e["value"])
+        return F.when(F.size(values) == 1, values[0]).otherwise(F.to_json(values))
+
+    return F.when(F.size(entries) > 0, F.to_json(F.map_from_arrays(paths, F.transform(paths, value_of))))
+
+
+def json_to_entries(rescued: Column) -> Column:
+    """The entries of an existing rescue value."""
+    pairs = F.transform(F.map_entries(F.from_json(rescued, _MAP)),
+                        lambda e: F.struct(e["key"].alias("path"), e["value"].alias("value")))
+    return F.coalesce(pairs.cast(ENTRIES), no_entries())
+
+
+def _nested(dt: DataType) -> bool:
+    """Types inside which a value can be lost while the outer one stays."""
+    if isinstance(dt, StructType):
+        return True
+    if isinstance(dt, ArrayType):
+        return True
+    return isinstance(dt, MapType)
+
+
+def _value_entries(dt: DataType, typed: Column, raw: Column, path: Column) -> Column:
+    """Entries of one value, given its typed form and its raw text."""
+    lost = typed.isNull() & raw.isNotNull()
+    if not _nested(dt):
+        return F.when(lost, entry(path, raw)).otherwise(no_entries())
+    if isinstance(dt, StructType):
+        inner = _object_entries(dt, typed, F.map_entries(F.from_json(raw, _MAP)), path)
+    elif isinstance(dt, ArrayType):
+        elements = F.from_json(raw, "array<string>")
+        inner = F.flatten(F.transform(elements, lambda x, i: _value_entries(
+            dt.elementType, F.get(typed, i), x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+    else:
+        inner = F.flatten(F.transform(F.map_entries(F.from_json(raw, _MAP)), lambda e: _value_entries(
+            dt.valueType, F.try_element_at(typed, e["key"]), e["value"], F.concat(path, F.lit("."), escaped(e["key"])))))
+    return F.when(lost, entry(path, raw)).when(raw.isNull(), no_entries()) \
+        .otherwise(F.coalesce(inner, entry(path, raw)))
+
+
+def _values_of(pairs: Column, key: str) -> Column:
+    """Raw values of a key, as often as it occurs."""
+    return F.transform(F.filter(pairs, lambda e: e["key"] == F.lit(key)), lambda e: e["value"])
+
+
+def _all_under(path: Column, values: Column) -> Column:
+    return F.transform(F.filter(values, lambda v: v.isNotNull()),
+                       lambda v: F.struct(path.alias("path"), v.alias("value"))).cast(ENTRIES)
+
+
+def _object_entries(schema: StructType, typed: Column, pairs: Column, path: Column | None) -> Column:
+    """Entries of an object, given its raw (key, value) pairs in which a key
+    may be repeated."""
+    known = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
+
+    def at(key: Column) -> Column:
+        return escaped(key) if path is None else F.concat(path, F.lit("."), escaped(key))
+
+    unknown = F.filter(pairs, lambda e: ~F.array_contains(known, e["key"]) & e["value"].isNotNull())
+    parts = [F.transform(unknown, lambda e: F.struct(at(e["key"]).alias("path"), e["value"].alias("value"))).cast(ENTRIES)]
     for f in schema.fields:
-        p = path + [f.name]
-        t = typed.getField(f.name)
-        raw = F.try_element_at(raw_map, F.lit(f.name))
-        lost = t.isNull() & raw.isNotNull()
-        checks.append(lost)
-        parts.append(F.when(lost, F.create_map(F.lit(".".join(p)), raw)).otherwise(_empty_map()))
-        if isinstance(f.dataType, StructType):
-            _collect(f.dataType, t, F.from_json(raw, _MAP), p, parts, checks)
-
-
-def rescue_expression(typed: Column, raw_map: Column, text: Column, schema: StructType) -> Column:
-    """``_rescued_data`` from an already parsed typed struct, raw-value map
-    and the original text. A cheap per-field test runs first; the map of
-    rescued values is only built for rows that fail it."""
-    parts: list[Column] = []
-    checks: list[Column] = []
-    _collect(schema, typed, raw_map, [], parts, checks)
-    merged = parts[0] if len(parts) == 1 else F.map_concat(*parts)
-    any_issue = checks[0]
-    for c in checks[1:]:
-        any_issue = any_issue | c
-    return (F.when(text.isNull(), F.lit(None).cast("string"))
-            .when(raw_map.isNull(), F.to_json(F.create_map(F.lit(CORRUPT_KEY), text)))
-            .when(any_issue, F.to_json(merged)))
+        own, here = _values_of(pairs, f.name), at(F.lit(f.name))
+        parts.append(F.when(F.size(own) > 1, _all_under(here, own))
+                     .otherwise(_value_entries(f.dataType, typed.getField(f.name), F.get(own, F.lit(0)), here)))
+    return F.concat(*[F.coalesce(p, no_entries()) for p in parts])
 
 
 def parse_json_lines(text: DataFrame, schema: StructType, column: str = "value", rescue: bool = True,
@@ -77,12 +129,11 @@ def parse_json_lines(text: DataFrame, schema: StructType, column: str = "value",
     items += [F.col(f"`{c}`").alias(c) for c in keep]
     parsed = text.select(F.inline(F.array(F.struct(*items))))
     cols = [F.col(f"`{c}`") for c in keep] + [F.col("__t").getField(f.name).alias(f.name) for f in schema.fields]
-    if rescue:
-        cols.append(rescue_expression(F.col("__t"), F.col("__m"), F.col("__v"), schema).alias(RESCUE_COLUMN))
-    return parsed.select(*cols)
-
-
-def rescue_column(value: Column, schema: StructType) -> Column:
-    """Single-expression form (parses in place; prefer
-    :func:`parse_json_lines` for whole frames)."""
-    return rescue_expression(F.from_json(value, schema), F.from_json(value, _MAP), value, schema)
+    if not rescue:
+        return parsed.select(*cols)
+    entries = _object_entries(schema, F.col("__t"), F.map_entries("__m"), None)
+    rescued = F.when(F.col("__v").isNull(), F.lit(None).cast("string")) \
+        .when(F.col("__m").isNull(), F.to_json(F.create_map(F.lit(CORRUPT_KEY), F.col("__v")))) \
+        .otherwise(entries_to_json(F.col("__e")))
+    # the entries are a column of their own: they are used several times
+    return parsed.withColumn("__e", entries).select(*cols, rescued.alias(RESCUE_COLUMN))

@@ -31,7 +31,9 @@ def normalise_column(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.BinaryType):
         return F.lower(F.hex(c))
     if isinstance(dt, T.StructType):
-        return F.struct(*[normalise_column(c.getField(f.name), f.dataType).alias(f.name) for f in dt.fields])
+        # a NULL struct stays NULL
+        return F.when(c.isNotNull(), F.struct(*[normalise_column(c.getField(f.name), f.dataType).alias(f.name)
+                                                for f in dt.fields]))
     if isinstance(dt, T.ArrayType) and _needs_normalising(dt.elementType):
         return F.transform(c, lambda e: normalise_column(e, dt.elementType))
     return c

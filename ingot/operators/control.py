@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingot.config import ERRO, FAILED, OK, PARTIAL, SUCCESS
+from ingot.operators.merge import restore_aside, swap_in
 from ingot.operators.ordering import top_n
 from ingot.session import list_dir
 
@@ -86,6 +87,7 @@ class ControlLog:
             by_coll.setdefault(r.get("collection"), []).append(tuple(r.get(c) for c in CONTROL_COLUMNS))
         for coll, rows in by_coll.items():
             folder = self._folder(coll)
+            restore_aside(self.spark, self._aside(coll), folder)
             self.spark.createDataFrame(rows, CONTROL_SCHEMA).drop("collection").coalesce(1) \
                 .write.mode("append").parquet(folder)
             if self._file_count(folder) > self.compact_after_files:
@@ -99,23 +101,18 @@ class ControlLog:
 
     def compact_collection(self, collection: str) -> None:
         """Rewrite one collection's log folder as a single file. The new
-        file is written to a staging folder, the old folder is moved aside
-        (hidden from readers), the new one moved in, and only then the old
-        one removed, so a crash never loses log rows."""
+        file is written to a staging folder and swapped in; a folder that a
+        crash left aside is put back by the next log or lookup."""
         folder = self._folder(collection)
         rows = self.spark.read.schema(CONTROL_SCHEMA).parquet(self.path) \
             .where(F.col("collection") == collection).drop("collection")
         staging = f"{self.path}/_compact_{uuid.uuid4().hex[:12]}"
         rows.coalesce(1).write.mode("overwrite").parquet(staging)
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        Path = jvm.org.apache.hadoop.fs.Path
-        dst, src = Path(folder), Path(staging)
-        backup = Path(f"{self.path}/_replaced_{uuid.uuid4().hex[:12]}")
-        fs = dst.getFileSystem(conf)
-        fs.rename(dst, backup)
-        fs.rename(src, dst)
-        fs.delete(backup, True)
+        swap_in(self.spark, staging, folder, self._aside(collection))
+
+    def _aside(self, collection: str | None) -> str:
+        """Where a collection's old folder waits during compaction."""
+        return f"{self.path}/_replaced/{_escape_partition_value(collection or '__HIVE_DEFAULT_PARTITION__')}"
 
     def insert(self, _ingestion_id: str, collection: str, load_type: str, watermark_inicial: str | None,
                watermark_final: str | None, status: str = SUCCESS, message: str | None = None,
@@ -129,6 +126,7 @@ class ControlLog:
 
     def last_watermark(self, collection: str) -> str | None:
         """Watermark of the latest successful incremental run."""
+        restore_aside(self.spark, self._aside(collection), self._folder(collection))
         r = last_success_watermarks(self.read().where(F.col("collection") == collection)).first()
         return r.watermark_final if r else None
 

@@ -6,6 +6,7 @@ Every predicate is a plain Column so Catalyst can push it into the scan
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,10 +60,30 @@ def incremental_filter(df: DataFrame, field: str, start: str | None,
     if watermark_type == "date" or _looks_like_time(start):
         tv, tb = F.try_to_timestamp(c), F.try_to_timestamp(F.lit(start))
         as_time = (tv > tb) | ((tv == tb) & (_fraction9(c) > _fraction9(F.lit(start))))
-        return F.when(tv.isNotNull() & tb.isNotNull(), as_time).otherwise(c > F.lit(start))
+        newer = F.when(tv.isNotNull() & tb.isNotNull(), as_time).otherwise(c > F.lit(start))
+        if watermark_type == "date" and _looks_like_time(start):
+            # a plain comparison that the scan can use: no text of an earlier
+            # day passes, whatever its zone; text that begins below the digits
+            # (white space, signs) is left to the exact test
+            day = (_dt.date.fromisoformat(start[:10]) - _dt.timedelta(days=2)).isoformat()
+            return ((c >= F.lit(day)) | (c < F.lit("0"))) & newer
+        return newer
     return c > F.lit(start)
 
 
+def watermark_rank(c: Column, watermark_type: str | None) -> Column:
+    """What the greatest watermark is the maximum of: a struct whose last
+    field ``text`` is the value as stored. A declared date compares by
+    instant, then by its sub-microsecond digits; a value that is no time has
+    no rank and can never become a bound."""
+    text = c.cast("string")
+    if watermark_type != "date":
+        return F.when(c.isNotNull(), F.struct(c.alias("value"), text.alias("text")))
+    instant = F.try_to_timestamp(text)
+    return F.when(instant.isNotNull(), F.struct(instant.alias("value"), _fraction9(text).alias("fraction"),
+                                                text.alias("text")))
+
+
 def _looks_like_time(s: str) -> bool:
     return len(s) >= 10 and s[4] == "-" and s[7] == "-"
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ingot.functions.rescue import RESCUE_COLUMN, entries_to_json, entry, escaped, json_to_entries, no_entries
 from ingot.session import estimated_bytes, list_dir, path_exists
 
 PARTITION_COLUMN = "_ingestion_date"
@@ -42,6 +43,8 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
         text = "".join(iter(reader.readLine, None))
     finally:
         stream.close()
+    if not text.strip():
+        return None  # cut off while it was written: footers tell the schema
     return T.StructType.fromJson(json.loads(text))
 
 
@@ -50,11 +53,16 @@ def store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
     describes, so it is always a superset of the columns on disk; the
     leading underscore keeps it out of Spark's file listing."""
     p, fs = _fs_path(spark, f"{path}/{SCHEMA_FILE}")
-    out = fs.create(p, True)
+    fresh, _ = _fs_path(spark, f"{path}/_schema_{uuid.uuid4().hex[:12]}.json")
+    out = fs.create(fresh, True)
     try:
         out.write(bytearray(schema.json().encode("utf-8")))
     finally:
         out.close()
+    # a reader between the two steps finds no sidecar and merges footers instead
+    if fs.exists(p):
+        fs.delete(p, False)
+    _move(fs, fresh, p)
 
 
 def union_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
@@ -117,19 +125,15 @@ def align_to_target(batch: DataFrame, target_schema: T.StructType) -> DataFrame:
             casts[f.name] = cast
             text = (F.to_json(src) if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))
                     else src.cast("string"))
-            lost.append(F.when(cast.isNull() & src.isNotNull(), F.create_map(F.lit(f.name), text))
-                        .otherwise(F.create_map().cast("map<string,string>")))
+            lost.append(F.when(cast.isNull() & src.isNotNull(), entry(escaped(F.lit(f.name)), text))
+                        .otherwise(no_entries()))
     if not casts:
         return batch
-    out = batch
-    if "_rescued_data" in batch.columns:
-        old = F.coalesce(F.from_json(F.col("_rescued_data"), "map<string,string>"),
-                         F.create_map().cast("map<string,string>"))
-        merged = F.map_concat(old, *lost)
-    else:
-        merged = F.map_concat(*lost) if len(lost) > 1 else lost[0]
-    out = out.withColumn("_rescued_data", F.when(F.size(merged) > 0, F.to_json(merged)))
-    return out.withColumns(casts)
+    if RESCUE_COLUMN in batch.columns:
+        lost.insert(0, json_to_entries(F.col(RESCUE_COLUMN)))
+    # the entries are a column of their own: they are used several times
+    out = batch.withColumn("__lost", F.concat(*lost))
+    return out.withColumn(RESCUE_COLUMN, entries_to_json(F.col("__lost"))).withColumns(casts).drop("__lost")
 
 
 MAX_PRUNE_BUCKETS = 1 << 21        # bound of the broadcast bucket set (≤ 2M ints)
@@ -178,8 +182,6 @@ def insert_only_rows(batch: DataFrame, target: DataFrame | None, key: str = "_so
         pruned = prune_by_batch_buckets(existing, keys_src.where(F.col(keys_src.columns[0]).isNotNull()),
                                         expected_keys)
         existing = pruned if pruned is not None else existing
-    # a key repeated in the target is reduced map-side before the shuffle
-    existing = existing.distinct()
     keyed = batch.where(F.col(f"`{key}`").isNotNull())
     # NULL keys never match: they skip the join instead of all hashing into
     # one shuffle partition
@@ -235,12 +237,52 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
     return int(got.get("rows", 0) or 0)
 
 
+def _move(fs, src, dst) -> None:
+    """Rename, raising where Hadoop only returns false."""
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot rename {src.toString()} to {dst.toString()}")
+
+
+def swap_in(spark: SparkSession, src: str, dst: str, aside: str) -> None:
+    """Put folder ``src`` in the place of ``dst``. The old folder is moved to
+    ``aside`` (whose own name readers skip) and is deleted last; if ``src``
+    cannot be moved in, the old one is moved back. A crash in between leaves
+    the old folder whole under ``aside``: :func:`restore_aside` puts it back."""
+    new, fs = _fs_path(spark, src)
+    old, _ = _fs_path(spark, dst)
+    if not fs.exists(old):
+        fs.mkdirs(old.getParent())
+        _move(fs, new, old)
+        return
+    backup, _ = _fs_path(spark, aside)
+    fs.mkdirs(backup.getParent())
+    _move(fs, old, backup)
+    try:
+        _move(fs, new, old)
+    except Exception:
+        _move(fs, backup, old)
+        raise
+    fs.delete(backup, True)
+    if not fs.listStatus(backup.getParent()):
+        fs.delete(backup.getParent(), False)
+
+
+def restore_aside(spark: SparkSession, aside: str, dst: str) -> bool:
+    """After a crash inside :func:`swap_in`: if ``dst`` is missing, move the
+    folder kept under ``aside`` back. True when it did."""
+    old, fs = _fs_path(spark, dst)
+    backup, _ = _fs_path(spark, aside)
+    if fs.exists(old) or not fs.exists(backup):
+        return False
+    _move(fs, backup, old)
+    return True
+
+
 def overwrite_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace a table with a new snapshot, schema included (K6). The new
-    snapshot is written completely to a sibling staging folder first; then
-    the old folder is moved aside, the new one moved in, and the old one
-    removed. Readers never see a half-written table, and ``df`` may read
-    ``path`` itself (a table rebuilt from its own rows)."""
+    snapshot is written completely to a sibling staging folder first and
+    then swapped in. Readers never see a half-written table, and ``df`` may
+    read ``path`` itself (a table rebuilt from its own rows)."""
     spark = df.sparkSession
     base = path.rstrip("/")
     staging = f"{base}__staging_{uuid.uuid4().hex[:12]}"
@@ -248,42 +290,40 @@ def overwrite_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] =
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(staging)
-    src, fs = _fs_path(spark, staging)
-    dst, _ = _fs_path(spark, base)
-    if fs.exists(dst):
-        backup, _ = _fs_path(spark, f"{base}__replaced_{uuid.uuid4().hex[:12]}")
-        fs.rename(dst, backup)
-        fs.rename(src, dst)
-        fs.delete(backup, True)
-    else:
-        fs.mkdirs(dst.getParent())
-        fs.rename(src, dst)
+    parent, name = base.rsplit("/", 1)
+    aside = f"{parent}/_replaced_{name}/old"
+    restore_aside(spark, aside, base)
+    swap_in(spark, staging, base, aside)
 
 
 def _replace_partitions(spark: SparkSession, table_path: str, partition_col: str, parts: list,
                         new_rows: DataFrame, max_records: int | None = None) -> None:
     """Rewrite the given partitions of a path table with ``new_rows``
     (rows of those partitions only). The new files go to a staging folder
-    first; each old partition folder is moved aside (hidden from readers)
-    before the new one is moved in, and removed only after, so a crash
-    never loses rows."""
+    first; each old partition folder is then swapped for the new one. Old
+    folders wait under ``_replaced/``, which readers skip."""
     staging = f"{table_path}/_staging_{uuid.uuid4().hex[:12]}"
     w = new_rows.write.mode("overwrite").partitionBy(partition_col)
     if max_records:
         w = w.option("maxRecordsPerFile", max_records)
     w.parquet(staging)
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in parts:
         name = f"{partition_col}={p}"
-        dst, src = Path(f"{table_path}/{name}"), Path(f"{staging}/{name}")
-        backup = Path(f"{table_path}/_replaced_{uuid.uuid4().hex[:8]}_{name}")
-        fs = dst.getFileSystem(conf)
-        fs.rename(dst, backup)
+        src, fs = _fs_path(spark, f"{staging}/{name}")
         if fs.exists(src):
-            fs.rename(src, dst)
-        fs.delete(backup, True)
-    Path(staging).getFileSystem(conf).delete(Path(staging), True)
+            swap_in(spark, f"{staging}/{name}", f"{table_path}/{name}", f"{table_path}/_replaced/{p}")
+        else:
+            gone, _ = _fs_path(spark, f"{table_path}/{name}")
+            fs.delete(gone, True)
+    rest, fs = _fs_path(spark, staging)
+    fs.delete(rest, True)
+
+
+def restore_partitions(spark: SparkSession, table_path: str, partition_col: str = PARTITION_COLUMN) -> int:
+    """Finish a partition rewrite that a crash cut short: partitions whose
+    old folder still waits aside and whose place is empty come back."""
+    return sum(restore_aside(spark, full, f"{table_path}/{partition_col}={name}")
+               for name, full, d, _ in list_dir(spark, f"{table_path}/_replaced") if d)
 
 
 def delete_keys(spark: SparkSession, table_path: str, keys: DataFrame, key: str = "_source_id",
@@ -405,14 +445,10 @@ def distinct_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.dropDuplicates(cols) if cols else df.dropDuplicates()
 
 
-NULL_MARK = "\\N"
-
-
-def row_hash(cols: list[str], sep: str = "#") -> Column:
-    """SHA-256 of the columns as text joined by ``sep`` (M5); NULL is
-    written as ``\\N`` so (NULL, 'a') and ('a', NULL) differ."""
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL_MARK)) for c in cols]
-    return F.sha2(F.concat_ws(sep, *parts), 256)
+def row_hash(cols: list[str]) -> Column:
+    """SHA-256 of the columns as one JSON object (M5). JSON quotes its
+    strings and writes NULL as such, so no two different rows share a text."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols]), {"ignoreNullFields": "false"}), 256)
 
 
 def dedup_by_hash(df: DataFrame, cols: list[str], key: str | None = None,

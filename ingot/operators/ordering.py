@@ -24,7 +24,7 @@ def with_global_row_number(df: DataFrame, key: str, name: str = "row_number",
     """``row_number() over (order by key)`` computed without a single-task
     window. The ranged, numbered data is checkpointed to the shared
     checkpoint folder, so the ids cannot change if a task is re-run."""
-    shared_dir(df.sparkSession)  # checkpoint folder: the cluster's, or a scratch one in tests
+    shared_dir(df.sparkSession)  # sets the checkpoint folder of the context
     ranged = df.repartitionByRange(num_partitions or partitions_for(df), F.col(key))
     ranged = ranged.sortWithinPartitions(key).withColumn("__mid", F.monotonically_increasing_id())
     ranged = ranged.checkpoint(eager=True)

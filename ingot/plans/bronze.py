@@ -30,10 +30,11 @@ from ingot.functions.json import infer_json_schema
 from ingot.functions.rescue import RESCUE_COLUMN
 from ingot.functions.scalars import normalise_types
 from ingot.operators.control import ControlLog
-from ingot.operators.filters import incremental_filter
+from ingot.operators.filters import incremental_filter, watermark_rank
 from ingot.operators.landing import write_landing_pages
 from ingot.operators.lineage import LINEAGE_COLUMNS, add_lineage, utc_now
-from ingot.operators.merge import PARTITION_COLUMN, insert_only_merge, latest_per_key, read_table, table_exists
+from ingot.operators.merge import PARTITION_COLUMN, insert_only_merge, latest_per_key, read_table, \
+    row_hash, table_exists
 from ingot.operators.quality import reconcile_status
 from ingot.sources.documents import scan_collection
 from ingot.sources.landing import read_landing, read_landing_fields, read_landing_text
@@ -52,6 +53,7 @@ class LoadResult:
     quarantined: int = 0
     max_watermark_read: str | None = None
     max_watermark_written: str | None = None
+    unreadable_watermarks: int = 0
 
 
 def target_business_schema(target: DataFrame | None) -> StructType | None:
@@ -73,12 +75,28 @@ def evolve_schema(pinned: StructType | None, incoming: StructType | None) -> Str
     return StructType(list(pinned.fields) + [f for f in incoming.fields if f.name not in names])
 
 
+CONTENT_HASH = "_content_hash"
+
+
+def quarantine_rows(rows: DataFrame, path: str) -> None:
+    """Append rows to the quarantine unless a row of the same content is
+    there: a batch that is read again adds nothing."""
+    spark = rows.sparkSession
+    content = [c for c in rows.columns if c not in LINEAGE_COLUMNS and c != PARTITION_COLUMN]
+    rows = rows.withColumn(CONTENT_HASH, row_hash(content))
+    if table_exists(spark, path):
+        there = read_table(spark, path)
+        if CONTENT_HASH in there.columns:
+            rows = rows.join(there.select(CONTENT_HASH), CONTENT_HASH, "left_anti")
+    rows.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+
+
 def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None, collection: str,
                       id_field: str, run_id: str, load_type: str, target_path: str,
                       now: _dt.datetime | None = None, schema: StructType | None = None,
                       watermark_field: str | None = None, quarantine_path: str | None = None,
                       source_label: str | None = None, merge_options: dict | None = None,
-                      dedup_batch: bool = False) -> LoadResult:
+                      dedup_batch: bool = False, watermark_type: str | None = None) -> LoadResult:
     """Load one run's landing files into the bronze table (C1). No paths →
     zero result and the table is untouched. With ``quarantine_path`` rows
     whose key is NULL go there instead of bronze (they could never match
@@ -98,27 +116,29 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     # the watermark is the max of the typed value (numbers compare as
     # numbers), turned into text only at the end
     has_wm = bool(watermark_field) and watermark_field in raw.columns
-    wm = F.col(f"`{watermark_field}`") if has_wm else F.lit(None).cast("string")
+    wm = watermark_rank(F.col(f"`{watermark_field}`") if has_wm else F.lit(None).cast("string"), watermark_type)
     # metrics pass: the key and watermark fields only, no rescue
     light = read_landing_fields(spark, landing_paths, pinned, [id_field] + ([watermark_field] if watermark_field else []))
     light_key = (F.col(f"`{id_field}`").cast("string") if id_field in light.columns
                  else F.lit(None).cast("string"))
     light_wm = F.col(f"`{watermark_field}`") if has_wm and watermark_field in light.columns else F.lit(None).cast("string")
     per_key = light.groupBy(light_key.alias("_source_id")).agg(F.count(F.lit(1)).alias("__n"),
-                                                              F.max(light_wm).alias("__wm"))
+                                                              F.max(watermark_rank(light_wm, watermark_type)).alias("__wm"),
+                                                              F.count_if(light_wm.isNotNull() & watermark_rank(
+                                                                  light_wm, watermark_type).isNull()).alias("__odd"))
     s = per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total"),
         F.coalesce(F.sum(F.when(F.col("_source_id").isNull(), F.col("__n"))), F.lit(0)).cast("long").alias("nulls"),
         F.count_if(F.col("__n") > 1).cast("long").alias("dups"),
         F.min("_source_id").alias("lo"), F.max("_source_id").alias("hi"),
-        F.max("__wm").cast("string").alias("wm")).first()
+        F.coalesce(F.sum("__odd"), F.lit(0)).cast("long").alias("odd"),
+        F.max("__wm").getField("text").alias("wm")).first()
     total, nulls = int(s.total), int(s.nulls)
     pct_null = round(nulls / total * 100, 4) if total else 0.0
 
     to_write, quarantined = enriched, 0
     if quarantine_path and nulls:
-        enriched.where(F.col("_source_id").isNull()).write.mode("append") \
-            .partitionBy(PARTITION_COLUMN).parquet(quarantine_path)
+        quarantine_rows(enriched.where(F.col("_source_id").isNull()), quarantine_path)
         to_write, quarantined = enriched.where(F.col("_source_id").isNotNull()), nulls
 
     if dedup_batch and int(s.dups):
@@ -131,10 +151,11 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     observed: dict = {}
     written = insert_only_merge(spark, to_write, target_path, "_source_id", (PARTITION_COLUMN,),
                                 key_range=(s.lo, s.hi), target=target, batch_keys=batch_keys,
-                                expected_keys=total - nulls, observe={"wm_written": F.max(wm).cast("string")},
+                                expected_keys=total - nulls, observe={"wm_written": F.max(wm).getField("text")},
                                 observed=observed, **merge_options)
     wm_written = observed.get("wm_written") if written else None
-    return LoadResult(total, written, int(s.dups), pct_null, nulls, quarantined, s.wm, wm_written)
+    return LoadResult(total, written, int(s.dups), pct_null, nulls, quarantined, s.wm, wm_written,
+                      int(s.odd))
 
 
 Clock = Callable[[], _dt.datetime]
@@ -169,7 +190,8 @@ def process_collection(spark: SparkSession, cfg: RunConfig, coll: CollectionConf
             f"{cfg.bronze_dir}/{coll.name}", now=clock(), schema=normalise_types(scan).schema,
             watermark_field=coll.watermark_field,
             quarantine_path=None if reference else f"{cfg.quarantine_dir}/{coll.name}",
-            source_label=cfg.source_path_label, dedup_batch=cfg.dedup_batch)
+            source_label=cfg.source_path_label, dedup_batch=cfg.dedup_batch,
+            watermark_type=coll.watermark_type)
         written_n = load.rows_written
         threshold = cfg.threshold_for(coll)
         if reference:
@@ -183,6 +205,8 @@ def process_collection(spark: SparkSession, cfg: RunConfig, coll: CollectionConf
                 notes.append(f"quarantined_null_ids={load.quarantined}")
             if load.duplicate_groups:
                 notes.append(f"duplicates_in_batch={load.duplicate_groups}")
+            if load.unreadable_watermarks:
+                notes.append(f"unreadable_watermarks={load.unreadable_watermarks}")
             if notes:
                 message = "; ".join([m for m in [message] if m] + notes)
         if coll.mode == "incremental" and coll.watermark_field and ext.docs > 0:
@@ -225,10 +249,15 @@ def run_all(spark: SparkSession, cfg: RunConfig, sources: Sources, clock: Clock
             src = src() if callable(src) else src
         except Exception as exc:
             now = clock()
-            return dict(_ingestion_id=str(uuid.uuid4()), collection=coll.name, load_type=coll.mode,
-                        watermark_inicial=None, watermark_final=None, qtd_lida_origem=0,
-                        qtd_gravada_destino=0, start_time=now, end_time=now, duracao_seg=0.0,
-                        status=FAILED, mensagem_erro=str(exc)[:ERROR_MESSAGE_LIMIT])
+            record = dict(_ingestion_id=(run_ids or {}).get(coll.name) or str(uuid.uuid4()), collection=coll.name,
+                          load_type=coll.mode, watermark_inicial=None, watermark_final=None, qtd_lida_origem=0,
+                          qtd_gravada_destino=0, start_time=now, end_time=now, duracao_seg=0.0,
+                          status=FAILED, mensagem_erro=str(exc)[:ERROR_MESSAGE_LIMIT])
+            try:
+                control.log([record])
+            except Exception as log_exc:
+                logger.error("control log write failed for %s: %s", coll.name, log_exc)
+            return record
         return process_collection(spark, cfg, coll, src, control, (run_ids or {}).get(coll.name), clock)
 
     if parallelism > 1:

@@ -66,7 +66,7 @@ def land_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str,
             new = [(fn, full, size) for fn, full, d, size in list_dir(spark, path)
                    if not d and fn not in before and fn.endswith(".parquet")]
             size = sum(s for _, _, s in new)
-            file_name = ",".join(fn for fn, _, _ in new)[:1000]
+            file_name = ",".join(fn for fn, _, _ in new)
             return (run_id, ingested_at.isoformat(), source.get("catalog"), source.get("schema"),
                     source.get("database"), name, OK, n, file_name, path, size,
                     round(time.time() - t0, 2), "")
@@ -92,7 +92,7 @@ def deduplicate(df: DataFrame, keys: list[str] | None, order_column: str = AUDIT
     _, business = split_columns(df)
     keys = keys or business
     if order_column in df.columns:
-        ordered = df.withColumn("__order_ts", F.to_timestamp(F.col(order_column)))
+        ordered = df.withColumn("__order_ts", F.try_to_timestamp(F.col(order_column)))
         out = latest_per_key(ordered, keys, ["__order_ts"], group_rows=group_rows)
         return out.drop("__order_ts")
     return latest_per_key(df, keys, [], group_rows=group_rows)

@@ -28,7 +28,7 @@ from ingot.plans.exploration import explore
 from ingot.plans.relational import append_manifest, consolidate, land_tables
 from ingot.queries.common import iso_sql, run_config, table, ticking_clock
 from ingot.session import new_workspace
-from ingot.sources.files import CsvReader, list_tables, read_partition_range, read_payloads, table_files
+from ingot.sources.files import list_tables, read_csv, read_partition_range, read_payloads, table_files
 
 Q: dict = {}
 SQL: dict = {}
@@ -205,7 +205,7 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Table landed as CSV, read back with header and inferred types."""
     ws = new_workspace(spark, "csv")
     table(spark, sf, "nation").write.mode("overwrite").option("header", "true").csv(f"{ws}/nation")
-    return CsvReader(spark, ws, sep=",").read("nation")
+    return read_csv(spark, f"{ws}/nation")
 
 
 @register("csv_scan_schema", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -213,8 +213,7 @@ def csv_scan_schema(spark: SparkSession, sf: str) -> DataFrame:
     """Same file set read with an explicit schema (inference off)."""
     ws = new_workspace(spark, "csv")
     table(spark, sf, "nation").write.mode("overwrite").option("header", True).csv(f"{ws}/nation")
-    reader = CsvReader(spark, ws, header=True, infer_schema=True)
-    return reader.read("nation", schema="n_nationkey int, n_name string, n_regionkey int")
+    return read_csv(spark, f"{ws}/nation", "n_nationkey int, n_name string, n_regionkey int")
 
 
 # ------------------------------------------------------------ S13

@@ -5,13 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ingot.functions.json import infer_json_schema, parse_variant, variant_field
+from ingot.functions.json import expand_json, infer_json_schema, parse_variant, variant_field
+from ingot.functions.rescue import parse_json_lines
 from ingot.functions.names import sanitize_columns
 from ingot.functions.scalars import iso_text, normalise_types, with_default
 from ingot.operators.filters import (all_of, cast_columns, exclude_fields, incremental_filter,
-                                     is_missing, key_after, select_nested)
-from ingot.operators.merge import distinct_rows, latest_per_key, row_hash
+                                     is_missing, key_after, select_nested, watermark_rank)
+from ingot.operators.merge import dedup_by_hash, distinct_rows, latest_per_key, row_hash
 from ingot.operators.ordering import key_pages
 from ingot.operators.quality import (column_profile, contract_check, empty_or_null, key_metrics,
                                      reconcile, removed_by_dedup, source_profile, tag_quarantine)
@@ -230,12 +232,80 @@ def dedup_removed(spark: SparkSession, sf: str) -> DataFrame:
 @register("json_expand", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def json_expand(spark: SparkSession, sf: str) -> DataFrame:
-    """Schema of the JSON body inferred from a bounded sample, then the
-    body expanded to typed columns."""
+    """Schema of the JSON body inferred over all rows, then the body
+    expanded to typed columns."""
     ev = table(spark, sf, "events").select("event_id", "props")
-    schema = infer_json_schema(spark, ev, "props")
-    parsed = ev.select("event_id", F.from_json("props", schema).alias("doc"))
-    return parsed.select("event_id", "doc.*")
+    return expand_json(ev, "props", infer_json_schema(spark, ev, "props"), "event_id")
+
+
+@register("json_late_key", """
+SELECT event_id, user_id, CASE WHEN event_id = (SELECT max(event_id) FROM events) THEN event_type END AS late
+FROM events""")
+def json_late_key(spark: SparkSession, sf: str) -> DataFrame:
+    """A key that only the last document has is in the inferred schema."""
+    ev = table(spark, sf, "events")
+    newest = ev.agg(F.max("event_id")).first()[0]
+    body = F.to_json(F.struct("user_id", F.when(F.col("event_id") == newest, F.col("event_type")).alias("late")))
+    docs = ev.select("event_id", body.alias("body"))
+    return expand_json(docs, "body", infer_json_schema(spark, docs, "body"), "event_id").select("event_id", "user_id", "late")
+
+
+# Lines whose values drift from the schema, one kind of drift per remainder
+# of event_id; these rules only shape test data.
+DRIFT_SCHEMA = "id long, v struct<a:long>, l array<struct<x:long>>, m map<string,long>"
+DRIFT_LINES = [
+    """{"id":%d,"v":{"a":1},"l":[{"x":1}],"m":{"k":2}}""",
+    """{"id":"no-%d","v":{"a":1},"l":[{"x":1}]}""",
+    """{"id":1,"e.x":%d,"v":{"a":1}}""",
+    """{"id":1,"v":{"a":1,"z":{"y":%d}},"l":null}""",
+    """{"id":1,"l":[{"x":1},{"x":"bad","y":%d}]}""",
+    """{"id":1,"z":1,"z":%d}""",
+    """{"id":1,"m":{"k":2,"w":"x%d"}}""",
+    """{broken %d""",
+    """{"id":1,"id":%d}""",
+]
+DRIFT_SQL = r"""
+WITH e AS (SELECT event_id, event_id % 9 AS kind, CAST(event_id AS VARCHAR) AS n FROM events)
+SELECT event_id, CASE kind
+  WHEN 1 THEN '{"id":"no-' || n || '"}'
+  WHEN 2 THEN '{"e\\.x":"' || n || '"}'
+  WHEN 3 THEN '{"v.z":"{\"y\":' || n || '}"}'
+  WHEN 4 THEN '{"l[1].y":"' || n || '","l[1].x":"bad"}'
+  WHEN 5 THEN '{"z":"[\"1\",\"' || n || '\"]"}'
+  WHEN 6 THEN '{"m":"{\"k\":2,\"w\":\"x' || n || '\"}"}'
+  WHEN 7 THEN '{"_corrupt_record":"{broken ' || n || '"}'
+  WHEN 8 THEN '{"id":"[\"1\",\"' || n || '\"]"}'
+  END AS rescued FROM e"""
+
+
+@register("rescue_drift", DRIFT_SQL)
+def rescue_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Rescued values of drifting, malformed and repeated-key lines."""
+    ev = table(spark, sf, "events").select("event_id")
+    line = F.element_at(F.array(*[F.lit(x) for x in DRIFT_LINES]), (F.col("event_id") % len(DRIFT_LINES) + 1).cast("int"))
+    lines = ev.select("event_id", F.replace(line, F.lit("%d"), F.col("event_id").cast("string")).alias("value"))
+    return parse_json_lines(lines, StructType.fromDDL(DRIFT_SCHEMA), keep=["event_id"]) \
+        .select("event_id", F.col("_rescued_data").alias("rescued"))
+
+
+# Texts of one instant in several spellings, and some that are no time.
+@register("watermark_text_mixed", """
+WITH t AS (SELECT event_type, event_id, ts, CASE event_id % 4
+    WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f')
+    WHEN 2 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' ELSE 'n/a ' || event_id END AS text FROM events)
+SELECT event_type, arg_max(text, (ts, event_id)) FILTER (event_id % 4 <> 3) AS watermark,
+       count(*) FILTER (event_id % 4 = 3) AS unreadable FROM t GROUP BY event_type""")
+def watermark_text_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """The next bound over texts with mixed separators: the latest instant,
+    never a value that is no time."""
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    kind = F.col("event_id") % 4
+    text = F.when(kind == 0, iso).when(kind == 1, F.replace(iso, F.lit("T"), F.lit(" "))) \
+        .when(kind == 2, F.concat(iso, F.lit("Z"))).otherwise(F.concat(F.lit("n/a "), F.col("event_id")))
+    rank = watermark_rank(F.col("text"), "date")
+    return table(spark, sf, "events").withColumn("text", text).groupBy("event_type").agg(
+        F.max(rank)["text"].alias("watermark"),
+        F.count_if(rank.isNull()).alias("unreadable"))
 
 
 @register("variant_read", """
@@ -375,14 +445,25 @@ def silver_flatten(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- M5
-@register("row_hash", r"""
-SELECT doc_id, sha256(concat_ws('#', coalesce(lang, '\N'), coalesce(source, '\N'), coalesce(text, '\N'))) AS row_hash
-FROM documents""")
+@register("row_hash", """
+SELECT doc_id, sha256(to_json({'lang': lang, 'source': source, 'text': text})) AS row_hash FROM documents""")
 def row_hash_q(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents")
     return d.select("doc_id", row_hash(["lang", "source", "text"]).alias("row_hash"))
 
 
+@register("dedup_by_hash", """
+WITH t AS (SELECT CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type || '#' || user_id % 7 END AS a,
+                  CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id % 7 || '#' END AS b FROM events)
+SELECT a, b FROM t GROUP BY a, b""")
+def dedup_by_hash_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows told apart by their hash, with separators and NULLs inside."""
+    ev = table(spark, sf, "events")
+    a = F.when(F.col("event_id") % 5 != 0, F.concat("event_type", F.lit("#"), (F.col("user_id") % 7).cast("string")))
+    b = F.when(F.col("event_id") % 3 != 0, F.concat((F.col("user_id") % 7).cast("string"), F.lit("#")))
+    return dedup_by_hash(ev.select(a.alias("a"), b.alias("b")), ["a", "b"]).select("a", "b")
+
+
 # ---------------------------------------------------------------- S2, X10
 @register("raw_documents", """
 SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_custkey, o_orderpriority, 6 AS n_fields FROM orders""")

@@ -2,13 +2,13 @@
 
 All written state (landing pages, bronze tables, control log, manifests)
 lives under the shared folder the cluster names in ``spark.checkpoint.dir``.
-The setting is read from the session; only when it is unset (local tests)
-is a scratch folder created and registered.
+The setting is read from the session; without it a cluster session is
+an error and a local one gets a scratch folder.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -52,16 +52,21 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder for checkpoints and written tables."""
+    """The cluster-wide folder for checkpoints and written tables, as the
+    session names it in ``spark.checkpoint.dir``. Executors write there, so
+    on a cluster no local folder can stand in for it; a local master, whose
+    executors are this process, gets a scratch folder where none is named."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
         if d:
             # getCheckpointDir returns <dir>/<app uuid>; keep the app folder
             d = d.rsplit("/", 1)[0]
-    if not d:
+    if not d and re.match(r"local(\[|$)", spark.sparkContext.master):
         d = tempfile.mkdtemp(prefix="ingot-shared-")
         spark.conf.set("spark.checkpoint.dir", d)
+    if not d:
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
@@ -69,10 +74,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder (never reused, never cleared) under the shared dir."""
-    base = shared_dir(spark)
-    path = f"{base}/ingot/{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    path = f"{shared_dir(spark)}/ingot/{label}-{uuid.uuid4().hex[:12]}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     return path
 
 
@@ -100,7 +104,6 @@ def list_dir(spark: SparkSession, path: str) -> list[tuple[str, str, bool, int]]
 
 
 BYTES_PER_PARTITION = 128 << 20
-MAX_PARTITIONS = 200_000
 
 
 def estimated_bytes(df) -> int:
@@ -111,11 +114,11 @@ def estimated_bytes(df) -> int:
         return 0
 
 
-def partitions_for(df, bytes_per_partition: int = BYTES_PER_PARTITION, cap: int = MAX_PARTITIONS) -> int:
+def partitions_for(df, bytes_per_partition: int = BYTES_PER_PARTITION) -> int:
     """Partition count for an explicit (range) repartition that grows with
     the input: about ``bytes_per_partition`` of input per task, never fewer
     than the session's shuffle partitions. AQE does not resize an explicit
     range partitioning, so the count has to be right up front."""
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     est = estimated_bytes(df)
-    return max(base, min(cap, -(-est // bytes_per_partition)))
+    return max(base, -(-est // bytes_per_partition))

@@ -3,7 +3,7 @@
 The landing folder is read as text (one document per line), parsed
 against a pinned schema, and every value that does not fit is kept in
 ``_rescued_data``. The schema is the target table's when it exists,
-else inferred once from a bounded sample.
+else inferred once over all lines.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ingot.functions.json import DEFAULT_SAMPLE_SIZE, infer_json_schema
+from ingot.functions.json import infer_json_schema
 from ingot.functions.rescue import RESCUE_COLUMN, parse_json_lines
 
 
@@ -23,7 +23,7 @@ def read_landing_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_landing(spark: SparkSession, paths: str | list[str], schema: StructType | None = None,
-                 rescue: bool = True, sample_size: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
+                 rescue: bool = True, sample_size: int | None = None) -> DataFrame:
     """Typed landing rows plus ``_rescued_data``. Blank lines are skipped;
     an empty landing gives an empty frame with the pinned schema."""
     text = read_landing_text(spark, paths)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,8 +13,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="ingot-tests", shuffle_partitions=4)
-    shared_dir(s)  # tests: a scratch folder is registered only if the session names none
+    s = build_session("local[4]", app="ingot-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ingot-tests-"),
+                             "spark.ui.showConsoleProgress": "false"})
+    shared_dir(s)
     yield s
     s.stop()
 

@@ -5,7 +5,7 @@ from pyspark.sql.window import Window
 
 from ingot.operators.landing import write_dated_parquet
 from ingot.operators.ordering import with_global_row_number
-from ingot.sources.files import CsvReader, dated_paths, read_date_range
+from ingot.sources.files import dated_paths, read_csv, read_date_range
 from ingot.sources.documents import expand_documents, raw_documents
 
 
@@ -29,11 +29,10 @@ def test_date_range_skips_absent_days(spark, ws):
 def test_csv_reader_options(spark, ws):
     with open(f"{ws}/a.csv", "w") as fh:
         fh.write("x;y\n1;b\n")
-    r = CsvReader(spark, ws, sep=";")
-    assert CsvReader.normalise({"header": True, "n": 1}) == {"header": "true", "n": 1}
-    assert dict(r.read("a.csv").dtypes) == {"x": "int", "y": "string"}
-    assert dict(r.read("a.csv", inferSchema=False).dtypes)["x"] == "string"
-    assert r.read("a.csv", schema="x long, y string").first() == (1, "b")
+    path = f"{ws}/a.csv"
+    assert dict(read_csv(spark, path, sep=";").dtypes) == {"x": "int", "y": "string"}
+    assert dict(read_csv(spark, path, sep=";", inferSchema=False).dtypes)["x"] == "string"
+    assert read_csv(spark, path, "x long, y string", sep=";").first() == (1, "b")
 
 
 def test_raw_documents_and_expand_drop_duplicate_id(spark):
