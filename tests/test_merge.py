@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ingot.operators.lineage import add_lineage
@@ -150,3 +152,48 @@ def test_overwrite_snapshot_can_rebuild_from_itself(spark, ws):
     overwrite_snapshot(spark.read.parquet(t).distinct(), t)   # reads the path it replaces
     assert sorted(r.x for r in spark.read.parquet(t).collect()) == [1, 2]
     assert sorted(os.listdir(ws.replace("file:", ""))) == ["snap"]
+
+
+def test_row_hash_does_not_collide(spark):
+    df = spark.createDataFrame([("a#b", "c"), ("a", "b#c"), (None, "x"), ("\\N", "x")], "x string, y string")
+    assert df.select(row_hash(["x", "y"])).distinct().count() == 4
+
+
+@pytest.mark.parametrize("fail_at", [1, 2])
+def test_a_failed_swap_leaves_the_old_table(spark, ws, monkeypatch, fail_at):
+    from ingot.operators import merge
+    spark.range(3).write.parquet(f"{ws}/t")
+    real, calls = merge._move, []
+
+    def move(fs, src, dst):
+        calls.append(dst)
+        if len(calls) == fail_at:
+            raise OSError("no rename")
+        real(fs, src, dst)
+
+    monkeypatch.setattr(merge, "_move", move)
+    with pytest.raises(OSError):
+        merge.overwrite_snapshot(spark.range(9), f"{ws}/t")
+    assert spark.read.parquet(f"{ws}/t").count() == 3
+
+
+def test_a_crash_between_the_renames_can_be_undone(spark, ws):
+    from ingot.operators import merge
+    spark.range(3).withColumn("d", F.lit("x")).write.partitionBy("d").parquet(f"{ws}/t")
+    p, fs = merge._fs_path(spark, f"{ws}/t/d=x")
+    aside, _ = merge._fs_path(spark, f"{ws}/t/_replaced/x")
+    fs.mkdirs(aside.getParent())
+    merge._move(fs, p, aside)
+    spark.range(1).withColumn("d", F.lit("y")).write.mode("append").partitionBy("d").parquet(f"{ws}/t")
+    assert spark.read.parquet(f"{ws}/t").count() == 1      # hidden from readers
+    assert merge.restore_partitions(spark, f"{ws}/t", "d") == 1
+    assert spark.read.parquet(f"{ws}/t").count() == 4
+
+
+def test_a_cut_off_schema_file_is_not_an_error(spark, ws):
+    from ingot.operators import merge
+    spark.range(3).write.parquet(f"{ws}/t")
+    open(f"{ws}/t/_schema.json", "w").close()
+    assert read_table(spark, f"{ws}/t").count() == 3
+    merge.store_schema(spark, f"{ws}/t", spark.range(1).schema)
+    assert merge.stored_schema(spark, f"{ws}/t") == spark.range(1).schema

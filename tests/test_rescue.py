@@ -82,3 +82,53 @@ def test_no_value_is_lost(spark, docs):
             typed = row[k] if k in schema.fieldNames() else None
             in_rescue = any(r == k or r.startswith(k + ".") for r in rescued)
             assert typed is not None or in_rescue, (k, v, row)
+
+
+def test_values_inside_arrays_maps_and_repeated_keys(spark):
+    from ingot.functions.rescue import parse_json_lines
+    schema = StructType.fromDDL("cast array<struct<name:string,year:int>>, m map<string,struct<a:int>>, n array<array<int>>")
+    lines = {
+        '{"cast":[{"name":"a","year":"bad","extra":9},{"name":"b","year":2}]}':
+            {"cast[0].extra": "9", "cast[0].year": "bad"},
+        '{"z":1,"z":2,"a.b":{"c":3}}': {"z": '["1","2"]', "a\\.b": '{"c":3}'},
+        '{"m":{"k.1":{"a":1,"b":2}}}': {"m.k\\.1.b": "2"},
+        '{"cast":[{"name":"a","name":"b"}]}': {"cast[0].name": '["a","b"]'},
+        '{"cast":[],"m":{},"n":[[1],[2,3]]}': None,
+        '{"cast":null,"m":null}': None,
+    }
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [r["_rescued_data"] for r in parse_json_lines(df, schema, keep=["value"]).collect()]
+    want = list(lines.values())
+    assert [json.loads(x) if x else None for x in got] == want
+
+
+def _typed_values(typed, doc, path=""):
+    """(path, raw value) pairs of a document that its typed form does not hold."""
+    if isinstance(doc, dict):
+        if not isinstance(typed, dict):
+            return [(path, doc)]
+        return [x for k, v in doc.items() if v is not None
+                for x in _typed_values(typed.get(k), v, f"{path}.{k}" if path else k)]
+    if isinstance(doc, list):
+        if not isinstance(typed, list):
+            return [(path, doc)]
+        return [x for i, v in enumerate(doc) if v is not None
+                for x in _typed_values(typed[i] if i < len(typed) else None, v, f"{path}[{i}]")]
+    return [] if typed is not None else [(path, doc)]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.fixed_dictionaries({}, optional={
+    "a": _scalars, "s": st.dictionaries(st.sampled_from(["x", "y"]), _scalars, max_size=2),
+    "l": st.lists(st.dictionaries(st.sampled_from(["x", "q"]), _scalars, max_size=2), max_size=3)}), min_size=1, max_size=6))
+def test_lost_values_are_rescued_as_they_were(spark, docs):
+    from ingot.functions.rescue import parse_json_lines
+    schema = StructType.fromDDL("a int, s struct<x:int>, l array<struct<x:int>>")
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, value string")
+    for r in parse_json_lines(df, schema, keep=["i"]).collect():
+        rescued = json.loads(r["_rescued_data"]) if r["_rescued_data"] else {}
+        for path, value in _typed_values(r.asDict(recursive=True), docs[r["i"]]):
+            holder = max((p for p in rescued if path == p or path.startswith((p + ".", p + "["))), key=len)
+            if holder == path and not isinstance(value, (dict, list)):
+                raw = rescued[path]
+                assert raw == value if isinstance(value, str) else json.loads(raw) == value

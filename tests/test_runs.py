@@ -237,3 +237,37 @@ def test_command_line_runs_configured_collections(spark, ws, capsys):
     assert code == 1   # the collection without a source FAILED
     got = {r["collection"]: (r["status"], r["qtd_gravada_destino"]) for r in out}
     assert got == {"movies": ("SUCCESS", 4), "missing": ("FAILED", 0)}
+
+
+def test_a_value_that_is_no_time_never_becomes_the_watermark(spark, ws):
+    cfg, coll = _cfg(ws)
+    control = ControlLog(spark, cfg.control_path)
+    ck = clock()
+    text = "_id string, lastupdated string, v int"
+    first = [("a", "2024-01-05T00:00:00", 1), ("b", "n/a", 2), ("c", "2024-01-05 00:00:00.5", 3)]
+    r = process_collection(spark, cfg, coll, spark.createDataFrame(first, text), control, clock=ck)
+    assert r["watermark_final"] == "2024-01-05 00:00:00.5" and r["status"] == "SUCCESS"
+    assert "unreadable_watermarks=1" in r["mensagem_erro"]
+    later = first + [("d", "2024-06-01T00:00:00", 4)]
+    r = process_collection(spark, cfg, coll, spark.createDataFrame(later, text), control, clock=ck)
+    assert r["qtd_gravada_destino"] == 1 and r["watermark_final"] == "2024-06-01T00:00:00"
+
+
+def test_quarantine_is_not_filled_twice(spark, ws):
+    cfg, coll = _cfg(ws, mode="full")
+    control = ControlLog(spark, cfg.control_path)
+    rows = [("a", T0, 1), (None, T0, 2)]
+    for _ in range(2):
+        process_collection(spark, cfg, coll, _src(spark, rows), control, clock=clock())
+    assert read_table(spark, f"{cfg.quarantine_dir}/movies").count() == 1
+
+
+def test_a_source_that_fails_to_load_is_logged(spark, ws):
+    cfg, _ = _cfg(ws)
+
+    def broken():
+        raise RuntimeError("no such collection")
+
+    run_all(spark, cfg, {"movies": broken}, clock=clock())
+    logged = ControlLog(spark, cfg.control_path).read().collect()
+    assert [(r.status, r.mensagem_erro) for r in logged] == [("FAILED", "no such collection")]
