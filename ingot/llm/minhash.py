@@ -41,6 +41,7 @@ from ingot.llm.common import components, written
 BANDS, ROWS, BITS = 40, 5, 4
 PERMS = BANDS * ROWS
 ESTIMATE_SLACK = 5.0
+BLOCK = 256
 _rng = np.random.default_rng(20240229)
 _MUL = (_rng.integers(0, 1 << 32, PERMS, np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _rng.integers(0, 1 << 32, PERMS, np.uint64).astype(np.uint32)
@@ -158,6 +159,67 @@ def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         .filter(F.col("est") >= lowest_estimate(percent / 100))
 
 
+def _compare(batches, percent: int):
+    """Rows (unit, left, inner, id, c, n_shingles, sig) with the rows of a
+    unit of work together: pairs ``(a, b)`` of different components that the
+    sizes and the packed signatures allow. ``left`` says which of the unit's
+    two blocks a row is of; ``inner`` marks a block against itself."""
+    chance, least = 2.0 ** -BITS, lowest_estimate(percent / 100)
+    step = np.uint64(sum(1 << (i * BITS) for i in range(64 // BITS)))
+
+    def pairs_of(part: pd.DataFrame) -> pd.DataFrame:
+        ids, comp, size = (part[x].to_numpy(np.int64) for x in ("id", "c", "n_shingles"))
+        sig = np.stack(part["sig"].to_numpy()).astype(np.int64).view(np.uint64)
+        left, inner = part["left"].to_numpy(bool), part["inner"].to_numpy(bool)
+        out = []
+        unit_no = part["unit"].to_numpy()
+        cuts = np.flatnonzero(np.concatenate(([True], unit_no[1:] != unit_no[:-1], [True])))
+        for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            rows = np.arange(s, e)
+            for i in rows if inner[s] else rows[left[s:e]]:
+                other = rows[i - s + 1:] if inner[s] else rows[~left[s:e]]
+                other = other[(comp[other] != comp[i])
+                              & (np.minimum(size[other], size[i]) * 100 >= np.maximum(size[other], size[i]) * percent)]
+                if len(other):
+                    x = sig[other] ^ sig[i]
+                    folded = x.copy()
+                    for k in range(1, BITS):
+                        folded |= x >> np.uint64(k)
+                    unequal = np.bitwise_count(folded & step).sum(axis=1)
+                    near = other[((1 - unequal / PERMS) - chance) / (1 - chance) >= least]
+                    out.append(np.stack((np.full(len(near), ids[i]), ids[near])))
+        a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+    held = None
+    for pdf in batches:
+        pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        u = pdf["unit"].to_numpy()
+        last = int(np.searchsorted(u, u[-1])) if len(u) else 0     # the last unit may go on
+        if last:
+            yield pairs_of(pdf.iloc[:last])
+        held = pdf.iloc[last:]
+    if held is not None and len(held):
+        yield pairs_of(held)
+
+
+def _apart(placed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Plausible pairs ``(a, b)`` of different components within the buckets of
+    ``placed(key, id, c, n)``. A bucket of more than ``BLOCK`` documents is cut
+    into blocks and each pair of blocks is a unit of work of its own; only
+    pairs that the signatures allow leave a task."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = placed.withColumn("blocks", blocks) \
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("id", "c", (F.col("block") <= F.col("other")).alias("left"),
+                (F.col("block") == F.col("other")).alias("inner"),
+                F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("unit"))
+    work = rows.join(reps.select("id", "n_shingles", "sig"), "id").repartition("unit").sortWithinPartitions("unit", "id")
+    return work.select("unit", "left", "inner", "id", "c", "n_shingles", "sig") \
+        .mapInPandas(lambda b: _compare(b, percent), "a long, b long").distinct()
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the similarity."""
     one = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
@@ -213,13 +275,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # members of one bucket that are still apart, against each other
     placed = member.select("key", "id").join(comp.select(F.col("node").alias("id"), "component"), "id", "left") \
         .select("key", "id", F.coalesce("component", "id").alias("c"))
-    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    placed = written(placed.join(split, "key"), "split-buckets")
-    other = placed.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-    apart = placed.select("key", F.col("id").alias("a"), F.col("c").alias("ca")).join(other, "key") \
-        .filter("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct() \
-        .join(star.select("a", "b"), ["a", "b"], "left_anti")
-    apart = written(_plausible(apart, reps, percent), "candidates")
+    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")) \
+        .filter("lo < hi").select("key", "n")
+    apart = _apart(written(placed.join(split, "key"), "split-buckets"), reps, percent)
+    apart = written(apart.join(star.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
     more = _confirmed(apart, _sets_of(docs, apart, k), percent)
     comp = components(links.union(written(more, "links")))
 
