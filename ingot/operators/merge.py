@@ -136,65 +136,26 @@ def align_to_target(batch: DataFrame, target_schema: T.StructType) -> DataFrame:
     return out.withColumn(RESCUE_COLUMN, entries_to_json(F.col("__lost"))).withColumns(casts).drop("__lost")
 
 
-MAX_PRUNE_BUCKETS = 1 << 21        # bound of the broadcast bucket set (≤ 2M ints)
-PRUNE_MIN_TARGET_BYTES = 256 << 20  # below this the target key column is simply shuffled
-
-
-def key_bucket(c: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(c), F.lit(buckets))
-
-
-def prune_by_batch_buckets(existing: DataFrame, batch_keys: DataFrame, expected_keys: int,
-                           key_col: str = "__k") -> DataFrame | None:
-    """Keep only target keys whose hash bucket occurs among the batch keys
-    (a one-hash Bloom filter). The bucket set has at most
-    ``MAX_PRUNE_BUCKETS`` rows, so its broadcast is bounded whatever the
-    data size; with 8 buckets per batch key about 1 - e^(-1/8) ≈ 12 % of
-    unrelated target keys survive, so the shuffle of the anti join scales
-    with the batch, not with the table. None when the batch is too large
-    for that ratio (the full key shuffle is then proportionate anyway)."""
-    if expected_keys <= 0 or expected_keys * 8 > MAX_PRUNE_BUCKETS:
-        return None
-    buckets = max(1024, 1 << (expected_keys * 8 - 1).bit_length())
-    hit = batch_keys.select(key_bucket(F.col(batch_keys.columns[0]), buckets).alias("__b")).distinct()
-    return existing.join(F.broadcast(hit), key_bucket(F.col(key_col), buckets) == F.col("__b"), "left_semi")
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    return estimated_bytes(df)
-
-
 def insert_only_rows(batch: DataFrame, target: DataFrame | None, key: str = "_source_id",
-                     key_range: tuple | None = None, batch_keys: DataFrame | None = None,
-                     expected_keys: int | None = None,
-                     prune_min_target_bytes: int = PRUNE_MIN_TARGET_BYTES) -> DataFrame:
+                     key_range: tuple | None = None) -> DataFrame:
     """The rows an insert-only merge would append (the plan, no write):
-    batch rows whose key the target lacks, plus NULL-key rows. See
-    :func:`insert_only_merge` for the pruning steps."""
+    batch rows whose key the target lacks. A NULL key equals nothing, so the
+    anti join keeps it; should many rows have one, AQE splits that partition.
+    The batch is read once, and of the target only the key column, cut to the
+    batch's key range where it is known."""
     if target is None:
         return batch
     batch = align_to_target(batch, target.schema)
     existing = target.select(F.col(f"`{key}`").alias("__k")).where(F.col("__k").isNotNull())
     if key_range is not None and key_range[0] is not None:
         existing = existing.where(F.col("__k").between(F.lit(key_range[0]), F.lit(key_range[1])))
-    if expected_keys is not None and _estimated_bytes(existing) >= prune_min_target_bytes:
-        keys_src = batch_keys if batch_keys is not None else batch.select(F.col(f"`{key}`"))
-        pruned = prune_by_batch_buckets(existing, keys_src.where(F.col(keys_src.columns[0]).isNotNull()),
-                                        expected_keys)
-        existing = pruned if pruned is not None else existing
-    keyed = batch.where(F.col(f"`{key}`").isNotNull())
-    # NULL keys never match: they skip the join instead of all hashing into
-    # one shuffle partition
-    return keyed.join(existing, keyed[key] == existing["__k"], "left_anti") \
-        .unionByName(batch.where(F.col(f"`{key}`").isNull()))
+    return batch.join(existing, batch[key] == existing["__k"], "left_anti")
 
 
 def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, key: str = "_source_id",
                       partition_by: tuple[str, ...] = (PARTITION_COLUMN,),
                       key_range: tuple | None = None, sort_within: bool = True,
-                      target: DataFrame | None = None, batch_keys: DataFrame | None = None,
-                      expected_keys: int | None = None,
-                      prune_min_target_bytes: int = PRUNE_MIN_TARGET_BYTES,
+                      target: DataFrame | None = None,
                       observe: dict[str, Column] | None = None, observed: dict | None = None) -> int:
     """Insert batch rows whose key is absent from the target; matched rows
     stay untouched (J1). Equality is not null-safe: a NULL key never
@@ -208,11 +169,6 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
     is written sorted by key within each file). ``target`` may pass an
     already resolved read of the table (saves a schema-merge pass).
 
-    With ``expected_keys`` (the batch's distinct-key bound) and a target
-    key column larger than ``prune_min_target_bytes``, the target keys are
-    first cut to the hash buckets of ``batch_keys`` (default: the batch's
-    key column), see :func:`prune_by_batch_buckets`.
-
     ``observe`` adds aggregate expressions over the rows actually written;
     their values land in ``observed``. All observations sit in the write
     stage itself, so a re-run map stage (lost executor) cannot count a row
@@ -220,7 +176,7 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
     if target is None and table_exists(spark, target_path):
         target = read_table(spark, target_path)
-    new_rows = insert_only_rows(batch, target, key, key_range, batch_keys, expected_keys, prune_min_target_bytes)
+    new_rows = insert_only_rows(batch, target, key, key_range)
     if sort_within:
         new_rows = new_rows.sortWithinPartitions(*partition_by, key)
     data_cols = [f for f in new_rows.schema.fields if f.name not in partition_by]

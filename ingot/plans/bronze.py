@@ -147,11 +147,10 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
         to_write = latest_per_key(keyed, ["_source_id"], order) \
             .unionByName(to_write.where(F.col("_source_id").isNull()))
 
-    batch_keys = light.select(light_key.alias("_source_id"))
     observed: dict = {}
     written = insert_only_merge(spark, to_write, target_path, "_source_id", (PARTITION_COLUMN,),
-                                key_range=(s.lo, s.hi), target=target, batch_keys=batch_keys,
-                                expected_keys=total - nulls, observe={"wm_written": F.max(wm).getField("text")},
+                                key_range=(s.lo, s.hi), target=target,
+                                observe={"wm_written": F.max(wm).getField("text")},
                                 observed=observed, **merge_options)
     wm_written = observed.get("wm_written") if written else None
     return LoadResult(total, written, int(s.dups), pct_null, nulls, quarantined, s.wm, wm_written,

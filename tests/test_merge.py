@@ -108,18 +108,15 @@ def test_stored_schema_tracks_evolution(spark, ws):
     assert read_table(spark, t).where(F.col("extra") == "e").count() == 1
 
 
-def test_bucket_pruned_merge_gives_the_same_rows(spark, ws):
-    from ingot.operators.merge import prune_by_batch_buckets
-    t = f"{ws}/t"
-    insert_only_merge(spark, _batch(spark, [(f"k{i}", i) for i in range(500)]), t)
-    b2 = _batch(spark, [("k3", 0), ("k499", 0), ("new1", 1), ("new2", 2), (None, 9)], "r2")
-    written = insert_only_merge(spark, b2, t, expected_keys=4, prune_min_target_bytes=0)
-    assert written == 3  # two new keys and the NULL key
-    assert read_table(spark, t).where(F.col("_source_id") == "k3").first()["v"] == 3
-    existing = read_table(spark, t).select(F.col("_source_id").alias("__k"))
-    kept = prune_by_batch_buckets(existing, spark.createDataFrame([("k3",)], "k string"), 1).count()
-    assert 1 <= kept < 50       # the batch key survives, most others are cut before any shuffle
-    assert prune_by_batch_buckets(existing, existing, 10 ** 7) is None
+def test_merge_reads_the_batch_once(spark, ws):
+    from ingot.operators.merge import insert_only_rows
+    old = spark.createDataFrame([("k1", 1), ("k2", 2)], "_source_id string, v int")
+    old.write.parquet(f"{ws}/old")
+    spark.createDataFrame([("k2", 9), (None, 8), ("k3", 7)], "_source_id string, v int").write.parquet(f"{ws}/new")
+    rows = insert_only_rows(spark.read.parquet(f"{ws}/new"), spark.read.parquet(f"{ws}/old"), key_range=("k2", "k3"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.v for r in rows.collect()) == [7, 8]
+    assert plan.count("FileScan") == 2 and "GreaterThanOrEqual(_source_id,k2)" in plan
 
 
 def test_latest_per_key_group_rows_both_plans(spark):

@@ -46,8 +46,7 @@ def facts(plan: str) -> list[str]:
 
 def merge_plan(spark, sf: str) -> str:
     """Plan of the insert-only merge (J1) for a second delivery of events
-    into a bronze table holding the first, with the key range and the
-    bucket-set pruning switched on (as for a large target)."""
+    into a bronze table holding the first, with the batch's key range."""
     import datetime as dt
     from pyspark.sql import functions as F
     from ingot.operators.lineage import add_lineage
@@ -58,9 +57,7 @@ def merge_plan(spark, sf: str) -> str:
     now = dt.datetime(2024, 2, 1)
     insert_only_merge(spark, add_lineage(ev.where("ts < '2024-01-20'"), "event_id", "r1", "full", now), f"{ws}/t")
     second = add_lineage(ev.where("ts >= '2024-01-10'"), "event_id", "r2", "full", now)
-    rows = insert_only_rows(second, read_table(spark, f"{ws}/t"), key_range=("1000", "9999"),
-                            batch_keys=second.select("_source_id"), expected_keys=10_000,
-                            prune_min_target_bytes=0)
+    rows = insert_only_rows(second, read_table(spark, f"{ws}/t"), key_range=("1000", "9999"))
     return df_facts(rows)
 
 
