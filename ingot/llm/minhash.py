@@ -41,7 +41,8 @@ from ingot.llm.common import components, written
 BANDS, ROWS, BITS = 40, 5, 4
 PERMS = BANDS * ROWS
 ESTIMATE_SLACK = 5.0
-BLOCK = 256
+BLOCK = 512
+BEST = 4                     # pairs of two components tried before all others
 _rng = np.random.default_rng(20240229)
 _MUL = (_rng.integers(0, 1 << 32, PERMS, np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _rng.integers(0, 1 << 32, PERMS, np.uint64).astype(np.uint32)
@@ -159,11 +160,12 @@ def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         .filter(F.col("est") >= lowest_estimate(percent / 100))
 
 
-def _compare(batches, percent: int):
+def _compare(batches, percent: int, best: int | None = None):
     """Rows (unit, left, inner, id, c, n_shingles, sig) with the rows of a
     unit of work together: pairs ``(a, b)`` of different components that the
-    sizes and the packed signatures allow. ``left`` says which of the unit's
-    two blocks a row is of; ``inner`` marks a block against itself."""
+    sizes and the packed signatures allow, or the ``best`` most similar of them
+    for two components. ``left`` says which of the unit's two blocks a row is
+    of; ``inner`` marks a block against itself."""
     chance, least = 2.0 ** -BITS, lowest_estimate(percent / 100)
     step = np.uint64(sum(1 << (i * BITS) for i in range(64 // BITS)))
 
@@ -176,6 +178,7 @@ def _compare(batches, percent: int):
         cuts = np.flatnonzero(np.concatenate(([True], unit_no[1:] != unit_no[:-1], [True])))
         for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             rows = np.arange(s, e)
+            found = []
             for i in rows if inner[s] else rows[left[s:e]]:
                 other = rows[i - s + 1:] if inner[s] else rows[~left[s:e]]
                 other = other[(comp[other] != comp[i])
@@ -185,9 +188,19 @@ def _compare(batches, percent: int):
                     folded = x.copy()
                     for k in range(1, BITS):
                         folded |= x >> np.uint64(k)
-                    unequal = np.bitwise_count(folded & step).sum(axis=1)
-                    near = other[((1 - unequal / PERMS) - chance) / (1 - chance) >= least]
-                    out.append(np.stack((np.full(len(near), ids[i]), ids[near])))
+                    unequal = np.bitwise_count(folded & step).sum(axis=1).astype(np.int64)
+                    est = ((1 - unequal / PERMS) - chance) / (1 - chance)
+                    near = est >= least
+                    found.append(np.stack((np.full(near.sum(), i), other[near], unequal[near])))
+            if found:
+                i, j, unequal = np.concatenate(found, axis=1)
+                if best is not None:
+                    lo, hi = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
+                    o = np.lexsort((unequal, hi, lo))
+                    head = np.concatenate(([True], (lo[o][1:] != lo[o][:-1]) | (hi[o][1:] != hi[o][:-1])))[:len(o)]
+                    nth = np.arange(len(o)) - np.maximum.accumulate(np.where(head, np.arange(len(o)), 0))
+                    i, j = i[o][nth < best], j[o][nth < best]
+                out.append(np.stack((ids[i], ids[j])))
         a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
@@ -203,7 +216,7 @@ def _compare(batches, percent: int):
         yield pairs_of(held)
 
 
-def _apart(placed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _apart(placed: DataFrame, reps: DataFrame, percent: int, best: int | None) -> DataFrame:
     """Plausible pairs ``(a, b)`` of different components within the buckets of
     ``placed(key, id, c, n)``. A bucket of more than ``BLOCK`` documents is cut
     into blocks and each pair of blocks is a unit of work of its own; only
@@ -217,7 +230,7 @@ def _apart(placed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("unit"))
     work = rows.join(reps.select("id", "n_shingles", "sig"), "id").repartition("unit").sortWithinPartitions("unit", "id")
     return work.select("unit", "left", "inner", "id", "c", "n_shingles", "sig") \
-        .mapInPandas(lambda b: _compare(b, percent), "a long, b long").distinct()
+        .mapInPandas(lambda b: _compare(b, percent, best), "a long, b long").distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -237,9 +250,10 @@ def _across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.filter("ca <> cb").drop("ca", "cb")
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi") \
+def _sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """Full sets of the documents ``ids(doc_id)``, a list that grows with the
+    corpus and is therefore never broadcast."""
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(ids.hint("merge"), "doc_id", "left_semi") \
         .dropDuplicates(["doc_id"])
     return written(shingle_sets(texts, k), "shingle-sets")
 
@@ -263,7 +277,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # members of a bucket against its smallest document
     star = member.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     star = written(_plausible(star, reps, percent), "candidates")
-    sets = _sets_of(docs, star, k)
+    sets = _sets_of(docs, member.select(F.col("id").alias("doc_id")).distinct(), k)
     best = star.groupBy("b").agg(F.max(F.struct("est", (-F.col("a")).alias("na"))).alias("m")) \
         .select((-F.col("m.na")).alias("a"), "b")
     links = written(_confirmed(best, sets, percent), "links")
@@ -272,15 +286,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     links = links.union(written(_confirmed(rest, sets, percent), "links"))
     comp = components(links)
 
-    # members of one bucket that are still apart, against each other
-    placed = member.select("key", "id").join(comp.select(F.col("node").alias("id"), "component"), "id", "left") \
-        .select("key", "id", F.coalesce("component", "id").alias("c"))
-    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")) \
-        .filter("lo < hi").select("key", "n")
-    apart = _apart(written(placed.join(split, "key"), "split-buckets"), reps, percent)
-    apart = written(apart.join(star.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
-    more = _confirmed(apart, _sets_of(docs, apart, k), percent)
-    comp = components(links.union(written(more, "links")))
+    # members of one bucket that are still apart, against each other: the most
+    # similar of two components first, then all that are left
+    tried = star.select("a", "b")
+    for best in (BEST, None):
+        placed = member.select("key", "id").join(comp.select(F.col("node").alias("id"), "component"), "id", "left") \
+            .select("key", "id", F.coalesce("component", "id").alias("c"))
+        split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")) \
+            .filter("lo < hi").select("key", "n")
+        apart = _apart(written(placed.join(split, "key"), "split-buckets"), reps, percent, best)
+        apart = written(apart.join(tried, ["a", "b"], "left_anti"), "candidates")
+        links = links.union(written(_confirmed(apart, sets, percent), "links"))
+        tried = tried.union(apart)
+        comp = components(links)
 
     found = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left") \
         .select("set_key", F.coalesce("component", "rep").alias("component_id"))
