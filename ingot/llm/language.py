@@ -44,8 +44,8 @@ CHAINS_PER_STEP = 96
 STEPS = 220
 RATE, L2 = 0.25, 1e-6
 SEED = 5
-WORDS_AT_ONCE = 500_000    # words of the texts that are labelled side by side
-CACHE_WORDS = 600_000
+WORDS_AT_ONCE = 200_000    # words of the texts that are labelled side by side
+CACHE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 _WORKER_CACHE: dict = {}
 
@@ -54,7 +54,7 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def _hashed(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass")) % FEATURES
 

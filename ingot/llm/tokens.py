@@ -13,7 +13,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
-CACHE_PIECES = 600_000       # pieces remembered by a worker before it starts anew
+CACHE_PIECES = 400_000       # pieces remembered by a worker before it starts anew
 BYTE_LEVEL, WORD_LEVEL = "byte", "word"
 # a white-space run longer than one character beside a space: the run's cut depends on what follows
 _UNSAFE = re.compile("[ ]\\s|\\s[ ]|\u180e|<\\|")

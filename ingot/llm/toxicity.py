@@ -34,7 +34,7 @@ MAX_FEATURES = 6000
 MIN_DOCS = 5
 PREFIXES = (4, 5, 6)
 STEPS, RATE, L2 = 300, 0.15, 2e-4
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 _WORKER: dict = {}
 
