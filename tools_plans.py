@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 import sys
 
-from __spark_entry__ import queries
+from ingot.queries import all_queries  # noqa: E402
 from ingot.session import build_session
 
 STATEFUL_MODULE = "ingot.queries.state_queries"
@@ -72,7 +72,7 @@ def main(argv):
     spark = build_session("local[8]", shuffle_partitions=8)
     print("# Physical plans of the stateless queries\n")
     print(f"Generated by `tools_plans.py` on `{sf}` (local[8], AQE on; plans shown before AQE re-planning).\n")
-    for name, fn in sorted(queries().items()):
+    for name, fn in sorted(all_queries().items()):
         if fn.__module__ == STATEFUL_MODULE or name in SKIP:
             continue
         df = fn(spark, sf)
@@ -80,7 +80,7 @@ def main(argv):
         print(f"## {name}\n")
         print("\n".join(facts(formatted)) or "- (local relation)")
         print()
-    print("## insert_only_merge (J1): second delivery, key-range and bucket-set pruning on\n")
+    print("## insert_only_merge (J1): second delivery, key-range pruning on\n")
     print(merge_plan(spark, sf))
     print()
     spark.stop()
