@@ -209,6 +209,40 @@ def test_decontamination_odd_rows(spark, monkeypatch):
     assert decontaminate.remove_leaks(docs, bench.limit(0)).count() == 7
 
 
+def test_all_that_confirms_is_found_in_a_large_benchmark(spark, monkeypatch):
+    """3000 items of 8 to 10 words out of prose, by far more than directions;
+    documents with one each, verbatim or with words before the answer replaced."""
+    monkeypatch.setattr(decontaminate, "PASSAGES_AT_ONCE", 7)
+    rng = random.Random(3)
+    table = corpus_table(spark, "/root/testdata/sf0.1", "documents").orderBy("doc_id").limit(1500)
+    prose = [w for w in (decontaminate.words_of(r.text) for r in table.collect()) if len(w) > 150]
+    items = []
+    for _ in range(3000):
+        words, n = rng.choice(prose), rng.randint(8, 10)
+        at = rng.randrange(len(words) - n)
+        items.append(words[at:at + n])
+    docs = []
+    for i, item in enumerate(items[:100]):
+        words, at = prose[i * 7 % len(prose)], rng.randint(10, 100)
+        if i % 2:
+            item = [rng.choice(words) if k < len(item) // 2 and rng.random() < 0.35 else w for k, w in enumerate(item)]
+        docs.append(words[:at] + item + words[at:140])
+    rows = list(enumerate(" ".join(w) for w in docs + [x[:300] for x in prose[-700:]]))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    leaks = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    got = {(r.doc_id, r.item_id): r.overlap for r in leaks.filter(f"doc_id < {len(docs)}").collect()}
+    want = {}
+    for d, words in enumerate(docs):
+        for i, item in enumerate(items):
+            extra = len(item) // 2
+            found = [decontaminate.confirm(item, words, max(0, a - extra), min(len(words), a + decontaminate.WINDOW + extra))
+                     for a, _ in decontaminate._windows(len(words))]
+            if any(found):
+                want[d, i] = max(f[0] for f in found if f)
+    assert got == want
+    assert all((d, d) in want for d in range(0, len(docs), 2))
+
+
 def test_smallest_tables(spark):
     for q in (op1_ordinal_toxicity, op8_crf_language, op10_lsa_decontamination):
         q(spark, SF_SMALL).collect()
