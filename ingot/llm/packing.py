@@ -8,6 +8,12 @@ waste, and the incumbent starts as the best-fit filling. A filling dominated
 by another (one of its pieces could be swapped for a longer one that still
 fits) always leaves more room, so it loses to the incumbent.
 
+Repeating the least-waste filling can leave lengths that go badly together. So
+the whole plan is searched too: its incumbent is the smaller of that plan and
+best-fit decreasing; branches are other fillings and fewer repeats of one,
+those nearest to the first choices before others, each completed by best fit
+and cut where a lower bound on the rest cannot beat the incumbent.
+
 Only lengths matter, and a length is at most ``capacity``. So the plan is made
 from the histogram of lengths (at most ``capacity`` rows whatever the corpus)
 and one filling is applied to as many sequences as its scarcest length allows.
@@ -25,6 +31,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
@@ -36,6 +43,8 @@ from ingot.llm.tokens import worker_encoder
 
 CAPACITY = 4096
 SEARCH_NODES = 3000          # fillings looked at for one sequence before the incumbent is taken
+PLAN_NODES = 100_000         # steps of the search over whole plans before its incumbent is taken
+PLAN_DEPTH, FILLING_NODES, FANOUT = 40, 400, 8      # fillings chosen in turn; looked at and tried for each
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -75,27 +84,154 @@ def best_filling(lengths: np.ndarray, counts: np.ndarray, room: int, nodes: int
     return best
 
 
-def plan_sequences(hist: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """``[(lengths of a sequence, how many such sequences)]`` from a histogram
-    of lengths."""
-    lengths = np.array(sorted(hist), np.int64)
-    counts = np.array([hist[x] for x in lengths.tolist()], np.int64)
+def best_fit_decreasing(hist: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
+    """The plan of best-fit decreasing, without a step per piece: sequences of
+    one filling are a group. A sequence that got a piece is the fullest one
+    that still has room, so it gets pieces of that length until none fits."""
+    rooms: list[int] = []                        # the different rooms left, ascending
+    groups: dict[int, list] = {}                 # room -> [(filling as (length, times) pairs, sequences)]
+
+    def put(room: int, filling: tuple, n: int) -> None:
+        if n and room not in groups:
+            insort(rooms, room)
+            groups[room] = []
+        if n:
+            groups[room].append((filling, n))
+
+    for x in sorted(hist, reverse=True):
+        left = hist[x]
+        while left:
+            k = bisect_left(rooms, x)
+            if k < len(rooms):
+                room = rooms[k]
+                filling, n = groups[room].pop()
+                if not groups[room]:
+                    del groups[room], rooms[k]
+            else:
+                room, filling, n = capacity, (), -(-left // (capacity // x))
+            each = room // x
+            full = min(n, left // each)
+            part = left - full * each if full < n else 0     # what one more sequence gets
+            put(room - each * x, (*filling, (x, each)), full)
+            if part:
+                put(room - part * x, (*filling, (x, part)), 1)
+            put(room, filling, n - full - (part > 0))
+            left -= full * each + part
+    return [([x for x, k in filling for _ in range(k)], n) for g in groups.values() for filling, n in g]
+
+
+def fewest_sequences(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> int:
+    """A lower bound (Martello and Toth's L2): pieces above half the capacity
+    have a sequence each, pieces of at least x share none with those above
+    ``capacity - x``. And of pieces above a k-th of it, k - 1 share one."""
+    n, total = (np.concatenate(([0], np.cumsum(x))) for x in (counts, lengths * counts))
+    half = int(np.searchsorted(lengths, capacity // 2, "right"))
+    top = np.searchsorted(lengths, capacity - lengths[:half], "right")
+    spare = (n[top] - n[half]) * capacity - (total[top] - total[half])
+    more = -(-(total[half] - total[:half] - spare) // capacity)
+    k = np.arange(2, 65)
+    above = n[-1] - n[np.searchsorted(lengths, capacity // k, "right")]
+    return int(max(-(-total[-1] // capacity), n[-1] - n[half] + max(0, more.max(initial=0)), (-(-above // (k - 1))).max()))
+
+
+def _fillings(lengths: np.ndarray, counts: np.ndarray, room: int, nodes: int) -> tuple[list[list[int]], int]:
+    """Maximal fillings of a room, the least waste first, and the nodes used."""
+    found: list[tuple[int, list[int]]] = []
+    have, left = list(zip(lengths.tolist(), counts.tolist(), strict=True)), nodes
+
+    def search(i: int, room_left: int, chosen: list[int], spared: int) -> None:
+        """``spared`` is the shortest length of which a piece was left out."""
+        nonlocal left
+        while i >= 0 and have[i][0] > room_left:
+            i -= 1
+        left -= 1
+        if i < 0 or left <= 0:
+            if room_left < spared:
+                found.append((room_left, chosen))
+            return
+        x, n = have[i]
+        most = min(n, room_left // x)
+        for times in range(most, -1, -1):
+            search(i - 1, room_left - times * x, chosen + [x] * times, min(spared, x) if times < n else spared)
+            if left <= 0:
+                return
+
+    search(len(have) - 1, room, [], room + 1)
+    return [f for _, f in sorted(found, key=lambda f: f[0])[:FANOUT]], nodes - left
+
+
+def _greedy(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
+    """The least-waste filling of the largest piece, as often as it can be had."""
     plan = []
     while len(lengths):
         top = int(lengths[-1])
         counts[-1] -= 1
         filling = [top, *best_filling(lengths, counts, capacity - top)]
         counts[-1] += 1
-        use, need = np.unique(filling, return_counts=True)
-        at = np.searchsorted(lengths, use)
-        times = int((counts[at] // need).min())
-        counts[at] -= times * need
+        times, lengths, counts = _take(lengths, counts, filling, None)
         plan.append((filling, times))
-        keep = counts > 0
-        lengths, counts = lengths[keep], counts[keep]
     return plan
 
 
+def _take(lengths: np.ndarray, counts: np.ndarray, filling: list[int], times: int | None):
+    """What is left after ``times`` sequences of a filling, or as many as there can be."""
+    use, need = np.unique(filling, return_counts=True)
+    at = np.searchsorted(lengths, use)
+    times = int((counts[at] // need).min()) if times is None else times
+    counts = counts.copy()
+    counts[at] -= times * need
+    keep = counts > 0
+    return times, lengths[keep], counts[keep]
+
+
+def _size(plan) -> int:
+    return sum(times for _, times in plan)
+
+
+def plan_sequences(hist: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
+    """``[(lengths of a sequence, how many such sequences)]`` from a histogram
+    of lengths: the smallest plan found, never above best-fit decreasing."""
+    lengths = np.array(sorted(hist), np.int64)
+    counts = np.array([hist[x] for x in lengths.tolist()], np.int64)
+    if not len(lengths):
+        return []
+    best = min(_greedy(lengths, counts, capacity), best_fit_decreasing(hist, capacity), key=_size)
+    bound, budget = fewest_sequences(lengths, counts, capacity), PLAN_NODES
+
+    def search(lengths, counts, plan, used: int, depth: int, odd: int) -> None:
+        """Completes a partial plan by best fit, then tries its next fillings;
+        ``odd`` is how far choices may still lie from the first ones."""
+        nonlocal best, budget
+        if used + (fewest_sequences(lengths, counts, capacity) if len(lengths) else 0) >= _size(best):
+            return
+        rest = best_fit_decreasing(dict(zip(lengths.tolist(), counts.tolist(), strict=True)), capacity)
+        budget -= 20 + 4 * len(lengths)
+        if used + _size(rest) < _size(best):
+            best = plan + rest
+        if not len(lengths) or depth == PLAN_DEPTH:
+            return
+        top = int(lengths[-1])
+        one = counts.copy()
+        one[-1] -= 1
+        fillings, nodes = _fillings(lengths, one, capacity - top, FILLING_NODES)
+        budget -= nodes
+        tries = []
+        for k, f in enumerate(fillings):
+            most = _take(lengths, counts, [top, *f], None)[0]
+            tries += [(k + j, [top, *f], t) for j, t in enumerate(dict.fromkeys((most, -(-most // 2), 1)))]
+        for far, filling, times in sorted(tries, key=lambda x: x[0]):
+            if far > odd or budget <= 0 or _size(best) <= bound:
+                return
+            _, some, left = _take(lengths, counts, filling, times)
+            search(some, left, [*plan, (filling, times)], used + times, depth + 1, odd - far)
+
+    for odd in range(PLAN_DEPTH):
+        if budget <= 0 or _size(best) <= bound:
+            break
+        search(lengths, counts, [], 0, 0, odd)
+    return best
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, kind: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
     """Pieces ``(doc_id, piece, start, length, ids_crc32)`` of every document."""
     end = struct.pack("<I", end_id)

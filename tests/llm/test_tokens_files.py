@@ -4,6 +4,7 @@ import itertools
 import random
 import zlib
 from array import array
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -140,6 +141,36 @@ def test_plan_is_close_to_the_optimum():
     assert extra <= 2
 
 
+def _best_fit(hist, capacity):
+    rooms = []
+    for x in sorted(hist, reverse=True):
+        for _ in range(hist[x]):
+            room = min((r for r in rooms if r >= x), default=None)
+            if room is None:
+                rooms.append(capacity - x)
+            else:
+                rooms[rooms.index(room)] -= x
+    return len(rooms)
+
+
+def test_plan_is_never_above_best_fit():
+    rng = random.Random(5)
+    hists = [{480: 24, 642: 26, 1427: 60}, {307: 93, 381: 94, 1433: 73, 1478: 65, 2530: 27}]
+    hists += [{rng.randint(200, 3000): rng.randint(1, 80) for _ in range(rng.randint(3, 6))} for _ in range(15)]
+    for hist in hists:
+        plan = packing.plan_sequences(hist)
+        used = Counter()
+        for filling, times in plan:
+            assert sum(filling) <= packing.CAPACITY and times > 0
+            for x in filling:
+                used[x] += times
+        assert used == hist
+        size, best_fit = sum(t for _, t in plan), _best_fit(hist, packing.CAPACITY)
+        assert sum(t for _, t in packing.best_fit_decreasing(hist, packing.CAPACITY)) == best_fit
+        lengths = np.array(sorted(hist))
+        assert packing.fewest_sequences(lengths, np.array([hist[x] for x in sorted(hist)]), packing.CAPACITY) <= size <= best_fit
+
+
 def test_best_filling_is_exact_on_small_tables():
     rng = random.Random(2)
     for _ in range(200):
