@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingot.llm import decontaminate, embeddings, html_extract, language, minhash, packing, repeats, token_files, token_rollups, toxicity
-from ingot.llm.common import corpus_table
+from ingot.llm.common import corpus_table, written
 from ingot.llm.tokens import BYTE_LEVEL, WORD_LEVEL
 from ingot.session import new_workspace
 
@@ -101,6 +101,28 @@ def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.totals()
 
 
+TOKENIZERS = {"word_bpe_49k": (WORD_BPE, WORD_LEVEL), "byte_bpe_50k": (BYTE_BPE, BYTE_LEVEL)}
+
+
+def op7_tokenizer_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of the public tokenizers, every document encoded by both.
+    Four batches as above: word_bpe_49k first with the counts of byte_bpe_50k,
+    the revision, deletes of the documents without a token, a replay."""
+    files = {v: (public_tokenizers.path(name), kind) for v, (name, kind) in TOKENIZERS.items()}
+    counts = written(token_rollups.token_counts(corpus_table(spark, sf_dir, "documents"), files), "token-counts")
+    true = {v: F.col(v) for v in TOKENIZERS}
+    provisional = true | {"word_bpe_49k": true["byte_bpe_50k"]}
+    table = token_rollups.Rollup(spark, new_workspace(spark, "rollup") + "/totals")
+    revision = token_rollups.signed(token_rollups.count_changes(
+        counts, token_rollups.REVISE, {"word_bpe_49k": true["word_bpe_49k"]}, {"word_bpe_49k": provisional["word_bpe_49k"]}))
+    table.commit("0001", token_rollups.signed(token_rollups.count_changes(counts, token_rollups.INSERT, provisional)))
+    table.commit("0002", revision)
+    table.commit("0003", token_rollups.signed(token_rollups.count_changes(
+        counts.filter(true["word_bpe_49k"] == 0), token_rollups.DELETE, true)))
+    table.commit("0002", revision)
+    return table.totals()
+
+
 OP7_SQL = r"""
 WITH c AS (
   SELECT source, lang,
@@ -155,6 +177,7 @@ QUERIES = {
     "op5_bbit_minhash": op5_bbit_minhash,
     "op6_token_files": op6_token_files,
     "op7_token_rollups": op7_token_rollups,
+    "op7_tokenizer_rollups": op7_tokenizer_rollups,
     "op8_crf_language": op8_crf_language,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_lsa_decontamination": op10_lsa_decontamination,

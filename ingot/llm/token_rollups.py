@@ -20,9 +20,12 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ingot.llm.tokens import worker_encoder
+
 KEYS = ["source", "lang", "tokenizer"]
 INSERT, DELETE, REVISE = "insert", "delete", "revise"
 SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -38,6 +41,20 @@ def byte_quads(text) -> F.Column:
     return F.ceil(F.coalesce(F.octet_length(text), F.lit(0)) / F.lit(4)).cast("long")
 
 
+def token_counts(docs: DataFrame, tokenizers: dict[str, tuple[str, str]]) -> DataFrame:
+    """``source``, ``lang`` and, per version, the number of tokens of a text:
+    ``tokenizers`` maps a version to the path and kind of its file."""
+
+    def count(batches):
+        encoders = {v: worker_encoder(*x) for v, x in tokenizers.items()}
+        for pdf in batches:
+            yield pd.DataFrame({"source": pdf["source"], "lang": pdf["lang"]} | {
+                v: [len(ids) // 4 for ids in enc.encode_batch(pdf["text"])] for v, enc in encoders.items()})
+
+    schema = "source string, lang string, " + ", ".join(f"`{v}` long" for v in tokenizers)
+    return docs.select("source", "lang", "text").mapInPandas(count, schema)
+
+
 def signed(changes: DataFrame) -> DataFrame:
     """``changes(op, source, lang, tokenizer, n_tokens, old_tokens)`` to signed
     contributions; a revision keeps the document and adds the difference."""

@@ -1,8 +1,14 @@
 """Signed deltas, idempotent commits, compaction."""
 
+from collections import Counter
+
+import public_tokenizers
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+from conftest import SF_SMALL
 from ingot.llm import token_rollups as R
+from ingot.llm.queries import TOKENIZERS, op7_tokenizer_rollups
 from ingot.session import new_workspace
 
 
@@ -47,3 +53,25 @@ def test_counters(spark):
     df = spark.createDataFrame([("a b\tc\n\x0bd\x85e",), ("",), (None,), ("é" * 5,)], "text string")
     got = [tuple(r) for r in df.select(R.word_count(F.col("text")), R.byte_quads(F.col("text"))).collect()]
     assert got == [(4, 3), (0, 0), (0, 0), (1, 3)]
+
+
+def test_tokenizer_totals_against_direct_encoding(spark):
+    want = Counter()
+    toks = {v: Tokenizer.from_file(public_tokenizers.path(name)) for v, (name, _) in TOKENIZERS.items()}
+    for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect():
+        n = {v: len(t.encode(r.text or "", add_special_tokens=False).ids) for v, t in toks.items()}
+        for v in n if n["word_bpe_49k"] else ():
+            want[r.source, r.lang, v, "docs"] += 1
+            want[r.source, r.lang, v, "tokens"] += n[v]
+    got = Counter()
+    for source, lang, v, docs, tokens in _rows(op7_tokenizer_rollups(spark, SF_SMALL)):
+        got[source, lang, v, "docs"], got[source, lang, v, "tokens"] = docs, tokens
+    assert got == want and want
+
+
+def test_token_counts_of_odd_rows(spark):
+    df = spark.createDataFrame([("s", None, None), (None, "en", ""), ("s", "en", "a b")], "source string, lang string, text string")
+    files = {v: (public_tokenizers.path(name), kind) for v, (name, kind) in TOKENIZERS.items()}
+    got = {tuple(r) for r in R.token_counts(df, files).collect()}
+    assert got == {("s", None, 0, 0), (None, "en", 0, 0), ("s", "en", 2, 2)}
+    assert R.token_counts(df.limit(0), files).count() == 0
