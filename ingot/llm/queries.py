@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import decontaminate, embeddings, html_extract, language, minhash, packing, repeats, token_files, token_rollups, toxicity
+from ingot.llm import decontaminate, embeddings, harmonic, html_extract, language, minhash, packing, repeats, token_files, token_rollups, toxicity
 from ingot.llm.common import corpus_table, written
 from ingot.llm.tokens import BYTE_LEVEL, WORD_LEVEL
 from ingot.session import new_workspace
@@ -169,6 +169,10 @@ def op10_lsa_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(corpus_table(spark, sf_dir, "documents"), corpus_table(spark, sf_dir, "benchmark"))
 
 
+def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonic.pack(corpus_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), BYTE_LEVEL)
+
+
 QUERIES = {
     "op1_ordinal_toxicity": op1_ordinal_toxicity,
     "op2_mincut_html": op2_mincut_html,
@@ -181,6 +185,7 @@ QUERIES = {
     "op8_crf_language": op8_crf_language,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_lsa_decontamination": op10_lsa_decontamination,
+    "op11_harmonic_packing": op11_harmonic_packing,
 }
 
 ORACLES = {
