@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import decontaminate, embeddings, harmonic, html_extract, language, minhash, packing, repeats, token_files, token_rollups, toxicity
+from ingot.llm import decontaminate, embeddings, harmonic, html_extract, language, minhash, packing, repeats, shared_search, token_files, token_rollups, toxicity
 from ingot.llm.common import corpus_table, written
 from ingot.llm.tokens import BYTE_LEVEL, WORD_LEVEL
 from ingot.session import new_workspace
@@ -173,6 +173,28 @@ def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic.pack(corpus_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), BYTE_LEVEL)
 
 
+def op12_shared_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_search.search(corpus_table(spark, sf_dir, "documents"), corpus_table(spark, sf_dir, "benchmark"), k=10)
+
+
+_OP12_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_OP12_TERMS} AS ts FROM documents),
+c AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d),
+q AS (SELECT i, item_id, unnest(list_distinct(ts)) AS t
+      FROM (SELECT row_number() OVER () AS i, item_id, {_OP12_TERMS} AS ts FROM benchmark)),
+f AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM f, c GROUP BY t, n_docs),
+m AS (SELECT r, doc_id, 100 - 90 + (90 * len(ts) * n_docs) // n_terms AS m FROM d, c WHERE len(ts) > 0),
+s AS (SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN f USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY i, item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, r) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
 QUERIES = {
     "op1_ordinal_toxicity": op1_ordinal_toxicity,
     "op2_mincut_html": op2_mincut_html,
@@ -186,6 +208,7 @@ QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op10_lsa_decontamination": op10_lsa_decontamination,
     "op11_harmonic_packing": op11_harmonic_packing,
+    "op12_shared_search": op12_shared_search,
 }
 
 ORACLES = {
@@ -193,4 +216,5 @@ ORACLES = {
     "op5_bbit_minhash": OP5_SQL,
     "op7_token_rollups": OP7_SQL,
     "op9_repeated_passages": OP9_SQL,
+    "op12_shared_search": OP12_SQL,
 }
