@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingot.llm import decontaminate, embeddings, harmonic, html_extract, language, minhash, packing, repeats, shared_search, token_files, token_rollups, toxicity
+from ingot.llm import decontaminate, embeddings, four_russians, harmonic, html_extract, language, minhash, packing, repeats, shared_search, token_files, token_rollups, toxicity
 from ingot.llm.common import corpus_table, written
 from ingot.llm.tokens import BYTE_LEVEL, WORD_LEVEL
 from ingot.session import new_workspace
@@ -195,6 +195,30 @@ FROM s WHERE score > 0 QUALIFY rank <= 10
 """
 
 
+def op13_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh vec_id are moved on, as labelling errors."""
+    vectors = corpus_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return four_russians.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+OP13_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+      FROM e a JOIN e c ON a.vec_id % 50 = 0 AND len(a.v) = len(c.v)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same AND vec_id <> anchor_id
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
 QUERIES = {
     "op1_ordinal_toxicity": op1_ordinal_toxicity,
     "op2_mincut_html": op2_mincut_html,
@@ -209,6 +233,7 @@ QUERIES = {
     "op10_lsa_decontamination": op10_lsa_decontamination,
     "op11_harmonic_packing": op11_harmonic_packing,
     "op12_shared_search": op12_shared_search,
+    "op13_four_russians": op13_four_russians,
 }
 
 ORACLES = {
@@ -217,4 +242,5 @@ ORACLES = {
     "op7_token_rollups": OP7_SQL,
     "op9_repeated_passages": OP9_SQL,
     "op12_shared_search": OP12_SQL,
+    "op13_four_russians": OP13_SQL,
 }
