@@ -66,6 +66,11 @@ class RunConfig:
     # keep only the latest row per key inside one batch before the merge
     # (the original inserts every in-batch duplicate of a new key)
     dedup_batch: bool = False
+    # bronze tables as bucketed tables of this catalogue schema; None keeps
+    # path tables. The buckets are fixed when a table is made: without a
+    # number they follow the size of its first source.
+    bronze_schema: str | None = None
+    bronze_buckets: int | None = None
     extra: dict = field(default_factory=dict)
 
     @property
@@ -94,6 +99,8 @@ class RunConfig:
             c.validate()
         if self.watermark_rule not in ("default", "reference"):
             raise ValueError(f"unknown watermark_rule {self.watermark_rule!r}")
+        if self.bronze_buckets is not None and self.bronze_buckets < 1:
+            raise ValueError(f"bronze_buckets must be positive: {self.bronze_buckets}")
         return self
 
 
@@ -120,4 +127,6 @@ def load_config(path_or_text: str, base_dir: str | None = None) -> RunConfig:
         threshold_default_pct=raw.get("reconciliation_threshold_pct_default", DEFAULT_THRESHOLD_PCT),
         table_format=raw.get("table_format", "parquet"),
         watermark_rule=raw.get("watermark_rule", "default"),
+        bronze_schema=raw.get("bronze_schema"),
+        bronze_buckets=raw.get("bronze_buckets"),
     ).validate()

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingot.functions.rescue import RESCUE_COLUMN, entries_to_json, entry, escaped, json_to_entries, no_entries
+from ingot.functions.schemas import conform, loses, merge_schemas, merge_types, same_type
 from ingot.session import estimated_bytes, list_dir, path_exists
 
 PARTITION_COLUMN = "_ingestion_date"
@@ -65,14 +66,6 @@ def store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
     _move(fs, fresh, p)
 
 
-def union_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
-    """Old columns keep their place and type; new columns are appended."""
-    if old is None:
-        return new
-    names = {f.name for f in old.fields}
-    return T.StructType(list(old.fields) + [f for f in new.fields if f.name not in names])
-
-
 def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
     """A path table. With a stored schema no footer is read to plan the
     scan; otherwise schema evolution across appends is resolved by
@@ -113,19 +106,20 @@ def refresh_table(spark: SparkSession, name: str) -> None:
 
 
 def align_to_target(batch: DataFrame, target_schema: T.StructType) -> DataFrame:
-    """Cast batch columns whose type differs from the target's (``try_cast``),
-    so appends stay readable; a value that does not convert is written to
-    ``_rescued_data`` under its column name instead of being lost."""
-    tgt = {f.name: f.dataType for f in target_schema.fields}
+    """Bring batch columns to the target's types, so appends stay readable:
+    fields that only one side has are kept at any depth (the target's schema
+    gets them), other values are cast (``try_cast``). A column in which a value
+    does not convert is written to ``_rescued_data`` under its name, whole."""
+    tgt = {f.name.lower(): f.dataType for f in target_schema.fields}
     casts, lost = {}, []
     for f in batch.schema.fields:
-        if f.name in tgt and tgt[f.name] != f.dataType and not f.name.startswith("_"):
+        want = merge_types(tgt.get(f.name.lower(), f.dataType), f.dataType)
+        if not same_type(f.dataType, want) and not f.name.startswith("_"):
             src = F.col(f"`{f.name}`")
-            cast = src.try_cast(tgt[f.name])
-            casts[f.name] = cast
+            casts[f.name] = conform(src, f.dataType, want)
             text = (F.to_json(src) if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))
                     else src.cast("string"))
-            lost.append(F.when(cast.isNull() & src.isNotNull(), entry(escaped(F.lit(f.name)), text))
+            lost.append(F.when(loses(src, f.dataType, want), entry(escaped(F.lit(f.name)), text))
                         .otherwise(no_entries()))
     if not casts:
         return batch
@@ -181,8 +175,8 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
         new_rows = new_rows.sortWithinPartitions(*partition_by, key)
     data_cols = [f for f in new_rows.schema.fields if f.name not in partition_by]
     part_cols = [new_rows.schema[c] for c in partition_by]
-    store_schema(spark, target_path, union_schema(target.schema if target is not None else None,
-                                                  T.StructType(data_cols + part_cols)))
+    store_schema(spark, target_path, merge_schemas(target.schema if target is not None else None,
+                                                   T.StructType(data_cols + part_cols)))
     extra = [c.alias(n) for n, c in (observe or {}).items()]
     new_rows = new_rows.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
     (new_rows.write.mode("append").option("mergeSchema", "true")

@@ -4,10 +4,11 @@ Per collection run:
   1. watermark from the control log (incremental mode only),
   2. filtered + projected scan of the source, landed as key-ordered
      JSON-line pages (counted by an observation on the write),
-  3. landing scan with the pinned schema and rescue column, lineage,
-  4. key metrics and the new watermark in one aggregate pass,
-  5. insert-only merge into the bronze table (written rows observed on
-     the write), reconciliation, one control row.
+  3. landing scan with the pinned schema and rescue column, lineage; the
+     typed rows are staged, and key metrics, key range and the new
+     watermark are observed on that write,
+  4. insert-only merge of the staged rows into the bronze table (written
+     rows observed on the write), reconciliation, one control row.
 Only bounded scalars (counts, the watermark, the key range) come back to
 the driver; nothing row-sized does.
 """
@@ -18,9 +19,9 @@ import datetime as _dt
 import logging
 import uuid
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,15 +30,19 @@ from ingot.config import (DEFAULT_WATERMARK_START, ERROR_MESSAGE_LIMIT, FAILED,
 from ingot.functions.json import infer_json_schema
 from ingot.functions.rescue import RESCUE_COLUMN
 from ingot.functions.scalars import normalise_types
+from ingot.functions.schemas import merge_schemas
+from ingot.operators import bucketed
+from ingot.operators.bucketed import BucketedTable
 from ingot.operators.control import ControlLog
 from ingot.operators.filters import incremental_filter, watermark_rank
 from ingot.operators.landing import write_landing_pages
 from ingot.operators.lineage import LINEAGE_COLUMNS, add_lineage, utc_now
-from ingot.operators.merge import PARTITION_COLUMN, insert_only_merge, latest_per_key, read_table, \
+from ingot.operators.merge import PARTITION_COLUMN, delete_keys, insert_only_merge, latest_per_key, read_table, \
     row_hash, table_exists
 from ingot.operators.quality import reconcile_status
 from ingot.sources.documents import scan_collection
-from ingot.sources.landing import read_landing, read_landing_fields, read_landing_text
+from ingot.session import new_workspace, partitions_for, remove
+from ingot.sources.landing import read_landing, read_landing_text
 
 
 logger = logging.getLogger(__name__)
@@ -64,17 +69,6 @@ def target_business_schema(target: DataFrame | None) -> StructType | None:
     return StructType([f for f in target.schema.fields if f.name not in skip])
 
 
-def evolve_schema(pinned: StructType | None, incoming: StructType | None) -> StructType | None:
-    """Target fields keep their type; fields only the batch has are added
-    (schema evolution). Conflicting values are caught by the rescue."""
-    if pinned is None:
-        return incoming
-    if incoming is None:
-        return pinned
-    names = {f.name for f in pinned.fields}
-    return StructType(list(pinned.fields) + [f for f in incoming.fields if f.name not in names])
-
-
 CONTENT_HASH = "_content_hash"
 
 
@@ -91,22 +85,40 @@ def quarantine_rows(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
 
 
+def bronze_table(spark: SparkSession, cfg: RunConfig, name: str, source: DataFrame) -> BucketedTable | None:
+    """The collection's catalogue table, where the run names a schema."""
+    if not cfg.bronze_schema:
+        return None
+    table = BucketedTable(cfg.bronze_schema, name, f"{cfg.bronze_dir}/{name}", buckets=cfg.bronze_buckets or 1)
+    if cfg.bronze_buckets is None:
+        table = replace(table, buckets=bucketed.buckets_of(spark, table) or partitions_for(source))
+    return table
+
+
 def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None, collection: str,
                       id_field: str, run_id: str, load_type: str, target_path: str,
                       now: _dt.datetime | None = None, schema: StructType | None = None,
                       watermark_field: str | None = None, quarantine_path: str | None = None,
                       source_label: str | None = None, merge_options: dict | None = None,
-                      dedup_batch: bool = False, watermark_type: str | None = None) -> LoadResult:
+                      dedup_batch: bool = False, watermark_type: str | None = None,
+                      table: BucketedTable | None = None) -> LoadResult:
     """Load one run's landing files into the bronze table (C1). No paths →
     zero result and the table is untouched. With ``quarantine_path`` rows
     whose key is NULL go there instead of bronze (they could never match
-    and would be re-inserted on every run)."""
+    and would be re-inserted on every run). ``table`` names a bucketed
+    catalogue table; without it bronze is the path table ``target_path``.
+
+    The text is read and parsed once: typed rows are staged, and the counts,
+    the key range and the watermark are observed on that write. Duplicates,
+    quarantine and merge read the staged columns they need."""
     if not landing_paths:
         return LoadResult(0, 0, 0, 0.0)
-    merge_options = merge_options or {}
     now = now or utc_now()
-    target = read_table(spark, target_path) if table_exists(spark, target_path) else None
-    pinned = evolve_schema(target_business_schema(target), schema)
+    if table is not None:
+        target = bucketed.read(spark, table) if bucketed.ensure(spark, table) else None
+    else:
+        target = read_table(spark, target_path) if table_exists(spark, target_path) else None
+    pinned = merge_schemas(target_business_schema(target), schema)
     if pinned is None:
         pinned = infer_json_schema(spark, read_landing_text(spark, landing_paths))
     raw = read_landing(spark, landing_paths, pinned)
@@ -116,45 +128,51 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     # the watermark is the max of the typed value (numbers compare as
     # numbers), turned into text only at the end
     has_wm = bool(watermark_field) and watermark_field in raw.columns
-    wm = watermark_rank(F.col(f"`{watermark_field}`") if has_wm else F.lit(None).cast("string"), watermark_type)
-    # metrics pass: the key and watermark fields only, no rescue
-    light = read_landing_fields(spark, landing_paths, pinned, [id_field] + ([watermark_field] if watermark_field else []))
-    light_key = (F.col(f"`{id_field}`").cast("string") if id_field in light.columns
-                 else F.lit(None).cast("string"))
-    light_wm = F.col(f"`{watermark_field}`") if has_wm and watermark_field in light.columns else F.lit(None).cast("string")
-    per_key = light.groupBy(light_key.alias("_source_id")).agg(F.count(F.lit(1)).alias("__n"),
-                                                              F.max(watermark_rank(light_wm, watermark_type)).alias("__wm"),
-                                                              F.count_if(light_wm.isNotNull() & watermark_rank(
-                                                                  light_wm, watermark_type).isNull()).alias("__odd"))
-    s = per_key.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total"),
-        F.coalesce(F.sum(F.when(F.col("_source_id").isNull(), F.col("__n"))), F.lit(0)).cast("long").alias("nulls"),
-        F.count_if(F.col("__n") > 1).cast("long").alias("dups"),
+    value = F.col(f"`{watermark_field}`") if has_wm else F.lit(None).cast("string")
+    wm = watermark_rank(value, watermark_type)
+    seen = Observation(f"staged_{uuid.uuid4().hex[:8]}")
+    staging = f"{new_workspace(spark, 'staged')}/{collection}"
+    enriched.observe(
+        seen, F.count(F.lit(1)).alias("total"), F.count_if(F.col("_source_id").isNull()).alias("nulls"),
         F.min("_source_id").alias("lo"), F.max("_source_id").alias("hi"),
-        F.coalesce(F.sum("__odd"), F.lit(0)).cast("long").alias("odd"),
-        F.max("__wm").getField("text").alias("wm")).first()
-    total, nulls = int(s.total), int(s.nulls)
+        F.count_if(value.isNotNull() & wm.isNull()).alias("odd"), F.max(wm).getField("text").alias("wm")) \
+        .write.parquet(staging)
+    s = seen.get
+    total, nulls = int(s.get("total") or 0), int(s.get("nulls") or 0)
     pct_null = round(nulls / total * 100, 4) if total else 0.0
+    staged = spark.read.schema(enriched.schema).parquet(staging)
 
-    to_write, quarantined = enriched, 0
+    to_write, quarantined = staged, 0
     if quarantine_path and nulls:
-        quarantine_rows(enriched.where(F.col("_source_id").isNull()), quarantine_path)
-        to_write, quarantined = enriched.where(F.col("_source_id").isNotNull()), nulls
-
-    if dedup_batch and int(s.dups):
+        quarantine_rows(staged.where(F.col("_source_id").isNull()), quarantine_path)
+        to_write, quarantined = staged.where(F.col("_source_id").isNotNull()), nulls
+
+    dups = None
+    if table is None or dedup_batch:
+        dups = staged.where(F.col("_source_id").isNotNull()).groupBy("_source_id").agg(F.count(F.lit(1)).alias("n")) \
+            .agg(F.count_if(F.col("n") > 1)).first()[0]
+    if dedup_batch and dups:
         order = [watermark_field] if watermark_field and watermark_field in to_write.columns else []
         keyed = to_write.where(F.col("_source_id").isNotNull())
         to_write = latest_per_key(keyed, ["_source_id"], order) \
             .unionByName(to_write.where(F.col("_source_id").isNull()))
 
-    observed: dict = {}
-    written = insert_only_merge(spark, to_write, target_path, "_source_id", (PARTITION_COLUMN,),
-                                key_range=(s.lo, s.hi), target=target,
-                                observe={"wm_written": F.max(wm).getField("text")},
-                                observed=observed, **merge_options)
+    watch = {"wm_written": F.max(wm).getField("text")}
+    if table is not None:
+        merged = bucketed.insert_new(spark, to_write, table, (s.get("lo"), s.get("hi")),
+                                     null_keys=bool(nulls) and not quarantined, observe=watch)
+        written, observed = merged.written, merged.observed
+        dups = merged.duplicate_groups if dups is None else dups
+    else:
+        observed = {}
+        written = insert_only_merge(spark, to_write, target_path, "_source_id", (PARTITION_COLUMN,),
+                                    key_range=(s.get("lo"), s.get("hi")), target=target, observe=watch,
+                                    observed=observed, **(merge_options or {}))
+    remove(spark, staging)
     wm_written = observed.get("wm_written") if written else None
-    return LoadResult(total, written, int(s.dups), pct_null, nulls, quarantined, s.wm, wm_written,
-                      int(s.odd))
+    # all NULL keys are one group
+    return LoadResult(total, written, int(dups) + (nulls > 1), pct_null, nulls, quarantined, s.get("wm"), wm_written,
+                      int(s.get("odd") or 0))
 
 
 Clock = Callable[[], _dt.datetime]
@@ -190,7 +208,7 @@ def process_collection(spark: SparkSession, cfg: RunConfig, coll: CollectionConf
             watermark_field=coll.watermark_field,
             quarantine_path=None if reference else f"{cfg.quarantine_dir}/{coll.name}",
             source_label=cfg.source_path_label, dedup_batch=cfg.dedup_batch,
-            watermark_type=coll.watermark_type)
+            watermark_type=coll.watermark_type, table=bronze_table(spark, cfg, coll.name, source))
         written_n = load.rows_written
         threshold = cfg.threshold_for(coll)
         if reference:
@@ -275,9 +293,13 @@ def replay_from_watermark(spark: SparkSession, cfg: RunConfig, coll: CollectionC
     control row that moves the watermark back (K11), run the collection
     again. Exactly the deleted rows (newer than ``watermark``) come back;
     everything else already present is skipped by the insert-only merge."""
-    from ingot.operators.merge import delete_keys
     control = ControlLog(spark, cfg.control_path)
-    delete_keys(spark, f"{cfg.bronze_dir}/{coll.name}", keys, "_source_id")
+    table = bronze_table(spark, cfg, coll.name, source)
+    if table is not None:
+        bucketed.ensure(spark, table)
+        bucketed.delete_keys(spark, table, keys)
+    else:
+        delete_keys(spark, f"{cfg.bronze_dir}/{coll.name}", keys, "_source_id")
     control.insert(f"replay-{uuid.uuid4().hex[:8]}", coll.name, "incremental", None, watermark,
                    SUCCESS, "manual watermark for replay", when=clock())
     return process_collection(spark, cfg, coll, source, control, clock=clock)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import itertools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,11 @@ def run_config(spark: SparkSession, label: str, collections: list[CollectionConf
     return RunConfig(base_dir=new_workspace(spark, label), collections=tuple(collections), **kw).validate()
 
 
+def catalogue_schema() -> str:
+    """A schema name of its own for one query: its tables are fresh."""
+    return f"ingot_{uuid.uuid4().hex[:12]}"
+
+
 def iso_sql(col: str) -> str:
     """DuckDB spelling of the ISO text Spark lands for a timestamp."""
     return f"strftime({col}, '%Y-%m-%dT%H:%M:%S.%f')"

@@ -80,6 +80,12 @@ def new_workspace(spark: SparkSession, label: str) -> str:
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library wrote for itself."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Filesystem-agnostic existence check through the Hadoop FS API."""
     jvm = spark.sparkContext._jvm
