@@ -130,6 +130,12 @@ class ControlLog:
         r = last_success_watermarks(self.read().where(F.col("collection") == collection)).first()
         return r.watermark_final if r else None
 
+    def has(self, collection: str, ingestion_id: str) -> bool:
+        """Whether a run has a row already."""
+        restore_aside(self.spark, self._aside(collection), self._folder(collection))
+        rows = self.read().where((F.col("collection") == collection) & (F.col("_ingestion_id") == ingestion_id))
+        return not rows.isEmpty()
+
     def compact(self, target: str) -> None:
         """Copy the log into ``target`` with one file per collection (the
         live log gains one small file per run). Switching the log to the

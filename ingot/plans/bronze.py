@@ -95,6 +95,13 @@ def bronze_table(spark: SparkSession, cfg: RunConfig, name: str, source: DataFra
     return table
 
 
+def current_bronze(spark: SparkSession, target_path: str, table: BucketedTable | None) -> DataFrame | None:
+    """The collection's bronze table, if there is one yet."""
+    if table is not None:
+        return bucketed.read(spark, table) if bucketed.ensure(spark, table) else None
+    return read_table(spark, target_path) if table_exists(spark, target_path) else None
+
+
 def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None, collection: str,
                       id_field: str, run_id: str, load_type: str, target_path: str,
                       now: _dt.datetime | None = None, schema: StructType | None = None,
@@ -114,10 +121,7 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     if not landing_paths:
         return LoadResult(0, 0, 0, 0.0)
     now = now or utc_now()
-    if table is not None:
-        target = bucketed.read(spark, table) if bucketed.ensure(spark, table) else None
-    else:
-        target = read_table(spark, target_path) if table_exists(spark, target_path) else None
+    target = current_bronze(spark, target_path, table)
     pinned = merge_schemas(target_business_schema(target), schema)
     if pinned is None:
         pinned = infer_json_schema(spark, read_landing_text(spark, landing_paths))
@@ -125,9 +129,19 @@ def landing_to_bronze(spark: SparkSession, landing_paths: str | list[str] | None
     kwargs = {"source_path": source_label} if source_label else {}
     enriched = add_lineage(raw, id_field, run_id, load_type, now, **kwargs)
 
+    return load_rows(spark, enriched, collection, target_path, table, target, watermark_field, watermark_type,
+                     quarantine_path, dedup_batch, merge_options)
+
+
+def load_rows(spark: SparkSession, enriched: DataFrame, collection: str, target_path: str,
+              table: BucketedTable | None, target: DataFrame | None, watermark_field: str | None = None,
+              watermark_type: str | None = None, quarantine_path: str | None = None, dedup_batch: bool = False,
+              merge_options: dict | None = None) -> LoadResult:
+    """Typed rows with lineage into bronze: staged once, measured on that
+    write, quarantined, merged."""
     # the watermark is the max of the typed value (numbers compare as
     # numbers), turned into text only at the end
-    has_wm = bool(watermark_field) and watermark_field in raw.columns
+    has_wm = bool(watermark_field) and watermark_field in enriched.columns
     value = F.col(f"`{watermark_field}`") if has_wm else F.lit(None).cast("string")
     wm = watermark_rank(value, watermark_type)
     seen = Observation(f"staged_{uuid.uuid4().hex[:8]}")
