@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ingot.config import ERRO, FAILED, OK, PARTIAL, SUCCESS
@@ -209,6 +209,40 @@ def daily_observability(control: DataFrame) -> DataFrame:
                  F.sum("qtd_gravada_destino").cast("long").alias("rows_written")))
 
 
+def run_overlap(control: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """Per collection: most runs active at one time, time with two or more
+    active, idle time between the first and the last mark, its number of
+    gaps and the longest (M3), in microseconds.
+
+    A sweep over start and end marks, without a join of runs with runs. Marks
+    of one instant are summed before the shuffle. A running count over a
+    collection would sort it in one task, so it is kept in two levels: sums
+    of whole time buckets first (as many rows as the span has buckets), then
+    inside each bucket from its predecessors' sum on. A run without an end is
+    active to the last mark; one that ends before it starts has no length."""
+    end = F.when(F.col("end_time") < F.col("start_time"), F.col("start_time")).otherwise(F.col("end_time"))
+    marks = control.where(F.col("start_time").isNotNull()).select("collection", F.inline(F.array(
+        F.struct(F.unix_micros(F.col("start_time")).alias("t"), F.lit(1).alias("d")),
+        F.struct(F.unix_micros(end).alias("t"), F.lit(-1).alias("d"))))).where(F.col("t").isNotNull())
+    at = marks.groupBy("collection", "t").agg(F.sum("d").alias("d")) \
+        .withColumn("bucket", F.floor(F.col("t") / F.lit(bucket_seconds * 1_000_000)).cast("long"))
+    order = Window.partitionBy("collection").orderBy("bucket")
+    sums = at.groupBy("collection", "bucket").agg(F.sum("d").alias("net"), F.min("t").alias("first")) \
+        .withColumn("base", F.coalesce(F.sum("net").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
+        .withColumn("after", F.lead("first").over(order)).drop("net", "first")
+    inside = Window.partitionBy("collection", "bucket").orderBy("t")
+    spans = at.join(sums, ["collection", "bucket"]) \
+        .withColumn("active", F.col("base") + F.sum("d").over(inside)) \
+        .withColumn("us", F.coalesce(F.lead("t").over(inside), F.col("after")) - F.col("t"))
+    idle = (F.col("active") == 0) & F.col("us").isNotNull()
+    return spans.groupBy("collection").agg(
+        F.max("active").cast("long").alias("most_active"),
+        F.coalesce(F.sum(F.when(F.col("active") >= 2, F.col("us"))), F.lit(0)).cast("long").alias("overlap_us"),
+        F.coalesce(F.sum(F.when(idle, F.col("us"))), F.lit(0)).cast("long").alias("idle_us"),
+        F.count_if(idle).cast("long").alias("gaps"),
+        F.coalesce(F.max(F.when(idle, F.col("us"))), F.lit(0)).cast("long").alias("longest_gap_us"))
+
+
 def accumulated_reconcile(control: DataFrame, bronze_counts: DataFrame) -> DataFrame:
     """Accumulated source × target check per collection (M6): all rows
     reported read and written by non-failed runs against the rows the
