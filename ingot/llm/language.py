@@ -36,6 +36,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ingot.llm import tokens
+
 UNKNOWN = "und"
 TRAIN_PER_LANG = 400         # labelled texts per language, in expectation
 FEATURES = 1 << 17
@@ -205,6 +207,7 @@ def _word_scores(model: Model, key, words: list[str]) -> np.ndarray:
     starts anew when it is full."""
     if key not in _WORKER_CACHE:
         _WORKER_CACHE.clear()
+        tokens.forget()
         _WORKER_CACHE[key] = ({}, np.empty((CACHE_WORDS, len(model.langs)), np.float32))
     known, table = _WORKER_CACHE[key]
     ids = list(map(known.get, words))
@@ -255,13 +258,17 @@ def predict_batch(model: Model | None, texts, key="one") -> tuple[list[str], lis
 
 def training_sample(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> list[tuple[str, str]]:
     """About ``per_lang`` labelled texts of each language, chosen by a hash of
-    id and text, so that the choice does not depend on partitions."""
+    id and language, so that the choice does not depend on partitions. Rows
+    that share an id fall in or out together: in all no more than twice
+    ``per_lang`` for each language are taken, the lowest hashes first."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}   # one row per language
     if not counts:
         return []
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_lang / n))])
-    chosen = labelled.filter(F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    place = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30))
+    chosen = labelled.filter(place < share[F.col("lang")] * (1 << 30)) \
+        .orderBy(place, F.xxhash64("text")).limit(2 * per_lang * len(counts))
     return [(r[0], r[1]) for r in chosen.select("text", "lang").collect()]
 
 
@@ -269,8 +276,11 @@ def train(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> Model | None:
     return fit(training_sample(docs, per_lang))
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The documents with ``lang_pred`` and ``score`` added."""
+def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The documents with the predicted language and its score added as
+    ``names``; input columns of these names are replaced. The function is
+    declared non-deterministic, as a filter on its result would else run it a
+    second time."""
     shared = docs.sparkSession.sparkContext.broadcast(model)   # bounded: FEATURES x languages
     key = uuid.uuid4().hex
 
@@ -279,8 +289,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         langs, scores = predict_batch(shared.value, text, key)
         return pd.DataFrame({"lang": langs, "score": scores})
 
-    return docs.withColumn("_p", run("text")).withColumn("lang_pred", F.col("_p.lang")) \
-        .withColumn("score", F.col("_p.score")).drop("_p")
+    both = f"_p_{key}"
+    return docs.withColumn(both, run.asNondeterministic()("text")) \
+        .withColumns({names[0]: F.col(f"{both}.lang"), names[1]: F.col(f"{both}.score")}).drop(both)
 
 
 def held_out() -> F.Column:

@@ -127,3 +127,9 @@ def worker_encoder(path: str, kind: str) -> PieceEncoder:
     if (path, kind) not in _PER_WORKER:
         _PER_WORKER[path, kind] = PieceEncoder(path, kind)
     return _PER_WORKER[path, kind]
+
+
+def forget() -> None:
+    """Drop this worker's encoders and what they remember, when another
+    operator takes the worker over."""
+    _PER_WORKER.clear()
