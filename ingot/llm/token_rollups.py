@@ -66,6 +66,10 @@ def signed(changes: DataFrame) -> DataFrame:
         .otherwise(new - old).cast("long").alias("n_tokens"))
 
 
+#: a fold of earlier batches, and the file in it that names them
+FOLD, REPLACES = "batch=fold-", "_replaces"
+
+
 class Rollup:
     """A rollup table at ``path`` (shared folder, any Hadoop store)."""
 
@@ -78,25 +82,61 @@ class Rollup:
     def _exists(self, p: str) -> bool:
         return self._fs.exists(self._path(p))
 
-    def committed(self) -> list[str]:
-        """Folders of committed batches (one per batch since the last compaction)."""
+    def _replaced(self, fold: str) -> list[str]:
+        """Names of the folders a fold stands for, those of earlier folds
+        included."""
+        stream = self._fs.open(self._path(f"{self.path}/{fold}/{REPLACES}"))
+        try:
+            jvm = self.spark.sparkContext._jvm
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return list(iter(reader.readLine, None))
+        finally:
+            stream.close()
+
+    def _folders(self) -> tuple[list[str], set[str]]:
+        """Batch folders that are there, and the names that folds replace."""
         if not self._exists(self.path):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
-        return sorted(n for n in names if n.startswith("batch="))
+            return [], set()
+        names = sorted(n for n in (s.getPath().getName() for s in self._fs.listStatus(self._path(self.path)))
+                       if n.startswith("batch="))
+        gone: set[str] = set()
+        for n in names:
+            if n.startswith(FOLD):
+                gone.update(self._replaced(n))
+        return names, gone
+
+    def committed(self) -> list[str]:
+        """Folders whose sum is the table: batches, and the fold that replaced
+        earlier ones. A replaced folder counts no more, whether it is deleted
+        yet or not."""
+        names, gone = self._folders()
+        return [n for n in names if n not in gone]
 
     def has(self, batch_id: str) -> bool:
-        return self._exists(f"{self.path}/batch={batch_id}") or self._exists(f"{self.path}/_folded/{batch_id}")
+        names, gone = self._folders()
+        return f"batch={batch_id}" in names or f"batch={batch_id}" in gone
+
+    def _publish(self, staging: str, name: str) -> bool:
+        """One rename; on stores where that moves a folder into one of the same
+        name, the later of two writers finds itself inside and withdraws."""
+        target = f"{self.path}/{name}"
+        if self._exists(target) or not self._fs.rename(self._path(staging), self._path(target)):
+            return False
+        inside = f"{target}/{staging.rsplit('/', 1)[1]}"
+        if self._exists(inside):
+            self._fs.delete(self._path(inside), True)
+            return False
+        return True
 
     def commit(self, batch_id: str, contributions: DataFrame) -> bool:
         """Apply a batch once; False if it was applied before. The rename of
-        the staging folder is the commit; of two racing writers one renames."""
+        the staging folder is the commit; of two racing writers one wins."""
         if self.has(batch_id):
             return False
         staging = f"{self.path}/_staging/{batch_id}-{uuid.uuid4().hex[:8]}"
         (contributions.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
          .filter("n_docs <> 0 or n_tokens <> 0").write.parquet(staging))
-        return bool(self._fs.rename(self._path(staging), self._path(f"{self.path}/batch={batch_id}")))
+        return self._publish(staging, f"batch={batch_id}")
 
     def totals(self) -> DataFrame:
         """Totals by source, language and tokenizer; empty groups vanish."""
@@ -108,25 +148,28 @@ class Rollup:
             .filter("n_docs <> 0 or n_tokens <> 0")
 
     def compact(self) -> None:
-        """Fold the committed batches into one. Their ids are recorded first,
-        and only then do their folders leave, in one rename each, so a crash
-        between steps can be finished by calling this again."""
+        """Fold the committed folders into one. The fold is written whole,
+        with the names of all it replaces, and one rename makes it count and
+        them not; only then are they deleted. A crash before that rename
+        changes nothing, one after it leaves folders that nobody counts and
+        the next call deletes."""
         parts = self.committed()
-        folded = [p for p in parts if not p.startswith("batch=fold-")]
-        if len(parts) < 2:
-            return
-        name = f"batch=fold-{uuid.uuid4().hex[:8]}"
-        staging = f"{self.path}/_staging/{name}"
-        self.totals().coalesce(1).write.parquet(staging)
-        for p in folded:
-            self._fs.create(self._path(f"{self.path}/_folded/{p.removeprefix('batch=')}"), True).close()
-        gone = f"{self.path}/_staging/{uuid.uuid4().hex[:8]}"
-        self._fs.mkdirs(self._path(gone))
-        for p in parts:
-            if not self._fs.rename(self._path(f"{self.path}/{p}"), self._path(f"{gone}/{p}")):
-                raise OSError(f"cannot move {p}")
-        if not self._fs.rename(self._path(staging), self._path(f"{self.path}/{name}")):
-            raise OSError(f"cannot move {staging}")
+        if len(parts) > 1:
+            name = f"{FOLD}{uuid.uuid4().hex[:8]}"
+            staging = f"{self.path}/_staging/{name}"
+            self.totals().coalesce(1).write.parquet(staging)
+            _, gone = self._folders()
+            out = self._fs.create(self._path(f"{staging}/{REPLACES}"), True)
+            try:
+                out.write(bytearray("".join(f"{p}\n" for p in sorted(gone | set(parts))).encode()))
+            finally:
+                out.close()
+            if not self._publish(staging, name):
+                raise OSError(f"cannot move {staging}")
+        names, gone = self._folders()
+        for n in names:
+            if n in gone:
+                self._fs.delete(self._path(f"{self.path}/{n}"), True)
 
 
 def count_changes(docs: DataFrame, op: str, counters: dict, old: dict | None = None) -> DataFrame:

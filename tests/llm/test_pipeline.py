@@ -92,3 +92,23 @@ def test_empty_and_odd_documents(spark):
     kept = corpus_pipeline.identify_language(spark, docs, SF_SMALL)
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 3]
     assert sorted(r.doc_id or 0 for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF_SMALL).collect()) == [0, 1, 2, 3]
+
+
+def test_different_texts_under_one_id_stay(spark):
+    schema = corpus_table(spark, SF_SMALL, "documents").schema
+    texts = ["alpha beta gamma delta epsilon zeta", "one two three four five six", "red green blue white black brown"]
+    docs = spark.createDataFrame([(7, t, "en", "s", 1) for t in texts] + [(7, texts[0], "en", "s", 1), (3, texts[1], "en", "s", 1),
+                                  (9, texts[2] + "!", "en", "s", 1), (9, "quite another text about nothing at all", "en", "s", 1)], schema)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), SF_SMALL).collect()
+    # of equal texts the smallest doc_id's row stays; nothing else goes
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(
+        [(7, texts[0]), (3, texts[1]), (7, texts[2]), (9, texts[2] + "!"), (9, "quite another text about nothing at all")])
+
+
+def test_columns_of_the_operators_own_names(spark):
+    names = ["_p", "_given", "_spans", "score", "lang_pred", "_salt"]
+    docs = corpus_table(spark, SF_SMALL, "documents").limit(40).selectExpr("*", *[f"'{n}' AS {n}" for n in names])
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns, name
+        assert {tuple(r) for r in out.select(*names).collect()} == {tuple(names)}, name

@@ -40,6 +40,64 @@ def test_totals_follow_the_batches(spark):
     assert _rows(t.totals()) == set()
 
 
+class _Stop(Exception):
+    pass
+
+
+class _Failing:
+    """A file system that stops the process at its n-th change."""
+
+    def __init__(self, fs, steps):
+        self.fs, self.steps = fs, steps
+
+    def __getattr__(self, name):
+        real = getattr(self.fs, name)
+        if name not in ("rename", "delete", "create", "mkdirs"):
+            return real
+
+        def step(*args):
+            if self.steps == 0:
+                raise _Stop(name)
+            self.steps -= 1
+            return real(*args)
+        return step
+
+
+def test_a_crash_between_any_two_steps_of_compaction_loses_nothing(spark):
+    want = {("a", "en", "v1", 3, 30)}
+    for steps in range(12):
+        path = new_workspace(spark, "test") + "/t"
+        t = R.Rollup(spark, path)
+        for i in range(3):
+            t.commit(str(i), _batch(spark, [(R.INSERT, "a", "en", "v1", 10, None, "x")]))
+        if steps % 2:                 # a fold of a fold
+            t.compact()
+            t.commit("3", _batch(spark, [(R.REVISE, "a", "en", "v1", 10, 10, "x")]))
+        t._fs = _Failing(t._fs, steps // 2)
+        try:
+            t.compact()
+            done = True
+        except _Stop:
+            done = False
+        fresh = R.Rollup(spark, path)
+        assert _rows(fresh.totals()) == want, steps
+        assert not any(fresh.commit(str(i), _batch(spark, [(R.INSERT, "a", "en", "v1", 10, None, "x")])) for i in range(3))
+        fresh.compact()
+        assert _rows(fresh.totals()) == want and len(fresh.committed()) == 1
+        if done and steps > 9:
+            break
+
+
+def test_of_two_writers_of_a_batch_one_wins(spark):
+    t = R.Rollup(spark, new_workspace(spark, "test") + "/t")
+    b = _batch(spark, [(R.INSERT, "a", "en", "v1", 10, None, "x")])
+    late = R.Rollup(spark, t.path)
+    assert t.commit("1", b)
+    late.has = lambda _: False        # it had looked before the other's rename
+    assert not late.commit("1", b)
+    assert _rows(t.totals()) == {("a", "en", "v1", 1, 10)}
+
+
 def test_unfinished_batches_are_not_seen(spark):
     path = new_workspace(spark, "test") + "/t"
     t = R.Rollup(spark, path)
