@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ingot.functions.schemas import merge_schemas, same_type
 from ingot.operators.merge import PARTITION_COLUMN, align_to_target, table_exists
-from ingot.session import list_dir, new_workspace, path_exists, remove
+from ingot.session import list_dir, metrics_of, new_workspace, path_exists, remove
 
 
 @dataclass(frozen=True)
@@ -137,7 +137,7 @@ def insert_new(spark: SparkSession, batch: DataFrame, t: BucketedTable, key_rang
         seen, path = Observation(f"keys_{uuid.uuid4().hex[:8]}"), f"{new_workspace(spark, 'merge-keys')}/keys"
         keys = batch_keys(batch, t).observe(seen, F.count_if(F.col("__n") > 1).alias("dups"))
         new_keys(spark, keys, t, key_range).select(F.col(t.key).alias("__k")).write.parquet(path)
-        dups = seen.get.get("dups")
+        dups = metrics_of(seen).get("dups")
         fresh = spark.read.parquet(path)
         rows = batch.join(fresh, batch[t.key] == fresh["__k"], "left_semi")
     if null_keys:
@@ -152,7 +152,7 @@ def insert_new(spark: SparkSession, batch: DataFrame, t: BucketedTable, key_rang
         .write.insertInto(t.name)
     if path:
         remove(spark, path)
-    got = wrote.get
+    got = metrics_of(wrote)
     return Merged(int(got.get("rows") or 0), int(dups or 0), {n: got.get(n) for n in (observe or {})})
 
 
@@ -196,12 +196,19 @@ def delete_keys(spark: SparkSession, t: BucketedTable, keys: DataFrame) -> int:
     return len(parts)
 
 
+def rewrite(spark: SparkSession, t: BucketedTable, parts: list, change) -> None:
+    """Puts ``change(rows)`` in the place of the rows of some partitions,
+    bucketed as before, by one commit."""
+    own = _overwrite_session(spark)
+    columns = read(spark, t).columns
+    change(own.table(t.name).where(F.col(t.partition).isin(parts))).select(*[F.col(f"`{c}`") for c in columns]) \
+        .hint("rebalance", t.buckets, t.key).write.insertInto(t.name, overwrite=True)
+    spark.catalog.refreshTable(t.name)
+
+
 def compact(spark: SparkSession, t: BucketedTable, parts: list) -> int:
     """Rewrites partitions to one file a bucket (M7), rows unchanged; hot
     buckets keep as many as their size needs. Returns the files written."""
-    own = _overwrite_session(spark)
-    own.table(t.name).where(F.col(t.partition).isin(parts)).hint("rebalance", t.buckets, t.key) \
-        .write.insertInto(t.name, overwrite=True)
-    spark.catalog.refreshTable(t.name)
+    rewrite(spark, t, parts, lambda rows: rows)
     return sum(1 for p in parts for n, _, d, _ in list_dir(spark, f"{t.path}/{t.partition}={p}")
                if not d and n.endswith(".parquet"))

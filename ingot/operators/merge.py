@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ingot.functions.rescue import RESCUE_COLUMN, entries_to_json, entry, escaped, json_to_entries, no_entries
 from ingot.functions.schemas import conform, loses, merge_schemas, merge_types, same_type
-from ingot.session import estimated_bytes, list_dir, path_exists
+from ingot.session import estimated_bytes, list_dir, metrics_of, path_exists
 
 PARTITION_COLUMN = "_ingestion_date"
 
@@ -181,7 +181,7 @@ def insert_only_merge(spark: SparkSession, batch: DataFrame, target_path: str, k
     new_rows = new_rows.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
     (new_rows.write.mode("append").option("mergeSchema", "true")
      .partitionBy(*partition_by).parquet(target_path))
-    got = obs.get
+    got = metrics_of(obs)
     if observed is not None:
         observed.update({n: got.get(n) for n in (observe or {})})
     return int(got.get("rows", 0) or 0)

@@ -41,7 +41,7 @@ from ingot.operators.merge import PARTITION_COLUMN, delete_keys, insert_only_mer
     row_hash, table_exists
 from ingot.operators.quality import reconcile_status
 from ingot.sources.documents import scan_collection
-from ingot.session import new_workspace, partitions_for, remove
+from ingot.session import metrics_of, new_workspace, partitions_for, remove
 from ingot.sources.landing import read_landing, read_landing_text
 
 
@@ -151,7 +151,7 @@ def load_rows(spark: SparkSession, enriched: DataFrame, collection: str, target_
         F.min("_source_id").alias("lo"), F.max("_source_id").alias("hi"),
         F.count_if(value.isNotNull() & wm.isNull()).alias("odd"), F.max(wm).getField("text").alias("wm")) \
         .write.parquet(staging)
-    s = seen.get
+    s = metrics_of(seen)
     total, nulls = int(s.get("total") or 0), int(s.get("nulls") or 0)
     pct_null = round(nulls / total * 100, 4) if total else 0.0
     staged = spark.read.schema(enriched.schema).parquet(staging)

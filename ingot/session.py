@@ -12,7 +12,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 # Settings every job of the library relies on. AQE re-plans joins and
 # partition counts at runtime from real shuffle sizes; UTC keeps ISO
@@ -80,6 +81,17 @@ def new_workspace(spark: SparkSession, label: str) -> str:
     return path
 
 
+def metrics_of(observation: Observation) -> dict:
+    """An observation's values; none where Spark found the plan empty and
+    left its metrics out."""
+    try:
+        return observation.get
+    except Py4JJavaError as e:
+        if "AssertionError" not in e.java_exception.toString():
+            raise
+        return {}
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder the library wrote for itself."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
