@@ -17,8 +17,7 @@ import sys
 from ingot.queries import all_queries  # noqa: E402
 from ingot.session import build_session
 
-STATEFUL_MODULE = "ingot.queries.state_queries"
-SKIP = {"bronze_insert_only_events"}
+STATEFUL_MODULES = {f"ingot.queries.{m}" for m in ("state_queries", "bronze_queries", "run_queries", "kept_queries")}
 
 KEEP = re.compile(r"^\(\d+\) (Scan|Exchange|BroadcastExchange|SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|"
                   r"HashAggregate|SortAggregate|ObjectHashAggregate|Window|Generate|TakeOrderedAndProject|"
@@ -61,6 +60,23 @@ def merge_plan(spark, sf: str) -> str:
     return df_facts(rows)
 
 
+def bucketed_plan(spark, sf: str) -> str:
+    """The same on a bucketed catalogue table: the join that finds the new
+    keys, without broadcasts, as for a target of any size."""
+    import datetime as dt
+    import uuid
+    from ingot.operators import bucketed
+    from ingot.operators.lineage import add_lineage
+    from ingot.session import new_workspace
+    t = bucketed.BucketedTable(f"plans_{uuid.uuid4().hex[:8]}", "events", f"{new_workspace(spark, 'plan-bucketed')}/t", buckets=8)
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    now = dt.datetime(2024, 2, 1)
+    bucketed.insert_new(spark, add_lineage(ev.where("ts < '2024-01-20'"), "event_id", "r1", "full", now), t)
+    second = add_lineage(ev.where("ts >= '2024-01-10'"), "event_id", "r2", "full", now)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return df_facts(bucketed.new_keys(spark, bucketed.batch_keys(second, t), t, ("1000", "9999")))
+
+
 def df_facts(df) -> str:
     formatted = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     tree = formatted.split("\n\n")[0]
@@ -73,7 +89,7 @@ def main(argv):
     print("# Physical plans of the stateless queries\n")
     print(f"Generated by `tools_plans.py` on `{sf}` (local[8], AQE on; plans shown before AQE re-planning).\n")
     for name, fn in sorted(all_queries().items()):
-        if fn.__module__ == STATEFUL_MODULE or name in SKIP:
+        if fn.__module__ in STATEFUL_MODULES:
             continue
         df = fn(spark, sf)
         formatted = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
@@ -83,6 +99,9 @@ def main(argv):
     print("## insert_only_merge (J1): second delivery, key-range pruning on\n")
     print(merge_plan(spark, sf))
     print()
+    print("## bucketed insert-only merge (J1): second delivery, no exchange on the target\n")
+    print(bucketed_plan(spark, sf))
+    print()
     spark.stop()
 
 
