@@ -9,10 +9,16 @@ are joined by smoothness edges whose capacity follows their proximity in the
 element tree. A maximum flow finds the cheapest labelling: a short line inside
 an article goes with its surroundings, a long advert between menus does not.
 
-The classifier is fitted on blocks of at most about ``TRAIN_PAGES`` pages,
-chosen by a hash, whose roles are plain; it starts from, and is pulled
-towards, ``PRIOR``, which is used as it is where no such blocks exist. Every
-page is labelled on its whole source.
+Words that also name the subjects of articles (``legal``, ``search``) say
+little below a content element: there they weigh less than the classifier can,
+and the ``id`` of a heading or paragraph, or of a section unless it names
+comments or adverts, is an anchor and no role.
+
+The classifier is fitted on blocks of at most ``TRAIN_PAGES`` different pages,
+those of the smallest hashes, whose roles are plain; it starts from, and is
+pulled towards, ``PRIOR``, which is used as it is where no such blocks exist.
+Every page is labelled on its whole source, in time linear in it but for the
+maximum flow.
 
 Cases: null or empty html gives the empty text; broken markup (open elements,
 cut-off tags, stray ends) is read as browsers do in outline; nothing is
@@ -30,9 +36,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ingot.llm.common import distinct_sample
+
 TRAIN_PAGES = 400
 ADJACENT, SIBLING = 0.9, 0.7          # smoothness of neighbours and of consecutive blocks of one parent
 ROLE_COST, ARTICLE_COST = 9.0, 5.0    # what a plain boilerplate or content role weighs
+DOUBT_COST = 3.0                      # what a doubtful word weighs below a content element
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -40,11 +49,13 @@ _TAG = re.compile(
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in _RAW}
-_DROPPED = _RAW | frozenset("head noscript template svg math object canvas select button audio video map datalist "
+_DROPPED = _RAW | frozenset("head noscript template svg annotation annotation-xml object canvas select button audio video map datalist "
                             "dialog".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q ruby rb rt "
-                    "s samp small span strike strong sub sup time tt u var wbr img".split())
+                    "s samp small span strike strong sub sup time tt u var wbr img "
+                    "math semantics mrow mi mn mo mtext mspace ms mfrac msqrt mroot mstyle mpadded mphantom msub msup "
+                    "msubsup munder mover munderover mmultiscripts".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # an element that a following start tag closes
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -64,14 +75,20 @@ _NEGATIVE_WORDS = frozenset("ad ads adv dfp outbrain taboola menu nav topnav top
                             "imprint".split())
 _NEGATIVE_STARTS = ("advert", "sponsor", "promo", "banner", "sidebar", "navig", "navbar", "breadcrumb", "footer",
                     "comment", "cookie", "newsletter", "subscri", "recommend", "masthead")
+# of these, the ones that articles also write about
+_DOUBTFUL = frozenset("menu head rail reply replies respond discussion consent notice alert widget share sharing social "
+                      "popular related trending copyright legal search form skip tags imprint signup login".split())
+# what an anchor of a section of an article must begin with to be a role
+_ANCHOR_STARTS = ("advert", "sponsor", "comment", "cookie", "newsletter", "subscri", "disqus", "outbrain", "taboola")
+_ANCHORED = _HEADINGS | {"p", "section"}
 _POSITIVE_WORDS = frozenset("article content main post entry story".split())
 _ABOUT_LAYOUT = frozenset("has with no without".split())      # has-sidebar speaks of the page, not of the element
 _NAME = re.compile(r"[a-z]+")
 
-BAD, GOOD, FORM, HEADER = 1, 2, 4, 8
+BAD, GOOD, FORM, HEADER, DOUBT = 1, 2, 4, 8, 16
 
 
-def _role(tag: str, attrs: str) -> tuple[int, bool]:
+def _role(tag: str, attrs: str, in_content: bool) -> tuple[int, bool]:
     """Role flags of an element, and whether it is hidden."""
     role, hidden = 0, False
     if tag in _NEGATIVE_TAGS:
@@ -98,64 +115,98 @@ def _role(tag: str, attrs: str) -> tuple[int, bool]:
                 parts = _NAME.findall(word)
                 if not parts or parts[0] in _ABOUT_LAYOUT:
                     continue
-                if any(p in _NEGATIVE_WORDS or p.startswith(_NEGATIVE_STARTS) for p in parts):
-                    role |= HEADER if set(parts) <= {"header", "head", "entry", "post", "article"} else BAD
+                if name == "id" and tag in _ANCHORED and (tag in _HEADINGS or in_content) \
+                        and not (tag == "section" and parts[0].startswith(_ANCHOR_STARTS)):
+                    continue
+                listed = [p for p in parts if p in _NEGATIVE_WORDS or p.startswith(_NEGATIVE_STARTS)]
+                if listed:
+                    role |= HEADER if set(parts) <= {"header", "head", "entry", "post", "article"} \
+                        else DOUBT if _DOUBTFUL.issuperset(listed) else BAD
                 elif any(p in _POSITIVE_WORDS for p in parts):
                     role |= GOOD
     return role, hidden
 
 
 class Block:
-    """A run of text between block-level tags."""
+    """A run of text between block-level tags: the parent
+    of its innermost block-level element by number, how deep it lies, and how many of
+    the elements around it also hold the block before."""
+
+    __slots__ = ("text", "links", "parent", "depth", "shared", "tag", "role")
+
+    def __init__(self, text: str, links: int, parent: int, depth: int, shared: int, tag: str, role: int):
+        self.text, self.links, self.parent, self.depth, self.shared = text, links, parent, depth, shared
+        self.tag, self.role = tag, role
+
+
+def _role_below(role: int, good: bool, flags: int) -> tuple[int, bool]:
+    """The role inside an element, from the one around it. A header inside an
+    article and a form around one do not speak against it; a doubtful word
+    speaks as plainly as any outside of content."""
+    if flags < 0:                        # dropped: holds no text
+        return role, good
+    if flags & BAD or flags & (HEADER | DOUBT) and not good:
+        return BAD, good
+    if flags & FORM:
+        return BAD if role == BAD else FORM, good
+    if flags & DOUBT and role != BAD:
+        return DOUBT, good
+    if flags & GOOD and role != BAD:
+        return GOOD, True
+    return role, good
 
-    __slots__ = ("text", "links", "path", "tag", "role")
 
-    def __init__(self, text: str, links: int, path: tuple, tag: str, role: int):
-        self.text, self.links, self.path, self.tag, self.role = text, links, path, tag, role
+class _Open:
+    """An open element: what lies around its text is known when it begins."""
 
+    __slots__ = ("tag", "flags", "inline", "role", "good")
 
-def _role_of(stack: list) -> int:
-    """BAD, GOOD or 0 for the elements around a block, outermost first. A
-    header inside an article and a form around one do not speak against it."""
-    role, good = 0, False
-    for _, flags, _, _ in stack:
-        if flags & BAD or flags & HEADER and not good:
-            role = BAD
-        elif flags & FORM:
-            role = BAD if role == BAD else FORM
-        elif flags & GOOD and role != BAD:
-            role, good = GOOD, True
-    return BAD if role == FORM else role
+    def __init__(self, tag: str, flags: int, inline: bool, role: int, good: bool):
+        self.tag, self.flags, self.inline = tag, flags, inline
+        self.role, self.good = _role_below(role, good, flags)
 
 
 def blocks_of(html: str) -> list[Block]:
     """Text blocks of a page in page order; character references decoded,
     white space inside a block made one space."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, int]] = []     # tag, role, inline, element number
+    stack: list[_Open] = []
+    places: dict[str, list[int]] = {}    # where the open elements of each tag are in the stack
+    holders: list[tuple[int, int]] = []  # the block-level ones: place in the stack, element number
     parts: list[str] = []
     links = in_link = dropped = count = 0
+    shared = 0                           # holders left from the block before
 
     def flush():
-        nonlocal links
+        nonlocal links, shared
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                holders = [s for s in stack if not s[2]]
-                out.append(Block(text, min(links, len(text)), tuple(s[3] for s in holders),
-                                 holders[-1][0] if holders else "", _role_of(stack)))
+                role = stack[-1].role if stack else 0
+                out.append(Block(text, min(links, len(text)), holders[-2][1] if len(holders) > 1 else 0, len(holders),
+                                 min(shared, len(holders)), stack[holders[-1][0]].tag if holders else "",
+                                 BAD if role == FORM else role))
+                shared = len(holders)
             parts.clear()
         links = 0
 
     def close(k: int):
         """End the elements from the k-th of the stack on."""
-        nonlocal in_link, dropped
-        if any(not s[2] for s in stack[k:]):
+        nonlocal in_link, dropped, shared
+        if holders and holders[-1][0] >= k:
             flush()
         for s in stack[k:]:
-            in_link -= s[0] == "a"
-            dropped -= s[1] < 0
+            in_link -= s.tag == "a"
+            dropped -= s.flags < 0
+            places[s.tag].pop()
         del stack[k:]
+        while holders and holders[-1][0] >= k:
+            holders.pop()
+        shared = min(shared, len(holders))
+
+    def place(tag: str) -> int:
+        at = places.get(tag)
+        return at[-1] if at else -1
 
     at, n = 0, len(html)
     while at < n:
@@ -180,12 +231,10 @@ def blocks_of(html: str) -> list[Block]:
             continue
         tag = tag.lower()
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if tag in _INLINE and not stack[k][2]:
-                    break                # an inline end tag does not end blocks
+            k = place(tag)
+            # an inline end tag does not end blocks
+            if k >= 0 and not (tag in _INLINE and holders and holders[-1][0] > k):
+                close(k)
             if tag in ("p", "br"):
                 flush()
             continue
@@ -199,25 +248,26 @@ def blocks_of(html: str) -> list[Block]:
         inline = tag in _INLINE
         if not inline:
             flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" or stack[k][0] in _CLOSES.get(tag, ()):
-                    close(k)
-                    break
-                if stack[k][0] in _SCOPE:
-                    break
+            k = max(map(place, ("p", *_CLOSES.get(tag, ()))))
+            if k >= 0 and k >= max(map(place, _SCOPE)):
+                close(k)
         if m[3].rstrip().endswith("/") and tag in _DROPPED:
             continue                     # <svg/> has no end tag
         if tag in _RAW:
             end = _RAW_END[tag].search(html, at)
             at = end.end() if end else n
             continue
-        role, hidden = _role(tag, m[3])
+        role, good = (stack[-1].role, stack[-1].good) if stack else (0, False)
+        flags, hidden = _role(tag, m[3], good)
         if hidden or tag in _DROPPED:
-            role = -1
+            flags = -1
             dropped += 1
         in_link += tag == "a"
         count += 1
-        stack.append((tag, role, inline, count))
+        places.setdefault(tag, []).append(len(stack))
+        if not inline:
+            holders.append((len(stack), count))
+        stack.append(_Open(tag, flags, inline, role, good))
     flush()
     return out
 
@@ -240,7 +290,7 @@ def features_of(b: Block) -> list[float]:
 
 def fit(pages: list[str]) -> np.ndarray:
     """Logistic weights from blocks of plain role, pulled towards PRIOR."""
-    rows = [(features_of(b), b.role) for html in pages for b in blocks_of(html) if b.role]
+    rows = [(features_of(b), b.role) for html in pages for b in blocks_of(html) if b.role in (BAD, GOOD)]
     x = np.array([f for f, _ in rows]).reshape(len(rows), len(PRIOR))
     y = np.array([r == GOOD for _, r in rows], float)
     w = PRIOR.copy()
@@ -335,23 +385,18 @@ def label(blocks: list[Block], weights: np.ndarray) -> list[bool]:
     for i, b in enumerate(blocks):
         if b.role == BAD:
             net[i] -= ROLE_COST
+        elif b.role == DOUBT:
+            net[i] -= DOUBT_COST
         elif b.role == GOOD:
             net[i] += ARTICLE_COST
     edges = []
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):
         if i:
-            a = blocks[i - 1].path
-            shared = 0
-            for p, q in zip(a, b.path, strict=False):
-                if p != q:
-                    break
-                shared += 1
-            edges.append((i - 1, i, ADJACENT * (shared + 1) / (max(len(a), len(b.path)) + 1)))
-        parent = b.path[-2] if len(b.path) > 1 else 0
-        if parent in last and last[parent] < i:
-            edges.append((last[parent], i, SIBLING))
-        last[parent] = i
+            edges.append((i - 1, i, ADJACENT * (b.shared + 1) / (max(blocks[i - 1].depth, b.depth) + 1)))
+        if b.parent in last and last[b.parent] < i:
+            edges.append((last[b.parent], i, SIBLING))
+        last[b.parent] = i
     return min_cut(net, edges)
 
 
@@ -365,11 +410,8 @@ def main_text(html: str | None, weights: np.ndarray) -> str:
 # ---- Spark jobs ------------------------------------------------------------------
 
 def train(pages: DataFrame, n: int = TRAIN_PAGES) -> np.ndarray:
-    """Weights from about n pages chosen by a hash of the source."""
-    total = pages.count()
-    h = F.pmod(F.xxhash64("html"), F.lit(1 << 30))
-    chosen = pages.filter(F.col("html").isNotNull() & (h < int(min(1.0, n / max(1, total)) * (1 << 30))))
-    return fit(sorted(r[0] for r in chosen.select("html").collect()))
+    """Weights from at most n different pages."""
+    return fit(distinct_sample(pages, "html", n))
 
 
 def extract(pages: DataFrame, weights: np.ndarray) -> DataFrame:

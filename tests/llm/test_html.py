@@ -9,7 +9,7 @@ import pytest
 
 from conftest import SF_SMALL
 from ingot.llm import html_extract as X
-from ingot.llm.common import corpus_table
+from ingot.llm.common import corpus_table, distinct_sample
 from ingot.llm.queries import op2_mincut_html
 
 
@@ -69,6 +69,36 @@ def test_long_sources_take_linear_time():
     assert len(X.main_text("<article>" + "<p>word, and more.</p>" * 20_000 + "</article>", X.PRIOR)) == 16 * 20_000 - 1
 
 
+@pytest.mark.parametrize("source", [
+    "<div>x" * 40_000, "<center>" * 40_000 + "<x-y>z" * 40_000, "<div>" * 40_000 + "</section>x" * 40_000,
+    "<b><div>" + "<i>" * 40_000 + "</b>x" * 40_000])
+def test_nesting_takes_linear_time(source):
+    blocks = X.blocks_of(source)
+    assert sum(len(b.text.replace(" ", "")) for b in blocks) == 40_000
+
+
+def test_subjects_of_an_article_are_no_layout():
+    page = """<article><p>Some words, in a first paragraph.</p>
+<section id="related-work"><h2 id="legal-status">Related work</h2><p>Others have written about it, and well.</p></section>
+<p id="search-results">The search found, in all, ten.</p>
+<p>Take <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x{=}2</annotation></math> here.</p>
+<section id="comments"><p>Great, thanks a lot, I liked it.</p></section>
+<div class="advert"><p>Buy this thing now, it is great, truly, and cheap.</p></div></article>
+<div class="related"><p>Another text of this site, which is long, and has commas.</p></div>"""
+    assert X.main_text(page, X.PRIOR) == (
+        "Some words, in a first paragraph. Related work Others have written about it, and well. "
+        "The search found, in all, ten. Take x=2 here.")
+
+
+def test_sample_is_bounded_by_different_pages(spark):
+    rows = [(1, "u", "<article><p>hot</p></article>")] * 300 + [(i, "u", f"<p>page {i}</p>") for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = distinct_sample(df, "html", 20)
+    assert len(got) == len(set(got)) == 20 and got == sorted(got)
+    assert len(distinct_sample(df, "html", 1000)) == 201
+    assert distinct_sample(df.limit(0), "html", 5) == []
+
+
 def test_query_returns_the_article(spark):
     pages = {r.page_id: r for r in corpus_table(spark, SF_SMALL, "pages").collect()}
     rows = op2_mincut_html(spark, SF_SMALL).collect()
