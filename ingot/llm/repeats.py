@@ -30,10 +30,11 @@ spread and compared one by one under a 128-bit hash, again partially
 aggregated: an exact way whose cost is linear in them.
 
 Cases: a null or empty text has no bytes; a document with a null doc_id
-neither loses bytes nor takes them from others; rows repeated under one doc_id
-are one document (equal starts are not earlier) and are returned as often as
-they come; other columns of the input are not read; an empty table gives an
-empty result. Texts may be of any length.
+neither loses bytes nor takes them from others; equal rows under one doc_id
+are one document (equal starts are not earlier), judged once and returned as
+often as they come; different texts under one doc_id are documents of their
+own, in order of a hash of the text; other columns of the input are not read,
+whatever their names; an empty table gives an empty result. Texts may be of any length.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -49,6 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ingot.llm.common import discard, written
+from ingot.session import partitions_for
 
 LENGTH = 100
 ANCHOR = 40
@@ -273,7 +276,8 @@ def _cut(texts: DataFrame, wanted: DataFrame, emit, schema: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Spans ``(doc_id, lo, hi)`` of repeated bytes; they may overlap."""
+    """Spans ``(doc_id, lo, hi)`` of repeated bytes; they may overlap. A doc_id
+    names one row."""
     texts = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
 
     def find(batches):
@@ -341,10 +345,26 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.union(built).union(spread)
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Documents with their merged spans: a per-document list, bounded by the text."""
-    lists = spans.distinct().groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("_spans"))
-    return docs.join(lists, "doc_id", "left")
+def _with_spans(docs: DataFrame, length: int, name: str) -> DataFrame:
+    """Documents with their spans as a column ``name``: a list per document,
+    bounded by the text. Where a doc_id is repeated, its different texts are
+    numbered in order of doc_id and a hash of the text, written down, and
+    judged by their numbers."""
+    texts = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
+    single = texts.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    if not single:
+        by = ["doc_id", F.xxhash64("text")]
+        named = written(texts.dropDuplicates().repartitionByRange(partitions_for(docs), *by).sortWithinPartitions(*by)
+                        .withColumn("row", F.monotonically_increasing_id()), "numbered-texts")
+        texts = named.select(F.col("row").alias("doc_id"), "text")
+    lists = repeated_spans(texts, length).distinct().groupBy("doc_id") \
+        .agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias(name))
+    if single:
+        return docs.join(lists, "doc_id", "left")
+    found = named.join(lists.withColumnRenamed("doc_id", "row"), "row").select("doc_id", "text", name)
+    return docs.alias("d").join(found.alias("f"), (F.col("d.doc_id").cast("long") == F.col("f.doc_id"))
+                                & F.col("d.text").eqNullSafe(F.col("f.text")), "left") \
+        .select("d.*", F.col(f"f.{name}").alias(name))
 
 
 def _merged(spans) -> list[tuple[int, int]]:
@@ -368,8 +388,6 @@ def _outside(t: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans, kept_sha256."""
-    spans = repeated_spans(docs, length)
-
     def digest(batches):
         for pdf in batches:
             rows = []
@@ -381,7 +399,8 @@ def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]) \
                 .astype({"doc_id": "Int64"})
 
-    return _with_spans(docs.select(F.col("doc_id").cast("long"), "text"), spans).select("doc_id", "text", "_spans") \
+    return _with_spans(docs.select(F.col("doc_id").cast("long"), "text"), length, "_spans") \
+        .select("doc_id", "text", "_spans") \
         .mapInPandas(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -401,7 +420,7 @@ def whole_characters(t: bytes, spans: list[tuple[int, int]]) -> list[tuple[int,
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents, all columns, with the repeated characters cut from
     ``text``; ``n_chars``, if there, follows."""
-    spans = repeated_spans(docs, length)
+    spans = f"spans_{uuid.uuid4().hex}"
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
@@ -413,7 +432,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             out.append(t)
         return pd.Series(out, dtype=object)
 
-    out = _with_spans(docs, spans).withColumn("text", cut("text", "_spans"))
+    out = _with_spans(docs, length, spans).withColumn("text", cut("text", spans))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

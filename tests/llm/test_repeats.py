@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -67,6 +68,37 @@ def test_odd_rows(spark):
     assert repeats.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_judged_once(spark):
+    rng = random.Random(5)
+    text = " ".join(str(rng.randint(0, 10 ** 6)) for _ in range(4000))
+    took = {}
+    for copies in (80, 320):
+        df = spark.createDataFrame([(1, text)] * copies + [(2, text)], "doc_id long, text string").repartition(4)
+        start = time.monotonic()
+        got = repeats.repeat_digests(df).collect()
+        took[copies] = time.monotonic() - start
+        assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0)] * copies + [(2, len(text))]
+    assert took[320] < 2.5 * took[80] + 5
+
+
+def test_different_texts_of_one_id(spark):
+    rng = random.Random(6)
+    a, b, shared = (" ".join(str(rng.randint(0, 10 ** 6)) for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (1, a), (1, b + shared), (2, shared), (3, a), (1, None)]
+    df = spark.createDataFrame([(d, t, 1, 2, "x") for d, t in rows],
+                               "doc_id long, text string, row long, lo int, _spans string")
+    got = sorted(((r.doc_id, r.text) for r in repeats.remove_repeats(df).collect()), key=str)
+    assert got == sorted([(1, a), (1, a), (1, b + shared), (2, ""), (3, ""), (1, None)], key=str)
+
+
+def test_clashing_names(spark):
+    t = " ".join(str(i * i) for i in range(60))
+    df = spark.createDataFrame([(1, t, "s", 1, 2, 3), (2, t, "s", 1, 2, 3)],
+                               "doc_id long, text string, _spans string, v long, lo int, row long")
+    got = {r.doc_id: r for r in repeats.remove_repeats(df).collect()}
+    assert got[2].text == "" and got[2]._spans == "s" and got[2].row == 3 and got[1].text == t
+
+
 def test_removal_keeps_whole_characters(spark):
     a = "é" * 80 + "abc"
     df = spark.createDataFrame([(1, a, 9, 5), (2, "è" + a, 9, 5), (3, None, 9, 5)], "doc_id long, text string, n_chars long, lo int")
