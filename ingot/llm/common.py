@@ -64,18 +64,21 @@ def discard(table: DataFrame) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def distinct_sample(df: DataFrame, column: str, n: int) -> list[str]:
-    """At most ``n`` different values of a text column, those of the smallest
-    hashes among about ``4 n`` rows, in order. A value counts once however many
-    rows hold it; nulls do not count."""
+def distinct_values(df: DataFrame, column: str, n: int) -> DataFrame:
+    """At most ``n`` different values of a text column, under its name: those of
+    the smallest hashes among about ``4 n`` rows. A value counts once however
+    many rows hold it; nulls do not count."""
     h = F.xxhash64(column)
     among = min(1.0, 4 * n / max(1, df.count()))
     low = df.filter(F.col(column).isNotNull() & (F.pmod(h, F.lit(1 << 30)) < int(among * (1 << 30))))
     chosen = [r[0] for r in low.select(h.alias("h")).distinct().orderBy("h").limit(n).collect()]
-    if not chosen:
-        return []
-    rows = low.filter(h <= chosen[-1]).groupBy(h.alias("h")).agg(F.min(column).alias("value"))
-    return sorted(r[0] for r in rows.select("value").collect())        # at most n rows
+    upto = chosen[-1] if chosen else -(1 << 63)
+    return low.filter(h <= upto).groupBy(h).agg(F.min(column).alias(column)).select(column)
+
+
+def distinct_sample(df: DataFrame, column: str, n: int) -> list[str]:
+    """``distinct_values`` in order, at the driver: at most ``n`` texts."""
+    return sorted(r[0] for r in distinct_values(df, column, n).collect())
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -209,6 +209,20 @@ def test_decontamination_odd_rows(spark, monkeypatch):
     assert decontaminate.remove_leaks(docs, bench.limit(0)).count() == 7
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    assert decontaminate.words_of("Hello wörld_x 你好 abc日本 12a") == ["hello", "wörld", "x", "你", "好", "abc", "日", "本", "12a"]
+    assert decontaminate.words_of("no_sign Éa") == ["no", "sign", "éa"]
+    short, chinese = "blue cats seldom read quietly", "为什么天空在晴朗的日子里看起来是蓝色的"
+    pad = " ".join(f"w{i % 37}" for i in range(150))
+    docs = [(1, f"{pad} Blue cats, seldom read -- quietly {pad}"), (2, f"{pad} blue cats seldom quietly read {pad}"),
+            (3, "Blue cats seldom read quietly"), (4, f"{pad} 他问{chinese}吗 {pad}"), (5, "今天天气很好我们去公园散步吧"),
+            (6, " ".join(["w1"] * 62 + short.split() + ["w2"] * 40)), (7, "cats read")]
+    bench = spark.createDataFrame([(1, short), (2, chinese), (3, "cats read")], "item_id long, text string")
+    rows = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(1, 1), (3, 1), (4, 2), (6, 1)]
+    assert {(r.first_word, r.last_word) for r in rows if r.item_id == 1} == {(150, 154), (0, 4), (62, 66)}
+
+
 def test_all_that_confirms_is_found_in_a_large_benchmark(spark, monkeypatch):
     """3000 items of 8 to 10 words out of prose, by far more than directions;
     documents with one each, verbatim or with words before the answer replaced."""
