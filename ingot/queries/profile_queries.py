@@ -90,7 +90,7 @@ def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      F.col(f"rank.{c}").alias("true_rank")) for c in PROFILED])))
     shown = drift(profiles, LAST_RUN).select(
         "column_name", "null_change", (F.col("rank_shift") > 0.3).alias("values_moved"))
-    top = top_values("top_sketch", 1)[0]
+    top = F.get(top_values("top_sketch", 1), F.lit(0))
     return merged.join(truth, "column_name").join(shown, "column_name").select(
         "column_name", "n_runs", "n_rows", "n_nulls", "low", "high", "low_text", "high_text",
         (F.abs(n_distinct("distinct_sketch") - F.col("n_true")) <= F.ceil(DISTINCT_ERROR * F.col("n_true"))).alias("distinct_in_bound"),
