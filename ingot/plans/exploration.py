@@ -6,7 +6,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ingot.operators.filters import cast_columns, select_nested
 from ingot.operators.merge import overwrite_snapshot
@@ -24,8 +23,9 @@ class Exploration:
 
 def explore(raw_docs: DataFrame, mapping: dict[str, str], casts: dict[str, str],
             quarantine_if: Column, reason: str, origin: str, at: Column,
-            sample_size: int = 1000, target: str | None = None) -> Exploration:
-    """Raw ``(_id, body)`` documents through the exploration steps. The
+            sample_size: int | None = None, target: str | None = None) -> Exploration:
+    """Raw ``(_id, body)`` documents through the exploration steps. The schema
+    comes from all bodies unless ``sample_size`` bounds the rows looked at. The
     profile is one aggregate pass; the tagged frame keeps every row."""
     expanded = expand_documents(raw_docs, sample_size)
     selected = select_nested(expanded, mapping)
@@ -35,8 +35,3 @@ def explore(raw_docs: DataFrame, mapping: dict[str, str], casts: dict[str, str],
     if target:
         overwrite_snapshot(tagged, target)
     return Exploration(expanded, selected, profile, tagged)
-
-
-def languages_missing(col: str = "languages") -> Column:
-    c = F.col(col)
-    return c.isNull() | (F.coalesce(F.size(c), F.lit(0)) == 0)

@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("bronze_queries", "table_queries", "state_queries", "run_queries", "kept_queries", "profile_queries")
+_MODULES = ("bronze_queries", "table_queries", "state_queries", "run_queries", "kept_queries", "profile_queries",
+            "step_queries")
 
 
 def all_queries() -> dict:

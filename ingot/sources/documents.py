@@ -38,9 +38,10 @@ def raw_documents(df: DataFrame, id_field: str, condition: Column | None = None,
     return src.select(F.coalesce(id_col, F.lit("")).alias("_id"), to_json_text(src).alias("body"))
 
 
-def expand_documents(raw: DataFrame, sample_size: int = 1000, schema=None) -> DataFrame:
-    """Raw documents expanded to typed columns using a schema inferred
-    from a bounded sample (A9 + P5); the body's own ``_id`` is dropped."""
+def expand_documents(raw: DataFrame, sample_size: int | None = None, schema=None) -> DataFrame:
+    """Raw documents expanded to typed columns using a schema inferred from
+    all bodies (A9 + P5), so a field that only late ones have is kept, or from
+    ``sample_size`` of them; the body's own ``_id`` is dropped."""
     spark = raw.sparkSession
     schema = schema or infer_json_schema(spark, raw, "body", sample_size)
     return expand_json(raw, "body", schema, id_col="_id")
