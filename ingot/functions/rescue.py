@@ -13,11 +13,13 @@ one path become a JSON array of them. A line that is not a JSON object at
 all is kept whole under ``_corrupt_record``. A line that parses fully gets
 NULL.
 
-Each line is parsed once to the typed struct and once to a
-``map<string,string>`` of raw values; nested values re-parse only their
-own text. The two parses sit behind a generator (``inline``) so the
-optimizer cannot split the typed parse into one pruned parse per column,
-which would parse every line once per field.
+Each line is parsed once to the typed struct. Where that struct, written as
+JSON again, is the line itself, all of it was read and nothing is rescued; a
+landing's own lines are such. Any other line is parsed once more, to a
+``map<string,string>`` of raw values; nested values re-parse only their own
+text. The typed parse sits behind a generator (``inline``) so the optimizer
+cannot split it into one pruned parse per column, which would parse every
+line once per field.
 """
 
 from __future__ import annotations
@@ -113,6 +115,14 @@ def _value_entries(dt: DataType, typed: str, raw: str, path: str, depth: int) ->
             f"ELSE coalesce({inner}, {_entry_sql(path, raw)}) END")
 
 
+def _holds_map(dt: DataType) -> bool:
+    """Whether a map occurs at any depth: its keys may repeat in a line that is
+    written again as it was."""
+    if isinstance(dt, StructType):
+        return any(_holds_map(f.dataType) for f in dt.fields)
+    return isinstance(dt, MapType) or isinstance(dt, ArrayType) and _holds_map(dt.elementType)
+
+
 def _values_of(pairs: str, key: str) -> str:
     """Raw values of a key, as often as it occurs."""
     return f"transform(filter({pairs}, p -> p.key = {_text(key)}), p -> p.value)"
@@ -151,7 +161,7 @@ def _line_entries(schema: StructType) -> str:
 
 
 _RESCUED = f"""
-CASE WHEN __v IS NULL THEN CAST(NULL AS STRING)
+CASE WHEN __same OR __v IS NULL THEN CAST(NULL AS STRING)
      WHEN __m IS NULL THEN to_json(map('{CORRUPT_KEY}', __v))
      WHEN size(__e) > 0 THEN to_json(map_from_arrays(
        array_distinct(transform(__e, e -> e.path)),
@@ -169,11 +179,15 @@ def parse_json_lines(text: DataFrame, schema: StructType, column: str = "value",
     keep = keep or []
     items = [F.from_json(F.col(column), schema).alias("__t")]
     if rescue:
-        items += [F.from_json(F.col(column), _MAP).alias("__m"), F.col(column).alias("__v")]
+        items.append(F.col(column).alias("__v"))
     items += [F.col(f"`{c}`").alias(c) for c in keep]
     parsed = text.select(F.inline(F.array(F.struct(*items))))
     cols = [F.col(f"`{c}`") for c in keep] + [F.col("__t").getField(f.name).alias(f.name) for f in schema.fields]
     if not rescue:
         return parsed.select(*cols)
-    # the entries are a column of their own: they are used several times
-    return parsed.withColumn("__e", F.expr(_line_entries(schema))).select(*cols, F.expr(_RESCUED).alias(RESCUE_COLUMN))
+    same = "false" if _holds_map(schema) else "to_json(__t, map('ignoreNullFields', 'false')) <=> __v"
+    # these are columns of their own: they are used several times
+    return parsed.withColumn("__same", F.expr(same)) \
+        .withColumn("__m", F.expr(f"CASE WHEN NOT __same THEN from_json(__v, '{_MAP}') END")) \
+        .withColumn("__e", F.expr(f"CASE WHEN NOT __same THEN {_line_entries(schema)} END")) \
+        .select(*cols, F.expr(_RESCUED).alias(RESCUE_COLUMN))

@@ -11,8 +11,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Observation, SparkSession
 
 # Settings every job of the library relies on. AQE re-plans joins and
@@ -125,11 +127,15 @@ BYTES_PER_PARTITION = 128 << 20
 
 
 def estimated_bytes(df) -> int:
-    """Catalyst's size estimate of a plan, from file sizes (no job)."""
+    """Bytes of the files a DataFrame is read from (no job); 0 without files."""
+    spark = df.sparkSession
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
+        files = [unquote(f) for f in df.inputFiles()]
+    except AnalysisException:
         return 0
+    folders = {f.rsplit("/", 1)[0] for f in files}
+    size = {f"{d}/{name}": n for d in folders for name, _, is_dir, n in list_dir(spark, d) if not is_dir}
+    return sum(size.get(f, 0) for f in files)
 
 
 def partitions_for(df, bytes_per_partition: int = BYTES_PER_PARTITION) -> int:

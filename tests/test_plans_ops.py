@@ -109,3 +109,14 @@ def test_partitions_for_grows_with_input(spark):
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert partitions_for(small) == base
     assert partitions_for(small, bytes_per_partition=1) >= base
+
+
+def test_partitions_grow_with_the_files_of_a_join(spark, ws):
+    from ingot.session import estimated_bytes, partitions_for
+    spark.range(20000).write.parquet(f"{ws}/a")
+    spark.range(20000).withColumnRenamed("id", "k").write.parquet(f"{ws}/b c")
+    a, b = spark.read.parquet(f"{ws}/a"), spark.read.parquet(f"{ws}/b c")
+    both = a.join(b, a.id == b.k)
+    assert estimated_bytes(both) == estimated_bytes(a) + estimated_bytes(b) > 100_000
+    assert partitions_for(both, bytes_per_partition=10_000) == -(-estimated_bytes(both) // 10_000) > 10
+    assert estimated_bytes(spark.range(5)) == 0

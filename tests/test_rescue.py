@@ -132,3 +132,24 @@ def test_lost_values_are_rescued_as_they_were(spark, docs):
             if holder == path and not isinstance(value, (dict, list)):
                 raw = rescued[path]
                 assert raw == value if isinstance(value, str) else json.loads(raw) == value
+
+
+def test_lines_that_are_read_whole_are_not_parsed_for_the_rescue(spark, monkeypatch):
+    """A line that its typed form writes again as it was has nothing to rescue;
+    the raw values of any other line are looked into."""
+    from ingot.functions import rescue
+    schema = StructType.fromDDL("a int, s struct<x:double>, l array<struct<x:int,t:string>>")
+    lines = {'{"a":1,"s":{"x":0.5},"l":[{"x":1,"t":"\u00e9"},null]}': None,
+             '{"a":null,"s":null,"l":[]}': None,
+             '{"s":{"x":0.5},"a":1}': None,
+             '{"a":1,"a":1,"s":null,"l":null}': {"a": '["1","1"]'},
+             '{"a":"1x","s":null,"l":null}': {"a": "1x"},
+             '{"a":1,"s":{"x":0.5,"y":2},"l":null}': {"s.y": "2"},
+             '{"a":1,"s":null,"l":[{"x":1,"t":null,"u":3}]}': {"l[0].u": "3"}}
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [r["_rescued_data"] for r in rescue.parse_json_lines(df, schema).collect()]
+    assert [json.loads(x) if x else None for x in got] == list(lines.values())
+    # the nested values' look-up fails on purpose: only lines that need it come there
+    monkeypatch.setattr(rescue, "_line_entries", lambda schema: f"CAST(raise_error('looked into') AS {rescue.ENTRIES})")
+    whole = df.where("value like '%\u00e9%' or value like '%[]%'")
+    assert [r["_rescued_data"] for r in rescue.parse_json_lines(whole, schema).collect()] == [None, None]
