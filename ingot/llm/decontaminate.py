@@ -4,10 +4,13 @@ Documents and benchmark items are cut into passages of ``WINDOW`` words. Their
 TF-IDF vectors are projected to a latent space found by a randomised singular
 value decomposition, computed by Spark over passages: each pass multiplies the
 passages' sparse rows with a thin matrix and sums the products by term. The
-space (the index) is fitted on all items, weighted so that their directions
-stay, and on at most ``SAMPLE_DOCS`` different documents chosen by a hash; document
-frequencies are counted over all documents, and every passage of every
-document is searched.
+space (the index) is fitted on every passage of all documents and on all items,
+which weigh ``ITEM_WEIGHT`` against each ``PER_DOCS`` documents so that their
+directions stay however large the corpus. Its terms are the items' words and
+those that ``MIN_TERM_DOCS`` of ``PER_DOCS`` documents hold, counted over all
+documents: at most ``PER_DOCS / MIN_TERM_DOCS`` times the different words of a
+document on the average, however many documents there are. Every passage of
+every document is searched. Documents count as often as they come.
 
 A passage whose cosine with an item's passage reaches ``MIN_COSINE`` is a
 candidate. ``RANK`` directions carry about as many items; where a block holds
@@ -48,19 +51,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingot.llm.common import distinct_values, written
+from ingot.llm.common import written
 
 WINDOW, STRIDE = 64, 32
 SHORTEST_ITEM, SHORTEST_SEQUENCE = 8, 4
 RANK, OVERSAMPLE = 192, 16
-SAMPLE_DOCS = 1000
 ITEM_WEIGHT = 6.0
-MIN_TERM_DOCS = 5
+MIN_TERM_DOCS, PER_DOCS = 5, 1000
 MIN_COSINE = 0.35
 SURE, LIKELY, ANSWER = 0.75, 0.5, 0.7
 ANSWER_WORDS = 8
 ITEMS_AT_ONCE = 5000
 WORDS_AT_ONCE = 40_000
+WORDS_COUNTED = 200_000       # different words that a task counts before it hands them on
 PASSAGES_AT_ONCE = 512       # rows of the matrices of passages by items
 SEED = 17
 _WORD = re.compile(r"[^\W_]+")
@@ -85,91 +88,145 @@ def _windows(n: int) -> list[tuple[int, int]]:
 
 # ---- corpus statistics and the latent space ------------------------------------
 
-def _term_documents(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
-    """Over all documents: how many hold each term, and how many there are."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-
+def _word_documents(docs: DataFrame) -> DataFrame:
+    """``(word, n)``: how many of all documents hold each word."""
     def count(batches):
-        voc = shared.value
-        known = frozenset(voc)
         seen: Counter[str] = Counter()
-        n = 0
         for pdf in batches:
             for t in pdf["text"]:
-                seen.update(known.intersection(words_of(t)))
-                n += 1
-        yield pd.DataFrame({"term": [*(voc[w] for w in seen), -1], "n": [*seen.values(), n]})
-
-    rows = docs.select("text").mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")) \
-        .collect()      # at most one row per vocabulary term
-    shared.destroy()
-    out = np.zeros(len(vocabulary), np.int64)
-    total = 0
-    for term, n in rows:
-        if term < 0:
-            total = n
-        else:
-            out[term] = n
-    return out, total
-
-
-def _passage_rows(ids: list[int], idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Sparse unit TF-IDF rows of a text's passages; -1 is outside the vocabulary."""
-    out = []
-    for a, b in _windows(len(ids)):
-        x = np.array([i for i in ids[a:b] if i >= 0], np.int64)
-        if len(x):
-            at, tf = np.unique(x, return_counts=True)
-            v = tf * idf[at]
-            norm = np.sqrt(v @ v)
-            if norm > 0:
-                out.append((at, v / norm))
-    return out
+                seen.update(set(words_of(t)))
+                if len(seen) >= WORDS_COUNTED:
+                    yield pd.DataFrame({"word": [*seen], "n": [*seen.values()]})
+                    seen.clear()
+        if seen:
+            yield pd.DataFrame({"word": [*seen], "n": [*seen.values()]})
+
+    return docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _blocks(ids: np.ndarray, sizes: np.ndarray, none: int):
+    """Texts of ``sizes`` words, their ids joined, cut into blocks of ``STRIDE``
+    words: ``(padded, owner, nth, lead, alone)``. One row of ids per block,
+    filled up with ``none``; the text a block is of and its number there; the
+    blocks that begin a passage, and whether a passage is that block alone or
+    the one behind it too."""
+    full = np.flatnonzero(sizes)
+    blocks = -(-sizes[full] // STRIDE)
+    owner = np.repeat(full, blocks)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    padded = np.full(len(owner) * STRIDE, none, ids.dtype)
+    begin = (np.cumsum(blocks) - blocks) * STRIDE
+    padded[np.repeat(begin - (np.cumsum(sizes[full]) - sizes[full]), sizes[full]) + np.arange(sizes.sum())] = ids
+    # a passage is a block and the one behind it; a text of one block is one passage
+    lead = np.flatnonzero((nth == 0) | (nth < np.repeat(blocks, blocks) - 1))
+    return padded.reshape(-1, STRIDE), owner, nth, lead, np.repeat(blocks, blocks)[lead] == 1
 
 
-def _times_gram(rows, basis: np.ndarray) -> np.ndarray:
-    """Sum over rows a of a a^T basis."""
-    out = np.zeros_like(basis)
-    for at, v in rows:
-        out[at] += v[:, None] * (v @ basis[at])
-    return out
+def _block_sums(rows: np.ndarray, padded: np.ndarray) -> np.ndarray:
+    return np.concatenate([rows[padded[k:k + 64]].sum(axis=1) for k in range(0, len(padded), 64)])
 
 
-def _latent_space(sample: DataFrame, items: list[list[int]], vocabulary: dict[str, int], idf: np.ndarray) -> np.ndarray:
-    """Terms x RANK basis of the leading right singular vectors."""
-    sc = sample.sparkSession.sparkContext
-    voc = sc.broadcast((vocabulary, idf))
-    own = [(at, ITEM_WEIGHT * v) for ids in items for at, v in _passage_rows(ids, idf)]
+def _passage_norms(padded: np.ndarray, lead: np.ndarray, alone: np.ndarray, idf: np.ndarray, none: int) -> np.ndarray:
+    """Squared length of each passage's TF-IDF vector."""
+    behind = padded[np.minimum(lead + 1, len(padded) - 1)]
+    words = np.concatenate((padded[lead], np.where(alone[:, None], none, behind)), axis=1)
+    words.sort(axis=1)
+    new = np.ones(words.shape, bool)
+    new[:, 1:] = words[:, 1:] != words[:, :-1]
+    at = np.flatnonzero(new)
+    tf = np.diff(at, append=words.size)
+    return np.bincount(at // words.shape[1], (tf * idf[words.ravel()[at]]) ** 2, len(lead))
+
+
+def _add_by_term(out: np.ndarray, padded: np.ndarray, block_rows: np.ndarray, none: int) -> None:
+    """Adds to each term's row of ``out`` the rows of the blocks it stands in,
+    as often as it does; terms of one count together."""
+    ids = padded.ravel()
+    order = np.argsort(ids, kind="stable")
+    order = order[:np.searchsorted(ids, none, sorter=order)]       # ``none`` is the last id
+    ids, block = ids[order], order // padded.shape[1]
+    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))[:len(ids)]
+    count = np.diff(first, append=len(ids))
+    for n in np.unique(count).tolist():
+        of = first[count == n]
+        step = max(1, 2048 // n)
+        for k in range(0, len(of), step):
+            x = of[k:k + step]
+            out[ids[x]] += block_rows[block[x[:, None] + np.arange(n)]].sum(axis=1)
+
+
+def _times_gram(out: np.ndarray, texts: list[np.ndarray], idf: np.ndarray, basis: np.ndarray, weight: float = 1.0) -> None:
+    """Adds to ``out`` the sum, over the passages a of texts given as term ids, of
+    ``weight`` a a^T basis; a is a unit TF-IDF vector. The last row of ``out``,
+    ``idf`` and ``basis`` is for words outside the vocabulary, and zero in the
+    latter two."""
+    none = len(idf) - 1
+    sizes = np.array([len(t) for t in texts])
+    if not sizes.sum():
+        return
+    padded, _, _, lead, alone = _blocks(np.concatenate(texts), sizes, none)
+    norm = _passage_norms(padded, lead, alone, idf, none)
+    sums = _block_sums(basis * idf[:, None].astype(basis.dtype), padded)
+    both = lead[~alone]
+    rows = sums[lead]
+    rows[~alone] += sums[both + 1]
+    rows *= np.divide(weight, norm, out=np.zeros_like(norm), where=norm > 0)[:, None].astype(rows.dtype)
+    # a block is in the passage it begins and in the one that the block before it begins
+    by_block = np.zeros_like(sums)
+    by_block[lead] = rows
+    by_block[both + 1] += rows[~alone]
+    held = np.zeros_like(basis)
+    _add_by_term(held, padded, by_block, none)
+    out += held * idf[:, None]
+
+
+def _latent_space(docs: DataFrame, n: int, items: list[list[int]], vocabulary: dict[str, int],
+                  idf: np.ndarray) -> np.ndarray:
+    """Terms x RANK basis of the leading right singular vectors, over the
+    passages of all ``n`` documents and the items'."""
+    sc = docs.sparkSession.sparkContext
+    none = len(idf)
+    weights = np.append(idf, 0.0)
+    voc = sc.broadcast((vocabulary, weights))
     width = min(RANK + OVERSAMPLE, len(idf))
+    item_weight = ITEM_WEIGHT ** 2 * max(1.0, n / PER_DOCS)
 
     def product(basis: np.ndarray) -> np.ndarray:
-        shared = sc.broadcast(basis)
+        padded = np.vstack([basis, np.zeros((1, width))]).astype(np.float32)
+        shared = sc.broadcast(padded)
 
         def partial(batches):
             v, w = voc.value
-            acc = np.zeros_like(shared.value)
+            acc = np.zeros(shared.value.shape)
             for pdf in batches:
+                held, n = [], 0
                 for t in pdf["text"]:
-                    acc += 0 if not t else _times_gram(_passage_rows([v.get(x, -1) for x in words_of(t)], w), shared.value)
+                    held.append(np.fromiter(map(v.get, words := words_of(t), repeat(none)), np.int32, len(words)))
+                    n += len(words)
+                    if n >= WORDS_AT_ONCE:
+                        _times_gram(acc, held, w, shared.value)
+                        held, n = [], 0
+                _times_gram(acc, held, w, shared.value)
             at = np.flatnonzero(np.abs(acc).sum(axis=1))
-            yield pd.DataFrame({"term": at, "row": [acc[i].tobytes() for i in at]})
+            yield pd.DataFrame({"term": at, "row": [x.tobytes() for x in acc[at].astype(np.float32)]})
 
         def total(batches):
             acc: dict[int, np.ndarray] = {}
             for pdf in batches:
                 for term, row in zip(pdf["term"], pdf["row"], strict=True):
-                    x = np.frombuffer(row)
-                    acc[term] = acc[term] + x if term in acc else x
+                    x = np.frombuffer(row, np.float32)
+                    acc[term] = acc[term] + x if term in acc else x.astype(float)
             yield pd.DataFrame({"term": list(acc), "row": [x.tobytes() for x in acc.values()]}) \
                 .astype({"term": "int64"})
 
         schema = "term long, row binary"
-        parts = sample.mapInPandas(partial, schema).repartition("term").mapInPandas(total, schema)
-        out = _times_gram(own, basis)
+        parts = docs.select("text").mapInPandas(partial, schema).repartition("term").mapInPandas(total, schema)
+        out = np.zeros((len(weights), width))
+        _times_gram(out, [np.array(x, np.int32) for x in items], weights, padded, item_weight)
         for term, row in parts.collect():       # terms x width, whatever the corpus
             out[term] += np.frombuffer(row)
         shared.destroy()
-        return out
+        return out[:-1]
 
     rng = np.random.default_rng(SEED)
     basis = np.linalg.qr(rng.standard_normal((len(idf), width)))[0]
@@ -210,22 +267,21 @@ def _rare_words(items: list[list[int]], df: np.ndarray) -> tuple[np.ndarray, np.
     return first, rows[:, 1], rows[:, 2].astype(np.float32), np.array(least, np.float32)
 
 
-def build_index(docs: DataFrame, items: list[tuple[int, list[str]]]) -> Index:
+def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: DataFrame) -> Index:
+    """``counts``: ``_word_documents`` of the documents."""
     passages = [(i, w[a:b]) for i, w in items for a, b in _item_passages(len(w))]
-    sample = written(distinct_values(docs, "text", SAMPLE_DOCS).repartition(8), "lsa-sample")
-
-    def terms(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"term": [w for t in pdf["text"] for w in set(words_of(t))]}, dtype=object)
-
-    common = sample.mapInPandas(terms, "term string").groupBy("term").count() \
-        .filter(F.col("count") >= MIN_TERM_DOCS).collect()        # bounded by the sample
-    names = sorted({w for _, p in passages for w in p} | {r[0] for r in common})
+    own = {w for _, p in passages for w in p}
+    n = docs.count()
+    least = max(MIN_TERM_DOCS, -(-n * MIN_TERM_DOCS // PER_DOCS))
+    asked = docs.sparkSession.createDataFrame([(w,) for w in sorted(own)], "word string").withColumn("own", F.lit(True))
+    held = dict(counts.join(F.broadcast(asked), "word", "left").filter((F.col("n") >= least) | F.col("own"))
+                .select("word", "n").collect())       # bounded by the items' words and PER_DOCS / MIN_TERM_DOCS
+    names = sorted(own | held.keys())
     vocabulary = {w: k for k, w in enumerate(names)}
-    df, n = _term_documents(docs, vocabulary)
+    df = np.array([held.get(w, 0) for w in names], np.int64)
     idf = np.log((n + 1.0) / (df + 1.0)) + 1e-3
     ids = [[vocabulary[w] for w in p] for _, p in passages]
-    basis = _latent_space(sample, ids, vocabulary, idf)
+    basis = _latent_space(docs, n, ids, vocabulary, idf)
     term_vectors = np.vstack([basis * idf[:, None].astype(np.float32), np.zeros((1, basis.shape[1]), np.float32)])
     vectors = np.stack([term_vectors[x].sum(axis=0) for x in ids])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
@@ -341,23 +397,12 @@ def search_texts(index: Index, texts: list[list[str]]) -> list[list[tuple]]:
     none = len(index.term_vectors) - 1
     sizes = np.array([len(t) for t in texts])
     out: list[list[tuple]] = [[] for _ in texts]
-    full = np.flatnonzero(sizes)
-    if not len(full):
+    if not sizes.sum():
         return out
     flat = np.fromiter(map(index.vocabulary.get, chain.from_iterable(texts), repeat(none)), np.int64, sizes.sum())
     begin = np.cumsum(sizes) - sizes
-    blocks = -(-sizes[full] // STRIDE)
-    owner = np.repeat(full, blocks)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-    # one row of word ids per block, filled up with the word outside the vocabulary, whose vector is zero
-    padded = np.full(len(owner) * STRIDE, none)
-    lead = (np.cumsum(blocks) - blocks) * STRIDE
-    padded[np.repeat(lead - (np.cumsum(sizes[full]) - sizes[full]), sizes[full]) + np.arange(sizes.sum())] = flat
-    padded = padded.reshape(-1, STRIDE)
-    sums = np.concatenate([index.term_vectors[padded[k:k + 64]].sum(axis=1) for k in range(0, len(padded), 64)])
-    # a passage is a block and the one behind it; a text of one block is one passage
-    lead = np.flatnonzero((nth == 0) | (nth < np.repeat(blocks, blocks) - 1))
-    alone = np.repeat(blocks, blocks)[lead] == 1
+    padded, owner, nth, lead, alone = _blocks(flat, sizes, none)
+    sums = _block_sums(index.term_vectors, padded)
     vectors = sums[lead] + np.where(alone[:, None], 0, sums[np.minimum(lead + 1, len(sums) - 1)])
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors /= np.maximum(norm, 1e-12)
@@ -388,12 +433,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # the query set, in blocks of ITEMS_AT_ONCE
     bench = benchmark.select(F.col("item_id").cast("long"), "text").filter("item_id is not null and text is not null")
     blocks = max(1, -(-bench.count() // ITEMS_AT_ONCE))
+    counts = None
     for b in range(blocks):
         rows = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         items = [(r[0], words_of(r[1])) for r in rows]
         if not any(_item_passages(len(w)) for _, w in items):
             continue
-        index = spark.sparkContext.broadcast(build_index(texts, items))   # bounded by ITEMS_AT_ONCE and SAMPLE_DOCS
+        if counts is None:
+            counts = written(_word_documents(texts), "word-documents")
+        index = spark.sparkContext.broadcast(build_index(texts, items, counts))   # bounded by ITEMS_AT_ONCE and the terms
 
         def search(batches, index=index):
             for pdf in batches:

@@ -1,8 +1,10 @@
 """Language, toxicity and decontamination."""
 
 import itertools
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -257,6 +259,39 @@ def test_all_that_confirms_is_found_in_a_large_benchmark(spark, monkeypatch):
     assert all((d, d) in want for d in range(0, len(docs), 2))
 
 
+def test_the_latent_space_is_fitted_on_every_passage(spark):
+    """Terms, document frequencies and the space equal those of all documents
+    counted one by one; more documents than any sample held."""
+    rng = random.Random(5)
+    words = [f"v{i}" for i in range(60)]
+    texts = [[rng.choice(words[:8 + 4 * (i % 14)]) for _ in range(rng.choice([0, 3, 32, 33, 64, 65, 100]))] for i in range(2600)]
+    texts += [["late"] * 5 + rng.choices(words, k=40) for _ in range(12)] + [["later"]] * 14
+    docs = spark.createDataFrame([(i, " ".join(t) if t else None) for i, t in enumerate(texts)], "doc_id long, text string") \
+        .repartition(5)
+    items = [(1, rng.choices(words, k=30) + ["asked"]), (2, rng.choices(words, k=150))]
+    index = decontaminate.build_index(docs, items, decontaminate._word_documents(docs))
+    df = Counter(w for t in texts for w in set(t))
+    least = math.ceil(len(texts) * 5 / 1000)
+    assert least == 14 and "later" in index.vocabulary
+    assert set(index.vocabulary) == {w for w, n in df.items() if n >= least} | {w for _, x in items for w in x}
+    idf = {w: math.log((len(texts) + 1) / (df[w] + 1)) + 1e-3 for w in index.vocabulary}
+    gram = np.zeros((len(index.vocabulary),) * 2)
+    passages = [(1.0, t[a:b]) for t in texts for a, b in decontaminate._windows(len(t))]
+    passages += [(decontaminate.ITEM_WEIGHT ** 2 * len(texts) / 1000, x[a:b]) for _, t in items for c, d in decontaminate._item_passages(len(t))
+                 for x in [t[c:d]] for a, b in decontaminate._windows(len(x))]
+    for weight, p in passages:
+        v = np.zeros(len(gram))
+        for w, n in Counter(p).items():
+            if w in index.vocabulary:
+                v[index.vocabulary[w]] = n * idf[w]
+        if v.any():
+            gram += weight * np.outer(v, v) / (v @ v)
+    basis = index.term_vectors[:-1] / np.array([idf[w] for w in sorted(index.vocabulary)])[:, None]
+    # no more terms than directions: the space is the whole one, in order of the eigenvalues
+    assert np.allclose(basis.T @ basis, np.eye(len(gram)), atol=1e-3)
+    assert np.allclose(basis @ np.diag(np.linalg.eigvalsh(gram)[::-1]) @ basis.T, gram, rtol=1e-3, atol=1e-3 * gram.max())
+
+
 def test_smallest_tables(spark):
     for q in (op1_ordinal_toxicity, op8_crf_language, op10_lsa_decontamination):
         q(spark, SF_SMALL).collect()
