@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ingot.functions.rescue import RESCUE_COLUMN, entries_to_json, entry, escaped, json_to_entries, no_entries
 from ingot.functions.schemas import conform, loses, merge_schemas, merge_types, same_type
-from ingot.session import estimated_bytes, list_dir, metrics_of, path_exists
+from ingot.session import list_dir, metrics_of, path_exists
 
 PARTITION_COLUMN = "_ingestion_date"
 
@@ -300,7 +300,8 @@ def compact_partitions(spark: SparkSession, table_path: str, parts: list, partit
     unchanged. Returns the number of files written."""
     target = read_table(spark, table_path)
     rows = target.where(F.col(partition_col).isin(parts))
-    n = max(1, -(-estimated_bytes(rows) // target_file_bytes))
+    size = sum(n for p in parts for _, _, d, n in list_dir(spark, f"{table_path}/{partition_col}={p}") if not d)
+    n = max(1, -(-size // target_file_bytes))
     out = rows.repartitionByRange(n, F.col(partition_col), F.col(f"`{key}`")) \
         .sortWithinPartitions(partition_col, key)
     _replace_partitions(spark, table_path, partition_col, parts, out)
