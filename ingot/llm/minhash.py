@@ -16,8 +16,12 @@ A band's bucket may hold a great many near copies, so its members are first
 compared with the bucket's smallest document only (each document with its most
 similar such partner, then with the others that are still in another
 component). Members that are then still in different components of the
-bucket are compared pairwise, so no link between components is lost. Which
-links join two documents of one component does not matter to the result.
+bucket are compared pairwise, so no link between components is lost: first
+each with the few most similar ones of other components, then all that are
+still apart. Which links join two documents of one component does not matter to
+the result. Pairs of this step must also pass the parity of their sets' hashes in
+``ODD_BITS`` cells: cells that differ are never more than the sets' elements that
+do, so no pair is lost by it, and few go on that are not links.
 
 Cases: a null text, or one without words, has the empty set: no links, a
 component of its own; fewer than k words make one shingle of the whole
@@ -42,14 +46,15 @@ BANDS, ROWS, BITS = 40, 5, 4
 PERMS = BANDS * ROWS
 ESTIMATE_SLACK = 5.0
 BLOCK = 512
-BEST = 4                     # pairs of two components tried before all others
+BEST = 4                     # partners of a document in other components tried before all others
+ODD_BITS = 4096
 _rng = np.random.default_rng(20240229)
 _MUL = (_rng.integers(0, 1 << 32, PERMS, np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _rng.integers(0, 1 << 32, PERMS, np.uint64).astype(np.uint32)
 _BAND_SALT = _rng.integers(0, 1 << 63, BANDS, np.uint64)
 SIG_WORDS = -(-PERMS * BITS // 64)
 
-SIGNATURES = "doc_id long, n_shingles long, set_key binary, bands array<long>, sig array<long>"
+SIGNATURES = "doc_id long, n_shingles long, set_key binary, bands array<long>, sig array<long>, odd array<long>"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -99,6 +104,12 @@ def pack_low_bits(m: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(low.reshape(SIG_WORDS, per) << shifts, axis=1).view(np.int64)
 
 
+def odd_cells(hashes: np.ndarray) -> np.ndarray:
+    """The parity of the number of hashes in each of ODD_BITS cells."""
+    odd = np.bincount((hashes & np.uint64(ODD_BITS - 1)).astype(np.int64), minlength=ODD_BITS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def signatures(docs: DataFrame, k: int) -> DataFrame:
     def sign(batches):
         for pdf in batches:
@@ -108,10 +119,10 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 if len(s):
                     m = minima(s)
                     rows.append((d, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                                 band_keys(m), pack_low_bits(m)))
+                                 band_keys(m), pack_low_bits(m), odd_cells(s)))
                 else:
-                    rows.append((d, 0, None, None, None))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_key", "bands", "sig"]) \
+                    rows.append((d, 0, None, None, None, None))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_key", "bands", "sig", "odd"]) \
                 .astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(sign, SIGNATURES)
@@ -161,17 +172,17 @@ def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def _compare(batches, percent: int, best: int | None = None):
-    """Rows (unit, left, inner, id, c, n_shingles, sig) with the rows of a
+    """Rows (unit, left, inner, id, c, n_shingles, sig, odd) with the rows of a
     unit of work together: pairs ``(a, b)`` of different components that the
-    sizes and the packed signatures allow, or the ``best`` most similar of them
-    for two components. ``left`` says which of the unit's two blocks a row is
+    sizes, the packed signatures and the odd cells allow, or those among the
+    ``best`` most similar ones of one of the two. ``left`` says which of the unit's two blocks a row is
     of; ``inner`` marks a block against itself."""
     chance, least = 2.0 ** -BITS, lowest_estimate(percent / 100)
     step = np.uint64(sum(1 << (i * BITS) for i in range(64 // BITS)))
 
     def pairs_of(part: pd.DataFrame) -> pd.DataFrame:
         ids, comp, size = (part[x].to_numpy(np.int64) for x in ("id", "c", "n_shingles"))
-        sig = np.stack(part["sig"].to_numpy()).astype(np.int64).view(np.uint64)
+        sig, odd = (np.stack(part[x].to_numpy()).astype(np.int64).view(np.uint64) for x in ("sig", "odd"))
         left, inner = part["left"].to_numpy(bool), part["inner"].to_numpy(bool)
         out = []
         unit_no = part["unit"].to_numpy()
@@ -190,16 +201,21 @@ def _compare(batches, percent: int, best: int | None = None):
                         folded |= x >> np.uint64(k)
                     unequal = np.bitwise_count(folded & step).sum(axis=1).astype(np.int64)
                     est = ((1 - unequal / PERMS) - chance) / (1 - chance)
-                    near = est >= least
-                    found.append(np.stack((np.full(near.sum(), i), other[near], unequal[near])))
+                    other = other[est >= least]
+                    both = size[other] + size[i]
+                    differ = np.bitwise_count(odd[other] ^ odd[i]).sum(axis=1).astype(np.int64)
+                    # 100 * intersection >= percent * union, by the elements that differ
+                    near = differ * (100 + percent) <= both * (100 - percent)
+                    found.append(np.stack((np.full(near.sum(), i), other[near], differ[near] * 1_000_000 // both[near])))
             if found:
-                i, j, unequal = np.concatenate(found, axis=1)
+                i, j, differ = np.concatenate(found, axis=1)
                 if best is not None:
-                    lo, hi = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
-                    o = np.lexsort((unequal, hi, lo))
-                    head = np.concatenate(([True], (lo[o][1:] != lo[o][:-1]) | (hi[o][1:] != hi[o][:-1])))[:len(o)]
+                    end, pair = np.concatenate((i, j)), np.tile(np.arange(len(i)), 2)
+                    o = np.lexsort((np.tile(differ, 2), end))
+                    head = np.concatenate(([True], end[o][1:] != end[o][:-1]))[:len(o)]
                     nth = np.arange(len(o)) - np.maximum.accumulate(np.where(head, np.arange(len(o)), 0))
-                    i, j = i[o][nth < best], j[o][nth < best]
+                    chosen = np.unique(pair[o][nth < best])
+                    i, j = i[chosen], j[chosen]
                 out.append(np.stack((ids[i], ids[j])))
         a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
@@ -228,8 +244,8 @@ def _apart(placed: DataFrame, reps: DataFrame, percent: int, best: int | None) -
         .select("id", "c", (F.col("block") <= F.col("other")).alias("left"),
                 (F.col("block") == F.col("other")).alias("inner"),
                 F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("unit"))
-    work = rows.join(reps.select("id", "n_shingles", "sig"), "id").repartition("unit").sortWithinPartitions("unit", "id")
-    return work.select("unit", "left", "inner", "id", "c", "n_shingles", "sig") \
+    work = rows.join(reps.select("id", "n_shingles", "sig", "odd"), "id").repartition("unit").sortWithinPartitions("unit", "id")
+    return work.select("unit", "left", "inner", "id", "c", "n_shingles", "sig", "odd") \
         .mapInPandas(lambda b: _compare(b, percent, best), "a long, b long").distinct()
 
 
@@ -267,7 +283,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = written(signed.join(classes.select(F.col("rep").alias("doc_id"), F.col("set_key").alias("_k")),
                                "doc_id").filter(F.col("set_key") == F.col("_k"))
                    .dropDuplicates(["doc_id"])
-                   .select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sig"), "class-signatures")
+                   .select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sig", "odd"), "class-signatures")
 
     member = reps.select("id", F.explode("bands").alias("key"))
     shared = written(member.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n"))
@@ -287,7 +303,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     comp = components(links)
 
     # members of one bucket that are still apart, against each other: the most
-    # similar of two components first, then all that are left
+    # similar ones of each first, then all that are left
     tried = star.select("a", "b")
     for best in (BEST, None):
         placed = member.select("key", "id").join(comp.select(F.col("node").alias("id"), "component"), "id", "left") \

@@ -5,6 +5,7 @@ import itertools
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +159,31 @@ def test_table_recall_at_the_threshold():
     g /= np.linalg.norm(g, axis=1, keepdims=True)
     y = 0.95 * x + np.sqrt(1 - 0.95 ** 2) * g
     assert (embeddings.bucket_keys(x) == embeddings.bucket_keys(y)).any(axis=1).mean() > 0.995
+
+
+def test_near_copies_below_the_threshold_are_no_candidates():
+    """A unit of near copies: every link is a candidate, pairs well below the
+    threshold are not, and with ``best`` the count grows with the documents."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 400, np.uint64)
+    sets = []
+    for i in range(90):
+        s = base.copy()
+        change = 30 if i < 60 else 15            # similarity to each other about 0.75, and 0.86
+        s[rng.choice(len(s), change, replace=False)] = rng.integers(0, 1 << 63, change, np.uint64)
+        sets.append(np.unique(s))
+    rows = []
+    for i, s in enumerate(sets):
+        m = minhash.minima(s)
+        rows.append((7, True, True, i, i, len(s), minhash.pack_low_bits(m), minhash.odd_cells(s)))
+    unit = pd.DataFrame(rows, columns=["unit", "left", "inner", "id", "c", "n_shingles", "sig", "odd"])
+    similar = {(a, b): len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b]))
+               for a in range(90) for b in range(a + 1, 90)}
+    links = {p for p, x in similar.items() if x >= 0.8}
+    pairs = lambda best: {(r.a, r.b) for pdf in minhash._compare([unit], 80, best) for r in pdf.itertuples()}
+    got = pairs(None)
+    assert len(links) > 400 and links <= got
+    assert all(similar[p] > 0.77 for p in got)
+    few = pairs(minhash.BEST)
+    assert few < got and len(few) <= minhash.BEST * len(sets)
+    assert all(any(x in p for p in few) for x in {y for p in got for y in p})
