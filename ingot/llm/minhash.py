@@ -54,7 +54,7 @@ _ADD = _rng.integers(0, 1 << 32, PERMS, np.uint64).astype(np.uint32)
 _BAND_SALT = _rng.integers(0, 1 << 63, BANDS, np.uint64)
 SIG_WORDS = -(-PERMS * BITS // 64)
 
-SIGNATURES = "doc_id long, n_shingles long, set_key binary, bands array<long>, sig array<long>, odd array<long>"
+SIGNATURES = "doc_id long, n_shingles long, set_key binary, bands array<long>, sig array<long>"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -119,10 +119,10 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 if len(s):
                     m = minima(s)
                     rows.append((d, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                                 band_keys(m), pack_low_bits(m), odd_cells(s)))
+                                 band_keys(m), pack_low_bits(m)))
                 else:
-                    rows.append((d, 0, None, None, None, None))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_key", "bands", "sig", "odd"]) \
+                    rows.append((d, 0, None, None, None))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_key", "bands", "sig"]) \
                 .astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(sign, SIGNATURES)
@@ -131,10 +131,11 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     def sets(batches):
         for pdf in batches:
-            yield pd.DataFrame({"id": pdf["doc_id"],
-                                "hashes": [shingle_set(t, k).view(np.int64) for t in pdf["text"]]})
+            hashes = [shingle_set(t, k) for t in pdf["text"]]
+            yield pd.DataFrame({"id": pdf["doc_id"], "hashes": [x.view(np.int64) for x in hashes],
+                                "odd": [odd_cells(x) for x in hashes]})
 
-    return docs.mapInPandas(sets, "id long, hashes array<long>")
+    return docs.mapInPandas(sets, "id long, hashes array<long>, odd array<long>")
 
 
 def estimate(a: F.Column, b: F.Column) -> F.Column:
@@ -232,7 +233,7 @@ def _compare(batches, percent: int, best: int | None = None):
         yield pairs_of(held)
 
 
-def _apart(placed: DataFrame, reps: DataFrame, percent: int, best: int | None) -> DataFrame:
+def _apart(placed: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, best: int | None) -> DataFrame:
     """Plausible pairs ``(a, b)`` of different components within the buckets of
     ``placed(key, id, c, n)``. A bucket of more than ``BLOCK`` documents is cut
     into blocks and each pair of blocks is a unit of work of its own; only
@@ -244,7 +245,8 @@ def _apart(placed: DataFrame, reps: DataFrame, percent: int, best: int | None) -
         .select("id", "c", (F.col("block") <= F.col("other")).alias("left"),
                 (F.col("block") == F.col("other")).alias("inner"),
                 F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("unit"))
-    work = rows.join(reps.select("id", "n_shingles", "sig", "odd"), "id").repartition("unit").sortWithinPartitions("unit", "id")
+    described = reps.select("id", "n_shingles", "sig").join(sets.select("id", "odd"), "id")
+    work = rows.join(described, "id").repartition("unit").sortWithinPartitions("unit", "id")
     return work.select("unit", "left", "inner", "id", "c", "n_shingles", "sig", "odd") \
         .mapInPandas(lambda b: _compare(b, percent, best), "a long, b long").distinct()
 
@@ -283,7 +285,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = written(signed.join(classes.select(F.col("rep").alias("doc_id"), F.col("set_key").alias("_k")),
                                "doc_id").filter(F.col("set_key") == F.col("_k"))
                    .dropDuplicates(["doc_id"])
-                   .select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sig", "odd"), "class-signatures")
+                   .select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sig"), "class-signatures")
 
     member = reps.select("id", F.explode("bands").alias("key"))
     shared = written(member.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n"))
@@ -310,7 +312,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             .select("key", "id", F.coalesce("component", "id").alias("c"))
         split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")) \
             .filter("lo < hi").select("key", "n")
-        apart = _apart(written(placed.join(split, "key"), "split-buckets"), reps, percent, best)
+        apart = _apart(written(placed.join(split, "key"), "split-buckets"), reps, sets, percent, best)
         apart = written(apart.join(tried, ["a", "b"], "left_anti"), "candidates")
         links = links.union(written(_confirmed(apart, sets, percent), "links"))
         tried = tried.union(apart)
