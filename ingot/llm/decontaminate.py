@@ -43,11 +43,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from itertools import chain, repeat
+from collections import Counter, defaultdict
+from itertools import count, repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +63,11 @@ SURE, LIKELY, ANSWER = 0.75, 0.5, 0.7
 ANSWER_WORDS = 8
 ITEMS_AT_ONCE = 5000
 WORDS_AT_ONCE = 40_000
+WORDS_SUMMED = 160_000       # the same where rows are summed by term
+CHUNK_WORDS = 200_000        # words of a row of cut texts
+UNIT = 16                    # words that the inverted index takes together
+COMMON = 64                  # terms counted in a matrix instead of looked up one by one
+ROWS_AT_ONCE = 1000          # rows of a matrix handed on together
 WORDS_COUNTED = 200_000       # different words that a task counts before it hands them on
 PASSAGES_AT_ONCE = 512       # rows of the matrices of passages by items
 SEED = 17
@@ -73,12 +78,20 @@ _WORD_OR_SIGN = re.compile(rf"(?!_)\w(?:(?<=[{_UNSPACED}])|[^\W_{_UNSPACED}]*)")
 
 LEAKS = ("doc_id long, item_id long, cosine double, overlap double, answer_overlap double, "
          "first_word int, last_word int")
+_LEAKS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), ("overlap", pa.float64()),
+                    ("answer_overlap", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32())])
+
+
+#: Latin-1 with a space for all that is no letter or digit.
+_LATIN_WORDS = bytes(c if chr(c).isalnum() else 32 for c in range(256))
 
 
 def words_of(text: str | None) -> list[str]:
     text = (text or "").lower()
-    unspaced = not text.isascii() and _UNSPACED_ANY.search(text)
-    return (_WORD_OR_SIGN if unspaced else _WORD).findall(text)
+    try:
+        return text.encode("latin-1").translate(_LATIN_WORDS).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return (_WORD_OR_SIGN if _UNSPACED_ANY.search(text) else _WORD).findall(text)
 
 
 def _windows(n: int) -> list[tuple[int, int]]:
@@ -88,20 +101,124 @@ def _windows(n: int) -> list[tuple[int, int]]:
 
 # ---- corpus statistics and the latent space ------------------------------------
 
+CHUNKS = "n long, doc_ids array<long>, sizes binary, words string, ids binary, held binary"
+
+
+def _word_chunks(docs: DataFrame) -> DataFrame:
+    """The words of ``docs(doc_id, text)``, cut once for all that reads them:
+    ``CHUNKS``, one row per about ``CHUNK_WORDS`` words of a task. ``words``
+    are the row's different words, ``ids`` each word's number among them,
+    ``sizes`` the words of each of the ``n`` documents, ``held`` how many of
+    them hold each different word."""
+    def chunk(doc_ids, texts, number):
+        sizes = np.array([len(t) for t in texts], np.int32)
+        ids = np.concatenate(texts)
+        seen = np.repeat(np.arange(len(sizes)), sizes) * max(1, len(number)) + ids
+        seen.sort()
+        once = seen[np.flatnonzero(np.diff(seen, prepend=-1))] % max(1, len(number))
+        held = np.bincount(once, minlength=len(number)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([
+            pa.array([len(sizes)], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([sizes.tobytes()], pa.binary()),
+            pa.array([" ".join(number)], pa.string()), pa.array([ids.astype(_id_type(len(number))).tobytes()], pa.binary()),
+            pa.array([held.tobytes()], pa.binary())], ["n", "doc_ids", "sizes", "words", "ids", "held"])
+
+    def cut(batches):
+        doc_ids, texts, words, number = [], [], 0, defaultdict(count().__next__)
+        for batch in batches:
+            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = words_of(t)
+                doc_ids.append(d)
+                texts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+                words += len(found)
+                if words >= CHUNK_WORDS or len(texts) >= CHUNK_WORDS:
+                    yield chunk(doc_ids, texts, number)
+                    doc_ids, texts, words, number = [], [], 0, defaultdict(count().__next__)
+        if texts:
+            yield chunk(doc_ids, texts, number)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, CHUNKS)
+
+
+def _id_type(words: int) -> type:
+    return np.uint16 if words <= 1 << 16 else np.int32
+
+
+def _texts_of(batches, vocabulary: dict[str, int], at_once: int):
+    """``(doc_ids, ids, sizes)`` of the documents of ``CHUNKS`` rows, about
+    ``at_once`` words at a time: their words' ids in the vocabulary, those
+    outside of it its length, one text after the other."""
+    none = len(vocabulary)
+    for batch in batches:
+        for k in range(batch.num_rows):
+            words, ids, sizes = (batch.column(x)[k].as_py() for x in ("words", "ids", "sizes"))
+            words, sizes = words.split(), np.frombuffer(sizes, np.int32).astype(np.int64)
+            known = np.fromiter(map(vocabulary.get, words, repeat(none)), np.int32, len(words))
+            ids = np.frombuffer(ids, _id_type(len(words)))
+            doc_ids = batch.column("doc_ids")[k].as_py()
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            d = 0
+            while d < len(sizes):
+                to = max(d + 1, int(np.searchsorted(ends, ends[d] + at_once)))
+                yield doc_ids[d:to], known[ids[ends[d]:ends[min(to, len(sizes))]]], sizes[d:to]
+                d = to
+
+
 def _word_documents(docs: DataFrame) -> DataFrame:
     """``(word, n)``: how many of all documents hold each word."""
-    def count(batches):
-        seen: Counter[str] = Counter()
-        for pdf in batches:
-            for t in pdf["text"]:
-                seen.update(set(words_of(t)))
-                if len(seen) >= WORDS_COUNTED:
-                    yield pd.DataFrame({"word": [*seen], "n": [*seen.values()]})
-                    seen.clear()
-        if seen:
-            yield pd.DataFrame({"word": [*seen], "n": [*seen.values()]})
-
-    return docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return _words_held(_word_chunks(docs))
+
+
+def _counted(batches):
+    """``(words, counts, documents)`` of ``CHUNKS`` rows together, until they
+    have ``WORDS_COUNTED`` different words."""
+    number, counts, docs = defaultdict(count().__next__), np.zeros(0, np.int64), 0
+    for batch in batches:
+        for n, words, held in zip(*(batch.column(x).to_pylist() for x in ("n", "words", "held")), strict=True):
+            words = words.split()
+            at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            if len(number) > len(counts):
+                counts = np.concatenate((counts, np.zeros(len(number), np.int64)))
+            counts[at] += np.frombuffer(held, np.int32)          # a row's words are different
+            docs += n
+            if len(number) >= WORDS_COUNTED:
+                yield list(number), counts[:len(number)], docs
+                number, counts, docs = defaultdict(count().__next__), np.zeros(0, np.int64), 0
+    if number:
+        yield list(number), counts[:len(number)], docs
+
+
+def _words_held(chunks: DataFrame, only: set[str] | None = None) -> DataFrame:
+    """The same from ``CHUNKS`` rows; of the words ``only``, if they are given."""
+    def held(batches):
+        for words, counts, _ in _counted(batches):
+            at = range(len(words)) if only is None else [k for k, w in enumerate(words) if w in shared.value]
+            yield pa.RecordBatch.from_arrays([pa.array([words[k] for k in at], pa.string()), pa.array(counts[at], pa.int64())],
+                                             ["word", "n"])
+
+    shared = None if only is None else chunks.sparkSession.sparkContext.broadcast(only)
+    return chunks.select("n", "words", "held").mapInArrow(held, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _least_documents(n: int) -> int:
+    """Documents of ``n`` that a term which no item holds must be in."""
+    return max(MIN_TERM_DOCS, -(-n * MIN_TERM_DOCS // PER_DOCS))
+
+
+def _likely_terms(chunks: DataFrame, n: int) -> set[str]:
+    """All words that ``_least_documents`` of the ``n`` documents hold, and few
+    others. Only words that at least half that share of some documents counted
+    together hold are handed on; elsewhere a word is taken to be in half that
+    share, so what is collected are words of half of it at least."""
+    def frequent(batches):
+        for words, counts, docs in _counted(batches):
+            at = np.flatnonzero(2 * PER_DOCS * counts >= MIN_TERM_DOCS * docs)
+            yield pa.RecordBatch.from_arrays([pa.array([words[k] for k in at], pa.string()),
+                                              pa.array(2 * PER_DOCS * counts[at] - MIN_TERM_DOCS * docs, pa.int64())], ["word", "more"])
+
+    words = chunks.select("n", "words", "held").mapInArrow(frequent, "word string, more long") \
+        .groupBy("word").agg(F.sum("more").alias("more")) \
+        .filter(F.col("more") + MIN_TERM_DOCS * n >= 2 * PER_DOCS * _least_documents(n))
+    return {r[0] for r in words.select("word").collect()}
 
 
 def _blocks(ids: np.ndarray, sizes: np.ndarray, none: int):
@@ -122,8 +239,54 @@ def _blocks(ids: np.ndarray, sizes: np.ndarray, none: int):
     return padded.reshape(-1, STRIDE), owner, nth, lead, np.repeat(blocks, blocks)[lead] == 1
 
 
-def _block_sums(rows: np.ndarray, padded: np.ndarray) -> np.ndarray:
-    return np.concatenate([rows[padded[k:k + 64]].sum(axis=1) for k in range(0, len(padded), 64)])
+class _Words:
+    """The words of blocks for sums over them: how often each of the
+    ``common`` terms stands in each block, as a matrix, and the other terms of
+    a block before its places without one."""
+
+    def __init__(self, padded: np.ndarray, common: np.ndarray, none: int):
+        place = np.full(none + 1, -1, np.int32)
+        place[common] = np.arange(len(common))
+        at = place[padded]
+        row, col = np.nonzero(at >= 0)
+        self.common, self.none = common, none
+        self.counts = np.bincount(row * len(common) + at[row, col], minlength=len(padded) * len(common)) \
+            .astype(np.float32).reshape(len(padded), -1)
+        self.rest = np.where(at >= 0, np.array(none, padded.dtype), padded)
+        self.rest.sort(axis=1)              # ``none`` is the last id
+        self.width = (self.rest != none).sum(axis=1)
+
+    def sums(self, rows: np.ndarray) -> np.ndarray:
+        """Per block the sum of its words' ``rows``."""
+        out = self.counts @ rows[self.common]
+        order = np.argsort(self.width, kind="stable")
+        for k in range(0, len(order), 64):
+            x = order[k:k + 64]
+            if w := self.width[x[-1]]:
+                out[x] += rows.take(self.rest[x, :w], axis=0, mode="clip").sum(axis=1)
+        return out
+
+    def add_by_term(self, out: np.ndarray, block_rows: np.ndarray) -> None:
+        """Adds to each term's row of ``out`` the rows of the blocks it stands
+        in, as often as it does; terms of one count together."""
+        out[self.common] += self.counts.T @ block_rows
+        block = np.repeat(np.arange(len(self.rest)), self.width)
+        ids = self.rest[self.rest != self.none].astype(_id_type(self.none))
+        order = np.argsort(ids, kind="stable")
+        ids, block = ids[order], block[order]
+        first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))[:len(ids)]
+        count = np.diff(first, append=len(ids))
+        for n in np.unique(count).tolist():
+            of = first[count == n]
+            step = max(1, 2048 // n)
+            for k in range(0, len(of), step):
+                x = of[k:k + step]
+                out[ids[x]] += block_rows.take(block[x[:, None] + np.arange(n)], axis=0, mode="clip").sum(axis=1)
+
+
+def _common_terms(df: np.ndarray) -> np.ndarray:
+    """The terms that most documents hold, at most ``COMMON``."""
+    return np.sort(np.argsort(-df, kind="stable")[:COMMON])
 
 
 def _passage_norms(padded: np.ndarray, lead: np.ndarray, alone: np.ndarray, idf: np.ndarray, none: int) -> np.ndarray:
@@ -138,100 +301,100 @@ def _passage_norms(padded: np.ndarray, lead: np.ndarray, alone: np.ndarray, idf:
     return np.bincount(at // words.shape[1], (tf * idf[words.ravel()[at]]) ** 2, len(lead))
 
 
-def _add_by_term(out: np.ndarray, padded: np.ndarray, block_rows: np.ndarray, none: int) -> None:
-    """Adds to each term's row of ``out`` the rows of the blocks it stands in,
-    as often as it does; terms of one count together."""
-    ids = padded.ravel()
-    order = np.argsort(ids, kind="stable")
-    order = order[:np.searchsorted(ids, none, sorter=order)]       # ``none`` is the last id
-    ids, block = ids[order], order // padded.shape[1]
-    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))[:len(ids)]
-    count = np.diff(first, append=len(ids))
-    for n in np.unique(count).tolist():
-        of = first[count == n]
-        step = max(1, 2048 // n)
-        for k in range(0, len(of), step):
-            x = of[k:k + step]
-            out[ids[x]] += block_rows[block[x[:, None] + np.arange(n)]].sum(axis=1)
-
-
-def _times_gram(out: np.ndarray, texts: list[np.ndarray], idf: np.ndarray, basis: np.ndarray, weight: float = 1.0) -> None:
-    """Adds to ``out`` the sum, over the passages a of texts given as term ids, of
-    ``weight`` a a^T basis; a is a unit TF-IDF vector. The last row of ``out``,
-    ``idf`` and ``basis`` is for words outside the vocabulary, and zero in the
-    latter two."""
+def _passages(ids: np.ndarray, sizes: np.ndarray, weighted: np.ndarray, idf: np.ndarray, common: np.ndarray,
+              weight: float):
+    """The passages of texts given as term ids, as unit TF-IDF vectors times a
+    matrix of which ``weighted`` is ``idf`` times the rows: ``(words, lead,
+    alone, rows, scale)``; ``rows`` are not scaled yet, ``scale`` is ``weight``
+    over the squared lengths. The last rows of ``weighted`` and ``idf`` are for
+    words outside the vocabulary, and zero."""
     none = len(idf) - 1
-    sizes = np.array([len(t) for t in texts])
-    if not sizes.sum():
-        return
-    padded, _, _, lead, alone = _blocks(np.concatenate(texts), sizes, none)
+    padded, _, _, lead, alone = _blocks(ids, sizes, none)
     norm = _passage_norms(padded, lead, alone, idf, none)
-    sums = _block_sums(basis * idf[:, None].astype(basis.dtype), padded)
-    both = lead[~alone]
+    words = _Words(padded, common, none)
+    sums = words.sums(weighted)
     rows = sums[lead]
-    rows[~alone] += sums[both + 1]
-    rows *= np.divide(weight, norm, out=np.zeros_like(norm), where=norm > 0)[:, None].astype(rows.dtype)
+    rows[~alone] += sums[lead[~alone] + 1]
+    return words, lead, alone, rows, np.divide(weight, norm, out=np.zeros_like(norm), where=norm > 0)[:, None].astype(rows.dtype)
+
+
+def _times_gram(out: np.ndarray, ids: np.ndarray, sizes: np.ndarray, weighted: np.ndarray, idf: np.ndarray,
+                common: np.ndarray, weight: float = 1.0) -> None:
+    """Adds to ``out``, which is to be multiplied by ``idf`` at the end, the sum
+    over the passages a of ``weight`` a a^T basis."""
+    if not sizes.sum():
+        return
+    words, lead, alone, rows, scale = _passages(ids, sizes, weighted, idf, common, weight)
+    rows *= scale
     # a block is in the passage it begins and in the one that the block before it begins
-    by_block = np.zeros_like(sums)
+    by_block = np.zeros((len(words.rest), rows.shape[1]), rows.dtype)
     by_block[lead] = rows
-    by_block[both + 1] += rows[~alone]
-    held = np.zeros_like(basis)
-    _add_by_term(held, padded, by_block, none)
-    out += held * idf[:, None]
+    by_block[lead[~alone] + 1] += rows[~alone]
+    words.add_by_term(out, by_block)
+
+
+def _gram_within(out: np.ndarray, ids: np.ndarray, sizes: np.ndarray, weighted: np.ndarray, idf: np.ndarray,
+                 common: np.ndarray, weight: float = 1.0) -> None:
+    """Adds to ``out`` the sum over the passages a of ``weight`` (a^T basis)^T (a^T basis)."""
+    if sizes.sum():
+        _, _, _, rows, scale = _passages(ids, sizes, weighted, idf, common, weight)
+        out += rows.T @ (rows * scale)
 
 
-def _latent_space(docs: DataFrame, n: int, items: list[list[int]], vocabulary: dict[str, int],
-                  idf: np.ndarray) -> np.ndarray:
+def _latent_space(chunks: DataFrame, n: int, items: list[list[int]], vocabulary: dict[str, int],
+                  idf: np.ndarray, df: np.ndarray) -> np.ndarray:
     """Terms x RANK basis of the leading right singular vectors, over the
-    passages of all ``n`` documents and the items'."""
-    sc = docs.sparkSession.sparkContext
-    none = len(idf)
+    passages of all ``n`` documents and the items'. The first pass over all
+    passages finds the directions, the second their product with them."""
+    sc = chunks.sparkSession.sparkContext
     weights = np.append(idf, 0.0)
-    voc = sc.broadcast((vocabulary, weights))
+    common = _common_terms(df)
+    voc = sc.broadcast((vocabulary, weights, common))
     width = min(RANK + OVERSAMPLE, len(idf))
     item_weight = ITEM_WEIGHT ** 2 * max(1.0, n / PER_DOCS)
+    own = np.array([w for x in items for w in x], np.int32), np.array([len(x) for x in items])
 
-    def product(basis: np.ndarray) -> np.ndarray:
-        padded = np.vstack([basis, np.zeros((1, width))]).astype(np.float32)
-        shared = sc.broadcast(padded)
+    def summed(kernel, basis: np.ndarray, height: int, dtype: type) -> np.ndarray:
+        """The sum of ``kernel``, height x width, over all passages."""
+        weighted = np.vstack([basis * idf[:, None], np.zeros((1, width))]).astype(np.float32)
+        shared = sc.broadcast(weighted)
 
         def partial(batches):
-            v, w = voc.value
-            acc = np.zeros(shared.value.shape)
-            for pdf in batches:
-                held, n = [], 0
-                for t in pdf["text"]:
-                    held.append(np.fromiter(map(v.get, words := words_of(t), repeat(none)), np.int32, len(words)))
-                    n += len(words)
-                    if n >= WORDS_AT_ONCE:
-                        _times_gram(acc, held, w, shared.value)
-                        held, n = [], 0
-                _times_gram(acc, held, w, shared.value)
-            at = np.flatnonzero(np.abs(acc).sum(axis=1))
-            yield pd.DataFrame({"term": at, "row": [x.tobytes() for x in acc[at].astype(np.float32)]})
+            v, w, c = voc.value
+            acc = np.zeros((height, width), dtype)
+            for _, ids, sizes in _texts_of(batches, v, WORDS_SUMMED):
+                kernel(acc, ids, sizes, shared.value, w, c)
+            at = np.flatnonzero(acc.any(axis=1))
+            for k in range(0, len(at), ROWS_AT_ONCE):
+                yield pa.RecordBatch.from_arrays([pa.array(at[k:k + ROWS_AT_ONCE], pa.int64()), pa.array(
+                    [x.tobytes() for x in acc[at[k:k + ROWS_AT_ONCE]]], pa.binary())], ["term", "row"])
 
         def total(batches):
             acc: dict[int, np.ndarray] = {}
-            for pdf in batches:
-                for term, row in zip(pdf["term"], pdf["row"], strict=True):
-                    x = np.frombuffer(row, np.float32)
-                    acc[term] = acc[term] + x if term in acc else x.astype(float)
-            yield pd.DataFrame({"term": list(acc), "row": [x.tobytes() for x in acc.values()]}) \
-                .astype({"term": "int64"})
+            for batch in batches:
+                for term, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    x = np.frombuffer(row, dtype)
+                    if term in acc:
+                        acc[term] += x
+                    else:
+                        acc[term] = x.astype(float)
+            yield pa.RecordBatch.from_arrays([pa.array(list(acc), pa.int64()),
+                                              pa.array([x.tobytes() for x in acc.values()], pa.binary())], ["term", "row"])
 
         schema = "term long, row binary"
-        parts = docs.select("text").mapInPandas(partial, schema).repartition("term").mapInPandas(total, schema)
-        out = np.zeros((len(weights), width))
-        _times_gram(out, [np.array(x, np.int32) for x in items], weights, padded, item_weight)
-        for term, row in parts.collect():       # terms x width, whatever the corpus
+        parts = chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(partial, schema) \
+            .repartition("term").mapInArrow(total, schema)
+        out = np.zeros((height, width))
+        kernel(out, *own, weighted, weights, common, item_weight)
+        for term, row in parts.collect():       # height x width, whatever the corpus
             out[term] += np.frombuffer(row)
         shared.destroy()
-        return out[:-1]
+        return out
 
     rng = np.random.default_rng(SEED)
     basis = np.linalg.qr(rng.standard_normal((len(idf), width)))[0]
-    basis = np.linalg.qr(product(basis))[0]
-    gram = basis.T @ product(basis)             # (A basis)^T (A basis)
+    basis = np.linalg.qr(summed(_times_gram, basis, len(weights), np.float32)[:-1] * idf[:, None])[0]
+    gram = summed(_gram_within, basis, width, np.float64)             # (A basis)^T (A basis)
     voc.destroy()
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     return (basis @ vectors[:, np.argsort(-values)[:RANK]]).astype(np.float32)
@@ -244,35 +407,46 @@ class Index:
     def __init__(self, vocabulary, term_vectors, items, vectors, df):
         self.vocabulary, self.term_vectors = vocabulary, term_vectors
         self.items, self.vectors = items, vectors     # [(item_id, word ids)], unit rows
-        self.first, self.held_by, self.places, self.least = _rare_words([x for _, x in items], df)
-
-
-def _rare_words(items: list[list[int]], df: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Inverted index of the items' rarest words: where a word's entries begin,
-    the items they name, how many places of the item the word takes; and per
-    item the least number of its indexed places that a leak must hold.
-
-    A confirmed stretch lacks at most ``m - ceil(LIKELY * m)`` of an item's m
-    places, none of a short item's, so it holds all but that many of any
-    choice of places."""
-    rows, least = [], []
+        self.common = _common_terms(df)
+        self.first, self.held_by, self.places, self.often, self.least = _item_words([x for _, x in items], self.common, len(df))
+        self.bit = np.zeros(len(df) + 1, np.uint64)          # a common word's bit
+        self.bit[self.common] = np.uint64(1) << np.arange(len(self.common), dtype=np.uint64)
+        self.kinds = [frozenset(x) for _, x in items]
+        # units that a stretch of words to be confirmed can touch
+        self.units = np.array([-(-(_stretch(len(x)) - 1) // UNIT) + 1 for _, x in items])
+
+
+def _item_words(items: list[list[int]], common: np.ndarray, terms: int):
+    """Inverted index of the items' words that are not ``common``: where a
+    word's entries begin, the items they name, how many places of the item the
+    word takes. Items x common words: the places these take. Per item the
+    places that a leak must hold: a confirmed stretch lacks at most ``m -
+    ceil(LIKELY * m)`` of an item's m places, none of a short item's."""
+    rows, often, least = [], np.zeros((len(items), len(common)), np.int16), []
+    at = {w: k for k, w in enumerate(common.tolist())}
     for q, item in enumerate(items):
-        lacking = len(item) - math.ceil(LIKELY * len(item)) if len(item) >= SHORTEST_ITEM else 0
-        rare = sorted(item, key=lambda w: (df[w], w))[:lacking + max(3, len(item) // 4)]
-        least.append(len(rare) - lacking)
-        rows += [(w, q, n) for w, n in Counter(rare).items()]
+        least.append(math.ceil(LIKELY * len(item)) if len(item) >= SHORTEST_ITEM else len(item))
+        for w, n in Counter(item).items():
+            if w in at:
+                often[q, at[w]] = n
+            else:
+                rows.append((w, q, n))
     rows = np.array(sorted(rows), np.int64).reshape(-1, 3)
     # one more word, outside the vocabulary, that no item holds
-    first = np.searchsorted(rows[:, 0], np.arange(len(df) + 2))
-    return first, rows[:, 1], rows[:, 2].astype(np.float32), np.array(least, np.float32)
+    first = np.searchsorted(rows[:, 0], np.arange(terms + 2))
+    return first, rows[:, 1], rows[:, 2].astype(np.float32), often, np.array(least, np.int16)
 
 
-def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: DataFrame) -> Index:
-    """``counts``: ``_word_documents`` of the documents."""
+def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: DataFrame,
+                chunks: DataFrame | None = None) -> Index:
+    """``counts``: ``_word_documents`` of the documents, at least for the
+    items' words and ``_likely_terms``; ``chunks``: their ``_word_chunks``, if
+    they are written already."""
     passages = [(i, w[a:b]) for i, w in items for a, b in _item_passages(len(w))]
     own = {w for _, p in passages for w in p}
     n = docs.count()
-    least = max(MIN_TERM_DOCS, -(-n * MIN_TERM_DOCS // PER_DOCS))
+    chunks = written(_word_chunks(docs), "word-chunks") if chunks is None else chunks
+    least = _least_documents(n)
     asked = docs.sparkSession.createDataFrame([(w,) for w in sorted(own)], "word string").withColumn("own", F.lit(True))
     held = dict(counts.join(F.broadcast(asked), "word", "left").filter((F.col("n") >= least) | F.col("own"))
                 .select("word", "n").collect())       # bounded by the items' words and PER_DOCS / MIN_TERM_DOCS
@@ -281,7 +455,7 @@ def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: Dat
     df = np.array([held.get(w, 0) for w in names], np.int64)
     idf = np.log((n + 1.0) / (df + 1.0)) + 1e-3
     ids = [[vocabulary[w] for w in p] for _, p in passages]
-    basis = _latent_space(docs, n, ids, vocabulary, idf)
+    basis = _latent_space(chunks, n, ids, vocabulary, idf, df)
     term_vectors = np.vstack([basis * idf[:, None].astype(np.float32), np.zeros((1, basis.shape[1]), np.float32)])
     vectors = np.stack([term_vectors[x].sum(axis=0) for x in ids])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
@@ -310,11 +484,9 @@ def _masks(item: list[int]) -> dict[int, int]:
 def _subsequence(masks: dict[int, int], size: int, words) -> int:
     full = (1 << size) - 1
     s = full
-    for w in words:
-        m = masks.get(w)
-        if m:
-            u = s & m
-            s = ((s + u) | (s - u)) & full
+    for m in filter(None, map(masks.get, words)):
+        u = s & m
+        s = ((s + u) | (s - u)) & full
     return size - s.bit_count()
 
 
@@ -323,6 +495,11 @@ def common_subsequence(item: list[int], words) -> int:
     return _subsequence(_masks(item), len(item), words)
 
 
+def _stretch(m: int) -> int:
+    """Words of the stretches compared with an item of ``m`` words."""
+    return m + max(4, m // 4) if m >= SHORTEST_ITEM else m
+
+
 def confirm(item: list[int], words: list[int], first: int, last: int,
             kinds: frozenset | None = None) -> tuple[float, float, int, int] | None:
     """The best stretch of ``words[first:last]`` against an item: overlap,
@@ -339,7 +516,7 @@ def confirm(item: list[int], words: list[int], first: int, last: int,
         return None
     if sum(w in there for w in item) < LIKELY * m:
         return None
-    span = m + max(4, m // 4)
+    span = _stretch(m)
     tail = item[-min(ANSWER_WORDS, max(1, m // 2)):]
     masks, tail_masks = _masks(item), _masks(tail)
     if _subsequence(masks, m, words[first:last]) < LIKELY * m:
@@ -357,65 +534,107 @@ def confirm(item: list[int], words: list[int], first: int, last: int,
     return best
 
 
-def _shared_places(index: Index, blocks: np.ndarray) -> np.ndarray:
-    """Blocks x items: how many indexed places of each item a block's
-    different words take."""
-    words = np.sort(blocks, axis=1)
+def _places_held(index: Index, units: np.ndarray) -> np.ndarray:
+    """Units x items: how many places of each item the different words of the
+    units take that a stretch beginning in the unit can touch, without the
+    common words."""
+    words = np.sort(units, axis=1)
     new = np.ones(words.shape, bool)
     new[:, 1:] = words[:, 1:] != words[:, :-1]
-    n = np.where(new, (index.first[1:] - index.first[:-1])[words], 0)
-    row, col = np.nonzero(n)
-    n, begin = n[row, col], index.first[words[row, col]]
+    row, col = np.nonzero(np.where(new, (index.first[1:] - index.first[:-1])[words], 0))
+    word = words[row, col]
+    order = np.argsort(word, kind="stable")
+    row, word = row[order], word[order]
+    # a word counts where the unit before that has it lies outside
+    after = np.zeros(len(row), np.int64)
+    after[1:] = np.where(word[1:] == word[:-1], row[:-1] + 1, 0)
+    n, begin = (index.first[1:] - index.first[:-1])[word], index.first[word]
     at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    cell = np.repeat(row, n) * len(index.items) + index.held_by[at]
-    return np.bincount(cell, index.places[at], len(blocks) * len(index.items)) \
-        .astype(np.float32).reshape(len(blocks), -1)
+    item, row = index.held_by[at], np.repeat(row, n)
+    first = np.maximum(np.repeat(after, n), row - index.units[item] + 1)
+    size = (len(units) + 1) * len(index.items)
+    change = np.bincount(first * len(index.items) + item, index.places[at], size)
+    change -= np.bincount((row + 1) * len(index.items) + item, index.places[at], size)
+    return np.cumsum(change.astype(np.int16).reshape(len(units) + 1, -1), axis=0, dtype=np.int16)
+
+
+def _holding(index: Index, padded: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Blocks ``low`` to ``high`` x items: whether a stretch that begins in the
+    block can hold enough of the item's places. Words of the next document
+    behind the block's count too, so none is missed."""
+    per = STRIDE // UNIT
+    longest = int(index.units.max())
+    units = padded[low:high + -(-longest // per)].reshape(-1, UNIT)
+    begins = (high - low) * per
+    places = _places_held(index, units)[:begins]
+    there = np.zeros(begins + longest, np.uint64)            # the common words of each unit
+    there[:len(units)] = np.bitwise_or.reduce(index.bit[units], axis=1)[:len(there)]
+    most = index.least - index.often.sum(axis=1, dtype=np.int16)
+    out = np.zeros((begins, len(index.items)), bool)
+    seen = np.zeros(begins, np.uint64)
+    for n in range(1, longest + 1):
+        seen |= there[n - 1:n - 1 + begins]
+        of = np.flatnonzero(index.units == n)
+        if not len(of):
+            continue
+        own = places if len(of) == len(index.items) else places[:, of]
+        row, col = np.divmod(np.flatnonzero(own >= most[of]), len(of))
+        # with the common words that are there, each once
+        for k in range(0, len(row), 1 << 16):
+            r, c = row[k:k + (1 << 16)], col[k:k + (1 << 16)]
+            bits = np.unpackbits(seen[r].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :index.often.shape[1]]
+            also = np.einsum("ij,ij->i", bits, index.often[of[c]])
+            good = own[r, c] + also >= index.least[of[c]]
+            out[r[good], of[c[good]]] = True
+    return out.reshape(high - low, per, -1).any(axis=1)
 
 
 def _candidates(index: Index, padded: np.ndarray, owner: np.ndarray, lead: np.ndarray, vectors: np.ndarray):
-    """``(passage, item's passage, cosine)`` of all candidates."""
+    """``(passage, item's passage, cosine)`` of the candidates that hold enough
+    of the item's words for a confirmation."""
     for a in range(0, len(lead), PASSAGES_AT_ONCE):
         at = lead[a:a + PASSAGES_AT_ONCE]
         cosine = vectors[a:a + PASSAGES_AT_ONCE] @ index.vectors.T
         # confirm looks at a passage, two blocks, and up to one block on either side
-        low = max(0, int(at[0]) - 1)
-        own = owner[low:int(at[-1]) + 3]
-        places = _shared_places(index, padded[low:int(at[-1]) + 3])
-        held = np.zeros_like(cosine)
+        low, high = max(0, int(at[0]) - 1), min(len(owner), int(at[-1]) + 3)
+        holding = _holding(index, padded, low, high)
+        held = np.zeros(cosine.shape, bool)
         for step in (-1, 0, 1, 2):
             b = at + step - low
-            inside = np.flatnonzero((b >= 0) & (b < len(own)))
-            inside = inside[own[b[inside]] == owner[at[inside]]]
-            held[inside] += places[b[inside]]
-        for p, q in zip(*(x.tolist() for x in np.nonzero((cosine >= MIN_COSINE) | (held >= index.least))), strict=True):
-            yield a + p, q, float(cosine[p, q])
-
-
-def search_texts(index: Index, texts: list[list[str]]) -> list[list[tuple]]:
-    """Leaks of each text: ``(item_id, cosine, overlap, answer overlap, first
-    word, last word)``, the best per item."""
+            inside = np.flatnonzero((b >= 0) & (b < high - low))
+            inside = inside[owner[b[inside] + low] == owner[at[inside]]]
+            held[inside] |= holding[b[inside]]
+        p, q = np.divmod(np.flatnonzero((cosine >= MIN_COSINE) | held), len(index.items))
+        enough = held[p, q]
+        p, q = p[enough], q[enough]
+        yield from zip((a + p).tolist(), q.tolist(), cosine[p, q].tolist(), strict=True)
+
+
+def search_texts(index: Index, flat: np.ndarray, sizes: np.ndarray) -> list[list[tuple]]:
+    """Leaks of each of the texts of ``sizes`` words, their words' ids joined:
+    ``(item_id, cosine, overlap, answer overlap, first word, last word)``, the
+    best per item."""
     none = len(index.term_vectors) - 1
-    sizes = np.array([len(t) for t in texts])
-    out: list[list[tuple]] = [[] for _ in texts]
+    out: list[list[tuple]] = [[] for _ in sizes]
     if not sizes.sum():
         return out
-    flat = np.fromiter(map(index.vocabulary.get, chain.from_iterable(texts), repeat(none)), np.int64, sizes.sum())
     begin = np.cumsum(sizes) - sizes
     padded, owner, nth, lead, alone = _blocks(flat, sizes, none)
-    sums = _block_sums(index.term_vectors, padded)
-    vectors = sums[lead] + np.where(alone[:, None], 0, sums[np.minimum(lead + 1, len(sums) - 1)])
+    sums = _Words(padded, index.common, none).sums(index.term_vectors)
+    vectors = sums[lead]
+    vectors[~alone] += sums[lead[~alone] + 1]
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors /= np.maximum(norm, 1e-12)
     hits: dict[tuple[int, int], tuple] = {}
     ids: dict[int, list[int]] = {}
-    kinds = [frozenset(x) for _, x in index.items]
     for p, q, cosine in _candidates(index, padded, owner, lead, vectors):
         d, k = int(owner[lead[p]]), int(nth[lead[p]])
         if d not in ids:
             ids[d] = flat[begin[d]:begin[d] + sizes[d]].tolist()
         item, words = index.items[q]
         extra = len(words) // 2
-        found = confirm(words, ids[d], max(0, k * STRIDE - extra), min(len(ids[d]), k * STRIDE + WINDOW + extra), kinds[q])
+        found = confirm(words, ids[d], max(0, k * STRIDE - extra), min(len(ids[d]), k * STRIDE + WINDOW + extra),
+                        index.kinds[q])
         if found and found[0] > hits.get((d, item), (0.0, -1.0))[1]:
             hits[d, item] = (cosine, *found)
     for (d, item), found in sorted(hits.items()):
@@ -433,32 +652,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # the query set, in blocks of ITEMS_AT_ONCE
     bench = benchmark.select(F.col("item_id").cast("long"), "text").filter("item_id is not null and text is not null")
     blocks = max(1, -(-bench.count() // ITEMS_AT_ONCE))
-    counts = None
+    chunks = likely = None
     for b in range(blocks):
         rows = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         items = [(r[0], words_of(r[1])) for r in rows]
         if not any(_item_passages(len(w)) for _, w in items):
             continue
-        if counts is None:
-            counts = written(_word_documents(texts), "word-documents")
-        index = spark.sparkContext.broadcast(build_index(texts, items, counts))   # bounded by ITEMS_AT_ONCE and the terms
+        if chunks is None:
+            chunks = written(_word_chunks(texts), "word-chunks")
+            likely = _likely_terms(chunks, texts.count())
+        counts = _words_held(chunks, likely | {w for _, x in items for w in x})
+        index = spark.sparkContext.broadcast(build_index(texts, items, counts, chunks))   # bounded by ITEMS_AT_ONCE and the terms
 
         def search(batches, index=index):
-            for pdf in batches:
-                rows, held, n = [], [], 0
-                for d, t in [*zip(pdf["doc_id"], pdf["text"], strict=True), (None, None)]:
-                    if t is not None:
-                        held.append((d, words_of(t)))
-                        n += len(held[-1][1])
-                    if held and (t is None or n >= WORDS_AT_ONCE):
-                        found = search_texts(index.value, [w for _, w in held])
-                        rows += [(d, *x) for (d, _), f in zip(held, found, strict=True) for x in f]
-                        held, n = [], 0
+            for doc_ids, ids, sizes in _texts_of(batches, index.value.vocabulary, WORDS_AT_ONCE):
+                rows = [(d, *x) for d, f in zip(doc_ids, search_texts(index.value, ids, sizes), strict=True) for x in f]
                 if rows:
-                    yield pd.DataFrame(rows, columns=["doc_id", "item_id", "cosine", "overlap", "answer_overlap",
-                                                      "first_word", "last_word"]).astype({"doc_id": "Int64"})
+                    yield pa.RecordBatch.from_pylist([dict(zip(_LEAKS.names, r, strict=True)) for r in rows], _LEAKS)
 
-        out = out.unionByName(written(texts.mapInPandas(search, LEAKS), "found-leaks"))
+        out = out.unionByName(written(chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(search, LEAKS), "found-leaks"))
         index.destroy()
     return out
 

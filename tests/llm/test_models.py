@@ -295,3 +295,52 @@ def test_the_latent_space_is_fitted_on_every_passage(spark):
 def test_smallest_tables(spark):
     for q in (op1_ordinal_toxicity, op8_crf_language, op10_lsa_decontamination):
         q(spark, SF_SMALL).collect()
+
+
+def test_words_are_cut_once_and_counted_like_texts(spark, monkeypatch):
+    """Cut texts give back every document's words; the likely terms hold all
+    that enough documents do, though the rows counted together are few."""
+    monkeypatch.setattr(decontaminate, "CHUNK_WORDS", 500)
+    monkeypatch.setattr(decontaminate, "WORDS_COUNTED", 40)
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(90)] + ["ä", "日"]
+    texts = [None, "", "--"] + [" ".join(rng.choices(words[:4 + i % 88], k=rng.choice([1, 30, 200]))) for i in range(1200)] + ["rare"] * 5
+    docs = spark.createDataFrame([(None if i == 7 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    chunks = decontaminate._word_chunks(docs)
+    vocabulary = {w: k for k, w in enumerate([*words, "rare"])}
+    got = []
+    for batch in chunks.toArrow().to_batches():
+        for ids, flat, sizes in decontaminate._texts_of([batch], vocabulary, 300):
+            got += zip(ids, map(tuple, np.split(flat, np.cumsum(sizes)[:-1])), strict=True)
+    assert sorted(got, key=repr) == sorted(((None if i == 7 else i, tuple(vocabulary[w] for w in decontaminate.words_of(t)))
+                                            for i, t in enumerate(texts)), key=repr)
+    held = Counter(w for t in texts for w in set(decontaminate.words_of(t)))
+    assert {r.word: r.n for r in decontaminate._words_held(chunks).collect()} == held
+    assert {r.word: r.n for r in decontaminate._words_held(chunks, {"w3", "rare"}).collect()} == {w: held[w] for w in ("w3", "rare")}
+    likely = decontaminate._likely_terms(chunks, len(texts))
+    assert {w for w, n in held.items() if n >= decontaminate._least_documents(len(texts))} <= likely <= set(held)
+    assert "rare" not in likely
+
+
+def test_a_stretch_of_enough_words_is_always_held():
+    """No passage that would be confirmed fails the condition on its words;
+    words that come again and again count once."""
+    rng = random.Random(8)
+    terms = 120
+    draw = lambda n: [min(int(rng.expovariate(0.05)), terms) for _ in range(n)]
+    items = [[min(w, terms - 1) for w in draw(rng.choice([4, 7, 8, 20, 45, 64]))] for _ in range(25)]
+    index = decontaminate.Index({}, np.zeros((terms + 1, 2), np.float32), list(enumerate(items)), np.zeros((len(items), 2), np.float32),
+                                np.arange(terms)[::-1])
+    texts = [draw(n) for n in (0, 3, 32, 33, 64, 65, 300, 500)] + [draw(40) + x + draw(70) for x in items] + [[0] * 200]
+    ids, sizes = np.array([w for t in texts for w in t]), np.array([len(t) for t in texts])
+    padded, owner, nth, lead, _ = decontaminate._blocks(ids, sizes, terms)
+    got = {(p, q) for p, q, _ in decontaminate._candidates(index, padded, owner, lead, np.zeros((len(lead), 2), np.float32))}
+    want = set()
+    for p, b in enumerate(lead.tolist()):
+        text, at = texts[owner[b]], int(nth[b]) * decontaminate.STRIDE
+        for q, item in enumerate(items):
+            extra = len(item) // 2
+            if decontaminate.confirm(item, text, max(0, at - extra), min(len(text), at + decontaminate.WINDOW + extra)):
+                want.add((p, q))
+    assert want <= got and len(want) > 25
+    assert not any(owner[lead[p]] == len(texts) - 1 for p, _ in got)
