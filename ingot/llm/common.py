@@ -15,6 +15,7 @@ from ingot.session import new_workspace
 
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -24,6 +25,8 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getConf().get(ARROW_ROWS) is None:
         spark.conf.set(ARROW_ROWS, "1000")
+    if sc.getConf().get(ARROW_BYTES) is None:
+        spark.conf.set(ARROW_BYTES, "4m")
     if any(f.startswith("ingot-code") for f in sc._python_includes):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
