@@ -189,14 +189,29 @@ def _counted(batches):
 
 def _words_held(chunks: DataFrame, only: set[str] | None = None) -> DataFrame:
     """The same from ``CHUNKS`` rows; of the words ``only``, if they are given."""
-    def held(batches):
+    def rows(words, counts):
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
+
+    def all_held(batches):
         for words, counts, _ in _counted(batches):
-            at = range(len(words)) if only is None else [k for k, w in enumerate(words) if w in shared.value]
-            yield pa.RecordBatch.from_arrays([pa.array([words[k] for k in at], pa.string()), pa.array(counts[at], pa.int64())],
-                                             ["word", "n"])
+            yield rows(words, counts)
 
-    shared = None if only is None else chunks.sparkSession.sparkContext.broadcast(only)
-    return chunks.select("n", "words", "held").mapInArrow(held, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    def some_held(batches):
+        number = shared.value
+        counts = np.zeros(len(number) + 1, np.int64)
+        for batch in batches:
+            for words, held in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                words = words.split()                            # all different
+                at = np.fromiter(map(number.get, words, repeat(len(number))), np.int64, len(words))
+                counts[at] += np.frombuffer(held, np.int32)
+        names = list(number)
+        at = np.flatnonzero(counts[:-1])
+        yield rows([names[k] for k in at], counts[at])
+
+    if only is not None:
+        shared = chunks.sparkSession.sparkContext.broadcast({w: k for k, w in enumerate(sorted(only))})
+    return chunks.select("n", "words", "held").mapInArrow(all_held if only is None else some_held, "word string, n long") \
+        .groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _least_documents(n: int) -> int:

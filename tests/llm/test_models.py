@@ -7,11 +7,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ingot.llm import decontaminate, language, toxicity
-from ingot.llm.common import corpus_table
+from ingot.llm.common import corpus_table, ship_package
 from ingot.llm.queries import op1_ordinal_toxicity, op8_crf_language, op10_lsa_decontamination
 
 SF = "/root/testdata/sf0.01"
@@ -344,3 +346,16 @@ def test_a_stretch_of_enough_words_is_always_held():
                 want.add((p, q))
     assert want <= got and len(want) > 25
     assert not any(owner[lead[p]] == len(texts) - 1 for p, _ in got)
+
+
+def test_texts_reach_python_in_batches_of_few_bytes(spark):
+    """Long texts come a few at a time, whatever their rows."""
+    ship_package(spark)
+    docs = spark.range(0, 48, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 100_000).alias("text"))
+
+    def bytes_of(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], ["n"])
+
+    sizes = [r.n for r in docs.mapInArrow(bytes_of, "n long").collect()]
+    assert sum(sizes) > 24_000_000 and max(sizes) < 6_000_000
