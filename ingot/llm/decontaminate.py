@@ -15,10 +15,15 @@ every document is searched. Documents count as often as they come.
 A passage whose cosine with an item's passage reaches ``MIN_COSINE`` is a
 candidate. ``RANK`` directions carry about as many items; where a block holds
 more, or an item is short, the cosine of a true leak may stay below. So a
-passage is also a candidate for each item of which it holds enough words: a
-confirmation needs ``LIKELY`` of them, hence some of the item's rarest words,
-and those are looked up in an inverted index. No passage that would be
-confirmed is left out, whatever the number of items.
+passage is also a candidate for each item of which a stretch in it holds enough
+words: a confirmation needs ``LIKELY`` of them. Words are looked up in an
+inverted index, by units of ``UNIT`` words; the ``COMMON`` commonest terms
+are kept as bits of a unit. No passage that would be confirmed is left out,
+whatever the number of items, and candidates by cosine that lack the words are
+not confirmed.
+
+Texts are cut into words once and written as word numbers (``CHUNKS``), which
+the counts, the passes of the decomposition and the search read.
 
 A candidate is confirmed on the words: the longest common subsequence must
 hold ``SURE`` of the item's words, or ``LIKELY`` of them together with
