@@ -18,7 +18,10 @@ similar such partner, then with the others that are still in another
 component). Members that are then still in different components of the
 bucket are compared pairwise, so no link between components is lost: first
 each with the few most similar ones of other components, then all that are
-still apart. Which links join two documents of one component does not matter to
+still apart. A task compares up to ``BLOCK`` members with as many others. Of
+larger buckets only the members outside the bucket's largest component are cut
+into blocks that meet each other; those of the largest, which need no comparison
+among themselves, meet these blocks only. Which links join two documents of one component does not matter to
 the result. Pairs of this step must also pass the parity of their sets' hashes in
 ``ODD_BITS`` cells: cells that differ are never more than the sets' elements that
 do, so no pair is lost by it, and few go on that are not links.
@@ -45,7 +48,8 @@ from ingot.llm.common import components, written
 BANDS, ROWS, BITS = 40, 5, 4
 PERMS = BANDS * ROWS
 ESTIMATE_SLACK = 5.0
-BLOCK = 512
+BLOCK = 2048
+PAIRS_AT_ONCE = 1 << 20      # pairs that a task gathers before it hands them on
 BEST = 4                     # partners of a document in other components tried before all others
 ODD_BITS = 4096
 _rng = np.random.default_rng(20240229)
@@ -181,16 +185,31 @@ def _compare(batches, percent: int, best: int | None = None):
     chance, least = 2.0 ** -BITS, lowest_estimate(percent / 100)
     step = np.uint64(sum(1 << (i * BITS) for i in range(64 // BITS)))
 
-    def pairs_of(part: pd.DataFrame) -> pd.DataFrame:
+    def most_similar(i, j, differ):
+        if best is None:
+            return i, j, differ
+        end, pair = np.concatenate((i, j)), np.tile(np.arange(len(i)), 2)
+        o = np.lexsort((np.tile(differ, 2), end))
+        head = np.concatenate(([True], end[o][1:] != end[o][:-1]))[:len(o)]
+        nth = np.arange(len(o)) - np.maximum.accumulate(np.where(head, np.arange(len(o)), 0))
+        chosen = np.unique(pair[o][nth < best])
+        return i[chosen], j[chosen], differ[chosen]
+
+    def pairs_of(part: pd.DataFrame):
         ids, comp, size = (part[x].to_numpy(np.int64) for x in ("id", "c", "n_shingles"))
         sig, odd = (np.stack(part[x].to_numpy()).astype(np.int64).view(np.uint64) for x in ("sig", "odd"))
         left, inner = part["left"].to_numpy(bool), part["inner"].to_numpy(bool)
-        out = []
+
+        def frame(pairs):
+            i, j, _ = np.concatenate(pairs, axis=1)
+            return pd.DataFrame({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])}).drop_duplicates()
+
+        out, ready = [], 0
         unit_no = part["unit"].to_numpy()
         cuts = np.flatnonzero(np.concatenate(([True], unit_no[1:] != unit_no[:-1], [True])))
         for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             rows = np.arange(s, e)
-            found = []
+            found, gathered = [], 0
             for i in rows if inner[s] else rows[left[s:e]]:
                 other = rows[i - s + 1:] if inner[s] else rows[~left[s:e]]
                 other = other[(comp[other] != comp[i])
@@ -207,19 +226,24 @@ def _compare(batches, percent: int, best: int | None = None):
                     differ = np.bitwise_count(odd[other] ^ odd[i]).sum(axis=1).astype(np.int64)
                     # 100 * intersection >= percent * union, by the elements that differ
                     near = differ * (100 + percent) <= both * (100 - percent)
-                    found.append(np.stack((np.full(near.sum(), i), other[near], differ[near] * 1_000_000 // both[near])))
+                    if near.any():
+                        found.append(np.stack((np.full(near.sum(), i), other[near], differ[near] * 1_000_000 // both[near])))
+                        gathered += found[-1].shape[1]
+                if gathered >= PAIRS_AT_ONCE:
+                    found = [np.stack(most_similar(*np.concatenate(found, axis=1)))]
+                    if best is None:
+                        yield frame(found)
+                        found = []
+                    # what stays is at most ``best`` times the unit's rows
+                    gathered = 0
             if found:
-                i, j, differ = np.concatenate(found, axis=1)
-                if best is not None:
-                    end, pair = np.concatenate((i, j)), np.tile(np.arange(len(i)), 2)
-                    o = np.lexsort((np.tile(differ, 2), end))
-                    head = np.concatenate(([True], end[o][1:] != end[o][:-1]))[:len(o)]
-                    nth = np.arange(len(o)) - np.maximum.accumulate(np.where(head, np.arange(len(o)), 0))
-                    chosen = np.unique(pair[o][nth < best])
-                    i, j = i[chosen], j[chosen]
-                out.append(np.stack((ids[i], ids[j])))
-        a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+                out.append(np.stack(most_similar(*np.concatenate(found, axis=1))))
+                ready += out[-1].shape[1]
+            if ready >= PAIRS_AT_ONCE:
+                yield frame(out)
+                out, ready = [], 0
+        if out:
+            yield frame(out)
 
     held = None
     for pdf in batches:
@@ -227,26 +251,47 @@ def _compare(batches, percent: int, best: int | None = None):
         u = pdf["unit"].to_numpy()
         last = int(np.searchsorted(u, u[-1])) if len(u) else 0     # the last unit may go on
         if last:
-            yield pairs_of(pdf.iloc[:last])
+            yield from pairs_of(pdf.iloc[:last])
         held = pdf.iloc[last:]
     if held is not None and len(held):
-        yield pairs_of(held)
+        yield from pairs_of(held)
+
+
+def _split_buckets(placed: DataFrame) -> DataFrame:
+    """``(key, main, most, rest)`` of the buckets of ``placed(key, id, c)`` that
+    hold members of several components: the largest of these, its members in
+    the bucket, and the other members."""
+    by_component = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
+    return by_component.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("m")) \
+        .select("key", F.col("m.c").alias("main"), F.col("m.n").alias("most"), (F.col("n") - F.col("m.n")).alias("rest")) \
+        .filter("rest > 0")
+
+
+def _units(placed: DataFrame) -> DataFrame:
+    """Rows ``(id, c, left, inner, unit)`` that bring the members of different
+    components of a bucket of ``placed(key, id, c, main, most, rest)`` together.
+    A bucket of up to ``BLOCK`` documents is one unit of work. Of a larger one
+    the documents outside of its component ``main`` are cut into blocks, each
+    pair of which is a unit, and each with each block of ``main``."""
+    whole = F.col("most") + F.col("rest") <= BLOCK
+    main = ~whole & (F.col("c") == F.col("main"))
+    cut = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    return placed.withColumn("is_main", main) \
+        .withColumn("blocks", F.when(whole, 1).otherwise(cut("rest"))) \
+        .withColumn("others", F.when(whole | F.col("is_main"), F.col("blocks")).otherwise(F.col("blocks") + cut("most"))) \
+        .withColumn("block", F.when(F.col("is_main"), F.col("blocks") + F.pmod(F.xxhash64("id"), cut("most")))
+                    .otherwise(F.pmod(F.xxhash64("id"), F.col("blocks"))).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1))) \
+        .select("id", "c", (F.col("block") <= F.col("other")).alias("left"),
+                (F.col("block") == F.col("other")).alias("inner"),
+                F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("unit"))
 
 
 def _apart(placed: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, best: int | None) -> DataFrame:
     """Plausible pairs ``(a, b)`` of different components within the buckets of
-    ``placed(key, id, c, n)``. A bucket of more than ``BLOCK`` documents is cut
-    into blocks and each pair of blocks is a unit of work of its own; only
-    pairs that the signatures allow leave a task."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = placed.withColumn("blocks", blocks) \
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("id", "c", (F.col("block") <= F.col("other")).alias("left"),
-                (F.col("block") == F.col("other")).alias("inner"),
-                F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("unit"))
+    ``placed``; only pairs that the signatures allow leave a task."""
     described = reps.select("id", "n_shingles", "sig").join(sets.select("id", "odd"), "id")
-    work = rows.join(described, "id").repartition("unit").sortWithinPartitions("unit", "id")
+    work = _units(placed).join(described, "id").repartition("unit").sortWithinPartitions("unit", "id")
     return work.select("unit", "left", "inner", "id", "c", "n_shingles", "sig", "odd") \
         .mapInPandas(lambda b: _compare(b, percent, best), "a long, b long").distinct()
 
@@ -310,9 +355,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     for best in (BEST, None):
         placed = member.select("key", "id").join(comp.select(F.col("node").alias("id"), "component"), "id", "left") \
             .select("key", "id", F.coalesce("component", "id").alias("c"))
-        split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")) \
-            .filter("lo < hi").select("key", "n")
-        apart = _apart(written(placed.join(split, "key"), "split-buckets"), reps, sets, percent, best)
+        placed = written(placed.join(_split_buckets(placed), "key"), "split-buckets")
+        apart = _apart(placed, reps, sets, percent, best)
         apart = written(apart.join(tried, ["a", "b"], "left_anti"), "candidates")
         links = links.union(written(_confirmed(apart, sets, percent), "links"))
         tried = tried.union(apart)

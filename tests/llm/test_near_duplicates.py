@@ -95,6 +95,46 @@ def test_bucket_members_that_miss_the_smallest_document_still_meet(spark, monkey
     assert got == _components(sets, links)
 
 
+def test_members_of_a_buckets_largest_component_are_not_copied_to_each_other(spark):
+    """600 members of one component and 30 others: before, each was copied to
+    every block of the bucket."""
+    rows = [(7, i, 0 if i < 600 else i, 0, 600, 30) for i in range(630)]
+    for block, most in ((630, 630), (100, 630 + 30 * 6)):
+        kept, minhash.BLOCK = minhash.BLOCK, block
+        try:
+            units = minhash._units(spark.createDataFrame(rows, "key long, id long, c long, main long, most long, rest long")).collect()
+        finally:
+            minhash.BLOCK = kept
+        assert len(units) <= most
+        met = set()
+        for _, of in itertools.groupby(sorted(units, key=lambda r: r.unit), key=lambda r: r.unit):
+            of = list(of)
+            left = [r for r in of if r.left]
+            for x in left:
+                met |= {frozenset((x.id, y.id)) for y in (of if x.inner else (r for r in of if not r.left)) if x.c != y.c}
+        assert met == {frozenset(p) for p in itertools.combinations(range(630), 2) if max(p) >= 600}
+
+
+def test_split_buckets_name_the_largest_component(spark):
+    rows = [(1, 1, 5), (1, 2, 5), (1, 3, 6), (2, 1, 5), (2, 2, 5), (3, 4, 8), (3, 5, 9)]
+    got = sorted(tuple(r) for r in minhash._split_buckets(spark.createDataFrame(rows, "key long, id long, c long")).collect())
+    assert got == [(1, 5, 2, 1), (3, 9, 1, 1)]
+
+
+def test_pairs_handed_on_in_parts_are_the_same(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 200, np.uint64)
+    sets = [np.unique(np.concatenate((base[rng.random(200) > .05], rng.integers(0, 1 << 63, 6, np.uint64)))) for _ in range(60)]
+    part = pd.DataFrame({"unit": 1, "left": True, "inner": True, "id": range(60), "c": range(60), "n_shingles": [len(s) for s in sets],
+                         "sig": [minhash.pack_low_bits(minhash.minima(s)) for s in sets], "odd": [minhash.odd_cells(s) for s in sets]})
+    for best in (None, 2):
+        pairs = []
+        for at_once in (1 << 20, 10):
+            monkeypatch.setattr(minhash, "PAIRS_AT_ONCE", at_once)
+            pairs.append({tuple(p) for pdf in minhash._compare([part], 80, best) for p in pdf.to_numpy().tolist()})
+        assert pairs[0] == pairs[1] and len(pairs[0]) > 60
+
+
 def test_estimate_corrects_for_chance(spark):
     rng = np.random.default_rng(0)
     for share in (0.0, 0.5, 0.8, 1.0):
