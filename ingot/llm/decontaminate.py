@@ -12,18 +12,19 @@ documents: at most ``PER_DOCS / MIN_TERM_DOCS`` times the different words of a
 document on the average, however many documents there are. Every passage of
 every document is searched. Documents count as often as they come.
 
-A passage whose cosine with an item's passage reaches ``MIN_COSINE`` is a
-candidate. ``RANK`` directions carry about as many items; where a block holds
-more, or an item is short, the cosine of a true leak may stay below. So a
-passage is also a candidate for each item of which a stretch in it holds enough
+A passage is a candidate for each item of which a stretch in it holds enough
 words: a confirmation needs ``LIKELY`` of them. Words are looked up in an
 inverted index, by units of ``UNIT`` words; the ``COMMON`` commonest terms
 are kept as bits of a unit. No passage that would be confirmed is left out,
-whatever the number of items, and candidates by cosine that lack the words are
-not confirmed.
+whatever the number of items or however low its cosine (``RANK`` directions carry
+about as many items; where a block holds more, or an item is short, that of a
+true leak may be low), and no passage that lacks the words could be confirmed.
 
 Texts are cut into words once and written as word numbers (``CHUNKS``), which
-the counts, the passes of the decomposition and the search read.
+the counts, the passes of the decomposition and the search read. The last pass
+of the decomposition and the search are one: every passage's place among the
+directions is summed for the decomposition, those of confirmed passages are
+kept, and their cosines follow when the decomposition is complete.
 
 A candidate is confirmed on the words: the longest common subsequence must
 hold ``SURE`` of the item's words, or ``LIKELY`` of them together with
@@ -49,10 +50,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from itertools import count, repeat
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +65,6 @@ SHORTEST_ITEM, SHORTEST_SEQUENCE = 8, 4
 RANK, OVERSAMPLE = 192, 16
 ITEM_WEIGHT = 6.0
 MIN_TERM_DOCS, PER_DOCS = 5, 1000
-MIN_COSINE = 0.35
 SURE, LIKELY, ANSWER = 0.75, 0.5, 0.7
 ANSWER_WORDS = 8
 ITEMS_AT_ONCE = 5000
@@ -87,18 +88,56 @@ _LEAKS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine",
                     ("answer_overlap", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32())])
 
 
+#: What the search finds: leaks without their cosines, and rows of the tasks' sums.
+FOUND = ("doc_id long, item_id long, overlap double, answer_overlap double, first_word int, last_word int, "
+         "passage long, vector binary, term long, row binary")
+_FOUND = pa.schema([*(_LEAKS.field(x) for x in ("doc_id", "item_id", "overlap", "answer_overlap", "first_word", "last_word")),
+                    ("passage", pa.int64()), ("vector", pa.binary()), ("term", pa.int64()), ("row", pa.binary())])
+
 #: Latin-1 with a space for all that is no letter or digit.
 _LATIN_WORDS = bytes(c if chr(c).isalnum() else 32 for c in range(256))
 
 
-def words_of(text: str | None) -> list[str]:
+def _spaced(text: str | None) -> bytes | list[str]:
+    """The words of a text: in Latin-1 with spaces between them, if they can be
+    written so, or else one by one."""
     text = (text or "").lower()
     try:
-        return text.encode("latin-1").translate(_LATIN_WORDS).decode("latin-1").split()
+        return text.encode("latin-1").translate(_LATIN_WORDS)
     except UnicodeEncodeError:
         return (_WORD_OR_SIGN if _UNSPACED_ANY.search(text) else _WORD).findall(text)
 
 
+def words_of(text: str | None) -> list[str]:
+    found = _spaced(text)
+    return found.decode("latin-1").split() if isinstance(found, bytes) else found
+
+
+def _numbered(texts: list[bytes | list[str]]) -> tuple[str, int, np.ndarray, np.ndarray]:
+    """``(words, n, ids, sizes)`` of texts as ``_spaced`` gives them: the ``n``
+    different words with spaces between them, each word's number among them,
+    one text after the other, and the words of each text."""
+    latin = [t for t in texts if isinstance(t, bytes)]
+    letters = np.frombuffer(b" ".join([b"", *latin, b""]), np.uint8)
+    inside = letters != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begin, end = edges[::2], edges[1::2]
+    inside[end + 1] = True                                       # each word with the space behind it
+    places = np.concatenate(([0], np.cumsum(end - begin + 1)))
+    encoded = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(places), pa.py_buffer(letters[inside])]) \
+        .dictionary_encode()
+    ids, n = encoded.indices.to_numpy(), len(encoded.dictionary)
+    words = encoded.dictionary.buffers()[2].to_pybytes().decode("latin-1").rstrip(" ") if n else ""
+    ends = np.cumsum([len(t) + 1 for t in latin])                # where the space behind each text is
+    sizes = np.diff(np.searchsorted(begin, ends), prepend=0).astype(np.int32)
+    if len(latin) == len(texts):
+        return words, n, ids, sizes
+    number = defaultdict(count(n).__next__, zip(words.split(), range(n), strict=True))
+    own = iter(np.split(ids, np.cumsum(sizes)[:-1]) if len(latin) else ())
+    parts = [next(own) if isinstance(t, bytes) else np.fromiter(map(number.__getitem__, t), np.int32, len(t)) for t in texts]
+    return " ".join(number), len(number), np.concatenate(parts), np.array([len(x) for x in parts], np.int32)
+
+
 def _windows(n: int) -> list[tuple[int, int]]:
     """Word ranges of the passages of a text of n words."""
     return [(a, min(a + WINDOW, n)) for a in range(0, max(1, n - STRIDE), STRIDE)] if n else []
@@ -115,31 +154,30 @@ def _word_chunks(docs: DataFrame) -> DataFrame:
     are the row's different words, ``ids`` each word's number among them,
     ``sizes`` the words of each of the ``n`` documents, ``held`` how many of
     them hold each different word."""
-    def chunk(doc_ids, texts, number):
-        sizes = np.array([len(t) for t in texts], np.int32)
-        ids = np.concatenate(texts)
-        seen = np.repeat(np.arange(len(sizes)), sizes) * max(1, len(number)) + ids
+    def chunk(doc_ids, texts):
+        words, n, ids, sizes = _numbered(texts)
+        seen = np.repeat(np.arange(len(sizes)), sizes) * max(1, n) + ids
         seen.sort()
-        once = seen[np.flatnonzero(np.diff(seen, prepend=-1))] % max(1, len(number))
-        held = np.bincount(once, minlength=len(number)).astype(np.int32)
+        once = seen[np.flatnonzero(np.diff(seen, prepend=-1))] % max(1, n)
+        held = np.bincount(once, minlength=n).astype(np.int32)
         return pa.RecordBatch.from_arrays([
             pa.array([len(sizes)], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([sizes.tobytes()], pa.binary()),
-            pa.array([" ".join(number)], pa.string()), pa.array([ids.astype(_id_type(len(number))).tobytes()], pa.binary()),
+            pa.array([words], pa.string()), pa.array([ids.astype(_id_type(n)).tobytes()], pa.binary()),
             pa.array([held.tobytes()], pa.binary())], ["n", "doc_ids", "sizes", "words", "ids", "held"])
 
     def cut(batches):
-        doc_ids, texts, words, number = [], [], 0, defaultdict(count().__next__)
+        doc_ids, texts, words = [], [], 0
         for batch in batches:
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = words_of(t)
+                found = _spaced(t)
                 doc_ids.append(d)
-                texts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
-                words += len(found)
+                texts.append(found)
+                words += found.count(b" ") + 1 if isinstance(found, bytes) else len(found)
                 if words >= CHUNK_WORDS or len(texts) >= CHUNK_WORDS:
-                    yield chunk(doc_ids, texts, number)
-                    doc_ids, texts, words, number = [], [], 0, defaultdict(count().__next__)
+                    yield chunk(doc_ids, texts)
+                    doc_ids, texts, words = [], [], 0
         if texts:
-            yield chunk(doc_ids, texts, number)
+            yield chunk(doc_ids, texts)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, CHUNKS)
 
@@ -148,17 +186,24 @@ def _id_type(words: int) -> type:
     return np.uint16 if words <= 1 << 16 else np.int32
 
 
+def _places_in(vocabulary: pa.Array, words: pa.Array) -> np.ndarray:
+    """The place in the vocabulary of each word of a ``CHUNKS`` row, given as an
+    array of its one text; of other words the vocabulary's length."""
+    at = pc.index_in(pc.split_pattern(words, " ").values, value_set=vocabulary)
+    return at.fill_null(len(vocabulary)).to_numpy(zero_copy_only=False)
+
+
 def _texts_of(batches, vocabulary: dict[str, int], at_once: int):
     """``(doc_ids, ids, sizes)`` of the documents of ``CHUNKS`` rows, about
     ``at_once`` words at a time: their words' ids in the vocabulary, those
     outside of it its length, one text after the other."""
-    none = len(vocabulary)
+    names = pa.array(sorted(vocabulary, key=vocabulary.__getitem__), pa.string())
     for batch in batches:
         for k in range(batch.num_rows):
-            words, ids, sizes = (batch.column(x)[k].as_py() for x in ("words", "ids", "sizes"))
-            words, sizes = words.split(), np.frombuffer(sizes, np.int32).astype(np.int64)
-            known = np.fromiter(map(vocabulary.get, words, repeat(none)), np.int32, len(words))
-            ids = np.frombuffer(ids, _id_type(len(words)))
+            ids, sizes = (batch.column(x)[k].as_py() for x in ("ids", "sizes"))
+            sizes = np.frombuffer(sizes, np.int32).astype(np.int64)
+            known = _places_in(names, batch.column("words").slice(k, 1).cast(pa.string()))
+            ids = np.frombuffer(ids, _id_type(len(known)))
             doc_ids = batch.column("doc_ids")[k].as_py()
             ends = np.concatenate(([0], np.cumsum(sizes)))
             d = 0
@@ -202,19 +247,18 @@ def _words_held(chunks: DataFrame, only: set[str] | None = None) -> DataFrame:
             yield rows(words, counts)
 
     def some_held(batches):
-        number = shared.value
-        counts = np.zeros(len(number) + 1, np.int64)
+        names = shared.value
+        number, counts = pa.array(names, pa.string()), np.zeros(len(names) + 1, np.int64)
         for batch in batches:
-            for words, held in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = words.split()                            # all different
-                at = np.fromiter(map(number.get, words, repeat(len(number))), np.int64, len(words))
-                counts[at] += np.frombuffer(held, np.int32)
-        names = list(number)
+            for k, held in enumerate(batch.column(2).to_pylist()):
+                at = _places_in(number, batch.column(1).slice(k, 1).cast(pa.string()))
+                if held:
+                    counts[at] += np.frombuffer(held, np.int32)  # a row's words are different
         at = np.flatnonzero(counts[:-1])
         yield rows([names[k] for k in at], counts[at])
 
     if only is not None:
-        shared = chunks.sparkSession.sparkContext.broadcast({w: k for k, w in enumerate(sorted(only))})
+        shared = chunks.sparkSession.sparkContext.broadcast(sorted(only))
     return chunks.select("n", "words", "held").mapInArrow(all_held if only is None else some_held, "word string, n long") \
         .groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -324,18 +368,18 @@ def _passage_norms(padded: np.ndarray, lead: np.ndarray, alone: np.ndarray, idf:
 def _passages(ids: np.ndarray, sizes: np.ndarray, weighted: np.ndarray, idf: np.ndarray, common: np.ndarray,
               weight: float):
     """The passages of texts given as term ids, as unit TF-IDF vectors times a
-    matrix of which ``weighted`` is ``idf`` times the rows: ``(words, lead,
-    alone, rows, scale)``; ``rows`` are not scaled yet, ``scale`` is ``weight``
-    over the squared lengths. The last rows of ``weighted`` and ``idf`` are for
-    words outside the vocabulary, and zero."""
+    matrix of which ``weighted`` is ``idf`` times the rows: ``(blocks, words,
+    rows, scale)``, the blocks as ``_blocks`` gives them; ``rows`` are not
+    scaled yet, ``scale`` is ``weight`` over the squared lengths. The last rows
+    of ``weighted`` and ``idf`` are for words outside the vocabulary, and zero."""
     none = len(idf) - 1
-    padded, _, _, lead, alone = _blocks(ids, sizes, none)
+    blocks = padded, _, _, lead, alone = _blocks(ids, sizes, none)
     norm = _passage_norms(padded, lead, alone, idf, none)
     words = _Words(padded, common, none)
     sums = words.sums(weighted)
     rows = sums[lead]
     rows[~alone] += sums[lead[~alone] + 1]
-    return words, lead, alone, rows, np.divide(weight, norm, out=np.zeros_like(norm), where=norm > 0)[:, None].astype(rows.dtype)
+    return blocks, words, rows, np.divide(weight, norm, out=np.zeros_like(norm), where=norm > 0)[:, None].astype(rows.dtype)
 
 
 def _times_gram(out: np.ndarray, ids: np.ndarray, sizes: np.ndarray, weighted: np.ndarray, idf: np.ndarray,
@@ -344,7 +388,7 @@ def _times_gram(out: np.ndarray, ids: np.ndarray, sizes: np.ndarray, weighted: n
     over the passages a of ``weight`` a a^T basis."""
     if not sizes.sum():
         return
-    words, lead, alone, rows, scale = _passages(ids, sizes, weighted, idf, common, weight)
+    (_, _, _, lead, alone), words, rows, scale = _passages(ids, sizes, weighted, idf, common, weight)
     rows *= scale
     # a block is in the passage it begins and in the one that the block before it begins
     by_block = np.zeros((len(words.rest), rows.shape[1]), rows.dtype)
@@ -357,81 +401,95 @@ def _gram_within(out: np.ndarray, ids: np.ndarray, sizes: np.ndarray, weighted:
                  common: np.ndarray, weight: float = 1.0) -> None:
     """Adds to ``out`` the sum over the passages a of ``weight`` (a^T basis)^T (a^T basis)."""
     if sizes.sum():
-        _, _, _, rows, scale = _passages(ids, sizes, weighted, idf, common, weight)
+        _, _, rows, scale = _passages(ids, sizes, weighted, idf, common, weight)
         out += rows.T @ (rows * scale)
 
 
-def _latent_space(chunks: DataFrame, n: int, items: list[list[int]], vocabulary: dict[str, int],
-                  idf: np.ndarray, df: np.ndarray) -> np.ndarray:
-    """Terms x RANK basis of the leading right singular vectors, over the
-    passages of all ``n`` documents and the items'. The first pass over all
-    passages finds the directions, the second their product with them."""
-    sc = chunks.sparkSession.sparkContext
-    weights = np.append(idf, 0.0)
-    common = _common_terms(df)
-    voc = sc.broadcast((vocabulary, weights, common))
-    width = min(RANK + OVERSAMPLE, len(idf))
-    item_weight = ITEM_WEIGHT ** 2 * max(1.0, n / PER_DOCS)
-    own = np.array([w for x in items for w in x], np.int32), np.array([len(x) for x in items])
-
-    def summed(kernel, basis: np.ndarray, height: int, dtype: type) -> np.ndarray:
-        """The sum of ``kernel``, height x width, over all passages."""
-        weighted = np.vstack([basis * idf[:, None], np.zeros((1, width))]).astype(np.float32)
-        shared = sc.broadcast(weighted)
-
-        def partial(batches):
-            v, w, c = voc.value
-            acc = np.zeros((height, width), dtype)
-            for _, ids, sizes in _texts_of(batches, v, WORDS_SUMMED):
-                kernel(acc, ids, sizes, shared.value, w, c)
-            at = np.flatnonzero(acc.any(axis=1))
-            for k in range(0, len(at), ROWS_AT_ONCE):
-                yield pa.RecordBatch.from_arrays([pa.array(at[k:k + ROWS_AT_ONCE], pa.int64()), pa.array(
-                    [x.tobytes() for x in acc[at[k:k + ROWS_AT_ONCE]]], pa.binary())], ["term", "row"])
-
-        def total(batches):
-            acc: dict[int, np.ndarray] = {}
-            for batch in batches:
-                for term, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    x = np.frombuffer(row, dtype)
-                    if term in acc:
-                        acc[term] += x
-                    else:
-                        acc[term] = x.astype(float)
-            yield pa.RecordBatch.from_arrays([pa.array(list(acc), pa.int64()),
-                                              pa.array([x.tobytes() for x in acc.values()], pa.binary())], ["term", "row"])
-
-        schema = "term long, row binary"
-        parts = chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(partial, schema) \
-            .repartition("term").mapInArrow(total, schema)
-        out = np.zeros((height, width))
-        kernel(out, *own, weighted, weights, common, item_weight)
-        for term, row in parts.collect():       # height x width, whatever the corpus
-            out[term] += np.frombuffer(row)
-        shared.destroy()
-        return out
+def _row_batches(acc: np.ndarray):
+    """The rows of a task's sum that are not zero, with their numbers."""
+    at = np.flatnonzero(acc.any(axis=1))
+    for k in range(0, len(at), ROWS_AT_ONCE):
+        yield pa.RecordBatch.from_arrays([pa.array(at[k:k + ROWS_AT_ONCE], pa.int64()), pa.array(
+            [x.tobytes() for x in acc[at[k:k + ROWS_AT_ONCE]]], pa.binary())], ["term", "row"])
+
+
+def _add_rows(out: np.ndarray, parts: DataFrame, dtype: type) -> np.ndarray:
+    """Adds to ``out`` the tasks' rows ``(term, row)``, summed by Spark."""
+    def total(batches):
+        acc: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for term, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = np.frombuffer(row, dtype)
+                if term in acc:
+                    acc[term] += x
+                else:
+                    acc[term] = x.astype(float)
+        yield pa.RecordBatch.from_arrays([pa.array(list(acc), pa.int64()),
+                                          pa.array([x.tobytes() for x in acc.values()], pa.binary())], ["term", "row"])
+
+    for term, row in parts.repartition("term").mapInArrow(total, "term long, row binary").collect():
+        out[term] += np.frombuffer(row)     # as many rows as ``out``, whatever the corpus
+    return out
+
+
+def _weighted(basis: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Terms' vectors for sums over words, with a row for words outside the vocabulary."""
+    return np.vstack([basis * idf[:, None], np.zeros((1, basis.shape[1]))]).astype(np.float32)
 
+
+def _directions(chunks: DataFrame, items: list[list[int]], vocabulary: dict[str, int],
+                idf: np.ndarray, common: np.ndarray, item_weight: float) -> np.ndarray:
+    """Orthonormal terms x (RANK + OVERSAMPLE) directions of the passages of all
+    documents and the items': the first pass of the decomposition."""
+    sc = chunks.sparkSession.sparkContext
+    weights, width = np.append(idf, 0.0), min(RANK + OVERSAMPLE, len(idf))
     rng = np.random.default_rng(SEED)
-    basis = np.linalg.qr(rng.standard_normal((len(idf), width)))[0]
-    basis = np.linalg.qr(summed(_times_gram, basis, len(weights), np.float32)[:-1] * idf[:, None])[0]
-    gram = summed(_gram_within, basis, width, np.float64)             # (A basis)^T (A basis)
-    voc.destroy()
+    weighted = _weighted(np.linalg.qr(rng.standard_normal((len(idf), width)))[0], idf)
+    shared = sc.broadcast((vocabulary, weighted, weights, common))
+
+    def partial(batches):
+        v, basis, w, c = shared.value
+        acc = np.zeros((len(w), width), np.float32)
+        for _, ids, sizes in _texts_of(batches, v, WORDS_SUMMED):
+            _times_gram(acc, ids, sizes, basis, w, c)
+        yield from _row_batches(acc)
+
+    out = np.zeros((len(weights), width))
+    _times_gram(out, *_joined(items), weighted, weights, common, item_weight)
+    _add_rows(out, chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(partial, "term long, row binary"), np.float32)
+    shared.destroy()
+    return np.linalg.qr(out[:-1] * idf[:, None])[0]
+
+
+def _joined(items: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([w for x in items for w in x], np.int32), np.array([len(x) for x in items])
+
+
+def _leading(index: Index, parts: DataFrame) -> np.ndarray:
+    """(RANK + OVERSAMPLE) x RANK: the leading right singular vectors among the
+    directions, from the tasks' rows of the passages' products with them."""
+    width = index.term_vectors.shape[1]
+    gram = np.zeros((width, width))
+    _gram_within(gram, *_joined([x for _, x in index.items]), index.term_vectors, index.weights, index.common, index.item_weight)
+    gram = _add_rows(gram, parts, np.float64)             # (A directions)^T (A directions)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
-    return (basis @ vectors[:, np.argsort(-values)[:RANK]]).astype(np.float32)
+    return vectors[:, np.argsort(-values)[:RANK]]
 
 
 class Index:
     """What the workers need to search: vocabulary, latent term vectors and
     the items' passages."""
 
-    def __init__(self, vocabulary, term_vectors, items, vectors, df):
+    def __init__(self, vocabulary, term_vectors, items, vectors, df, idf=(), item_weight=1.0):
         self.vocabulary, self.term_vectors = vocabulary, term_vectors
         self.items, self.vectors = items, vectors     # [(item_id, word ids)], unit rows
+        self.weights, self.item_weight = np.append(idf, 0.0), item_weight
         self.common = _common_terms(df)
         self.first, self.held_by, self.places, self.often, self.least = _item_words([x for _, x in items], self.common, len(df))
         self.bit = np.zeros(len(df) + 1, np.uint64)          # a common word's bit
         self.bit[self.common] = np.uint64(1) << np.arange(len(self.common), dtype=np.uint64)
         self.kinds = [frozenset(x) for _, x in items]
+        self.masks = [(_masks(x), _masks(_tail(x))) for _, x in items]
         # units that a stretch of words to be confirmed can touch
         self.units = np.array([-(-(_stretch(len(x)) - 1) // UNIT) + 1 for _, x in items])
 
@@ -457,15 +515,11 @@ def _item_words(items: list[list[int]], common: np.ndarray, terms: int):
     return first, rows[:, 1], rows[:, 2].astype(np.float32), often, np.array(least, np.int16)
 
 
-def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: DataFrame,
-                chunks: DataFrame | None = None) -> Index:
-    """``counts``: ``_word_documents`` of the documents, at least for the
-    items' words and ``_likely_terms``; ``chunks``: their ``_word_chunks``, if
-    they are written already."""
+def _first_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: DataFrame, chunks: DataFrame) -> tuple[Index, np.ndarray]:
+    """The index whose vectors are places among the directions, and these."""
     passages = [(i, w[a:b]) for i, w in items for a, b in _item_passages(len(w))]
     own = {w for _, p in passages for w in p}
     n = docs.count()
-    chunks = written(_word_chunks(docs), "word-chunks") if chunks is None else chunks
     least = _least_documents(n)
     asked = docs.sparkSession.createDataFrame([(w,) for w in sorted(own)], "word string").withColumn("own", F.lit(True))
     held = dict(counts.join(F.broadcast(asked), "word", "left").filter((F.col("n") >= least) | F.col("own"))
@@ -475,11 +529,40 @@ def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: Dat
     df = np.array([held.get(w, 0) for w in names], np.int64)
     idf = np.log((n + 1.0) / (df + 1.0)) + 1e-3
     ids = [[vocabulary[w] for w in p] for _, p in passages]
-    basis = _latent_space(chunks, n, ids, vocabulary, idf, df)
-    term_vectors = np.vstack([basis * idf[:, None].astype(np.float32), np.zeros((1, basis.shape[1]), np.float32)])
-    vectors = np.stack([term_vectors[x].sum(axis=0) for x in ids])
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    return Index(vocabulary, term_vectors, [(i, x) for (i, _), x in zip(passages, ids, strict=True)], vectors, df)
+    item_weight = ITEM_WEIGHT ** 2 * max(1.0, n / PER_DOCS)
+    directions = _directions(chunks, ids, vocabulary, idf, _common_terms(df), item_weight)
+    return Index(vocabulary, _weighted(directions, idf), [(i, x) for (i, _), x in zip(passages, ids, strict=True)],
+                 None, df, idf, item_weight), directions
+
+
+def _turned(index: Index, directions: np.ndarray, leading: np.ndarray) -> None:
+    """The index whose vectors are places in the latent space."""
+    basis = (directions @ leading).astype(np.float32)
+    index.term_vectors = _weighted(basis, index.weights[:-1].astype(np.float32))
+    vectors = np.stack([index.term_vectors[x].sum(axis=0) for _, x in index.items])
+    index.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+
+
+def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: DataFrame,
+                chunks: DataFrame | None = None) -> Index:
+    """The index, without a search. ``counts``: ``_word_documents`` of the
+    documents, at least for the items' words and ``_likely_terms``; ``chunks``:
+    their ``_word_chunks``, if they are written already."""
+    chunks = written(_word_chunks(docs), "word-chunks") if chunks is None else chunks
+    index, directions = _first_index(docs, items, counts, chunks)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def partial(batches):
+        ix = shared.value
+        gram = np.zeros((ix.term_vectors.shape[1],) * 2)
+        for _, ids, sizes in _texts_of(batches, ix.vocabulary, WORDS_SUMMED):
+            _gram_within(gram, ids, sizes, ix.term_vectors, ix.weights, ix.common)
+        yield from _row_batches(gram)
+
+    parts = chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(partial, "term long, row binary")
+    _turned(index, directions, _leading(index, parts))
+    shared.destroy()
+    return index
 
 
 def _item_passages(n: int) -> list[tuple[int, int]]:
@@ -520,11 +603,16 @@ def _stretch(m: int) -> int:
     return m + max(4, m // 4) if m >= SHORTEST_ITEM else m
 
 
+def _tail(item: list[int]) -> list[int]:
+    """The last words of an item, where it has its answer."""
+    return item[-min(ANSWER_WORDS, max(1, len(item) // 2)):]
+
+
 def confirm(item: list[int], words: list[int], first: int, last: int,
-            kinds: frozenset | None = None) -> tuple[float, float, int, int] | None:
+            kinds: frozenset | None = None, masks: tuple[dict, dict] | None = None) -> tuple[float, float, int, int] | None:
     """The best stretch of ``words[first:last]`` against an item: overlap,
     answer overlap and its place; None if it is no leak. ``kinds`` may give
-    the item's different words."""
+    the item's different words, ``masks`` the masks of it and of its tail."""
     m = len(item)
     if m < SHORTEST_ITEM:
         return next(((1.0, 1.0, a, a + m - 1) for a in range(first, last - m + 1)
@@ -534,13 +622,10 @@ def confirm(item: list[int], words: list[int], first: int, last: int,
     there = kinds.intersection(words[first:last])
     if len(kinds) - len(there) > (1 - LIKELY) * m:
         return None
-    if sum(w in there for w in item) < LIKELY * m:
-        return None
-    span = _stretch(m)
-    tail = item[-min(ANSWER_WORDS, max(1, m // 2)):]
-    masks, tail_masks = _masks(item), _masks(tail)
+    masks, tail_masks = masks or (_masks(item), _masks(_tail(item)))
     if _subsequence(masks, m, words[first:last]) < LIKELY * m:
         return None
+    span, tail = _stretch(m), min(ANSWER_WORDS, max(1, m // 2))
     best = None
     step = max(1, span // 4)
     for a in range(first, max(first + 1, last - span + step), step):
@@ -548,7 +633,7 @@ def confirm(item: list[int], words: list[int], first: int, last: int,
         overlap = _subsequence(masks, m, part) / m
         if overlap < LIKELY or (best and overlap <= best[0]):
             continue
-        answer = _subsequence(tail_masks, len(tail), part) / len(tail)
+        answer = _subsequence(tail_masks, tail, part) / tail
         if overlap >= SURE or answer >= ANSWER:
             best = (overlap, answer, a, a + len(part) - 1)
     return best
@@ -578,10 +663,10 @@ def _places_held(index: Index, units: np.ndarray) -> np.ndarray:
     return np.cumsum(change.astype(np.int16).reshape(len(units) + 1, -1), axis=0, dtype=np.int16)
 
 
-def _holding(index: Index, padded: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Blocks ``low`` to ``high`` x items: whether a stretch that begins in the
-    block can hold enough of the item's places. Words of the next document
-    behind the block's count too, so none is missed."""
+def _holding(index: Index, padded: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(block, item)`` of the blocks ``low`` to ``high`` and the items of whose
+    places a stretch that begins in the block can hold enough. Words of the next
+    document behind the block's count too, so none is missed."""
     per = STRIDE // UNIT
     longest = int(index.units.max())
     units = padded[low:high + -(-longest // per)].reshape(-1, UNIT)
@@ -590,7 +675,7 @@ def _holding(index: Index, padded: np.ndarray, low: int, high: int) -> np.ndarra
     there = np.zeros(begins + longest, np.uint64)            # the common words of each unit
     there[:len(units)] = np.bitwise_or.reduce(index.bit[units], axis=1)[:len(there)]
     most = index.least - index.often.sum(axis=1, dtype=np.int16)
-    out = np.zeros((begins, len(index.items)), bool)
+    out = [np.empty(0, np.int64)]
     seen = np.zeros(begins, np.uint64)
     for n in range(1, longest + 1):
         seen |= there[n - 1:n - 1 + begins]
@@ -605,58 +690,53 @@ def _holding(index: Index, padded: np.ndarray, low: int, high: int) -> np.ndarra
             bits = np.unpackbits(seen[r].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :index.often.shape[1]]
             also = np.einsum("ij,ij->i", bits, index.often[of[c]])
             good = own[r, c] + also >= index.least[of[c]]
-            out[r[good], of[c[good]]] = True
-    return out.reshape(high - low, per, -1).any(axis=1)
+            out.append((low + r[good] // per) * len(index.items) + of[c[good]])
+    return np.divmod(np.unique(np.concatenate(out)), len(index.items))
 
 
 def _candidates(index: Index, padded: np.ndarray, owner: np.ndarray, lead: np.ndarray, vectors: np.ndarray):
-    """``(passage, item's passage, cosine)`` of the candidates that hold enough
-    of the item's words for a confirmation."""
+    """``(passage, item's passage, the passage's vector)`` of the candidates, which
+    hold enough of the item's words for a confirmation."""
+    begins = np.full(len(owner), -1)                             # the passage that a block begins
+    begins[lead] = np.arange(len(lead))
     for a in range(0, len(lead), PASSAGES_AT_ONCE):
         at = lead[a:a + PASSAGES_AT_ONCE]
-        cosine = vectors[a:a + PASSAGES_AT_ONCE] @ index.vectors.T
         # confirm looks at a passage, two blocks, and up to one block on either side
-        low, high = max(0, int(at[0]) - 1), min(len(owner), int(at[-1]) + 3)
-        holding = _holding(index, padded, low, high)
-        held = np.zeros(cosine.shape, bool)
+        block, item = _holding(index, padded, max(0, int(at[0]) - 1), min(len(owner), int(at[-1]) + 3))
+        pairs = []
         for step in (-1, 0, 1, 2):
-            b = at + step - low
-            inside = np.flatnonzero((b >= 0) & (b < high - low))
-            inside = inside[owner[b[inside] + low] == owner[at[inside]]]
-            held[inside] |= holding[b[inside]]
-        p, q = np.divmod(np.flatnonzero((cosine >= MIN_COSINE) | held), len(index.items))
-        enough = held[p, q]
-        p, q = p[enough], q[enough]
-        yield from zip((a + p).tolist(), q.tolist(), cosine[p, q].tolist(), strict=True)
+            inside = (block >= step) & (block - step < len(owner))
+            first, q = block[inside] - step, item[inside]
+            p = begins[first]
+            good = (p >= a) & (p < a + len(at)) & (owner[first] == owner[block[inside]])
+            pairs.append(p[good] * len(index.items) + q[good])
+        p, q = np.divmod(np.unique(np.concatenate(pairs)), len(index.items))
+        yield from zip(p.tolist(), q.tolist(), vectors[p], strict=True)
 
 
-def search_texts(index: Index, flat: np.ndarray, sizes: np.ndarray) -> list[list[tuple]]:
+def search_texts(index: Index, flat: np.ndarray, sizes: np.ndarray, gram: np.ndarray) -> list[list[tuple]]:
     """Leaks of each of the texts of ``sizes`` words, their words' ids joined:
-    ``(item_id, cosine, overlap, answer overlap, first word, last word)``, the
-    best per item."""
-    none = len(index.term_vectors) - 1
+    ``(item_id, overlap, answer overlap, first word, last word, the item's
+    passage, the vector of the text's)``, the best per item. The passages'
+    products are added to ``gram`` like ``_gram_within`` does."""
     out: list[list[tuple]] = [[] for _ in sizes]
     if not sizes.sum():
         return out
+    (padded, owner, nth, lead, _), _, vectors, scale = _passages(flat, sizes, index.term_vectors, index.weights, index.common, 1.0)
+    gram += vectors.T @ (vectors * scale)
     begin = np.cumsum(sizes) - sizes
-    padded, owner, nth, lead, alone = _blocks(flat, sizes, none)
-    sums = _Words(padded, index.common, none).sums(index.term_vectors)
-    vectors = sums[lead]
-    vectors[~alone] += sums[lead[~alone] + 1]
-    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-    vectors /= np.maximum(norm, 1e-12)
     hits: dict[tuple[int, int], tuple] = {}
     ids: dict[int, list[int]] = {}
-    for p, q, cosine in _candidates(index, padded, owner, lead, vectors):
+    for p, q, vector in _candidates(index, padded, owner, lead, vectors):
         d, k = int(owner[lead[p]]), int(nth[lead[p]])
         if d not in ids:
             ids[d] = flat[begin[d]:begin[d] + sizes[d]].tolist()
         item, words = index.items[q]
         extra = len(words) // 2
         found = confirm(words, ids[d], max(0, k * STRIDE - extra), min(len(ids[d]), k * STRIDE + WINDOW + extra),
-                        index.kinds[q])
-        if found and found[0] > hits.get((d, item), (0.0, -1.0))[1]:
-            hits[d, item] = (cosine, *found)
+                        index.kinds[q], index.masks[q])
+        if found and found[0] > hits.get((d, item), (-1.0,))[0]:
+            hits[d, item] = (*found, q, vector.tobytes())
     for (d, item), found in sorted(hits.items()):
         out[d].append((item, *found))
     return out
@@ -682,16 +762,37 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             chunks = written(_word_chunks(texts), "word-chunks")
             likely = _likely_terms(chunks, texts.count())
         counts = _words_held(chunks, likely | {w for _, x in items for w in x})
-        index = spark.sparkContext.broadcast(build_index(texts, items, counts, chunks))   # bounded by ITEMS_AT_ONCE and the terms
-
-        def search(batches, index=index):
-            for doc_ids, ids, sizes in _texts_of(batches, index.value.vocabulary, WORDS_AT_ONCE):
-                rows = [(d, *x) for d, f in zip(doc_ids, search_texts(index.value, ids, sizes), strict=True) for x in f]
+        index, directions = _first_index(texts, items, counts, chunks)     # bounded by ITEMS_AT_ONCE and the terms
+        shared = spark.sparkContext.broadcast(index)
+
+        def search(batches, shared=shared):
+            ix = shared.value
+            gram = np.zeros((ix.term_vectors.shape[1],) * 2)
+            for doc_ids, ids, sizes in _texts_of(batches, ix.vocabulary, WORDS_AT_ONCE):
+                rows = [(d, *x) for d, f in zip(doc_ids, search_texts(ix, ids, sizes, gram), strict=True) for x in f]
                 if rows:
-                    yield pa.RecordBatch.from_pylist([dict(zip(_LEAKS.names, r, strict=True)) for r in rows], _LEAKS)
+                    yield pa.RecordBatch.from_pylist([dict(zip(_FOUND.names, r)) for r in rows], _FOUND)  # noqa: B905
+            for rows in _row_batches(gram):
+                yield pa.RecordBatch.from_pylist(rows.to_pylist(), _FOUND)
 
-        out = out.unionByName(written(chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(search, LEAKS), "found-leaks"))
-        index.destroy()
+        found = written(chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(search, FOUND), "passages")
+        leading = _leading(index, found.filter("term is not null").select("term", "row"))
+        shared.destroy()
+        _turned(index, directions, leading)
+        turn = spark.sparkContext.broadcast((leading, index.vectors))
+
+        def cosines(batches, turn=turn):
+            leading, vectors = turn.value
+            for batch in batches:
+                if batch.num_rows:
+                    own = np.stack([np.frombuffer(x, np.float32) for x in batch.column("vector").to_pylist()]) @ leading
+                    own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
+                    cosine = (own * vectors[batch.column("passage").to_numpy()]).sum(axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(cosine) if x == "cosine" else batch.column(x)
+                                                      for x in _LEAKS.names], schema=_LEAKS)
+
+        out = out.unionByName(written(found.filter("term is null").mapInArrow(cosines, LEAKS), "found-leaks"))
+        turn.destroy()
     return out
 
 

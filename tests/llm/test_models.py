@@ -324,6 +324,42 @@ def test_words_are_cut_once_and_counted_like_texts(spark, monkeypatch):
     assert "rare" not in likely
 
 
+def test_words_are_numbered_like_they_are_cut():
+    """Texts of several scripts, without words and with signs between them."""
+    texts = [None, "", "--", "One one, two\u00a0Écu écu\x85three", "你好 one x", "  two  ", "Œuvre one écu", "a_b"] * 2
+    for part in (texts, [t for t in texts if t and t.isascii()], texts[:3], texts[4:5]):
+        words, n, ids, sizes = decontaminate._numbered([decontaminate._spaced(t) for t in part])
+        names = words.split()
+        assert len(names) == n == len(set(names))
+        got = [[names[k] for k in x] for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert got == [decontaminate.words_of(t) for t in part]
+
+
+def test_search_and_last_pass_are_one(spark, monkeypatch):
+    """One pass less over all words, and the cosines are those of the index
+    that is built without a search."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choices(words, k=20))) for i in range(6)]
+    texts = [" ".join(rng.choices(words, k=rng.choice([0, 20, 150]))) for _ in range(60)]
+    texts += [f"{texts[3 + i]} {t} {texts[30 + i]}" for i, t in items]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    index = decontaminate.build_index(docs, [(i, decontaminate.words_of(t)) for i, t in items], decontaminate._word_documents(docs))
+
+    def no_pass_of_its_own(*_):
+        raise AssertionError("the index is built before the search")
+
+    monkeypatch.setattr(decontaminate, "build_index", no_pass_of_its_own)
+    leaks = decontaminate.find_leaks(docs, bench).collect()
+    assert {(60 + i, i) for i in range(6)} <= {(r.doc_id, r.item_id) for r in leaks}
+    for r in leaks:
+        text = [index.vocabulary.get(w, len(index.vocabulary)) for w in decontaminate.words_of(texts[r.doc_id])]
+        passages = np.stack([index.term_vectors[text[a:b]].sum(axis=0) for a, b in decontaminate._windows(len(text))])
+        passages /= np.linalg.norm(passages, axis=1, keepdims=True)
+        assert np.abs(passages @ index.vectors[r.item_id] - r.cosine).min() < 1e-5
+
+
 def test_a_stretch_of_enough_words_is_always_held():
     """No passage that would be confirmed fails the condition on its words;
     words that come again and again count once."""
