@@ -70,7 +70,7 @@ ANSWER_WORDS = 8
 ITEMS_AT_ONCE = 5000
 WORDS_AT_ONCE = 40_000
 WORDS_SUMMED = 160_000       # the same where rows are summed by term
-CHUNK_WORDS = 200_000        # words of a row of cut texts
+CHUNK_WORDS = 300_000        # words of a row of cut texts, with the signs between them
 UNIT = 16                    # words that the inverted index takes together
 COMMON = 64                  # terms counted in a matrix instead of looked up one by one
 ROWS_AT_ONCE = 1000          # rows of a matrix handed on together
@@ -186,10 +186,15 @@ def _id_type(words: int) -> type:
     return np.uint16 if words <= 1 << 16 else np.int32
 
 
+def _words_in(words: pa.Array) -> pa.Array:
+    """The words of a ``CHUNKS`` row, given as an array of its one text."""
+    return pc.split_pattern(words.cast(pa.string()), " ").values
+
+
 def _places_in(vocabulary: pa.Array, words: pa.Array) -> np.ndarray:
-    """The place in the vocabulary of each word of a ``CHUNKS`` row, given as an
-    array of its one text; of other words the vocabulary's length."""
-    at = pc.index_in(pc.split_pattern(words, " ").values, value_set=vocabulary)
+    """The place in the vocabulary of each word of such a row; of other words
+    the vocabulary's length."""
+    at = pc.index_in(_words_in(words), value_set=vocabulary)
     return at.fill_null(len(vocabulary)).to_numpy(zero_copy_only=False)
 
 
@@ -202,7 +207,7 @@ def _texts_of(batches, vocabulary: dict[str, int], at_once: int):
         for k in range(batch.num_rows):
             ids, sizes = (batch.column(x)[k].as_py() for x in ("ids", "sizes"))
             sizes = np.frombuffer(sizes, np.int32).astype(np.int64)
-            known = _places_in(names, batch.column("words").slice(k, 1).cast(pa.string()))
+            known = _places_in(names, batch.column("words").slice(k, 1))
             ids = np.frombuffer(ids, _id_type(len(known)))
             doc_ids = batch.column("doc_ids")[k].as_py()
             ends = np.concatenate(([0], np.cumsum(sizes)))
@@ -221,26 +226,32 @@ def _word_documents(docs: DataFrame) -> DataFrame:
 def _counted(batches):
     """``(words, counts, documents)`` of ``CHUNKS`` rows together, until they
     have ``WORDS_COUNTED`` different words."""
-    number, counts, docs = defaultdict(count().__next__), np.zeros(0, np.int64), 0
+    def merged(parts):
+        words, counts = (pa.chunked_array(x) for x in zip(*parts, strict=True))
+        out = pa.table({"word": words, "n": counts}).group_by("word", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+        return out["word"].chunk(0), out["n_sum"].chunk(0)
+
+    parts, pending, docs = [], 0, 0
     for batch in batches:
-        for n, words, held in zip(*(batch.column(x).to_pylist() for x in ("n", "words", "held")), strict=True):
-            words = words.split()
-            at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            if len(number) > len(counts):
-                counts = np.concatenate((counts, np.zeros(len(number), np.int64)))
-            counts[at] += np.frombuffer(held, np.int32)          # a row's words are different
+        for k, (n, held) in enumerate(zip(batch.column("n").to_pylist(), batch.column("held").to_pylist(), strict=True)):
             docs += n
-            if len(number) >= WORDS_COUNTED:
-                yield list(number), counts[:len(number)], docs
-                number, counts, docs = defaultdict(count().__next__), np.zeros(0, np.int64), 0
-    if number:
-        yield list(number), counts[:len(number)], docs
+            if held:
+                parts.append((_words_in(batch.column("words").slice(k, 1)), pa.array(np.frombuffer(held, np.int32), pa.int64())))
+                pending += len(parts[-1][0])
+            if pending >= WORDS_COUNTED:
+                parts, pending = [merged(parts)], 0
+                if len(parts[0][0]) >= WORDS_COUNTED:
+                    yield parts[0][0], parts[0][1].to_numpy(), docs
+                    parts, docs = [], 0
+    if parts:
+        words, counts = merged(parts)
+        yield words, counts.to_numpy(), docs
 
 
 def _words_held(chunks: DataFrame, only: set[str] | None = None) -> DataFrame:
     """The same from ``CHUNKS`` rows; of the words ``only``, if they are given."""
     def rows(words, counts):
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
+        return pa.RecordBatch.from_arrays([words, pa.array(counts, pa.int64())], ["word", "n"])
 
     def all_held(batches):
         for words, counts, _ in _counted(batches):
@@ -251,11 +262,11 @@ def _words_held(chunks: DataFrame, only: set[str] | None = None) -> DataFrame:
         number, counts = pa.array(names, pa.string()), np.zeros(len(names) + 1, np.int64)
         for batch in batches:
             for k, held in enumerate(batch.column(2).to_pylist()):
-                at = _places_in(number, batch.column(1).slice(k, 1).cast(pa.string()))
+                at = _places_in(number, batch.column(1).slice(k, 1))
                 if held:
                     counts[at] += np.frombuffer(held, np.int32)  # a row's words are different
         at = np.flatnonzero(counts[:-1])
-        yield rows([names[k] for k in at], counts[at])
+        yield rows(number.take(pa.array(at)), counts[at])
 
     if only is not None:
         shared = chunks.sparkSession.sparkContext.broadcast(sorted(only))
@@ -276,7 +287,7 @@ def _likely_terms(chunks: DataFrame, n: int) -> set[str]:
     def frequent(batches):
         for words, counts, docs in _counted(batches):
             at = np.flatnonzero(2 * PER_DOCS * counts >= MIN_TERM_DOCS * docs)
-            yield pa.RecordBatch.from_arrays([pa.array([words[k] for k in at], pa.string()),
+            yield pa.RecordBatch.from_arrays([words.take(pa.array(at)),
                                               pa.array(2 * PER_DOCS * counts[at] - MIN_TERM_DOCS * docs, pa.int64())], ["word", "more"])
 
     words = chunks.select("n", "words", "held").mapInArrow(frequent, "word string, more long") \
