@@ -12,19 +12,17 @@ documents: at most ``PER_DOCS / MIN_TERM_DOCS`` times the different words of a
 document on the average, however many documents there are. Every passage of
 every document is searched. Documents count as often as they come.
 
-A passage is a candidate for each item of which a stretch in it holds enough
-words: a confirmation needs ``LIKELY`` of them. Words are looked up in an
-inverted index, by units of ``UNIT`` words; the ``COMMON`` commonest terms
-are kept as bits of a unit. No passage that would be confirmed is left out,
-whatever the number of items or however low its cosine (``RANK`` directions carry
-about as many items; where a block holds more, or an item is short, that of a
-true leak may be low), and no passage that lacks the words could be confirmed.
+Every passage is compared with every item's passage in the latent space, and
+is a candidate where their cosine reaches ``MIN_COSINE``. ``RANK`` directions
+carry about as many items; where a block holds more, or an item is short, the
+cosine of a true leak may stay below. So a passage is also a candidate for each
+item of which a stretch in it holds enough words: a confirmation needs
+``LIKELY`` of them. Words are looked up in an inverted index, by units of
+``UNIT`` words; the ``COMMON`` commonest terms are kept as bits of a unit. No
+passage that would be confirmed is left out, whatever the number of items.
 
 Texts are cut into words once and written as word numbers (``CHUNKS``), which
-the counts, the passes of the decomposition and the search read. The last pass
-of the decomposition and the search are one: every passage's place among the
-directions is summed for the decomposition, those of confirmed passages are
-kept, and their cosines follow when the decomposition is complete.
+the counts, the passes of the decomposition and the search read.
 
 A candidate is confirmed on the words: the longest common subsequence must
 hold ``SURE`` of the item's words, or ``LIKELY`` of them together with
@@ -64,6 +62,7 @@ WINDOW, STRIDE = 64, 32
 SHORTEST_ITEM, SHORTEST_SEQUENCE = 8, 4
 RANK, OVERSAMPLE = 192, 16
 ITEM_WEIGHT = 6.0
+MIN_COSINE = 0.35
 MIN_TERM_DOCS, PER_DOCS = 5, 1000
 SURE, LIKELY, ANSWER = 0.75, 0.5, 0.7
 ANSWER_WORDS = 8
@@ -88,12 +87,6 @@ _LEAKS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine",
                     ("answer_overlap", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32())])
 
 
-#: What the search finds: leaks without their cosines, and rows of the tasks' sums.
-FOUND = ("doc_id long, item_id long, overlap double, answer_overlap double, first_word int, last_word int, "
-         "passage long, vector binary, term long, row binary")
-_FOUND = pa.schema([*(_LEAKS.field(x) for x in ("doc_id", "item_id", "overlap", "answer_overlap", "first_word", "last_word")),
-                    ("passage", pa.int64()), ("vector", pa.binary()), ("term", pa.int64()), ("row", pa.binary())])
-
 #: Latin-1 with a space for all that is no letter or digit.
 _LATIN_WORDS = bytes(c if chr(c).isalnum() else 32 for c in range(256))
 
@@ -413,7 +406,8 @@ def _gram_within(out: np.ndarray, ids: np.ndarray, sizes: np.ndarray, weighted:
     """Adds to ``out`` the sum over the passages a of ``weight`` (a^T basis)^T (a^T basis)."""
     if sizes.sum():
         _, _, rows, scale = _passages(ids, sizes, weighted, idf, common, weight)
-        out += rows.T @ (rows * scale)
+        rows *= np.sqrt(scale)
+        out += rows.T @ rows                # one matrix with itself: half the work
 
 
 def _row_batches(acc: np.ndarray):
@@ -500,6 +494,8 @@ class Index:
         self.bit = np.zeros(len(df) + 1, np.uint64)          # a common word's bit
         self.bit[self.common] = np.uint64(1) << np.arange(len(self.common), dtype=np.uint64)
         self.kinds = [frozenset(x) for _, x in items]
+        self.kind, self.kind_bits = _kind_bits(self.kinds, len(df))
+        self.kinds_needed = np.array([len(k) - (1 - LIKELY) * len(x) for k, (_, x) in zip(self.kinds, items, strict=True)])
         self.masks = [(_masks(x), _masks(_tail(x))) for _, x in items]
         # units that a stretch of words to be confirmed can touch
         self.units = np.array([-(-(_stretch(len(x)) - 1) // UNIT) + 1 for _, x in items])
@@ -526,6 +522,18 @@ def _item_words(items: list[list[int]], common: np.ndarray, terms: int):
     return first, rows[:, 1], rows[:, 2].astype(np.float32), often, np.array(least, np.int16)
 
 
+def _kind_bits(kinds: list[frozenset], terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each term's number among the items' different words, one number for all
+    others, and the items' words as bits."""
+    words = sorted(frozenset().union(*kinds))
+    kind = np.full(terms + 1, len(words), np.int32)
+    kind[words] = np.arange(len(words))
+    bits = np.zeros((len(kinds), (len(words) // 64 + 1) * 64), bool)
+    for row, x in zip(bits, kinds, strict=True):
+        row[kind[list(x)]] = True
+    return kind, np.packbits(bits, axis=1).view(np.uint64)
+
+
 def _first_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: DataFrame, chunks: DataFrame) -> tuple[Index, np.ndarray]:
     """The index whose vectors are places among the directions, and these."""
     passages = [(i, w[a:b]) for i, w in items for a, b in _item_passages(len(w))]
@@ -554,14 +562,9 @@ def _turned(index: Index, directions: np.ndarray, leading: np.ndarray) -> None:
     index.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
-def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: DataFrame,
-                chunks: DataFrame | None = None) -> Index:
-    """The index, without a search. ``counts``: ``_word_documents`` of the
-    documents, at least for the items' words and ``_likely_terms``; ``chunks``:
-    their ``_word_chunks``, if they are written already."""
-    chunks = written(_word_chunks(docs), "word-chunks") if chunks is None else chunks
-    index, directions = _first_index(docs, items, counts, chunks)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def _last_pass(index: Index, directions: np.ndarray, chunks: DataFrame) -> None:
+    """Completes the decomposition of the ``_first_index``."""
+    shared = chunks.sparkSession.sparkContext.broadcast(index)
 
     def partial(batches):
         ix = shared.value
@@ -573,6 +576,16 @@ def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: Dat
     parts = chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(partial, "term long, row binary")
     _turned(index, directions, _leading(index, parts))
     shared.destroy()
+
+
+def build_index(docs: DataFrame, items: list[tuple[int, list[str]]], counts: DataFrame,
+                chunks: DataFrame | None = None) -> Index:
+    """The index, without a search. ``counts``: ``_word_documents`` of the
+    documents, at least for the items' words and ``_likely_terms``; ``chunks``:
+    their ``_word_chunks``, if they are written already."""
+    chunks = written(_word_chunks(docs), "word-chunks") if chunks is None else chunks
+    index, directions = _first_index(docs, items, counts, chunks)
+    _last_pass(index, directions, chunks)
     return index
 
 
@@ -705,16 +718,19 @@ def _holding(index: Index, padded: np.ndarray, low: int, high: int) -> tuple[np.
     return np.divmod(np.unique(np.concatenate(out)), len(index.items))
 
 
-def _candidates(index: Index, padded: np.ndarray, owner: np.ndarray, lead: np.ndarray, vectors: np.ndarray):
-    """``(passage, item's passage, the passage's vector)`` of the candidates, which
-    hold enough of the item's words for a confirmation."""
+def _near_or_holding(index: Index, padded: np.ndarray, owner: np.ndarray, lead: np.ndarray, vectors: np.ndarray):
+    """``(first passage, passages, items' passages, cosines)`` of the candidates
+    among ``PASSAGES_AT_ONCE`` passages, which are near the item in the latent
+    space or hold enough of its words for a confirmation. ``vectors`` are the
+    passages' places there, of length 1."""
     begins = np.full(len(owner), -1)                             # the passage that a block begins
     begins[lead] = np.arange(len(lead))
     for a in range(0, len(lead), PASSAGES_AT_ONCE):
         at = lead[a:a + PASSAGES_AT_ONCE]
+        cosine = vectors[a:a + PASSAGES_AT_ONCE] @ index.vectors.T
         # confirm looks at a passage, two blocks, and up to one block on either side
         block, item = _holding(index, padded, max(0, int(at[0]) - 1), min(len(owner), int(at[-1]) + 3))
-        pairs = []
+        pairs = [a * len(index.items) + np.flatnonzero(cosine >= MIN_COSINE)]
         for step in (-1, 0, 1, 2):
             inside = (block >= step) & (block - step < len(owner))
             first, q = block[inside] - step, item[inside]
@@ -722,32 +738,66 @@ def _candidates(index: Index, padded: np.ndarray, owner: np.ndarray, lead: np.nd
             good = (p >= a) & (p < a + len(at)) & (owner[first] == owner[block[inside]])
             pairs.append(p[good] * len(index.items) + q[good])
         p, q = np.divmod(np.unique(np.concatenate(pairs)), len(index.items))
-        yield from zip(p.tolist(), q.tolist(), vectors[p], strict=True)
+        yield a, p, q, cosine[p - a, q]
 
 
-def search_texts(index: Index, flat: np.ndarray, sizes: np.ndarray, gram: np.ndarray) -> list[list[tuple]]:
+def _candidates(index: Index, padded: np.ndarray, owner: np.ndarray, lead: np.ndarray, vectors: np.ndarray):
+    """``(passage, item's passage, cosine)`` of the candidates."""
+    for _, p, q, cosine in _near_or_holding(index, padded, owner, lead, vectors):
+        yield from zip(p.tolist(), q.tolist(), cosine.tolist(), strict=True)
+
+
+def _enough_kinds(index: Index, padded: np.ndarray, owner: np.ndarray, lead: np.ndarray, a: int,
+                  p: np.ndarray, q: np.ndarray, cosine: np.ndarray) -> list[np.ndarray]:
+    """The candidates that pass the first test of ``confirm``, on no fewer words
+    than it looks at: a passage's two blocks and one on either side."""
+    at = lead[a:a + PASSAGES_AT_ONCE]
+    low, high = max(0, int(at[0]) - 1), min(len(owner), int(at[-1]) + 3)
+    there = np.zeros((high - low, index.kind_bits.shape[1] * 64), bool)
+    there[np.arange(high - low)[:, None], index.kind[padded[low:high]]] = True
+    there = np.packbits(there, axis=1).view(np.uint64)
+    around = there[at - low]
+    for step in (-1, 1, 2):
+        k = np.flatnonzero((at + step >= low) & (at + step < high))
+        k = k[owner[at[k] + step] == owner[at[k]]]
+        around[k] |= there[at[k] + step - low]
+    good = [np.empty(0, np.int64)]
+    for k in range(0, len(p), 1 << 14):
+        x, y = p[k:k + (1 << 14)] - a, q[k:k + (1 << 14)]
+        held = np.bitwise_count(around[x] & index.kind_bits[y]).sum(axis=1, dtype=np.int64)
+        good.append(k + np.flatnonzero(index.kinds_needed[y] <= held))
+    good = np.concatenate(good)
+    return [p[good], q[good], cosine[good]]
+
+
+def search_texts(index: Index, flat: np.ndarray, sizes: np.ndarray) -> list[list[tuple]]:
     """Leaks of each of the texts of ``sizes`` words, their words' ids joined:
-    ``(item_id, overlap, answer overlap, first word, last word, the item's
-    passage, the vector of the text's)``, the best per item. The passages'
-    products are added to ``gram`` like ``_gram_within`` does."""
+    ``(item_id, cosine, overlap, answer overlap, first word, last word)``, the
+    best per item."""
+    none = len(index.term_vectors) - 1
     out: list[list[tuple]] = [[] for _ in sizes]
     if not sizes.sum():
         return out
-    (padded, owner, nth, lead, _), _, vectors, scale = _passages(flat, sizes, index.term_vectors, index.weights, index.common, 1.0)
-    gram += vectors.T @ (vectors * scale)
+    padded, owner, nth, lead, alone = _blocks(flat, sizes, none)
+    sums = _Words(padded, index.common, none).sums(index.term_vectors)
+    vectors = sums[lead]
+    vectors[~alone] += sums[lead[~alone] + 1]
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     begin = np.cumsum(sizes) - sizes
     hits: dict[tuple[int, int], tuple] = {}
     ids: dict[int, list[int]] = {}
-    for p, q, vector in _candidates(index, padded, owner, lead, vectors):
-        d, k = int(owner[lead[p]]), int(nth[lead[p]])
-        if d not in ids:
-            ids[d] = flat[begin[d]:begin[d] + sizes[d]].tolist()
-        item, words = index.items[q]
-        extra = len(words) // 2
-        found = confirm(words, ids[d], max(0, k * STRIDE - extra), min(len(ids[d]), k * STRIDE + WINDOW + extra),
-                        index.kinds[q], index.masks[q])
-        if found and found[0] > hits.get((d, item), (-1.0,))[0]:
-            hits[d, item] = (*found, q, vector.tobytes())
+    place = None
+    for a, *pairs in _near_or_holding(index, padded, owner, lead, vectors):
+        for p, q, cosine in zip(*(x.tolist() for x in _enough_kinds(index, padded, owner, lead, a, *pairs)), strict=True):
+            if p != place:                                       # they come passage by passage
+                place, d, at = p, int(owner[lead[p]]), int(nth[lead[p]]) * STRIDE
+                if d not in ids:
+                    ids[d] = flat[begin[d]:begin[d] + sizes[d]].tolist()
+            item, words = index.items[q]
+            extra = len(words) // 2
+            found = confirm(words, ids[d], max(0, at - extra), min(len(ids[d]), at + WINDOW + extra), index.kinds[q], index.masks[q])
+            if found and found[0] > hits.get((d, item), (0.0, -1.0))[1]:
+                hits[d, item] = (cosine, *found)
     for (d, item), found in sorted(hits.items()):
         out[d].append((item, *found))
     return out
@@ -774,36 +824,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             likely = _likely_terms(chunks, texts.count())
         counts = _words_held(chunks, likely | {w for _, x in items for w in x})
         index, directions = _first_index(texts, items, counts, chunks)     # bounded by ITEMS_AT_ONCE and the terms
+        _last_pass(index, directions, chunks)
         shared = spark.sparkContext.broadcast(index)
 
         def search(batches, shared=shared):
             ix = shared.value
-            gram = np.zeros((ix.term_vectors.shape[1],) * 2)
             for doc_ids, ids, sizes in _texts_of(batches, ix.vocabulary, WORDS_AT_ONCE):
-                rows = [(d, *x) for d, f in zip(doc_ids, search_texts(ix, ids, sizes, gram), strict=True) for x in f]
+                rows = [(d, *x) for d, f in zip(doc_ids, search_texts(ix, ids, sizes), strict=True) for x in f]
                 if rows:
-                    yield pa.RecordBatch.from_pylist([dict(zip(_FOUND.names, r)) for r in rows], _FOUND)  # noqa: B905
-            for rows in _row_batches(gram):
-                yield pa.RecordBatch.from_pylist(rows.to_pylist(), _FOUND)
+                    yield pa.RecordBatch.from_pylist([dict(zip(_LEAKS.names, r, strict=True)) for r in rows], _LEAKS)
 
-        found = written(chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(search, FOUND), "passages")
-        leading = _leading(index, found.filter("term is not null").select("term", "row"))
+        out = out.unionByName(written(chunks.select("doc_ids", "sizes", "words", "ids").mapInArrow(search, LEAKS), "found-leaks"))
         shared.destroy()
-        _turned(index, directions, leading)
-        turn = spark.sparkContext.broadcast((leading, index.vectors))
-
-        def cosines(batches, turn=turn):
-            leading, vectors = turn.value
-            for batch in batches:
-                if batch.num_rows:
-                    own = np.stack([np.frombuffer(x, np.float32) for x in batch.column("vector").to_pylist()]) @ leading
-                    own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
-                    cosine = (own * vectors[batch.column("passage").to_numpy()]).sum(axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(cosine) if x == "cosine" else batch.column(x)
-                                                      for x in _LEAKS.names], schema=_LEAKS)
-
-        out = out.unionByName(written(found.filter("term is null").mapInArrow(cosines, LEAKS), "found-leaks"))
-        turn.destroy()
     return out
 
 

@@ -384,6 +384,33 @@ def test_a_stretch_of_enough_words_is_always_held():
     assert not any(owner[lead[p]] == len(texts) - 1 for p, _ in got)
 
 
+def test_passages_near_an_item_are_candidates(monkeypatch):
+    """Every passage is compared with every item's passage in the latent space;
+    those near it are confirmed though the condition on words let none pass."""
+    monkeypatch.setattr(decontaminate, "PASSAGES_AT_ONCE", 7)
+    rng = np.random.default_rng(6)
+    terms, rank = 400, 12
+    items = [rng.choice(terms, n, replace=False).tolist() for n in (8, 20, 40, 64) for _ in range(5)]
+    term_vectors = np.vstack([rng.standard_normal((terms, rank)), np.zeros((1, rank))]).astype(np.float32)
+    vectors = np.stack([term_vectors[x].sum(axis=0) for x in items])
+    index = decontaminate.Index({}, term_vectors, list(enumerate(items)), vectors / np.linalg.norm(vectors, axis=1, keepdims=True),
+                                np.arange(terms))
+    index.least[:] = 10_000
+    texts = [rng.integers(0, terms + 1, n).tolist() for n in (0, 5, 33, 200, 500)] + [items[7], items[13] + items[13][:5]]
+    flat, sizes = np.array([w for t in texts for w in t]), np.array([len(t) for t in texts])
+    padded, owner, nth, lead, _ = decontaminate._blocks(flat, sizes, terms)
+    places = np.stack([term_vectors[t[a:b]].sum(axis=0) for t in texts for a, b in decontaminate._windows(len(t))])
+    places /= np.linalg.norm(places, axis=1, keepdims=True)
+    cosine = places @ index.vectors.T
+    want = {(p, q): cosine[p, q] for p, q in zip(*np.nonzero(cosine >= decontaminate.MIN_COSINE))}
+    got = {(p, q): c for p, q, c in decontaminate._candidates(index, padded, owner, lead, places)}
+    assert set(got) == set(want) and len(want) > 20
+    assert all(abs(got[x] - c) < 1e-5 for x, c in want.items())
+    found = decontaminate.search_texts(index, flat, sizes)
+    assert [[x[0] for x in f] for f in found] == [[]] * 5 + [[7], [13]]
+    assert all(abs(f[0][1] - cosine[-len(found) + k, f[0][0]]) < 1e-5 for k, f in enumerate(found) if f)
+
+
 def test_texts_reach_python_in_batches_of_few_bytes(spark):
     """Long texts come a few at a time, whatever their rows."""
     ship_package(spark)
