@@ -493,6 +493,8 @@ class Index:
         self.first, self.held_by, self.places, self.often, self.least = _item_words([x for _, x in items], self.common, len(df))
         self.bit = np.zeros(len(df) + 1, np.uint64)          # a common word's bit
         self.bit[self.common] = np.uint64(1) << np.arange(len(self.common), dtype=np.uint64)
+        self.common_bits = np.bitwise_or.reduce(np.where(self.often > 0, self.bit[self.common], np.uint64(0)), axis=1)
+        self.repeated = (self.often - (self.often > 0)).sum(axis=1, dtype=np.int16)
         self.kinds = [frozenset(x) for _, x in items]
         self.kind, self.kind_bits = _kind_bits(self.kinds, len(df))
         self.kinds_needed = np.array([len(k) - (1 - LIKELY) * len(x) for k, (_, x) in zip(self.kinds, items, strict=True)])
@@ -682,8 +684,9 @@ def _places_held(index: Index, units: np.ndarray) -> np.ndarray:
     item, row = index.held_by[at], np.repeat(row, n)
     first = np.maximum(np.repeat(after, n), row - index.units[item] + 1)
     size = (len(units) + 1) * len(index.items)
-    change = np.bincount(first * len(index.items) + item, index.places[at], size)
-    change -= np.bincount((row + 1) * len(index.items) + item, index.places[at], size)
+    places = index.places[at]
+    change = np.bincount(np.concatenate((first, row + 1)) * len(index.items) + np.concatenate((item, item)),
+                         np.concatenate((places, -places)), size)
     return np.cumsum(change.astype(np.int16).reshape(len(units) + 1, -1), axis=0, dtype=np.int16)
 
 
@@ -700,21 +703,19 @@ def _holding(index: Index, padded: np.ndarray, low: int, high: int) -> tuple[np.
     there[:len(units)] = np.bitwise_or.reduce(index.bit[units], axis=1)[:len(there)]
     most = index.least - index.often.sum(axis=1, dtype=np.int16)
     out = [np.empty(0, np.int64)]
-    seen = np.zeros(begins, np.uint64)
-    for n in range(1, longest + 1):
-        seen |= there[n - 1:n - 1 + begins]
-        of = np.flatnonzero(index.units == n)
-        if not len(of):
-            continue
-        own = places if len(of) == len(index.items) else places[:, of]
-        row, col = np.divmod(np.flatnonzero(own >= most[of]), len(of))
-        # with the common words that are there, each once
-        for k in range(0, len(row), 1 << 16):
-            r, c = row[k:k + (1 << 16)], col[k:k + (1 << 16)]
-            bits = np.unpackbits(seen[r].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :index.often.shape[1]]
-            also = np.einsum("ij,ij->i", bits, index.often[of[c]])
-            good = own[r, c] + also >= index.least[of[c]]
-            out.append((low + r[good] // per) * len(index.items) + of[c[good]])
+    seen = np.empty((longest, begins), np.uint64)            # and of the units from each one on
+    for n in range(longest):
+        np.bitwise_or(seen[n - 1] if n else 0, there[n:n + begins], out=seen[n])
+    # with the common words that are there, each once
+    row, col = np.divmod(np.flatnonzero(places >= most), len(index.items))
+    for k in range(0, len(row), 1 << 16):
+        r, c = row[k:k + (1 << 16)], col[k:k + (1 << 16)]
+        own, bits = places[r, c], seen[index.units[c] - 1, r]
+        some = np.flatnonzero(own + np.bitwise_count(bits & index.common_bits[c]) >= index.least[c] - index.repeated[c])
+        r, c, own = r[some], c[some], own[some]
+        bits = np.unpackbits(bits[some].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :index.often.shape[1]]
+        good = own + np.einsum("ij,ij->i", bits, index.often[c]) >= index.least[c]
+        out.append((low + r[good] // per) * len(index.items) + c[good])
     return np.divmod(np.unique(np.concatenate(out)), len(index.items))
 
 
